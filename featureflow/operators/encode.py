@@ -115,14 +115,15 @@ def learn_index_labels(df: DataFrame, columns: Sequence[str]) -> dict:
     return {c: index_labels_from_counts(v) for c, v in out.items()}
 
 
-def string_indexer(labels: dict, suffix_in: str = "", suffix_out: str = "_index") -> StringIndexerModel:
-    """A fitted multi-column StringIndexerModel (unseen / NULL -> extra index)."""
-    cols = list(labels)
-    return StringIndexerModel.from_arrays_of_labels(
-        [list(labels[c]) for c in cols],
-        inputCols=[f"{c}{suffix_in}" for c in cols],
-        outputCols=[f"{c}{suffix_out}" for c in cols],
-        handleInvalid="keep")
+def string_indexers(labels: dict, suffix_in: str = "", suffix_out: str = "_index") -> list[StringIndexerModel]:
+    """Fitted StringIndexerModels, one per column (unseen / NULL -> extra index).
+
+    One model per column: the multi-column constructor pads shorter label
+    lists with NULL labels, which corrupts the category metadata.
+    """
+    return [StringIndexerModel.from_labels(list(labels[c]), inputCol=f"{c}{suffix_in}",
+                                           outputCol=f"{c}{suffix_out}", handleInvalid="keep")
+            for c in labels]
 
 
 def one_hot(df: DataFrame, labels: dict, suffix_in: str = "", index_suffix: str = "_index",
@@ -133,7 +134,9 @@ def one_hot(df: DataFrame, labels: dict, suffix_in: str = "", index_suffix: str
         return df
     for c in labels:
         df = df.withColumn(f"{c}{suffix_in}", F.col(f"{c}{suffix_in}").cast(StringType()))
-    indexed = string_indexer(labels, suffix_in, index_suffix).transform(df)
+    indexed = df
+    for m in string_indexers(labels, suffix_in, index_suffix):
+        indexed = m.transform(indexed)
     cols = list(labels)
     ohe = OneHotEncoder(inputCols=[f"{c}{index_suffix}" for c in cols],
                         outputCols=[f"{c}{out_suffix}" for c in cols],

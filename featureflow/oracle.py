@@ -80,7 +80,7 @@ SELECT l_orderkey, l_linenumber, list_transform([
   e.m,
   sin({_ang('mo', '12.0')}), sin({_ang('dd', _ML)}), sin({_ang('dw', '7.0')}),
   cos({_ang('mo', '12.0')}), cos({_ang('dd', _ML)}), cos({_ang('dw', '7.0')})
-], x -> round(x, 6) + 0.0) AS features
+], lambda x: round(x, 6) + 0.0) AS features
 FROM s JOIN lab a ON a.f = 'rf' AND a.v = s.rf JOIN lab b ON b.f = 'ls' AND b.v = s.ls
      JOIN lab c ON c.f = 'it' AND c.v = s.it JOIN enc e ON e.br = s.br
 """
