@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows we are willing to ship to every executor for a dimension/lookup table.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Rows we are willing to ship to every executor for a dimension/lookup table
+# (about 50 MB at 100 bytes a row).
+DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:

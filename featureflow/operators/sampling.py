@@ -40,3 +40,16 @@ def repartition(df: DataFrame, n: int | None = None, *keys: str) -> DataFrame:
     if n is None:
         return df.repartition(*keys) if keys else df
     return df.repartition(n, *keys)
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread ``df`` over at least ``min_partitions`` tasks (default: the
+    cluster's default parallelism) before iterative work such as model fits.
+
+    Only ever raises the partition count: a large input already has more
+    partitions than cores and is left as it is.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from featureflow.operators.sampling import ensure_parallelism
 from featureflow.plans.features import list_dirs
 
 # --- fixed values: model families and their grids ---------------------------
@@ -55,17 +56,40 @@ def scaled_pipeline(estimator, features_col: str = "features", scaled_col: str =
     return Pipeline(stages=[scaler, estimator])
 
 
+def training_set(df: DataFrame, label: str, features_col: str = "features") -> DataFrame:
+    """The two columns a fit reads, spread over the cores and persisted.
+
+    Model fits make many passes; without this each pass recomputes the
+    whole feature plan.  MEMORY_AND_DISK spills instead of failing, and a
+    lost executor's blocks are recomputed from the lineage.
+    """
+    data = df.select(features_col, label)
+    return ensure_parallelism(data).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def cross_validate(train: DataFrame, family: str, label: str, grid_values=None, folds: int = 5,
-                   seed: int = 42, parallelism: int = 1, features_col: str = "features"):
-    """Grid search with k-fold CV on RMSE.  Returns (cv_model, best_param, best_value)."""
+                   seed: int = 42, parallelism: int | None = None, features_col: str = "features"):
+    """Grid search with k-fold CV on RMSE.  Returns (cv_model, best_param, best_value).
+
+    Grid points are fitted concurrently (``parallelism``, default one per grid
+    value); they share the persisted training set.
+    """
     est = make_estimator(family, "scaledFeatures", label, seed)
     pname, default_values = GRIDS[family]
     values = list(grid_values if grid_values is not None else default_values)
     grid = ParamGridBuilder().addGrid(est.getParam(pname), values).build()
     evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     cv = CrossValidator(estimator=scaled_pipeline(est, features_col), estimatorParamMaps=grid,
-                        evaluator=evaluator, numFolds=folds, seed=seed, parallelism=parallelism)
-    model = cv.fit(train)
+                        evaluator=evaluator, numFolds=folds, seed=seed,
+                        parallelism=parallelism or len(values))
+    # every fold re-reads its input: keep only the two needed columns, persisted
+    owned = not train.storageLevel.useMemory and not train.storageLevel.useDisk
+    data = training_set(train, label, features_col) if owned else train
+    try:
+        model = cv.fit(data)
+    finally:
+        if owned:
+            data.unpersist()
     best_idx = min(range(len(values)), key=lambda i: model.avgMetrics[i])
     return model, pname, values[best_idx]
 
@@ -75,11 +99,17 @@ def retrain_best(train: DataFrame, family: str, label: str, param: str, value,
     """Refit the family on all training rows with the winning grid entry."""
     est = make_estimator(family, "scaledFeatures", label, seed)
     est = est.copy({est.getParam(param): value})
-    return scaled_pipeline(est, features_col).fit(train)
+    owned = not train.storageLevel.useMemory and not train.storageLevel.useDisk
+    data = training_set(train, label, features_col) if owned else train
+    try:
+        return scaled_pipeline(est, features_col).fit(data)
+    finally:
+        if owned:
+            data.unpersist()
 
 
 def train_select(train_df: DataFrame, label: str, families=FAMILIES, grids: dict | None = None,
-                 folds: int = 5, seed: int = 42, parallelism: int = 1, holdout: float = 0.2,
+                 folds: int = 5, seed: int = 42, parallelism: int | None = None, holdout: float = 0.2,
                  save_dir: str | None = None, features_col: str = "features"):
     """For each family: CV on 80 %, metrics on the 20 % hold-out, retrain with the
     best grid entry on all rows (saved as ``retrained_<family>``).
@@ -88,11 +118,9 @@ def train_select(train_df: DataFrame, label: str, families=FAMILIES, grids: dict
     are persisted while the fits run and released afterwards.
     """
     spark = train_df.sparkSession
-    data = train_df.select(features_col, label)
-    if "prediction" in data.columns:
-        data = data.drop("prediction")
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = training_set(train_df, label, features_col)
     fit_part, test_part = data.randomSplit([1.0 - holdout, holdout], seed=seed)
+    fit_part = fit_part.persist(StorageLevel.MEMORY_AND_DISK)
     rows, models = [], {}
     try:
         for fam in families:
@@ -106,6 +134,7 @@ def train_select(train_df: DataFrame, label: str, families=FAMILIES, grids: dict
                 final.write().overwrite().save(f"{save_dir}/retrained_{fam}")
             models[fam] = final
     finally:
+        fit_part.unpersist()
         data.unpersist()
     metrics = spark.createDataFrame(
         rows, "model string, rmse double, mae double, r2 double, best_param string, best_value double")

@@ -323,13 +323,17 @@ def _static(spark, sf):
 
 
 def static_features(spark, sf):
-    """Flagship: static preprocessing, then mean label and cyclic pair per (type, month)."""
+    """Flagship: static preprocessing, then mean label and cyclic pair per (type, month).
+
+    The pair is derived after the aggregate (72 rows), not per input row.
+    """
     li = _t(spark, sf, "lineitem").withColumn("l_returnflag", F.nullif(F.col("l_returnflag"), F.lit("R")))
     df = feat.static_features(li, _t(spark, sf, "part"), presets.TPCH)
-    g = df.groupBy("item_type", F.col("ship_month").alias("month"), "ship_month_cos", "ship_month_sin").agg(
+    g = df.groupBy("item_type", F.col("ship_month").alias("month")).agg(
         F.count(F.lit(1)).alias("n"), F.avg(LABEL).alias("avg_target"))
+    g = feat.cyclic_columns(g, [presets.Cyclic("month", period=12)])
     return g.select("item_type", "month", "n", _r("avg_target", 6).alias("avg_target"),
-                    _r("ship_month_cos", 9).alias("month_cos"), _r("ship_month_sin", 9).alias("month_sin"))
+                    _r("month_cos", 9).alias("month_cos"), _r("month_sin", 9).alias("month_sin"))
 
 
 def _fit_exact(df):
