@@ -244,6 +244,45 @@ def histogram(df: DataFrame, column: str, bins: int = 30, lo: float | None = Non
     return data.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def histograms(df: DataFrame, columns: Sequence[str], bins: int = 30, ranges: dict | None = None) -> DataFrame:
+    """``(feature, bin, n)`` for many numeric columns: one aggregate for the
+    ranges (a single bounded row), one unpivot + group for the counts."""
+    ranges = dict(ranges or {})
+    free = [c for c in columns if c not in ranges]
+    if free:
+        row = df.agg(*[F.min(F.col(c).cast(DoubleType())).alias(f"lo{i}") for i, c in enumerate(free)],
+                     *[F.max(F.col(c).cast(DoubleType())).alias(f"hi{i}") for i, c in enumerate(free)]).first()
+        for i, c in enumerate(free):
+            if row[f"lo{i}"] is not None:
+                ranges[c] = (float(row[f"lo{i}"]), float(row[f"hi{i}"]))
+    cols = [c for c in columns if c in ranges]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "feature string, bin int, n long")
+    long = df.select(*[F.col(c).cast(DoubleType()).alias(c) for c in cols]).unpivot([], cols, "feature", "x")
+    lo = {c: ranges[c][0] for c in cols}
+    width = {c: ((ranges[c][1] - ranges[c][0]) / bins) if ranges[c][1] > ranges[c][0] else 1.0 for c in cols}
+    hi = {c: ranges[c][1] for c in cols}
+    from featureflow.functions.columns import lookup
+    flo, fw, fhi = lookup("feature", lo), lookup("feature", width), lookup("feature", hi)
+    kept = long.filter(F.col("x").isNotNull() & (F.col("x") >= flo) & (F.col("x") <= fhi))
+    b = F.least(F.lit(bins), F.floor((F.col("x") - flo) / fw).cast("int") + 1)
+    return kept.groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def top_k_per_feature(stats_table: DataFrame, features: Sequence[str], k: int) -> DataFrame:
+    """``(feature, value, n)``: the k most frequent values of each feature.
+
+    One bounded TakeOrderedAndProject per feature (k rows each), so a feature
+    with millions of values never lands in a single window partition.
+    """
+    out = None
+    for f in features:
+        part = (stats_table.filter(F.col("feature") == F.lit(f))
+                .orderBy(F.col("n").desc(), F.col("value").asc_nulls_last()).limit(k))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def dataset_shape(df: DataFrame) -> DataFrame:
     """One row ``(n_rows, n_columns)``."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
