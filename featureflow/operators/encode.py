@@ -22,6 +22,7 @@ from pyspark.sql.types import DoubleType, StringType
 from featureflow.functions.columns import bucket_rare
 from featureflow.operators import stats
 from featureflow.operators.joins import maybe_broadcast
+from featureflow.session import checkpoint_root
 
 OTHER = "Other"
 
@@ -66,18 +67,19 @@ def mean_target_table(df: DataFrame, column: str, label: str, out_col: str,
                       fallback: float | None = None) -> DataFrame:
     """``(column, out_col)``: mean label per value, plus an "Other" row when absent.
 
-    The fallback for "Other" is the global mean label (one aggregate), unless
-    given.  The result is built lazily; the key is unique.
+    The fallback for "Other" is the global mean label unless given.  One
+    aggregate computes both (grouping sets ``(column)`` and ``()``); the small
+    result is checkpointed to the shared folder so the "Other" test and the
+    union read it instead of re-running the scan.  The key is unique.
     """
-    table = df.groupBy(column).agg(F.avg(F.col(label).cast(DoubleType())).alias(out_col))
-    if fallback is None:
-        fb = df.agg(F.avg(F.col(label).cast(DoubleType()))).scalar()
-    else:
-        fb = F.lit(float(fallback))
+    y = F.col(label).cast(DoubleType())
+    both = df.groupingSets([[column], []], column).agg(F.avg(y).alias(out_col), F.grouping_id().alias("_gid"))
+    checkpoint_root(df.sparkSession)
+    both = both.checkpoint(eager=True)
+    table = both.filter(F.col("_gid") == 0).drop("_gid")
     has_other = table.filter(F.col(column) == F.lit(OTHER)).select(F.count(F.lit(1))).scalar()
-    # one "Other" row built from the table itself (no literal frame, no cross join)
-    extra = (table.agg(F.count(F.lit(1)).alias("_n"))
-             .filter(has_other == 0)
+    fb = F.col(out_col) if fallback is None else F.lit(float(fallback))
+    extra = (both.filter((F.col("_gid") == 1) & (has_other == 0))
              .select(F.lit(OTHER).cast(table.schema[column].dataType).alias(column), fb.alias(out_col)))
     return table.unionByName(extra)
 

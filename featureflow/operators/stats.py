@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from featureflow.functions.columns import is_missing
+from featureflow.session import checkpoint_root
 
 # Default accuracy of percentile_approx: rank error <= n / accuracy.
 EXACT_ACCURACY = 1_000_000
@@ -53,11 +54,38 @@ def value_stats(df: DataFrame, features: Sequence[str], label: str | None = None
 
 
 def _total_rows(stats: DataFrame, feature: str) -> Column:
-    """Row count of the source, read back from a value_stats table as a scalar
-    subquery (the groups of any one feature add up to the row count)."""
+    """Row count of the source, read back from a *persisted* value_stats table
+    as a scalar subquery (the groups of any one feature add up to the row
+    count).  On an unpersisted table use ``value_stats_with_total``."""
     return stats.filter(F.col("feature") == F.lit(feature)).agg(F.sum("n")).scalar()
 
 
+def value_stats_with_total(df: DataFrame, features: Sequence[str], label: str | None = None) -> DataFrame:
+    """value_stats plus ``total`` (rows of the source) from the SAME scan.
+
+    Grouping sets ``(feature, value)`` and ``(feature)`` are computed by one
+    aggregate; the per-feature totals (one row per feature) are joined back.
+    """
+    ids = [label] if label else []
+    long = unpivot_features(df, features, ids)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if label:
+        aggs += [F.count(F.col(label)).alias("label_n"),
+                 F.sum(F.col(label).cast(DoubleType())).alias("label_sum")]
+    both = long.groupingSets([["feature", "value"], ["feature"]], "feature", "value").agg(
+        *aggs, F.grouping_id().alias("_gid"))
+    # The grouped table is small (one row per distinct value).  A reliable
+    # checkpoint to the shared folder materialises it once, so the two reads
+    # below do not each re-run the scan (Catalyst would push the grouping-id
+    # filters into the Expand and plan two different aggregates).
+    checkpoint_root(df.sparkSession)
+    both = both.checkpoint(eager=True)
+    detail = both.filter(F.col("_gid") == 0).drop("_gid")
+    totals = both.filter(F.col("_gid") == 1).select("feature", F.col("n").alias("total"))
+    # at most one row per feature: a proven bound for the broadcast
+    return detail.join(F.broadcast(totals), on="feature", how="inner")
+
+
 def mode_from_stats(stats: DataFrame) -> DataFrame:
     """``(feature, value, n)``: most frequent non-NULL value per feature.
 
@@ -84,25 +112,22 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def proportions(df: DataFrame, column: str, decimals: int = 2) -> DataFrame:
-    """``(column, count, proportion)``: percentage of rows per value."""
-    counts = value_counts(df, column)
-    total = counts.agg(F.sum("count")).scalar()
-    return counts.withColumn(
-        "proportion", F.round(F.col("count").cast(DoubleType()) * 100.0 / total, decimals))
+    """``(column, count, proportion)``: percentage of rows per value (one scan)."""
+    p = proportions_long(df, [column], decimals)
+    return p.select(F.col("value").cast(df.schema[column].dataType).alias(column), "count", "proportion")
 
 
 def proportions_long(df: DataFrame, features: Sequence[str], decimals: int = 2) -> DataFrame:
     """``(feature, value, count, proportion)`` for many features in one pass."""
-    stats = value_stats(df, features)
-    total = _total_rows(stats, features[0])
+    stats = value_stats_with_total(df, features)
     return stats.select("feature", "value", F.col("n").alias("count"),
-                        F.round(F.col("n").cast(DoubleType()) * 100.0 / total, decimals).alias("proportion"))
+                        F.round(F.col("n").cast(DoubleType()) * 100.0 / F.col("total"), decimals).alias("proportion"))
 
 
 def frequencies(df: DataFrame, features: Sequence[str], label: str | None = None) -> DataFrame:
-    """value_stats plus ``frequency`` = share of rows."""
-    stats = value_stats(df, features, label)
-    return stats.withColumn("frequency", F.col("n").cast(DoubleType()) / _total_rows(stats, features[0]))
+    """value_stats plus ``frequency`` = share of rows, one scan."""
+    stats = value_stats_with_total(df, features, label)
+    return stats.withColumn("frequency", F.col("n").cast(DoubleType()) / F.col("total")).drop("total")
 
 
 def frequent_values(df: DataFrame, features: Sequence[str], threshold: float) -> DataFrame:
@@ -138,11 +163,12 @@ def top_k_mean(df: DataFrame, column: str, label: str, k: int = 20,
                alias: str = "avg_target") -> DataFrame:
     """Mean label of the rows whose category is among the k most frequent.
 
-    The top-k keys (k rows, a proven bound) are broadcast into a semi join.
+    Restricting rows to the top-k categories and then averaging per category
+    equals averaging per category and keeping the top-k groups, so this is
+    one aggregate (count and mean together) and a bounded top-k, one scan.
     """
-    keys = top_k(df, column, k).select(column)
-    kept = df.join(F.broadcast(keys), on=column, how="left_semi")
-    return mean_by(kept, column, label, alias)
+    g = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"), F.avg(label).alias(alias))
+    return g.orderBy(F.col("_n").desc(), F.col(column).asc()).limit(k).select(column, alias)
 
 
 # ---------------------------------------------------------------- nulls
