@@ -159,6 +159,13 @@ def global_mean(df: DataFrame, label: str, alias: str = "global_mean") -> DataFr
     return df.agg(F.avg(label).alias(alias))
 
 
+def top_k_rows(df: DataFrame, column: str, k: int) -> DataFrame:
+    """Rows whose category is among the k most frequent: a left semi join with
+    the top-k keys (k rows, broadcast under that proven bound)."""
+    keys = top_k(df, column, k).select(column)
+    return df.join(F.broadcast(keys), on=column, how="left_semi")
+
+
 def top_k_mean(df: DataFrame, column: str, label: str, k: int = 20,
                alias: str = "avg_target") -> DataFrame:
     """Mean label of the rows whose category is among the k most frequent.

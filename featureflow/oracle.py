@@ -137,6 +137,34 @@ ORACLE_SQL = {
     "top_k_semi_join_mean": (f"WITH {BASE} SELECT p_brand, round(avg(l_extendedprice),6)+0.0 AS avg_target FROM base "
                              "WHERE p_brand IN (SELECT p_brand FROM (SELECT p_brand,count(*) AS c FROM base "
                              "GROUP BY p_brand ORDER BY c DESC,p_brand LIMIT 20) t) GROUP BY p_brand"),
+    "top_k_semi_join": (f"WITH {BASE} SELECT l_orderkey,l_linenumber,l_partkey,p_brand FROM base WHERE p_brand IN "
+                        "(SELECT p_brand FROM (SELECT p_brand,count(*) AS c FROM base GROUP BY p_brand "
+                        "ORDER BY c DESC,p_brand LIMIT 20) t)"),
+    "profile_histograms": (
+        "WITH d AS (SELECT l_quantity AS q, l_discount AS di, nullif(l_tax,0.0) AS tx FROM lineitem), "
+        "r AS (SELECT min(q) AS qlo, max(q) AS qhi, min(tx) AS tlo, max(tx) AS thi FROM d) "
+        "SELECT 'l_quantity' AS feature, least(30, CAST(floor((q-qlo)/((qhi-qlo)/30.0)) AS int)+1) AS bin, count(*) AS n "
+        "FROM d, r WHERE q IS NOT NULL GROUP BY 1, 2 "
+        "UNION ALL SELECT 'l_discount', least(30, CAST(floor((di-0.0)/((0.05-0.0)/30.0)) AS int)+1), count(*) "
+        "FROM d WHERE di BETWEEN 0.0 AND 0.05 GROUP BY 1, 2 "
+        "UNION ALL SELECT 'l_tax', least(30, CAST(floor((tx-tlo)/((thi-tlo)/30.0)) AS int)+1), count(*) "
+        "FROM d, r WHERE tx IS NOT NULL GROUP BY 1, 2"),
+    "profile_proportions": (
+        "SELECT 'l_returnflag' AS feature, l_returnflag AS value, count(*) AS count, "
+        "round(CAST(count(*) AS DOUBLE)*100.0/(SELECT count(*) FROM lineitem),2) AS proportion FROM lineitem GROUP BY 2 "
+        "UNION ALL SELECT 'l_linestatus', l_linestatus, count(*), "
+        "round(CAST(count(*) AS DOUBLE)*100.0/(SELECT count(*) FROM lineitem),2) FROM lineitem GROUP BY 2"),
+    "profile_top_categories": (
+        f"WITH {BASE}, c AS (SELECT 'p_brand' AS feature, p_brand AS value, count(*) AS n FROM base GROUP BY 2 "
+        "UNION ALL SELECT 'p_type', p_type, count(*) FROM base GROUP BY 2) "
+        "SELECT feature, value, n FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) AS rn "
+        "FROM c) WHERE rn <= 5"),
+    "profile_mean_target": (
+        f"WITH {BASE}, c AS (SELECT 'p_brand' AS feature, p_brand AS value, count(*) AS n, avg(l_extendedprice) AS m "
+        "FROM base GROUP BY 2 UNION ALL SELECT 'p_type', p_type, count(*), avg(l_extendedprice) FROM base GROUP BY 2 "
+        "UNION ALL SELECT 'l_linestatus', l_linestatus, count(*), avg(l_extendedprice) FROM base GROUP BY 2) "
+        "SELECT feature, value, n, round(m,6)+0.0 AS avg_target FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY feature ORDER BY n DESC, value) AS rn FROM c) WHERE feature <> 'p_brand' OR rn <= 10"),
     "mean_target_by_feature": f"WITH {BASE} SELECT p_type, round(avg(l_extendedprice),6)+0.0 AS avg_target FROM base GROUP BY p_type",
     "global_mean": "SELECT round(avg(l_extendedprice),6)+0.0 AS global_mean FROM lineitem",
     "frequent_values": (f"WITH {BASE} SELECT p_brand, round(count(*)*1.0/(SELECT count(*) FROM base),9)+0.0 AS frequency "

@@ -109,6 +109,11 @@ class FeatureEstimator(Estimator, _StateParams, DefaultParamsReadable, DefaultPa
                  cardinality_threshold: int = 10, high_cardinality_strategy: str = "mean",
                  relative_error: float = 0.025):
         super().__init__()
+        if not frequency_threshold > 0:
+            # the learned tables are bounded by 1/threshold values per feature;
+            # without a threshold use encode.mean_target_table / mean_encode,
+            # which keep the table as a DataFrame and join it
+            raise ValueError("frequency_threshold must be > 0")
         self.frequency_threshold = frequency_threshold
         self.cardinality_threshold = cardinality_threshold
         self.high_cardinality_strategy = high_cardinality_strategy

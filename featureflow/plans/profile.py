@@ -14,12 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from featureflow.operators import stats
+from featureflow.session import checkpoint_root
 
 # display ranges of the histograms in the exploratory pass (fixed values)
 DEFAULT_CLIP = {"DepDelay": (0.0, 500.0), "TaxiOut": (0.0, 150.0)}
@@ -43,7 +43,10 @@ def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], l
     if categorical:
         out["null_pct_categorical"] = stats.null_percentages(df, categorical)
         lab = label if label and label in df.columns else None
-        counts = stats.value_stats(df, categorical, lab).persist(StorageLevel.MEMORY_AND_DISK)
+        # the shared (feature, value) table is small; a reliable checkpoint in the
+        # shared folder computes it once for all the tables below
+        checkpoint_root(df.sparkSession)
+        counts = stats.value_stats(df, categorical, lab).checkpoint(eager=True)
         total = counts.filter(F.col("feature") == F.lit(categorical[0])).agg(F.sum("n")).scalar()
         out["proportions_categorical"] = counts.select(
             "feature", "value", F.col("n").alias("count"),
@@ -58,15 +61,12 @@ def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], l
                 top = stats.top_k_per_feature(counts, limited, mean_top_k).select("feature", "value")
                 rest = rest.unionByName(per_value.join(F.broadcast(top), ["feature", "value"], "left_semi"))
             out["mean_target"] = rest
-        out["_persisted"] = counts
     return out
 
 
 def write_profile(tables: dict, out_dir: str, fmt: str = "parquet") -> None:
     """One folder per table; long tables are partitioned by feature."""
     for name, df in tables.items():
-        if name.startswith("_"):
-            continue
         w = df.write.mode("overwrite")
         if "feature" in df.columns and name.startswith("proportions"):
             w = w.partitionBy("feature")
@@ -75,8 +75,3 @@ def write_profile(tables: dict, out_dir: str, fmt: str = "parquet") -> None:
         else:
             w.parquet(f"{out_dir}/{name}")
 
-
-def release(tables: dict) -> None:
-    p = tables.get("_persisted")
-    if p is not None:
-        p.unpersist()

@@ -193,6 +193,38 @@ def top_k_semi_join_mean(spark, sf):
     return m.select("p_brand", _r("avg_target", 6).alias("avg_target"))
 
 
+def top_k_semi_join(spark, sf):
+    kept = stats.top_k_rows(_base(spark, sf), "p_brand", 20)
+    return kept.select(*KEYS, "p_brand")
+
+
+def _profile_frame(spark, sf):
+    return _t(spark, sf, "lineitem").withColumn("l_tax", F.nullif(F.col("l_tax"), F.lit(0.0)))
+
+
+def profile_histograms(spark, sf):
+    return stats.histograms(_profile_frame(spark, sf), ["l_quantity", "l_discount", "l_tax"], 30,
+                            ranges={"l_discount": (0.0, 0.05)})
+
+
+def profile_proportions(spark, sf):
+    p = stats.proportions_long(_t(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"])
+    return p
+
+
+def profile_top_categories(spark, sf):
+    counts = stats.value_stats(_base(spark, sf), ["p_brand", "p_type"])
+    return stats.top_k_per_feature(counts, ["p_brand", "p_type"], 5)
+
+
+def profile_mean_target(spark, sf):
+    from featureflow.plans import profile as prof
+    t = prof.profile(_base(spark, sf), [], ["p_brand", "p_type", "l_linestatus"], LABEL,
+                     mean_top_k=10, mean_top_k_features=["p_brand"])
+    m = t["mean_target"]
+    return m.select("feature", "value", "n", _r("avg_target", 6).alias("avg_target"))
+
+
 def mean_target_by_feature(spark, sf):
     return stats.mean_by(_base(spark, sf), "p_type", LABEL).select("p_type", _r("avg_target", 6).alias("avg_target"))
 
@@ -521,6 +553,11 @@ QUERIES = {
     "top_k_categories": top_k_categories,
     "top_k_semi_join_mean": top_k_semi_join_mean,
     "mean_target_by_feature": mean_target_by_feature,
+    "top_k_semi_join": top_k_semi_join,
+    "profile_histograms": profile_histograms,
+    "profile_proportions": profile_proportions,
+    "profile_top_categories": profile_top_categories,
+    "profile_mean_target": profile_mean_target,
     "global_mean": global_mean,
     "frequent_values": frequent_values,
     "distinct_values": distinct_values,
