@@ -68,23 +68,34 @@ def _onehot(alias, width):
     return ", ".join([f"CAST({alias}.idx = {i} AS DOUBLE)" for i in range(width)] + ["0.0"])
 
 
-APPLY_PARAMS = f"""
+_TRAIN = "(CAST('0x'||substr(md5(CAST(l_orderkey AS varchar)),1,4) AS int) % 100 < 80)"
+
+
+def _apply_sql(learn_where: str = "TRUE", extra: str = "") -> str:
+    """Learned one-hot labels and brand means from the rows in ``learn_where``,
+    applied to every static row."""
+    return f"""
 WITH {STATIC},
 lab AS (SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY count(*) DESC, v) - 1 AS idx
-        FROM (SELECT 'rf' AS f, rf AS v FROM s UNION ALL SELECT 'ls', ls FROM s UNION ALL SELECT 'it', it FROM s)
+        FROM (SELECT 'rf' AS f, rf AS v FROM s WHERE {learn_where} UNION ALL SELECT 'ls', ls FROM s WHERE {learn_where}
+              UNION ALL SELECT 'it', it FROM s WHERE {learn_where})
         GROUP BY f, v),
-enc AS (SELECT br, sum(y)/count(y) AS m FROM s GROUP BY br)
+enc AS (SELECT br, sum(y)/count(y) AS m FROM s WHERE {learn_where} GROUP BY br)
 SELECT l_orderkey, l_linenumber, list_transform([
   l_quantity, l_discount, l_tax, retail_price,
   {_onehot('a', 2)}, {_onehot('b', 2)}, {_onehot('c', 6)},
   e.m,
   sin({_ang('mo', '12.0')}), sin({_ang('dd', _ML)}), sin({_ang('dw', '7.0')}),
   cos({_ang('mo', '12.0')}), cos({_ang('dd', _ML)}), cos({_ang('dw', '7.0')})
-], lambda x: round(x, 6) + 0.0) AS features
+], lambda x: round(x, 6) + 0.0) AS features{extra}
 FROM s JOIN lab a ON a.f = 'rf' AND a.v = s.rf JOIN lab b ON b.f = 'ls' AND b.v = s.ls
      JOIN lab c ON c.f = 'it' AND c.v = s.it JOIN enc e ON e.br = s.br
 """
 
+
+APPLY_PARAMS = _apply_sql()
+SPLIT_FIT_APPLY = _apply_sql(_TRAIN, f", {_TRAIN} AS is_train")
+
 ORACLE_SQL = {
     # sources / sinks: the round trip equals the source table
     "scan_project_drop": "SELECT l_orderkey,l_linenumber,l_quantity,l_extendedprice FROM lineitem",
@@ -103,6 +114,7 @@ ORACLE_SQL = {
                         "AS int) IS NOT NULL"),
     "output_projection": "SELECT * EXCLUDE (o_orderpriority) FROM orders",
     "sentinel_to_null": "SELECT o_orderkey, nullif(o_orderpriority,'4-NOT SPECIFIED') AS prio FROM orders",
+    "head_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10",
     "dataset_shape": "SELECT count(*) AS n_rows, CAST(11 AS int) AS n_columns FROM lineitem",
     "hhmm_to_minutes": "SELECT event_id, CAST(hour(ts)*60+minute(ts) AS int) AS ts_minutes FROM events",
     "cyclic_encode": (
@@ -229,6 +241,10 @@ ORACLE_SQL = {
                         "GROUP BY p_type, month(l_shipdate)"),
     "fit_params": FIT_PARAMS,
     "apply_params": APPLY_PARAMS,
+    "split_fit_apply": SPLIT_FIT_APPLY,
+    "build_feature_table": SPLIT_FIT_APPLY,
+    "fit_save_load_apply": APPLY_PARAMS,
+    "preprocess_new": f"SELECT l_orderkey, l_linenumber, features FROM ({SPLIT_FIT_APPLY}) t WHERE NOT is_train",
     "hash_split": ("SELECT o_orderkey, CAST('0x'||substr(md5(CAST(o_orderkey AS varchar)),1,4) AS int)%100 < 80 "
                    "AS is_train FROM orders"),
 }

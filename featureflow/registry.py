@@ -125,6 +125,11 @@ def sentinel_to_null(spark, sf):
     return clean.sentinels_to_null(o, ["prio"], ["4-NOT SPECIFIED"])
 
 
+def head_rows(spark, sf):
+    """T4: the first rows of a table for inspection (ordered, so repeatable)."""
+    return _t(spark, sf, "orders").orderBy("o_orderkey").limit(10)
+
+
 def dataset_shape(spark, sf):
     return stats.dataset_shape(_t(spark, sf, "lineitem"))
 
@@ -404,27 +409,46 @@ def _prepared(spark, sf):
     return _fit_exact(df).transform(df)
 
 
+def _rounded_features(df):
+    return F.transform(vector_to_array("features"), lambda x: F.round(x, 6) + F.lit(0.0)).alias("features")
+
+
 def fit_save_load_apply(spark, sf):
+    """C4/K5: fit, save through Spark's ML writer, load, apply."""
     df = _static(spark, sf)
     path = shared_path(spark, "feature_params")
-    model = feat.fit_or_load(df, presets.TPCH, path, refit=True)
-    loaded = feat.FeatureModel.load(path)
-    return loaded.transform(df).select("l_orderkey", "l_linenumber", vector_to_array("features").alias("features"))
+    feat.fit_or_load(df, presets.TPCH, path, refit=True)
+    loaded = feat.fit_or_load(df, presets.TPCH, path, refit=False)
+    return loaded.transform(df).select("l_orderkey", "l_linenumber", _rounded_features(df))
+
+
+def preprocess_new(spark, sf):
+    """Parameters learned on the training split, saved, then used to
+    preprocess the held-out rows from raw tables."""
+    li, part = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
+    train, test = sampling.hash_split(li, "l_orderkey", 0.8)
+    path = shared_path(spark, "preprocess_new")
+    feat.fit_or_load(feat.static_features(train, part, presets.TPCH), presets.TPCH, path, refit=True)
+    out = feat.preprocess_new(test, part, presets.TPCH, feat.FeatureModel.load(path))
+    return out.select("l_orderkey", "l_linenumber", _rounded_features(out))
 
 
 def split_fit_apply(spark, sf):
+    """Hash split on the order key, learn on the training rows, apply to both."""
     train, test, _ = feat.split_fit_apply(_t(spark, sf, "lineitem"), _t(spark, sf, "part"), presets.TPCH,
-                                          split_key="l_orderkey")
-    cols = ["l_orderkey", "l_linenumber", vector_to_array("features").alias("features")]
+                                          split_key="l_orderkey", relative_error=None)
+    cols = ["l_orderkey", "l_linenumber",
+            F.transform(vector_to_array("features"), lambda x: F.round(x, 6) + F.lit(0.0)).alias("features")]
     return train.select(*cols, F.lit(True).alias("is_train")).unionByName(
         test.select(*cols, F.lit(False).alias("is_train")))
 
 
 def build_feature_table(spark, sf):
+    """Split, learn, apply, write train/test Parquet once, read back."""
     out = shared_path(spark, "feature_table")
     train, test = feat.build_feature_table(_t(spark, sf, "lineitem"), _t(spark, sf, "part"), presets.TPCH, out,
                                            split_key="l_orderkey")
-    cols = ["l_orderkey", "l_linenumber", LABEL]
+    cols = ["l_orderkey", "l_linenumber", _rounded_features(train)]
     return train.select(*cols, F.lit(True).alias("is_train")).unionByName(
         test.select(*cols, F.lit(False).alias("is_train")))
 
@@ -539,6 +563,7 @@ QUERIES = {
     "output_projection": output_projection,
     "sentinel_to_null": sentinel_to_null,
     "dataset_shape": dataset_shape,
+    "head_rows": head_rows,
     "hhmm_to_minutes": hhmm_to_minutes,
     "cyclic_encode": cyclic_encode,
     # nulls
@@ -588,6 +613,7 @@ QUERIES = {
     "sample_with_replacement": sample_with_replacement,
     "sample_without_replacement": sample_without_replacement,
     "fit_save_load_apply": fit_save_load_apply,
+    "preprocess_new": preprocess_new,
     "split_fit_apply": split_fit_apply,
     "build_feature_table": build_feature_table,
     "tree_score": tree_score,
