@@ -305,15 +305,17 @@ def histograms(df: DataFrame, columns: Sequence[str], bins: int = 30, ranges: di
 def top_k_per_feature(stats_table: DataFrame, features: Sequence[str], k: int) -> DataFrame:
     """``(feature, value, n)``: the k most frequent values of each feature.
 
-    One bounded TakeOrderedAndProject per feature (k rows each), so a feature
-    with millions of values never lands in a single window partition.
+    ``row_number() <= k`` over a per-feature window: Spark plans it with a
+    WindowGroupLimit on both sides of the shuffle, so each map task forwards
+    at most k rows per feature and no task ever holds a feature's full value
+    list.  One pass over the count table for all features.
     """
-    out = None
-    for f in features:
-        part = (stats_table.filter(F.col("feature") == F.lit(f))
-                .orderBy(F.col("n").desc(), F.col("value").asc_nulls_last()).limit(k))
-        out = part if out is None else out.unionByName(part)
-    return out
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("feature").orderBy(F.col("n").desc(), F.col("value").asc_nulls_last())
+    ranked = (stats_table.filter(F.col("feature").isin(list(features)))
+              .select("feature", "value", "n", F.row_number().over(w).alias("_rn")))
+    return ranked.filter(F.col("_rn") <= k).drop("_rn")
 
 
 def dataset_shape(df: DataFrame) -> DataFrame:

@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files of small intermediate tables are removed once unused
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
