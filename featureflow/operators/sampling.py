@@ -49,7 +49,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     Only ever raises the partition count: a large input already has more
     partitions than cores and is left as it is.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - remote sessions: leave sizing to AQE
+        return df
+    return df.repartition(target) if current < target else df

@@ -130,6 +130,12 @@ class FeatureEstimator(Estimator, _StateParams, DefaultParamsReadable, DefaultPa
 
         medians = impute.learn_medians(df, quant, self.relative_error)
 
+        if not cats:
+            model = FeatureModel()
+            model._set(specJson=self.getOrDefault(self.specJson), state=json.dumps({
+                "fills": medians, "sentinel_columns": [], "frequent": {}, "kinds": {}, "labels": {},
+                "means": {}, "quantitative": quant, "calendar": []}))
+            return model
         data = impute.with_sentinels_as_null(df, cats, spec.sentinels)
         counts = stats.value_stats(data, cats, spec.label).persist(StorageLevel.MEMORY_AND_DISK)
         try:

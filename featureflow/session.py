@@ -52,17 +52,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when it is unset (local tests) do we create one and register it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="featureflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    # make RDD/DataFrame checkpoint() usable as well
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    # make DataFrame.checkpoint() usable as well
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session (None for a remote session)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions have no local context
+        return None
+
+
 def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     """A fresh path under the shared checkpoint folder (never a machine-local tmp)."""
     root = checkpoint_root(spark)
