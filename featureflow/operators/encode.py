@@ -97,9 +97,13 @@ def mean_encode(df: DataFrame, table: DataFrame, column: str, out_col: str,
 
 
 def median_default_encode(df: DataFrame, table: DataFrame, column: str, out_col: str,
-                          label: str, relative_error: float = 0.001) -> DataFrame:
-    """Lookup encoding whose default is the approximate label median."""
-    med = df.agg(F.percentile_approx(F.col(label), 0.5, stats.accuracy_for(relative_error))).scalar()
+                          label: str, relative_error: float | None = 0.001) -> DataFrame:
+    """Lookup encoding whose default is the label median (approximate with
+    ``relative_error``, exact when it is None)."""
+    if relative_error is None or relative_error <= 0:
+        med = F.lit(stats.exact_quantiles(df, [label], (0.5,))[(label, 0.5)]).cast(df.schema[label].dataType)
+    else:
+        med = df.agg(F.percentile_approx(F.col(label), 0.5, stats.accuracy_for(relative_error))).scalar()
     return mean_encode(df, table, column, out_col, default=med)
 
 

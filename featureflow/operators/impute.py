@@ -16,10 +16,14 @@ from featureflow.functions.columns import null_if_in
 from featureflow.operators import stats
 
 
-def learn_medians(df: DataFrame, columns: Sequence[str], relative_error: float = 0.025) -> dict:
-    """Approximate median per column (NULLs ignored), one aggregate."""
+def learn_medians(df: DataFrame, columns: Sequence[str], relative_error: float | None = 0.025) -> dict:
+    """Median per column (NULLs ignored): approximate with ``relative_error``
+    (one aggregate), or exact when it is None (bounded binning passes)."""
     if not columns:
         return {}
+    if relative_error is None or relative_error <= 0:
+        vals = stats.exact_quantiles(df, columns, (0.5,))
+        return {c: (None if vals[(c, 0.5)] is None else float(vals[(c, 0.5)])) for c in columns}
     acc = stats.accuracy_for(relative_error)
     row = df.agg(*[F.percentile_approx(F.col(c), 0.5, acc).alias(c) for c in columns]).first()
     return {c: (None if row[c] is None else float(row[c])) for c in columns}

@@ -10,6 +10,7 @@ subqueries or one bounded row, never a cross join.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -199,35 +200,127 @@ def null_percentages(df: DataFrame, columns: Sequence[str], decimals: int = 4) -
 # ---------------------------------------------------------------- numeric summaries
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.5,),
               relative_error: float | None = None) -> DataFrame:
-    """One row: ``<col>_q<100p>`` for every column and probability, one job."""
+    """One row: ``<col>_q<100p>`` for every column and probability.
+
+    ``relative_error`` > 0: one ``percentile_approx`` aggregate (approxQuantile
+    semantics).  ``None``: exact values from ``exact_quantiles`` (bounded
+    binning passes, no single-task sketch merge).
+    """
+    names = {(c, p): f"{c}_q{int(round(p * 100))}" for c in columns for p in probs}
+    if relative_error is None or relative_error <= 0:
+        vals = exact_quantiles(df, columns, probs)
+        types = {f.name: f.dataType for f in df.schema.fields}
+        row = df.agg(F.count(F.lit(1)).alias("_rows"))
+        return row.select(*[F.lit(vals[k]).cast(types[k[0]]).alias(n) for k, n in names.items()])
     acc = accuracy_for(relative_error)
-    out = []
-    for c in columns:
+    return df.agg(*[F.percentile_approx(F.col(c), float(p), acc).alias(n) for (c, p), n in names.items()])
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.5,),
+                    bins: int = 1024, max_passes: int = 48) -> dict:
+    """Exact quantiles (the ceil(p*n)-th smallest non-NULL value, the rank rule
+    of ``percentile_approx``) of many numeric columns, fully distributed.
+
+    Pass 0 is one aggregate of count/min/max per column.  Every further pass
+    is one scan that bins each column's rows inside the interval still open
+    for each (column, p) into ``bins`` equal-width bins: ``groupBy(target,
+    bin)`` with count/min/max, a partial aggregate that sends at most
+    ``bins`` rows per target from each task.  The bin holding the target rank
+    becomes the next interval (tightened to its own min/max); it is done when
+    min == max.  Integer-valued columns with a range under ``bins`` finish
+    after one binning pass.  Nothing but those bounded bin tables reaches the
+    driver, and no task merges more than ``bins`` rows per target.
+    """
+    cols = list(columns)
+    if not cols:
+        return {}
+    long = (df.select(*[F.col(c).cast(DoubleType()).alias(c) for c in cols])
+            .unpivot([], cols, "feature", "x").filter(F.col("x").isNotNull() & ~F.isnan("x")))
+    first = {r["feature"]: r for r in long.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
+    out, open_ = {}, {}
+    for c in cols:
+        r = first.get(c)
         for p in probs:
-            out.append(F.percentile_approx(F.col(c), float(p), acc).alias(f"{c}_q{int(round(p * 100))}"))
-    return df.agg(*out)
+            if r is None or r["n"] == 0:
+                out[(c, p)] = None
+                continue
+            rank = max(1, int(math.ceil(p * r["n"] - 1e-9)))
+            if r["lo"] == r["hi"]:
+                out[(c, p)] = r["lo"]
+            else:
+                # below = rows known to lie under lo; rank is global (1-based)
+                open_[len(open_)] = {"key": (c, p), "feature": c, "lo": r["lo"], "hi": r["hi"], "below": 0,
+                                     "rank": rank}
+    passes = 0
+    while open_ and passes < max_passes:
+        passes += 1
+        targets = [F.struct(F.lit(tid).alias("tid"), F.lit(t["feature"]).alias("feature"),
+                            F.lit(t["lo"]).alias("lo"), F.lit(t["hi"]).alias("hi"),
+                            F.lit((t["hi"] - t["lo"]) / bins).alias("w"))
+                   for tid, t in open_.items()]
+        feats = sorted({t["feature"] for t in open_.values()})
+        hit = F.filter(F.array(*targets), lambda t: (t["feature"] == F.col("feature")) & (F.col("x") >= t["lo"])
+                       & (F.col("x") <= t["hi"]))
+        rows = (long.filter(F.col("feature").isin(feats))
+                .select("x", F.explode(hit).alias("t"))
+                .select(F.col("t.tid").alias("tid"),
+                        F.least(F.lit(bins - 1), F.floor((F.col("x") - F.col("t.lo")) / F.col("t.w")).cast("int"))
+                        .alias("bin"), "x")
+                .groupBy("tid", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"),
+                                           F.max("x").alias("mx"))
+                .collect())                              # bounded: open targets x bins rows
+        by_tid = {}
+        for r in rows:
+            by_tid.setdefault(r["tid"], []).append(r)
+        for tid in list(open_):
+            t = open_[tid]
+            acc = t["below"]
+            for r in sorted(by_tid.get(tid, []), key=lambda r: r["bin"]):
+                if acc + r["n"] >= t["rank"]:
+                    if r["mn"] == r["mx"]:
+                        out[t["key"]] = r["mn"]
+                        del open_[tid]
+                    else:
+                        t.update(lo=r["mn"], hi=r["mx"], below=acc)
+                    break
+                acc += r["n"]
+    for tid, t in open_.items():                         # pathological spreads: finish approximately
+        sub = long.filter((F.col("feature") == t["feature"]) & F.col("x").between(t["lo"], t["hi"]))
+        k = t["rank"] - t["below"]
+        n = sub.count()
+        out[t["key"]] = sub.agg(F.percentile_approx("x", k / n, EXACT_ACCURACY)).first()[0]
+    return out
 
 
 def summary_stats(df: DataFrame, columns: Sequence[str], relative_error: float | None = None) -> DataFrame:
     """``(feature, n, mean, stddev, mn, p25, p50, p75, mx)`` per numeric column.
 
     One aggregate over all columns, then the single row is turned long.
-    Quartiles are percentile_approx (exact up to n/accuracy ranks).
+    Quartiles are exact (``relative_error=None``, bounded binning passes) or
+    percentile_approx with the given relative error.
     """
+    exact = relative_error is None or relative_error <= 0
+    qs = exact_quantiles(df, columns, (0.25, 0.5, 0.75)) if exact else None
     acc = accuracy_for(relative_error)
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"),
                  F.stddev_samp(x).alias(f"sd{i}"), F.min(x).cast(DoubleType()).alias(f"mn{i}"),
-                 F.percentile_approx(x, [0.25, 0.5, 0.75], acc).alias(f"q{i}"),
                  F.max(x).cast(DoubleType()).alias(f"mx{i}")]
+        if not exact:
+            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], acc).alias(f"q{i}"))
     row = df.agg(*aggs)
+
+    def q(i, c, j, p):
+        if exact:
+            return F.lit(qs[(c, p)]).cast(DoubleType())
+        return F.col(f"q{i}")[j].cast(DoubleType())
+
     rows = [F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"mean{i}").alias("mean"),
                      F.col(f"sd{i}").alias("stddev"), F.col(f"mn{i}").alias("mn"),
-                     F.col(f"q{i}")[0].cast(DoubleType()).alias("p25"),
-                     F.col(f"q{i}")[1].cast(DoubleType()).alias("p50"),
-                     F.col(f"q{i}")[2].cast(DoubleType()).alias("p75"),
+                     q(i, c, 0, 0.25).alias("p25"), q(i, c, 1, 0.5).alias("p50"), q(i, c, 2, 0.75).alias("p75"),
                      F.col(f"mx{i}").alias("mx"))
             for i, c in enumerate(columns)]
     return row.select(F.inline(F.array(*rows)))

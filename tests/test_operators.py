@@ -188,3 +188,27 @@ def test_constant_column_scales_to_zero(spark):
     v = VectorAssembler(inputCols=["x"], outputCol="v").transform(df)
     z = StandardScaler(inputCol="v", outputCol="z", withMean=True, withStd=True).fit(v).transform(v)
     assert [r[0] for r in z.select(vector_to_array("z")[0]).collect()] == [0.0, 0.0, 0.0]
+
+
+def test_exact_quantiles_brute_force(spark, sf):
+    import math
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    cols = ["l_quantity", "l_extendedprice", "l_discount"]
+    probs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    got = stats.exact_quantiles(li, cols, probs, bins=16)
+    rows = li.select(cols).collect()
+    for c in cols:
+        v = sorted(r[c] for r in rows)
+        for p in probs:
+            assert got[(c, p)] == v[max(1, math.ceil(p * len(v))) - 1]
+
+
+def test_exact_quantiles_wide_spread_and_nulls(spark):
+    import math
+    vals = [float(2.0 ** i) for i in range(-200, 200)]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,), (float("nan"),)], "x double")
+    got = stats.exact_quantiles(df, ["x"], [0.1, 0.5, 0.9], bins=8)
+    for p in (0.1, 0.5, 0.9):
+        assert got[("x", p)] == vals[math.ceil(p * len(vals)) - 1]
+    const = spark.createDataFrame([(3.0,)] * 5, "x double")
+    assert stats.exact_quantiles(const, ["x"], [0.5])[("x", 0.5)] == 3.0
