@@ -20,9 +20,9 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType
 
-from featureflow.functions.columns import bucket_rare, lookup, null_if_in
+from featureflow.functions.columns import lookup
 from featureflow.functions.time import cyclic_pair, month_length
 from featureflow.operators import clean, encode, impute, stats
 from featureflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension
@@ -149,22 +149,26 @@ class FeatureEstimator(Estimator, _StateParams, DefaultParamsReadable, DefaultPa
                 F.sum("n").alias("n"), F.sum("label_n").alias("label_n"), F.sum("label_sum").alias("label_sum"))
             total = filled.filter(F.col("feature") == F.lit(cats[0])).agg(F.sum("n")).scalar() if cats else None
             frequent = {c: [] for c in nominal}
+            rows = []
             if nominal:
-                freq_rows = (filled.filter(F.col("feature").isin(nominal) & F.col("value").isNotNull()
-                                           & (F.col("n").cast(DoubleType()) / total > F.lit(self.frequency_threshold)))
-                             .select("feature", "value").collect())
-                for r in freq_rows:
-                    frequent[r["feature"]].append(r["value"])
+                # one grouped collect gives both the frequent lists and the
+                # bucketed stats: bounded by features * (1/threshold + 1) rows
+                is_freq = F.col("value").isNotNull() & (
+                    F.col("n").cast(DoubleType()) / total > F.lit(self.frequency_threshold))
+                bucket = (F.when(F.col("value").isNull(), F.lit(None))
+                          .when(F.col("_freq"), F.col("value")).otherwise(F.lit(encode.OTHER)))
+                rows = (filled.filter(F.col("feature").isin(nominal)).withColumn("_freq", is_freq)
+                        .groupBy("feature", bucket.alias("value"))
+                        .agg(F.sum("n").alias("n"), F.sum("label_n").alias("label_n"),
+                             F.sum("label_sum").alias("label_sum"), F.max(F.col("_freq").cast("int")).alias("_freq"))
+                        .collect())
+                for r in rows:
+                    if r["_freq"] and r["value"] is not None:
+                        frequent[r["feature"]].append(r["value"])
                 frequent = {k: sorted(v) for k, v in frequent.items()}
             kinds = encode.encoder_choice(frequent, self.cardinality_threshold, self.high_cardinality_strategy)
             labels, means = {}, {}
             if nominal:
-                bucketed = (filled.filter(F.col("feature").isin(nominal))
-                            .withColumn("value", bucket_rare_by_feature(frequent))
-                            .groupBy("feature", "value")
-                            .agg(F.sum("n").alias("n"), F.sum("label_n").alias("label_n"),
-                                 F.sum("label_sum").alias("label_sum")))
-                rows = bucketed.collect()          # bounded: <= features * (1/threshold + 1)
                 glob = {}
                 for r in rows:
                     f = r["feature"]
@@ -200,16 +204,6 @@ class FeatureEstimator(Estimator, _StateParams, DefaultParamsReadable, DefaultPa
         return model
 
 
-def bucket_rare_by_feature(frequent: dict):
-    """Bucketing inside the long count table: per feature its own keep list."""
-    expr = None
-    for f, keep in frequent.items():
-        branch = bucket_rare(F.col("value"), keep)
-        cond = F.col("feature") == F.lit(f)
-        expr = F.when(cond, branch) if expr is None else expr.when(cond, branch)
-    return expr if expr is not None else F.col("value")
-
-
 class FeatureModel(Model, _StateParams, DefaultParamsReadable, DefaultParamsWritable):
     """Applies learned parameters; the row count never changes."""
 
