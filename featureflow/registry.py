@@ -373,14 +373,16 @@ def static_features(spark, sf):
                     _r("month_cos", 9).alias("month_cos"), _r("month_sin", 9).alias("month_sin"))
 
 
-def _fit_exact(df):
+def _fit(df, relative_error=0.025):
+    """The reference's fit parameters; ``relative_error=None`` gives exact medians
+    (used where the medians themselves are compared)."""
     return feat.FeatureEstimator(presets.TPCH, frequency_threshold=0.02, cardinality_threshold=10,
-                                 high_cardinality_strategy="mean", relative_error=None).fit(df)
+                                 high_cardinality_strategy="mean", relative_error=relative_error).fit(df)
 
 
 def fit_params(spark, sf):
     """All learned parameters as a long table ``(feature, stat, value, num)``."""
-    m = _fit_exact(_static(spark, sf))
+    m = _fit(_static(spark, sf), relative_error=None)
     st = m.params_dict
     rows = []
     for c in st["quantitative"]:
@@ -399,14 +401,14 @@ def fit_params(spark, sf):
 
 def apply_params(spark, sf):
     df = _static(spark, sf)
-    out = _fit_exact(df).transform(df)
+    out = _fit(df).transform(df)
     return out.select("l_orderkey", "l_linenumber",
                       F.transform(vector_to_array("features"), lambda x: F.round(x, 6) + F.lit(0.0)).alias("features"))
 
 
 def _prepared(spark, sf):
     df = _static(spark, sf)
-    return _fit_exact(df).transform(df)
+    return _fit(df).transform(df)
 
 
 def _rounded_features(df):
@@ -436,7 +438,7 @@ def preprocess_new(spark, sf):
 def split_fit_apply(spark, sf):
     """Hash split on the order key, learn on the training rows, apply to both."""
     train, test, _ = feat.split_fit_apply(_t(spark, sf, "lineitem"), _t(spark, sf, "part"), presets.TPCH,
-                                          split_key="l_orderkey", relative_error=None)
+                                          split_key="l_orderkey")
     cols = ["l_orderkey", "l_linenumber",
             F.transform(vector_to_array("features"), lambda x: F.round(x, 6) + F.lit(0.0)).alias("features")]
     return train.select(*cols, F.lit(True).alias("is_train")).unionByName(
