@@ -162,18 +162,40 @@ def score(df: DataFrame, model: PipelineModel | str, label: str | None, output_p
 
 def score_all_models(spark: SparkSession, models_dir: str, df: DataFrame, label: str,
                      output_dir: str | None = None) -> DataFrame:
-    """Score every saved model under ``models_dir``: ``(model, rmse, mae, r2)``."""
-    out = None
-    for name in list_dirs(spark, models_dir):
-        path = f"{models_dir}/{name}"
-        if not _is_pipeline_model(spark, path):
-            continue
-        _, metrics = score(df, path, label, f"{output_dir}/{name}_pred.csv" if output_dir else None)
-        part = metrics.select(F.lit(name).alias("model"), "rmse", "mae", "r2")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    """Score every saved model under ``models_dir``: ``(model, rmse, mae, r2)``.
+
+    Model transforms are row-wise, so all models are chained over the same
+    rows (each prediction renamed) and the metrics of every model come from
+    ONE aggregate: one scan of ``df`` however many models there are.
+    Prediction CSVs, when asked for, are one write per model.
+    """
+    names = [n for n in list_dirs(spark, models_dir) if _is_pipeline_model(spark, f"{models_dir}/{n}")]
+    if not names:
         return spark.createDataFrame([], "model string, rmse double, mae double, r2 double")
-    return out
+    base_cols = list(df.columns)
+    scored = df
+    for i, name in enumerate(names):
+        scored = PipelineModel.load(f"{models_dir}/{name}").transform(scored)
+        scored = scored.withColumnRenamed("prediction", f"_pred{i}")
+        # drop the stage outputs (scaledFeatures ...) so the next model adds its own
+        scored = scored.select(*base_cols, *[f"_pred{j}" for j in range(i + 1)])
+    y = F.col(label).cast(DoubleType())
+    aggs = [(F.var_pop(y) * F.count(y)).alias("_sst")]
+    for i in range(len(names)):
+        e = y - F.col(f"_pred{i}").cast(DoubleType())
+        aggs += [F.sqrt(F.avg(e * e)).alias(f"rmse{i}"), F.avg(F.abs(e)).alias(f"mae{i}"),
+                 F.sum(e * e).alias(f"sse{i}")]
+    row = scored.agg(*aggs)
+    metrics = row.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("model"), F.col(f"rmse{i}").alias("rmse"), F.col(f"mae{i}").alias("mae"),
+                 (F.lit(1.0) - F.col(f"sse{i}") / F.col("_sst")).alias("r2"))
+        for i, name in enumerate(names)])))
+    if output_dir:
+        out_cols = [c for c in base_cols if "_" not in c and c not in ("features", "scaledFeatures")]
+        for i, name in enumerate(names):
+            (scored.select(*out_cols, F.col(f"_pred{i}").alias("prediction"))
+             .write.mode("overwrite").option("header", True).csv(f"{output_dir}/{name}_pred.csv"))
+    return metrics
 
 
 def _is_pipeline_model(spark: SparkSession, path: str) -> bool:

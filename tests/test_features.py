@@ -77,3 +77,23 @@ def test_best_param_kept_in_retrained_model(spark, sf):
     lr = models["Linear_Regression"].stages[-1]
     assert lr.getOrDefault("regParam") in (0.1, 0.3)
     assert metrics.first()["best_value"] == lr.getOrDefault("regParam")
+
+
+def test_score_all_models_one_pass_equals_each(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    df = feat.static_features(li, part, presets.TPCH)
+    data = feat.FeatureEstimator(presets.TPCH).fit(df).transform(df)
+    root = shared_path(spark, "test_models")
+    for fam, p, v in [("Linear_Regression", "regParam", 0.1), ("Decision_Tree", "maxDepth", 3)]:
+        mdl.retrain_best(data, fam, "l_extendedprice", p, v).write().overwrite().save(f"{root}/retrained_{fam}")
+    together = {r.model: r for r in mdl.score_all_models(spark, root, data, "l_extendedprice").collect()}
+    assert set(together) == {"retrained_Linear_Regression", "retrained_Decision_Tree"}
+    for name, r in together.items():
+        _, m = mdl.score(data, f"{root}/{name}", "l_extendedprice")
+        one = m.first()
+        for k in ("rmse", "mae", "r2"):
+            assert abs(one[k] - r[k]) < 1e-9 * max(1.0, abs(one[k]))
+    # a saved model scores the same after a reload
+    loaded, _ = mdl.score(data, f"{root}/retrained_Linear_Regression", "l_extendedprice")
+    assert loaded.count() == data.count()
