@@ -5,9 +5,11 @@ DataFrames (charts themselves are not rendered): shape, null shares,
 summary statistics, value proportions, top-k categories, histograms,
 mean label per category and the correlation matrix.
 
-Categorical work shares ONE ``(feature, value)`` count/label-sum pass;
-numeric work is one aggregate for the summary, one for the ranges and one
-unpivot for all histograms.
+Numeric work is ONE aggregate (null counts, summary statistics, zero-filled
+correlations and histogram ranges together; its single row is checkpointed)
+plus one unpivot for all histograms and one for the value proportions.
+Categorical work is ONE ``(feature, value)`` count/label-sum pass; null
+shares, proportions, top-k and mean labels are all read from it.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from featureflow.functions.columns import is_missing
 from featureflow.operators import stats
 from featureflow.session import checkpoint_root
 
@@ -34,20 +37,29 @@ def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], l
     categorical = [c for c in categorical if c in df.columns]
     out = {"shape": stats.dataset_shape(df)}
     if numeric:
-        out["null_pct_numeric"] = stats.null_percentages(df, numeric)
-        out["summary_numeric"] = stats.summary_stats(df, numeric, relative_error)
-        out["histograms"] = stats.histograms(df, numeric, bins, {k: v for k, v in (clip or DEFAULT_CLIP).items()
-                                                                if k in numeric})
-        out["correlation"] = stats.corr_matrix(df, numeric, zero_fill=True)
+        row, ranges = _numeric_overview(df, numeric, relative_error)
+        out["shape"] = row.select(F.col("_total").alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"))
+        out["null_pct_numeric"] = row.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("feature"),
+                     F.round(F.col(f"null{i}").cast(DoubleType()) * 100.0 / F.col("_total"), 4).alias("pct"))
+            for i, c in enumerate(numeric)]))).orderBy(F.col("pct").desc(), F.col("feature"))
+        out["summary_numeric"] = _summary_from(row, df, numeric, relative_error)
+        out["correlation"] = _corr_from(row, numeric)
+        clipped = {k: v for k, v in (clip or DEFAULT_CLIP).items() if k in numeric}
+        out["histograms"] = stats.histograms(df, numeric, bins, {**ranges, **clipped})
         out["proportions_numeric"] = stats.proportions_long(df, numeric)
     if categorical:
-        out["null_pct_categorical"] = stats.null_percentages(df, categorical)
         lab = label if label and label in df.columns else None
         # the shared (feature, value) table is small; a reliable checkpoint in the
         # shared folder computes it once for all the tables below
         checkpoint_root(df.sparkSession)
         counts = stats.value_stats(df, categorical, lab).checkpoint(eager=True)
         total = counts.filter(F.col("feature") == F.lit(categorical[0])).agg(F.sum("n")).scalar()
+        out["null_pct_categorical"] = (
+            counts.groupBy("feature")
+            .agg(F.round(F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(F.lit(0))).cast(DoubleType())
+                         * 100.0 / total, 4).alias("pct"))
+            .orderBy(F.col("pct").desc(), F.col("feature")))
         out["proportions_categorical"] = counts.select(
             "feature", "value", F.col("n").alias("count"),
             F.round(F.col("n").cast(DoubleType()) * 100.0 / total, 2).alias("proportion"))
@@ -64,6 +76,60 @@ def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], l
     return out
 
 
+def _numeric_overview(df: DataFrame, cols: Sequence[str], relative_error: float | None):
+    """One aggregate over all numeric columns, checkpointed (one row).
+
+    Returns the row DataFrame and ``{column: (min, max)}`` for the histograms.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    approx = relative_error is not None and relative_error > 0
+    aggs = [F.count(F.lit(1)).alias("_total")]
+    for i, c in enumerate(cols):
+        x = F.col(c)
+        aggs += [F.count(x).alias(f"n{i}"), F.count(F.when(is_missing(c, types.get(c)), 1)).alias(f"null{i}"),
+                 F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"sd{i}"),
+                 F.min(x).cast(DoubleType()).alias(f"mn{i}"), F.max(x).cast(DoubleType()).alias(f"mx{i}")]
+        if approx:
+            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], stats.accuracy_for(relative_error))
+                        .alias(f"q{i}"))
+    zero = {c: F.nanvl(F.coalesce(F.col(c).cast(DoubleType()), F.lit(0.0)), F.lit(0.0)) for c in cols}
+    for i, a in enumerate(cols):
+        for j in range(i, len(cols)):
+            aggs.append(F.corr(zero[a], zero[cols[j]]).alias(f"c{i}_{j}"))
+    checkpoint_root(df.sparkSession)
+    row = df.agg(*aggs).checkpoint(eager=True)
+    r = row.first()
+    ranges = {c: (r[f"mn{i}"], r[f"mx{i}"]) for i, c in enumerate(cols) if r[f"mn{i}"] is not None}
+    return row, ranges
+
+
+def _summary_from(row: DataFrame, df: DataFrame, cols: Sequence[str], relative_error: float | None) -> DataFrame:
+    approx = relative_error is not None and relative_error > 0
+    qs = None if approx else stats.exact_quantiles(df, cols, (0.25, 0.5, 0.75))
+
+    def q(i, c, j, p):
+        return F.col(f"q{i}")[j].cast(DoubleType()) if approx else F.lit(qs[(c, p)]).cast(DoubleType())
+
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"mean{i}").alias("mean"),
+                 F.col(f"sd{i}").alias("stddev"), F.col(f"mn{i}").alias("mn"), q(i, c, 0, 0.25).alias("p25"),
+                 q(i, c, 1, 0.5).alias("p50"), q(i, c, 2, 0.75).alias("p75"), F.col(f"mx{i}").alias("mx"))
+        for i, c in enumerate(cols)])))
+
+
+def _corr_from(row: DataFrame, cols: Sequence[str]) -> DataFrame:
+    structs = []
+    for i, a in enumerate(cols):
+        for j in range(i, len(cols)):
+            b = cols[j]
+            structs.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                                    F.col(f"c{i}_{j}").alias("corr")))
+            if a != b:
+                structs.append(F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"),
+                                        F.col(f"c{i}_{j}").alias("corr")))
+    return row.select(F.inline(F.array(*structs)))
+
+
 def write_profile(tables: dict, out_dir: str, fmt: str = "parquet") -> None:
     """One folder per table; long tables are partitioned by feature."""
     for name, df in tables.items():

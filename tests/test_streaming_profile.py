@@ -41,3 +41,22 @@ def test_profile_tables(spark, sf):
     single = {r.bin: r.n for r in stats.histogram(df, "l_quantity", 30).collect()}
     assert h == single
     prof.write_profile(t, shared_path(spark, "profile-out"), "csv")
+
+
+def test_profile_numeric_tables_equal_single_operators(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").withColumn("l_tax", F.nullif(F.col("l_tax"), F.lit(0.0)))
+    cols = ["l_quantity", "l_discount", "l_tax"]
+    t = prof.profile(li, cols, [], relative_error=None)
+    a = {r.feature: r.pct for r in t["null_pct_numeric"].collect()}
+    b = {r.feature: r.pct for r in stats.null_percentages(li, cols).collect()}
+    assert a == b
+    s1 = sorted(tuple(r) for r in t["summary_numeric"].collect())
+    s2 = sorted(tuple(r) for r in stats.summary_stats(li, cols).collect())
+    assert len(s1) == len(s2)
+    for x, y in zip(s1, s2):
+        assert x[0] == y[0] and x[1] == y[1] and x[4:] == y[4:]
+        assert abs(x[2] - y[2]) < 1e-9 and abs(x[3] - y[3]) < 1e-9
+    c1 = {(r.feature_a, r.feature_b): r.corr for r in t["correlation"].collect()}
+    c2 = {(r.feature_a, r.feature_b): r.corr for r in stats.corr_matrix(li, cols).collect()}
+    assert c1.keys() == c2.keys() and all(abs(c1[k] - c2[k]) < 1e-9 for k in c1)
+    assert t["shape"].first()["n_rows"] == li.count()
