@@ -57,3 +57,24 @@ def test_ansi_bad_text_cast_is_null(spark):
     from featureflow.operators.clean import try_cast_columns
     df = spark.createDataFrame([("NA",), ("12",)], "x string")
     assert [r[0] for r in try_cast_columns(df, ["x"], "int").collect()] == [None, 12]
+
+
+def test_hhmm_and_cyclic_properties_random(spark):
+    """Random clock values and calendar values against plain arithmetic."""
+    import random
+    rng = random.Random(11)
+    rows = [(rng.randint(0, 23) * 100 + rng.randint(0, 59), rng.randint(1, 12), rng.randint(1, 28))
+            for _ in range(2000)]
+    df = spark.createDataFrame(rows, "t int, m int, d int")
+    mc, ms = cyclic_pair("m", 12)
+    dc, ds = cyclic_pair("d", month_length("m"))
+    got = df.select("t", "m", "d", hhmm_to_minutes("t").alias("mins"),
+                    hhmm_to_minutes(F.col("t").cast("string")).alias("mins_text"),
+                    mc.alias("mc"), ms.alias("ms"), dc.alias("dc"), ds.alias("ds")).collect()
+    lengths = {2: 28, 4: 30, 6: 30, 9: 30, 11: 30}
+    for r in got:
+        assert r.mins == r.mins_text == (r.t // 100) * 60 + r.t % 100
+        assert abs(r.mc - math.cos(r.m / 12 * 2 * math.pi)) < 1e-12
+        assert abs(r.ms ** 2 + r.mc ** 2 - 1) < 1e-12
+        n = lengths.get(r.m, 31)
+        assert abs(r.ds - math.sin(r.d / n * 2 * math.pi)) < 1e-12 and abs(r.dc ** 2 + r.ds ** 2 - 1) < 1e-12
