@@ -232,6 +232,17 @@ ORACLE_SQL = {
                            "FROM lineitem, m) SELECT round(sqrt(avg((y-yh)*(y-yh))),4)+0.0 AS rmse, "
                            "round(avg(abs(y-yh)),4)+0.0 AS mae, round(1-sum((y-yh)*(y-yh))/(var_pop(y)*count(*)),9)+0.0 "
                            "AS r2 FROM p"),
+    "model_roundtrip_ols": ("SELECT l_orderkey,l_linenumber,l_partkey, round(s*l_quantity+i,4)+0.0 AS prediction "
+                            "FROM lineitem, (SELECT regr_slope(l_extendedprice,l_quantity) AS s, "
+                            "regr_intercept(l_extendedprice,l_quantity) AS i FROM lineitem) m"),
+    "score_and_write_ols": ("SELECT l_orderkey,l_linenumber,l_partkey, round(s*l_quantity+i,4)+0.0 AS prediction "
+                            "FROM lineitem, (SELECT regr_slope(l_extendedprice,l_quantity) AS s, "
+                            "regr_intercept(l_extendedprice,l_quantity) AS i FROM lineitem) m"),
+    "score_all_models_ols": ("WITH m AS (SELECT regr_slope(l_extendedprice,l_quantity) AS s, regr_intercept(l_extendedprice,"
+                             "l_quantity) AS i FROM lineitem), p AS (SELECT l_extendedprice AS y, s*l_quantity+i AS yh "
+                             "FROM lineitem, m) SELECT 'retrained_ols' AS model, round(sqrt(avg((y-yh)*(y-yh))),4)+0.0 AS rmse, "
+                             "round(avg(abs(y-yh)),4)+0.0 AS mae, round(1-sum((y-yh)*(y-yh))/(var_pop(y)*count(*)),9)+0.0 "
+                             "AS r2 FROM p"),
     # composite
     "static_features": ("SELECT p_type AS item_type, CAST(month(l_shipdate) AS INTEGER) AS month, count(*) AS n, "
                         "round(avg(l_extendedprice),6)+0.0 AS avg_target, "

@@ -539,6 +539,48 @@ def model_roundtrip(spark, sf):
     return pred.select("l_orderkey", "l_linenumber", "prediction")
 
 
+def _saved_ols(spark, sf, name="retrained_ols"):
+    """A one-feature OLS pipeline (assembler -> scaler -> regParam 0), saved.
+
+    Without regularisation the predictions do not depend on the scaling, so
+    they equal SQL's regr_slope / regr_intercept: the saved-model operators
+    below get an exact oracle.
+    """
+    from pyspark.ml import Pipeline
+    li = _t(spark, sf, "lineitem").select(*KEYS, "l_quantity", LABEL)
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=["l_quantity"], outputCol="features"),
+                            StandardScaler(inputCol="features", outputCol="scaledFeatures", withMean=True, withStd=True),
+                            LinearRegression(featuresCol="scaledFeatures", labelCol=LABEL, regParam=0.0,
+                                             solver="normal")])
+    root = shared_path(spark, "ols_models")
+    pipe.fit(li).write().overwrite().save(f"{root}/{name}")
+    return li, root
+
+
+def model_roundtrip_ols(spark, sf):
+    """K6: save, load, predict."""
+    li, root = _saved_ols(spark, sf)
+    pred, _ = mdl.score(li, f"{root}/retrained_ols", LABEL)
+    return pred.select(*KEYS, _r("prediction", 4).alias("prediction"))
+
+
+def score_and_write_ols(spark, sf):
+    """Score with a saved model, write the projected CSV, read it back."""
+    li, root = _saved_ols(spark, sf)
+    out = shared_path(spark, "ols_predictions")
+    mdl.score(li, f"{root}/retrained_ols", LABEL, out, output_columns=KEYS)
+    schema = "l_orderkey bigint, l_linenumber int, l_partkey bigint, prediction double"
+    back = spark.read.option("header", True).schema(schema).csv(out)
+    return back.select(*KEYS, _r("prediction", 4).alias("prediction"))
+
+
+def score_all_models_ols(spark, sf):
+    """Every saved model in a folder scored, metrics in one aggregate."""
+    li, root = _saved_ols(spark, sf)
+    m = mdl.score_all_models(spark, root, li, LABEL)
+    return m.select("model", _r("rmse", 4).alias("rmse"), _r("mae", 4).alias("mae"), _r("r2", 9).alias("r2"))
+
+
 def train_and_predict(spark, sf):
     """Feature table -> model selection (linear family) -> score the test rows."""
     root = shared_path(spark, "train_and_predict")
@@ -624,6 +666,9 @@ QUERIES = {
     "retrain_best": retrain_best,
     "model_roundtrip": model_roundtrip,
     "score_all_models": score_all_models,
+    "model_roundtrip_ols": model_roundtrip_ols,
+    "score_and_write_ols": score_and_write_ols,
+    "score_all_models_ols": score_all_models_ols,
     "score_and_write": score_and_write,
     "model_comparison": model_comparison,
     "train_and_predict": train_and_predict,
