@@ -56,8 +56,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        # spark.checkpoint.dir is a static setting: register the folder with
+        # the context instead (tests and local runs only)
         root = tempfile.mkdtemp(prefix="featureflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     # make DataFrame.checkpoint() usable as well
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

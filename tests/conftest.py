@@ -15,8 +15,8 @@ def spark():
     from featureflow.session import get_session
     s = get_session(app="featureflow-tests", master="local[4]", shuffle_partitions=4)
     # tests own their checkpoint folder only when the session names none
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ff-test-ckpt-"))
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ff-test-ckpt-"))
     yield s
 
 
