@@ -77,3 +77,16 @@ def test_cli_build_train_score(spark, raw):
                 f"{out}/params", "--model", f"{out}/models/retrained_Linear_Regression", "--out", f"{out}/pred"])
     pred = spark.read.option("header", True).csv(f"{out}/pred")
     assert "prediction" in pred.columns and "Origin" in pred.columns and pred.count() > 0
+
+
+def test_cli_profile(spark, raw):
+    from featureflow.jobs import profile
+    out = shared_path(spark, "flights-profile")
+    profile.main(["--raw_flights", f"{raw}/flights_csv", "--raw_plane", f"{raw}/planes_csv", "--out", out,
+                  "--format", "parquet"])
+    props = spark.read.parquet(f"{out}/proportions_categorical")
+    assert "feature" in props.columns and props.select("feature").distinct().count() >= 6
+    hist = spark.read.parquet(f"{out}/histograms")
+    assert hist.filter(F.col("feature") == "DepDelay").agg(F.max("bin")).first()[0] <= 30
+    mean = spark.read.parquet(f"{out}/mean_target")
+    assert mean.filter(F.col("feature") == "Origin").count() <= 20
