@@ -206,6 +206,8 @@ ORACLE_SQL = {
     # encoders
     "rare_to_other": f"WITH {BASE}, {FREQ} SELECT brand_agg,count(*) AS n FROM agg GROUP BY brand_agg",
     "mean_encode_fit": f"WITH {BASE}, {FREQ} SELECT brand_agg, round(avg(l_extendedprice),6)+0.0 AS mean_enc FROM agg GROUP BY brand_agg",
+    "lookup_table_roundtrip": (f"WITH {BASE}, {FREQ} SELECT brand_agg, round(avg(l_extendedprice),6)+0.0 AS mean_enc "
+                               "FROM agg GROUP BY brand_agg"),
     "mean_encode_apply": (f"WITH {BASE}, {FREQ}, enc AS (SELECT brand_agg,avg(l_extendedprice) AS mean_enc FROM agg "
                           "GROUP BY brand_agg) SELECT l_orderkey,l_linenumber,l_partkey, round(mean_enc,6)+0.0 AS mean_enc "
                           "FROM agg LEFT JOIN enc USING (brand_agg)"),

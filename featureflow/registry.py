@@ -288,6 +288,16 @@ def mean_encode_fit(spark, sf):
     return t.select("brand_agg", _r("mean_enc", 6).alias("mean_enc"))
 
 
+def lookup_table_roundtrip(spark, sf):
+    """A learned (key -> mean) table written as CSV with a header and
+    read back with its schema, as the encoder files are."""
+    t = encode.mean_target_table(_bucketed(spark, sf), "brand_agg", LABEL, "mean_enc")
+    path = shared_path(spark, "lookup_table")
+    io.write_csv(t, path)
+    back = io.read_csv(spark, path, schema=t.schema)
+    return back.select("brand_agg", _r("mean_enc", 6).alias("mean_enc"))
+
+
 def mean_encode_apply(spark, sf):
     data = _bucketed(spark, sf)
     table = encode.mean_target_table(data, "brand_agg", LABEL, "mean_enc")
@@ -639,6 +649,7 @@ QUERIES = {
     "rare_to_other": rare_to_other,
     "mean_encode_fit": mean_encode_fit,
     "mean_encode_apply": mean_encode_apply,
+    "lookup_table_roundtrip": lookup_table_roundtrip,
     "mean_encode_median_default": mean_encode_median_default,
     "encoder_choice": encoder_choice,
     "string_index": string_index,
