@@ -212,3 +212,28 @@ def test_exact_quantiles_wide_spread_and_nulls(spark):
         assert got[("x", p)] == vals[math.ceil(p * len(vals)) - 1]
     const = spark.createDataFrame([(3.0,)] * 5, "x double")
     assert stats.exact_quantiles(const, ["x"], [0.5])[("x", 0.5)] == 3.0
+
+
+def test_modes_and_frequent_values_brute_force(spark):
+    """Random categories (text and numbers, with NULLs) against plain Python."""
+    import random
+    from collections import Counter
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", "c", "d", None]), rng.choice([3, 10, 2, 7, None]), float(rng.randint(0, 4)))
+            for _ in range(3000)]
+    df = spark.createDataFrame(rows, "s string, k int, y double")
+    got = {r.feature: r.value for r in stats.modes(df, ["s", "k"]).collect()}
+    for i, name in enumerate(["s", "k"]):
+        counts = Counter(str(r[i]) for r in rows if r[i] is not None)
+        top = max(counts.values())
+        cands = [v for v, c in counts.items() if c == top]
+        expect = min(cands, key=float) if name == "k" else min(cands)
+        assert got[name] == expect
+    freq = {(r.feature, r.value): r.frequency for r in stats.frequent_values(df, ["s", "k"], 0.19).collect()}
+    n = len(rows)
+    for i, name in enumerate(["s", "k"]):
+        counts = Counter(str(r[i]) for r in rows if r[i] is not None)
+        expect = {v for v, c in counts.items() if c / n > 0.19}
+        assert {v for (f, v) in freq if f == name} == expect
+        for v in expect:
+            assert abs(freq[(name, v)] - counts[v] / n) < 1e-12
