@@ -237,3 +237,16 @@ def test_modes_and_frequent_values_brute_force(spark):
         assert {v for (f, v) in freq if f == name} == expect
         for v in expect:
             assert abs(freq[(name, v)] - counts[v] / n) < 1e-12
+
+
+def test_broadcast_bounds_and_lookup_paths_agree(spark):
+    df = spark.range(0, 1000).withColumn("k", (F.col("id") % 7).cast("string"))
+    table = spark.createDataFrame([(str(i), float(i) * 1.5) for i in range(5)], "k string, m double")
+    assert joins.has_at_most(table, 5) and not joins.has_at_most(table, 4)
+    small = encode.mean_encode(df, table, "k", "m", default=-1.0, bound=5)          # broadcast by bound
+    checked = encode.mean_encode(df, table, "k", "m", default=-1.0)                # broadcast after the check
+    big = df.join(joins.maybe_broadcast(table, max_rows=2), "k", "left").withColumn(
+        "m", F.coalesce(F.col("m"), F.lit(-1.0)))                                    # over the limit: shuffle join
+    key = lambda d: sorted((r.id, r.m) for r in d.select("id", "m").collect())      # noqa: E731
+    assert key(small) == key(checked) == key(big)
+    assert dict(key(small))[6] == -1.0 and dict(key(small))[3] == 4.5
