@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm.common import table
+from featureflow.llm import langid, quality
+from featureflow.llm.common import crc_mod, table
 from featureflow.llm.minhash import near_duplicates
 
 
@@ -15,8 +16,26 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, crc_mod("doc_id", 5) != 0)
+    return langid.predict(docs, model).select(
+        F.col("id").alias("doc_id"), F.coalesce(crc_mod("id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred",
+        "score", "rejected")
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
+    return quality.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op7_language_id": op7_language_id,
+    "op8_quality_classifier": op8_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {}
