@@ -28,6 +28,8 @@ HALF = 128                        # chunks are two halves long and start every h
 WIDTH = 7                         # bytes a filter sees
 FILTERS = 12
 EMBED = 8
+SEGMENT = HALF << 10              # bytes convolved at a time
+SHORT = 0.3                       # share of training steps that see a short piece of a text only
 SAMPLE_PER_CLASS = 1500           # labelled rows of each class learnt from (expected number)
 CHUNKS_PER_STEP = 12              # chunks of a document used in one training step
 
@@ -42,54 +44,93 @@ class QualityModel:
     intercept: float
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Probability of each text ``data[offsets[i]:offsets[i + 1]]``."""
+        """Probability of each text ``data[offsets[i]:offsets[i + 1]]``.
+
+        Runs of short texts are convolved together; a text over a segment long
+        is taken segment by segment, whose chunks join without a gap.
+        """
         n = len(offsets) - 1
-        z = np.full(n, self.intercept)
-        sizes = np.diff(offsets) - WIDTH + 1
-        full = np.flatnonzero(sizes > 0)
-        if len(full):
-            m = len(data) - WIDTH + 1
-            conv = self.tables[0][data[:m]]
-            for j in range(1, WIDTH):
-                conv += self.tables[j][data[j:j + m]]
-            halves = -(-sizes[full] // HALF)
-            first = np.concatenate([[0], np.cumsum(halves)])
-            low = np.repeat(offsets[:-1][full], halves)
-            low = low + HALF * (np.arange(first[-1]) - np.repeat(first[:-1], halves))
-            high = np.minimum(low + HALF, np.repeat(offsets[:-1][full] + sizes[full], halves))
-            cuts = np.stack([low, high], axis=1).ravel()
-            if cuts[-1] >= m:
-                cuts = cuts[:-1]
-            most = np.maximum.reduceat(conv, cuts, axis=0)[::2]
-            follows = np.ones(len(most), dtype=bool)
-            follows[first[1:] - 1] = False
-            pair = most.copy()
-            at = np.flatnonzero(follows)
-            pair[at] = np.maximum(most[at], most[at + 1])
-            alone = halves == 1
-            keep = follows.copy()
-            keep[first[:-1][alone]] = True
-            pooled = np.maximum(pair[keep] + self.bias, 0)
-            number = np.where(alone, 1, halves - 1)
-            begins = np.concatenate([[0], np.cumsum(number)[:-1]])
-            mean = np.add.reduceat(pooled, begins, axis=0) / number[:, None]
-            top = np.maximum.reduceat(pooled, begins, axis=0)
-            z[full] += np.concatenate([mean, top], axis=1) @ self.out
+        total, number = np.zeros((n, FILTERS)), np.zeros(n)
+        top = np.zeros((n, FILTERS))
+        i = 0
+        while i < n:
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SEGMENT, side="right")) - 1)
+            if j > i + 1 or offsets[j] - offsets[i] <= SEGMENT:
+                part = self._pooled(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                total[i:j], number[i:j], top[i:j] = part
+            else:
+                size = int(offsets[j] - offsets[i])
+                halves = -(-(size - WIDTH + 1) // HALF)
+                for h in range(0, halves - 1, SEGMENT // HALF):
+                    low = int(offsets[i]) + h * HALF
+                    high = min(int(offsets[j]), low + SEGMENT + HALF + WIDTH - 1)
+                    s, c, t = self._pooled(data[low:high], np.array([0, high - low]))
+                    total[i] += s[0]
+                    number[i] += c[0]
+                    top[i] = np.maximum(top[i], t[0])
+            i = j
+        mean = total / np.maximum(number, 1)[:, None]
+        z = np.concatenate([mean, top], axis=1) @ self.out + self.intercept
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
-
-def _pieces(data: np.ndarray, rng) -> np.ndarray:
-    """(k, 2 * HALF) byte matrix of at most CHUNKS_PER_STEP of the text's overlapping chunks; short texts are padded."""
+    def _pooled(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sum, number and maximum of the pooled chunks of each text."""
+        n = len(offsets) - 1
+        total, top, number = np.zeros((n, FILTERS)), np.zeros((n, FILTERS)), np.zeros(n)
+        sizes = np.diff(offsets) - WIDTH + 1
+        full = np.flatnonzero(sizes > 0)
+        if not len(full):
+            return total, number, top
+        m = len(data) - WIDTH + 1
+        conv = self.tables[0][data[:m]]
+        for j in range(1, WIDTH):
+            conv += self.tables[j][data[j:j + m]]
+        halves = -(-sizes[full] // HALF)
+        first = np.concatenate([[0], np.cumsum(halves)])
+        low = np.repeat(offsets[:-1][full], halves)
+        low = low + HALF * (np.arange(first[-1]) - np.repeat(first[:-1], halves))
+        high = np.minimum(low + HALF, np.repeat(offsets[:-1][full] + sizes[full], halves))
+        cuts = np.stack([low, high], axis=1).ravel()
+        if cuts[-1] >= m:
+            cuts = cuts[:-1]
+        most = np.maximum.reduceat(conv, cuts, axis=0)[::2]
+        follows = np.ones(len(most), dtype=bool)
+        follows[first[1:] - 1] = False
+        pair = most.copy()
+        at = np.flatnonzero(follows)
+        pair[at] = np.maximum(most[at], most[at + 1])
+        alone = halves == 1
+        follows[first[:-1][alone]] = True
+        pooled = np.maximum(pair[follows] + self.bias, 0)
+        number[full] = np.where(alone, 1, halves - 1)
+        begins = np.concatenate([[0], np.cumsum(number[full].astype(np.int64))[:-1]])
+        total[full] = np.add.reduceat(pooled, begins, axis=0)
+        top[full] = np.maximum.reduceat(pooled, begins, axis=0)
+        return total, number, top
+
+
+def _pieces(data: np.ndarray, rng) -> tuple[np.ndarray, int]:
+    """(k, 2 * HALF) bytes of at most CHUNKS_PER_STEP of the text's overlapping chunks, and the bytes in use.
+
+    Now and then a short piece between two spaces stands for the text, so that
+    short texts are judged by what they hold and not by their length.
+    """
     size = 2 * HALF
+    if len(data) > 20 and rng.random() < SHORT:
+        gaps = np.flatnonzero(data[:-1] == 32)
+        if len(gaps) > 2:
+            at = int(gaps[rng.integers(0, len(gaps))]) + 1
+            stop = gaps[gaps > at + int(rng.integers(8, 160))]
+            data = data[at:int(stop[0]) if len(stop) else len(data)]
     if len(data) <= size:
-        return np.pad(data, (0, size - len(data)))[None, :]
+        return np.pad(data, (0, size - len(data)))[None, :], max(len(data), WIDTH)
     starts = np.arange(0, len(data) - HALF, HALF)
     if len(starts) > CHUNKS_PER_STEP:
         starts = rng.choice(starts, CHUNKS_PER_STEP, replace=False)
-    return np.stack([data[s:s + size] if s + size <= len(data) else data[-size:] for s in starts])
+    return np.stack([data[s:s + size] if s + size <= len(data) else data[-size:] for s in starts]), size
 
 
-def fit(texts: list[str], labels: list[int], prior: float, epochs: int = 4, least_steps: int = 600,
+def fit(texts: list[str], labels: list[int], prior: float, epochs: int = 4, least_steps: int = 700,
         seed: int = 11) -> QualityModel:
     """Train on the given rows (labels 0 and 1); ``prior`` is the share of label 1 where the model is used.
 
@@ -113,7 +154,8 @@ def fit(texts: list[str], labels: list[int], prior: float, epochs: int = 4, leas
         for k in range(0, len(order), 16):
             own = order[k:k + 16]
             mats = [_pieces(data[i], rng) for i in own]
-            lengths = [min(len(data[i]), 2 * HALF) for i in own]
+            lengths = [seen for _, seen in mats]
+            mats = [x for x, _ in mats]
             rows = np.concatenate(mats)
             counts = np.array([len(m) for m in mats])
             begins = np.concatenate([[0], np.cumsum(counts)[:-1]])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import langid, quality
+from featureflow.llm import langid, quality, substring
 from featureflow.llm.common import crc_mod, table
 from featureflow.llm.minhash import near_duplicates
 
@@ -16,6 +16,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(table(spark, sf_dir, "documents"), window=35).withColumnRenamed("id", "doc_id")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs, crc_mod("doc_id", 5) != 0)
@@ -34,6 +38,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op7_language_id": op7_language_id,
     "op8_quality_classifier": op8_quality_classifier,
 }
