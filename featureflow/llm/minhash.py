@@ -3,8 +3,9 @@
 Two fixed permutations of the 2**32 shingle universe generate every signature
 coordinate: sigma scatters the shingles once, and coordinate k is the minimum
 of pi over the scattered values shifted circularly by k.  Coordinates are
-banded (16 bands of 4: a pair at similarity 0.85 is missed with probability
-7e-6, one at 0.9 with 4e-8) and every link is confirmed on the full sets.
+banded (bands of 4, as many as leave a pair at the threshold without a common
+band with probability 1e-5: 16 at 0.85, 22 at 0.8) and every link is confirmed
+on the full sets.
 
 Groups of copies never meet in one task and never become all pairs:
 
@@ -22,6 +23,7 @@ in step 3, so no confirmed link is lost whatever the bucket's size.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,8 @@ from featureflow.llm.common import cut, stored
 from featureflow.llm.components import connected_components
 from featureflow.llm.words import Words, chunks, flat_shingles, mix64
 
-BANDS, ROWS = 16, 4
+ROWS = 4                          # coordinates of a band
+MISS = 1e-5                       # chance that a pair exactly at the threshold shares no band
 BLOCK_SHINGLES = 200_000          # shingles of a block of one star: bounds a task's group
 MAX_BROADCAST_IDS = 500_000       # ids (8 bytes each) that may be broadcast
 
@@ -167,7 +170,7 @@ def _of(ids: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                    percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+                    percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: (id, n_shingles, component_id).
 
     Words are runs of non-white-space, A-Z lower-cased; a document's set holds
@@ -180,6 +183,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are one node (their links are joined).  Other columns are not read, so
     their names cannot clash.  An empty table gives an empty result.
     """
+    rows, bands = ROWS, math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** ROWS))
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sigs = stored(docs.mapInArrow(_signature_rows(width, bands, rows),
                                   "id long, n long, d1 long, d2 long, keys array<long>"), "minhash-signatures")

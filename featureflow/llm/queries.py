@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import langid, quality, substring
+from featureflow.llm import langid, mixing, quality, substring
 from featureflow.llm.common import crc_mod, table
+from featureflow.llm.decontaminate import contained_items
 from featureflow.llm.minhash import near_duplicates
+from featureflow.llm.oracle import ORACLE_SQL  # noqa: F401 - registered with the queries
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +22,15 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(table(spark, sf_dir, "documents"), window=35).withColumnRenamed("id", "doc_id")
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op6_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), entropy=0.95).withColumnRenamed("id", "doc_id")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs, crc_mod("doc_id", 5) != 0)
@@ -39,8 +50,8 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_mixing_sources": op6_mixing_sources,
     "op7_language_id": op7_language_id,
     "op8_quality_classifier": op8_quality_classifier,
 }
-
-ORACLE_SQL: dict[str, str] = {}
