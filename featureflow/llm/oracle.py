@@ -85,9 +85,33 @@ SELECT id AS doc_id, source, tokens, unnest(range(0, n)) AS epoch, block, place,
 
 OP6 = _mixing(0.95)
 
+OP4 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v))
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 10"""
+
+# base32 of the 40 hex digits of SHA-1: five bits at a time
+OP10 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS hex FROM p),
+b AS (SELECT page_id, payload_bytes, hex, array_to_string(list_transform(range(0, 4), lambda k:
+        array_to_string(list_transform(range(0, 8), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+          ((('0x' || substr(hex, k * 10 + 1, 10))::BIGINT >> (35 - 5 * j)) & 31)::INT + 1, 1)), '')), '') AS payload_digest
+      FROM d),
+f AS (SELECT hex, min(page_id) AS first FROM d GROUP BY hex)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to FROM b JOIN f USING (hex)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": OP1,
     "op3_substring_dedup": OP3,
+    "op4_exact_top_k": OP4,
     "op5_benchmark_decontamination": OP5,
     "op6_mixing_sources": OP6,
+    "op10_warc": OP10,
 }

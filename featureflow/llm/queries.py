@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import langid, mixing, quality, substring
+from featureflow.llm import langid, mixing, quality, substring, topk, warc
 from featureflow.llm.common import crc_mod, table
 from featureflow.llm.decontaminate import contained_items
 from featureflow.llm.minhash import near_duplicates
 from featureflow.llm.oracle import ORACLE_SQL  # noqa: F401 - registered with the queries
+from featureflow.session import shared_path
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(table(spark, sf_dir, "documents"), window=35).withColumnRenamed("id", "doc_id")
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10, scale=1024.0)
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")
@@ -47,11 +52,20 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                                    "refers_to")
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_mixing_sources": op6_mixing_sources,
     "op7_language_id": op7_language_id,
     "op8_quality_classifier": op8_quality_classifier,
+    "op10_warc": op10_warc,
 }
