@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import langid, mixing, quality, substring, topk, warc
+from featureflow.llm import html, langid, mixing, quality, substring, topk, warc
 from featureflow.llm.common import crc_mod, table
 from featureflow.llm.decontaminate import contained_items
 from featureflow.llm.minhash import near_duplicates
@@ -19,6 +19,12 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = html.main_text(pages, html.train(pages))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(table(spark, sf_dir, "documents"), window=35).withColumnRenamed("id", "doc_id")
 
@@ -61,6 +67,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_html_extraction": op2_html_extraction,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
