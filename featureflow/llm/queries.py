@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import html, langid, mixing, quality, substring, topk, warc
+from featureflow.llm import html, langid, lm, mixing, quality, substring, topk, warc
 from featureflow.llm.common import crc_mod, table
 from featureflow.llm.decontaminate import contained_items
 from featureflow.llm.minhash import near_duplicates
@@ -58,6 +58,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2).withColumnRenamed("id", "doc_id")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
@@ -74,5 +78,6 @@ QUERIES = {
     "op6_mixing_sources": op6_mixing_sources,
     "op7_language_id": op7_language_id,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_warc": op10_warc,
 }
