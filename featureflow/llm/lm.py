@@ -11,8 +11,8 @@ windows: each scores SCORED tokens once and sees CONTEXT tokens before them.
 
 Everything that is gathered grows with the corpus and is gathered by Spark:
 
-* one pass over the training texts counts words and subwords and keeps every
-  ``RATE``-th window; partial counts are summed by grouped aggregates;
+* one pass over the training texts counts words and subwords and keeps the
+  windows of every ``RATE``-th text (by a hash of its words); partial counts are summed by grouped aggregates;
 * the network starts from the corpus' subword shares and is trained by
   stochastic gradient descent on the kept windows: in every round each task
   trains a copy on its windows and the copies are averaged by parameter (a
@@ -38,13 +38,14 @@ from featureflow.llm.words import Words, chunks, mix64
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # fixed value: the pre-token pattern the vocabulary was built with
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CONTEXT, SCORED = 32, 32
+CONTEXT, SCORED = 16, 32
 WINDOW = CONTEXT + SCORED
-DIM, INNER = 24, 48
-CLASSES, MEMBERS = 32, 48
-RATE = 16                         # one window in so many is trained on
+LEAD = -(-CONTEXT // SCORED) * SCORED
+DIM, INNER = 16, 32
+CLASSES, MEMBERS = 32, 32
+RATE = 32                         # one text in so many is trained on
 ROUNDS = 3                        # parameter averages
-LEAST_STEPS = 60                  # steps (of BATCH windows) a copy makes in a round at least
+LEAST_STEPS = 240                 # steps (of BATCH windows) a copy makes in a round at least
 BATCH = 32
 WINDOWS_PER_COPY = 8192           # windows a copy is trained on (expected number)
 KNOWN_WORDS = 500_000             # word counts (16 bytes each) broadcast at most
@@ -65,41 +66,51 @@ class Subwords:
         self.coder = tiktoken.Encoding("subwords", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.end = max(ranks.values()) + 1
         self.start = self.end + 1
-        self.known: dict[int, list[int]] = {}
+        self.opens = np.zeros(self.end, dtype=bool)
+        self.opens[[i for b, i in ranks.items() if b[0] == 0x20]] = True
+
+    def words(self, w: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the given words of a batch, each as if it followed a space, and where each word's ids begin.
+
+        All are coded as one text: words hold no space, so an id that opens
+        with a space opens a word.
+        """
+        if not len(which):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        size = w.end[which] - w.start[which] + 1
+        stop = np.cumsum(size)
+        text = w.data[np.minimum(np.repeat(w.start[which] - 1 - (stop - size), size) + np.arange(stop[-1]),
+                                 len(w.data) - 1)]
+        text[stop - size] = 0x20
+        ids = np.array(self.coder.encode_ordinary(text.tobytes().decode("utf-8")), dtype=np.int64)
+        return ids, np.flatnonzero(self.opens[ids])
 
     def stream(self, w: Words, h: np.ndarray):
         """Ids of all documents of a batch, each with a start and an end token, and the documents' bounds."""
         uniq, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        encode, known = self.coder.encode_ordinary, self.known
-        if len(known) > 200_000:
-            known.clear()
-        ids = []
-        for key, i in zip(uniq.tolist(), first.tolist(), strict=True):
-            one = known.get(key)
-            if one is None:
-                one = known[key] = encode(" " + w.data[w.start[i]:w.end[i]].tobytes().decode("utf-8"))
-            ids.append(one)
-        ids += [[self.start], [self.end]]
+        flat, offset = self.words(w, first)
+        lengths = np.diff(np.append(offset, len(flat)))
+        assert len(lengths) == len(uniq)
+        flat = np.append(flat, [self.start, self.end])
+        lengths = np.append(lengths, [1, 1])
+        offset = np.append(offset, [len(flat) - 2, len(flat) - 1])
         n = len(w.bounds) - 1
         docs = np.insert(inverse, np.stack([w.bounds[:-1], w.bounds[1:]], axis=1).ravel(),
                          np.tile([len(uniq), len(uniq) + 1], n))
         bounds = w.bounds + 2 * np.arange(n + 1)
-        lengths = np.array([len(x) for x in ids])
-        flat = np.fromiter((x for one in ids for x in one), dtype=np.int32, count=int(lengths.sum()))
-        offset = np.cumsum(lengths) - lengths
         size = lengths[docs]
         ends = np.concatenate([[0], np.cumsum(size)])
         out = flat[np.repeat(offset[docs] - ends[:-1], size) + np.arange(ends[-1])]
         return out, ends[bounds], (uniq, first, inverse)
 
 
-def windows(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First predicted position of every window, its document, and the windows' bounds per document."""
+def windows(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First scored input of every window, and its document."""
     predictions = np.diff(bounds) - 1
     number = -(-predictions // SCORED)
     edge = np.concatenate([[0], np.cumsum(number)])
     doc = np.repeat(np.arange(len(number)), number)
-    return bounds[:-1][doc] + SCORED * (np.arange(edge[-1]) - edge[:-1][doc]), doc, edge
+    return bounds[:-1][doc] + SCORED * (np.arange(edge[-1]) - edge[:-1][doc]), doc
 
 
 def gather(stream: np.ndarray, bounds: np.ndarray, at: np.ndarray, doc: np.ndarray, pad: int) -> np.ndarray:
@@ -112,6 +123,16 @@ def gather(stream: np.ndarray, bounds: np.ndarray, at: np.ndarray, doc: np.ndarr
 _DISTANCE = (CONTEXT + np.arange(SCORED))[:, None] - np.arange(WINDOW)[None, :]
 
 
+def _longest(x: np.ndarray, axis: int) -> float:
+    """The largest norm along ``axis``."""
+    return float(np.sqrt((x * x).sum(axis=axis).max(initial=0)))
+
+
+def _held(z: np.ndarray, bound: float) -> np.ndarray:
+    """``z`` with its values held below what exp can take; no pass over it when a bound shows that they are."""
+    return np.minimum(z, 80, out=z) if bound > 80 else z
+
+
 class Attention:
     """The network; ``params`` are float32 arrays by name, ``place`` maps subwords to outputs."""
 
@@ -169,31 +190,88 @@ class Attention:
         m = np.maximum(h @ p["w1"] + p["b1"], 0)
         return e, q, k, v, s, c, h, m, h + m @ p["w2"]
 
-    def log_probabilities(self, ids: np.ndarray) -> np.ndarray:
-        """(windows, SCORED) natural logs of the targets' probabilities; 0 where there is no target."""
+    def _target_logs(self, g: np.ndarray, y: np.ndarray, raw: np.ndarray) -> np.ndarray:
+        """Natural logs of the probabilities of outputs ``y`` (raw ids ``raw``) given the last layer ``g``."""
         p = self.params
-        x, target = self.place[ids[:, :-1]], ids[:, CONTEXT + 1:]
-        scored = target != PAD
-        out = np.zeros(target.shape)
-        g = self._attend(x, scored)[-1]
-        y = self.place[target[scored]]
         group = np.minimum(y // MEMBERS, CLASSES)
-        z = g @ p["group"] + p["group0"]
-        top = z.max(axis=1)
-        logp = z[np.arange(len(y)), group] - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
-        logp = logp + self.tail[target[scored]]
+        ones = np.ones(max(CLASSES + 1, MEMBERS), np.float32)
+        longest = np.sqrt((g * g).sum(axis=1).max(initial=0))
+        z = _held(g @ p["group"] + p["group0"], longest * _longest(p["group"], 0) + np.abs(p["group0"]).max())
+        logp = z[np.arange(len(y)), group] + self.tail[raw]
+        norm = np.exp(z) @ ones[:CLASSES + 1]
         order = np.argsort(group, kind="stable")
         edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
+        sorted_g, member = g[order], y[order] % MEMBERS
+        inner, inner_norm = np.zeros(len(y), np.float32), np.ones(len(y), np.float32)
+        bound = longest * _longest(p["member"], 1) + np.abs(p["member0"]).max()
         for c in range(CLASSES):
-            rows = order[edges[c]:edges[c + 1]]
-            if len(rows):
-                z = g[rows] @ p["member"][c] + p["member0"][c]
-                top = z.max(axis=1)
-                logp[rows] += z[np.arange(len(rows)), y[rows] % MEMBERS] - top - np.log(
-                    np.exp(z - top[:, None]).sum(axis=1))
-        out[scored] = logp
+            own = slice(edges[c], edges[c + 1])
+            z = _held(sorted_g[own] @ p["member"][c] + p["member0"][c], bound)
+            inner[own] = z[np.arange(len(z)), member[own]]
+            inner_norm[own] = np.exp(z, out=z) @ ones[:MEMBERS]
+        logp[order] += inner - np.log(inner_norm)
+        return logp - np.log(norm)
+
+    def log_probabilities(self, ids: np.ndarray) -> np.ndarray:
+        """(windows, SCORED) natural logs of the targets' probabilities; 0 where there is no target."""
+        target = ids[:, CONTEXT + 1:]
+        scored = target != PAD
+        out = np.zeros(target.shape)
+        g = self._attend(self.place[ids[:, :-1]], scored)[-1]
+        out[scored] = self._target_logs(g, self.place[target[scored]], target[scored])
         return out
 
+    def document_scores(self, stream: np.ndarray, bounds: np.ndarray, at_once: int = 128) -> np.ndarray:
+        """Sum of the logs of every document's tokens after its start token.
+
+        Documents are laid out one after the other, each behind LEAD empty
+        places and filled up to whole windows, so that all overlapping windows
+        are one strided view and keys and values are computed once a token.
+        """
+        p = self.params
+        predictions = np.diff(bounds) - 1
+        number = -(-predictions // SCORED)
+        begin = np.concatenate([[0], np.cumsum(LEAD + number * SCORED)])
+        laid = np.full(begin[-1] + 1, PAD, dtype=np.int64)
+        doc = np.repeat(np.arange(len(number)), predictions + 1)
+        laid[np.arange(len(stream)) - bounds[:-1][doc] + (begin[:-1] + LEAD)[doc]] = stream
+        total = np.zeros(len(number))
+        # one more token than inputs stands where the next document's empty places begin: it is only a target
+        inputs, targets = laid[:-1].copy(), laid[1:].copy()
+        last = begin[:-1] + LEAD + predictions
+        inputs[last[last < len(inputs)]] = PAD
+        targets[begin[:-1] + LEAD - 1] = PAD
+        owner = np.repeat(np.arange(len(number)), LEAD + number * SCORED)
+        bias = np.where(_DISTANCE >= 0, p["rel"][np.maximum(_DISTANCE, 0)], np.float32(-1e9))
+        for low in range(0, len(inputs) - LEAD, at_once * SCORED):
+            part = slice(low, min(len(inputs), low + LEAD + at_once * SCORED))
+            x = self.place[inputs[part]]
+            e = p["embed"][x]
+            k = e @ p["k"]
+            v = np.empty((len(x), DIM + 1), np.float32)
+            v[:, :DIM] = e @ p["v"]
+            v[:, DIM] = 1
+            v[inputs[part] == PAD] = 0                     # empty places have no part in any sum
+            own = e[LEAD:]
+            n = len(own) // SCORED
+            q = (own @ (p["q"] * np.float32(DIM ** -0.5))).reshape(n, SCORED, DIM)
+            view = np.lib.stride_tricks.as_strided
+            keys = view(k[LEAD - CONTEXT:], (n, WINDOW, DIM), (SCORED * k.strides[0], *k.strides))
+            values = view(v[LEAD - CONTEXT:], (n, WINDOW, DIM + 1), (SCORED * v.strides[0], *v.strides))
+            s = q @ keys.transpose(0, 2, 1)
+            s += bias
+            np.exp(_held(s, _longest(q, 2) * _longest(k, 1) + np.abs(p["rel"]).max()), out=s)
+            c = (s @ values).reshape(-1, DIM + 1)
+            wanted = targets[part][LEAD:]
+            live = np.flatnonzero(wanted != PAD)
+            c = c[live]
+            h = own[live] + (c[:, :DIM] / c[:, DIM:]) @ p["o"]
+            g = h + np.maximum(h @ p["w1"] + p["b1"], 0) @ p["w2"]
+            raw = wanted[live]
+            logs = self._target_logs(g, self.place[raw], raw)
+            total += np.bincount(owner[part][LEAD:][live], weights=logs, minlength=len(total))
+        return total
+
     def gradients(self, ids: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the mean negative log probability of the targets of a batch of windows."""
         p = self.params
@@ -279,21 +357,25 @@ def _counting(ranks):
         coder = Subwords(ranks)
         pieces = np.zeros(coder.start + 1, dtype=np.int64)
         for batch in batches:
-            for part in chunks(batch, "text", 4 << 20):
+            for part in chunks(batch, "text", 8 << 20):
                 w = Words(part.column("text"), lower=True)
                 h = w.hashes()
-                stream, bounds, (uniq, _, inverse) = coder.stream(w, h)
-                pieces += np.bincount(stream, minlength=len(pieces))
-                yield rows(0, np.append(uniq, END_WORD).view(np.int64),
-                           np.append(np.bincount(inverse, minlength=len(uniq)), part.num_rows))
-                at, doc, edge = windows(bounds)
+                uniq, first, times = np.unique(h, return_index=True, return_counts=True)
+                ids, begin = coder.words(w, first)
+                lengths = np.diff(np.append(begin, len(ids)))
+                pieces += np.bincount(ids, weights=np.repeat(times, lengths), minlength=len(pieces)).astype(np.int64)
+                pieces[coder.end] += part.num_rows
+                yield rows(0, np.append(uniq, END_WORD).view(np.int64), np.append(times, part.num_rows))
                 sums = np.concatenate([[np.uint64(0)], np.cumsum(h, dtype=np.uint64)])
-                own = (sums[w.bounds[1:]] - sums[w.bounds[:-1]])[doc]
-                kept = np.flatnonzero(mix64(own + (np.arange(len(at)) - edge[doc]).astype(np.uint64))
-                                      % np.uint64(RATE) == 0)
-                if len(kept):
-                    ids = gather(stream, bounds, at[kept], doc[kept], PAD).astype(np.uint16)
-                    yield rows(2, np.zeros(len(kept)), np.ones(len(kept)), [x.tobytes() for x in ids])
+                key = mix64(sums[w.bounds[1:]] - sums[w.bounds[:-1]])
+                drawn = np.flatnonzero(key % np.uint64(RATE) == 0)
+                if len(drawn):
+                    some = Words(part.column("text").take(pa.array(drawn)), lower=True)
+                    stream, bounds, _ = coder.stream(some, some.hashes())
+                    at, doc = windows(bounds)
+                    for k in range(0, len(at), 4096):
+                        kept = gather(stream, bounds, at[k:k + 4096], doc[k:k + 4096], PAD).astype(np.uint16)
+                        yield rows(2, np.zeros(len(kept)), np.ones(len(kept)), [x.tobytes() for x in kept])
         used = np.flatnonzero(pieces)
         used = used[used != coder.start]
         yield rows(1, used, pieces[used])
@@ -332,7 +414,7 @@ def train(gathered: DataFrame, subwords: int) -> Attention:
     kept = stored(kept.repartition(copies, F.xxhash64("ids")), "lm-windows")
     for r in range(ROUNDS):
         mean = (kept.repartition(copies, F.xxhash64("ids", F.lit(r)))
-                .mapInArrow(_copy(model, 0.02 / (1 + r) ** 1.5, r), "i int, v double, w double")
+                .mapInArrow(_copy(model, 0.03 / 3 ** r, r), "i int, v double, w double")
                 .groupBy("i").agg((F.sum("v") / F.sum("w")).alias("v")).toArrow())
         flat = np.empty(mean.num_rows)
         flat[mean.column("i").to_numpy()] = mean.column("v").to_numpy()
@@ -366,12 +448,7 @@ def _scoring(ranks, model: Attention, keys: np.ndarray, counts: np.ndarray):
                 w = Words(part.column("text"), lower=True)
                 h = w.hashes()
                 stream, bounds, (uniq, _, inverse) = coder.stream(w, h)
-                at, doc, edge = windows(bounds)
-                score = np.zeros(part.num_rows)
-                for k in range(0, len(at), 256):
-                    own = slice(k, k + 256)
-                    logp = model.log_probabilities(gather(stream, bounds, at[own], doc[own], PAD))
-                    score += np.bincount(doc[own], weights=logp.sum(axis=1), minlength=len(score))
+                score = model.document_scores(stream, bounds)
                 place = np.minimum(np.searchsorted(keys, uniq), max(len(keys) - 1, 0))
                 common = keys[place] == uniq if len(keys) else np.zeros(len(uniq), bool)
                 per_word = np.where(common, logs[place], 0) if len(keys) else np.zeros(len(uniq))
