@@ -12,7 +12,7 @@ windows: each scores SCORED tokens once and sees CONTEXT tokens before them.
 Everything that is gathered grows with the corpus and is gathered by Spark:
 
 * one pass over the training texts counts words and subwords and keeps the
-  windows of every ``RATE``-th text (by a hash of its words); partial counts are summed by grouped aggregates;
+  windows of one text in ``RATE`` (by a hash of its words), or of more in a small corpus; partial counts are summed by grouped aggregates;
 * the network starts from the corpus' subword shares and is trained by
   stochastic gradient descent on the kept windows: in every round each task
   trains a copy on its windows and the copies are averaged by parameter (a
@@ -43,11 +43,12 @@ WINDOW = CONTEXT + SCORED
 LEAD = -(-CONTEXT // SCORED) * SCORED
 DIM, INNER = 16, 32
 CLASSES, MEMBERS = 32, 32
-RATE = 32                         # one text in so many is trained on
+RATE = 32                         # one text in so many is trained on,
+LEAST_TEXTS = 4000                # but about this many at least (all, if there are fewer)
 ROUNDS = 3                        # parameter averages
 LEAST_STEPS = 240                 # steps (of BATCH windows) a copy makes in a round at least
 BATCH = 32
-WINDOWS_PER_COPY = 8192           # windows a copy is trained on (expected number)
+WINDOWS_PER_COPY = 16384          # windows a copy is trained on (expected number)
 KNOWN_WORDS = 500_000             # word counts (16 bytes each) broadcast at most
 END_WORD = np.uint64(0x454E44)    # the end token among word hashes
 PAD = 0xFFFF
@@ -344,7 +345,7 @@ class Attention:
 
 
 # ---------------------------------------------------------------- Spark passes
-def _counting(ranks):
+def _counting(ranks, share: float):
     """Rows (kind, key, n, ids): 0 word hash and count, 1 subword and count, 2 a kept window."""
 
     def rows(kind, key, n, ids=None):
@@ -368,7 +369,7 @@ def _counting(ranks):
                 yield rows(0, np.append(uniq, END_WORD).view(np.int64), np.append(times, part.num_rows))
                 sums = np.concatenate([[np.uint64(0)], np.cumsum(h, dtype=np.uint64)])
                 key = mix64(sums[w.bounds[1:]] - sums[w.bounds[:-1]])
-                drawn = np.flatnonzero(key % np.uint64(RATE) == 0)
+                drawn = np.flatnonzero((key >> np.uint64(32)) < np.uint64(int(share * (1 << 32))))
                 if len(drawn):
                     some = Words(part.column("text").take(pa.array(drawn)), lower=True)
                     stream, bounds, _ = coder.stream(some, some.hashes())
@@ -484,8 +485,9 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     """
     ranks = read_ranks(tokenizer)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), held_out.alias("held"))
+    share = min(1.0, max(1 / RATE, LEAST_TEXTS / max(1, docs.count())))
     gathered = stored(rows.filter("NOT held").select("text").mapInArrow(
-        _counting(ranks), "kind int, key long, n long, ids binary"), "lm-gathered")
+        _counting(ranks, share), "kind int, key long, n long, ids binary"), "lm-gathered")
     counts = stored(gathered.filter("kind = 0").groupBy("key").agg(F.sum("n").alias("c")).filter("c > 0"), "lm-words")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"),
                        F.coalesce(F.sum(F.when(F.col("key") == int(END_WORD), F.col("c"))), F.lit(0)).alias("end")).first()
