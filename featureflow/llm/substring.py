@@ -270,8 +270,9 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     """(key, low, high): runs of starts of repeated windows, for ``docs`` with columns key and text."""
     rows = docs.filter("text IS NOT NULL").mapInArrow(
         _passage_rows(window), "anchor long, seq long, key long, low int, high int")
-    common = (rows.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("seq") != F.max("seq")).alias("differ"))
-              .filter("n > 1").select("anchor", "differ"))
+    # stored, so that the join below has plain shuffles on both sides, whose hot partitions Spark splits
+    common = stored(rows.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("seq") != F.max("seq")).alias("differ"))
+                    .filter("n > 1").select("anchor", "differ"), "substring-anchors")
     found = stored(rows.join(common, "anchor"), "substring-passages")
     spans = ["key", "low", "high"]
     equal = found.filter("NOT differ").select(*spans)
