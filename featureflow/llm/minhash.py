@@ -149,7 +149,8 @@ def _compare(asking: DataFrame, members: DataFrame, sets: DataFrame, percent: in
     def blocks(df, name):
         return df.groupBy("hub").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias(name))
 
-    sizes = blocks(asking, "qs").join(blocks(members, "ms"), "hub")
+    # stored, so that Spark can split a hot hub in the joins below
+    sizes = stored(blocks(asking, "qs").join(blocks(members, "ms"), "hub"), "minhash-blocks")
 
     def place(df, own, other, flag):
         count, reach = F.col(own), F.sequence(F.lit(0), F.col(other) - 1)
