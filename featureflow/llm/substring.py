@@ -17,7 +17,9 @@ form one passage.  Then
    by anchor into shards of a bounded number of words; each task builds its
    shard's generalised suffix automaton with weighted occurrence counts and
    streams the shard's passages through it: a window is repeated when the
-   state of its last ``window`` words occurs more than once;
+   state of its last ``window`` words occurs more than once.  Only windows
+   that turn out to occur once leave the task: all others of the passages
+   that passed step 1 are repeated, so nothing is joined back;
 4. an anchor with more than ``HOT_PASSAGES`` distinct passages would make a
    shard too large; the windows of its passages are counted by hash instead
    (grouped counts, exact as well, no group in one task).
@@ -220,7 +222,7 @@ def _runs(starts: list[int]) -> list[tuple[int, int]]:
 
 
 def _shard(window: int):
-    """Repeated windows (key, low, high) of the passages that occur once, by one shard's automaton."""
+    """Runs (key, low, high) of windows that occur once, of the passages that occur once, by one shard's automaton."""
 
     def run(table: pa.Table) -> pa.Table:
         words = [np.frombuffer(x, dtype=np.int64) for x in table.column("words").to_pylist()]
@@ -236,8 +238,9 @@ def _shard(window: int):
         rows = []
         for seq, n, key, low in zip(sequences, copies, keys, lows, strict=True):
             if n == 1:
-                rows += [(key, low + a, low + b)
-                         for a, b in _runs([e - window for e in auto.repeated(seq, window)])]
+                twice = {e - window for e in auto.repeated(seq, window)}
+                alone = [k for k in range(len(seq) - window + 1) if k not in twice]
+                rows += [(key, low + a, low + b) for a, b in _runs(alone)]
         return pa.table({"key": pa.array([r[0] for r in rows], pa.int64()),
                          "low": pa.array([r[1] for r in rows], pa.int32()),
                          "high": pa.array([r[2] for r in rows], pa.int32())})
@@ -267,21 +270,21 @@ def _window_rows(window: int):
 
 
 def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
-    """(key, low, high): runs of starts of repeated windows, for ``docs`` with columns key and text."""
+    """(key, low, high, repeated) for ``docs`` with columns key and text.
+
+    Runs of window starts that are repeated (TRUE), except for those that lie
+    in a run that is not (FALSE).
+    """
     rows = docs.filter("text IS NOT NULL").mapInArrow(
         _passage_rows(window), "anchor long, seq long, key long, low int, high int")
     # stored, so that the join below has plain shuffles on both sides, whose hot partitions Spark splits
     common = stored(rows.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("seq") != F.max("seq")).alias("differ"))
                     .filter("n > 1").select("anchor", "differ"), "substring-anchors")
     found = stored(rows.join(common, "anchor"), "substring-passages")
-    spans = ["key", "low", "high"]
-    equal = found.filter("NOT differ").select(*spans)
     classes = stored(found.filter("differ").groupBy("anchor", "seq")
                      .agg(F.count("*").alias("copies"), F.min(F.struct("key", "low", "high")).alias("one")),
                      "substring-classes")
-    many = classes.filter("copies > 1").select("anchor", "seq")
-    copied = found.filter("differ").join(many, ["anchor", "seq"], "left_semi").select(*spans)
-    hot = classes.groupBy("anchor").agg(F.count("*").alias("n")).select("anchor", (F.col("n") > HOT_PASSAGES).alias("hot"))
+    hot = classes.groupBy("anchor").agg((F.count("*") > HOT_PASSAGES).alias("hot"))
     wanted = (classes.join(hot, "anchor")
               .groupBy(F.col("one.key").alias("key"))
               .agg(F.collect_list(F.struct("anchor", "copies", "hot", F.col("one.low").alias("low"),
@@ -293,11 +296,11 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     shards = max(1, -(-reference.filter("NOT hot").count() // SHARD_PASSAGES))
     cold = (reference.filter("NOT hot").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
             .groupBy("shard").applyInArrow(_shard(window), "key long, low int, high int"))
-    windows = reference.filter("hot").mapInArrow(_window_rows(window), "window long, copies long, key long, low int")
-    twice = windows.groupBy("window").agg(F.sum("copies").alias("n")).filter("n > 1").select("window")
-    warm = (windows.filter("copies = 1").join(twice, "window", "left_semi")
-            .select("key", "low", F.col("low").alias("high")))
-    return equal.unionByName(copied).unionByName(cold).unionByName(warm)
+    warm = (reference.filter("hot").mapInArrow(_window_rows(window), "window long, copies long, key long, low int")
+            .groupBy("window").agg(F.sum("copies").alias("n"), F.min(F.struct("key", "low")).alias("one"))
+            .filter("n = 1").select("one.key", "one.low", F.col("one.low").alias("high")))
+    return (found.select("key", "low", "high", F.lit(True).alias("repeated"))
+            .unionByName(cold.unionByName(warm).withColumn("repeated", F.lit(False))))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -305,19 +308,21 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def with_spans(docs: DataFrame, window: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``_starts``: runs (low, high) of the starts of repeated windows, NULL without any."""
+    """``docs`` plus ``_starts``: its runs (low, high, repeated) of window starts, NULL without any."""
     keyed = _keyed(docs, id_col, text_col)
     runs = repeated_windows(keyed.select(F.col("_key").alias("key"), F.col(text_col).cast("string").alias("text")),
                             window)
-    per_doc = runs.groupBy(F.col("key").alias("_key")).agg(F.collect_set(F.struct("low", "high")).alias("_starts"))
+    per_doc = runs.groupBy(F.col("key").alias("_key")).agg(F.collect_set(F.struct("low", "high", "repeated")).alias("_starts"))
     return keyed.join(per_doc, "_key", "left").drop("_key")
 
 
 def _gone(n: int, starts, window: int) -> np.ndarray:
-    edge = np.zeros(n + 1, dtype=np.int64)
-    for x in starts or ():
-        edge[x["low"]] += 1
-        edge[x["high"] + window] -= 1
+    """Which of ``n`` words are covered by a repeated window."""
+    begins = np.zeros(n + 1, dtype=bool)
+    for x in sorted(starts or (), key=lambda x: not x["repeated"]):
+        begins[x["low"]:x["high"] + 1] = x["repeated"]
+    edge = begins.astype(np.int64)
+    edge[window:] -= begins[:-window] if n >= window else 0
     return np.cumsum(edge[:-1]) > 0
 
 
