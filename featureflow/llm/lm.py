@@ -427,7 +427,7 @@ def _known_words(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
     """Hashes (sorted) and counts of the most frequent words, at most KNOWN_WORDS, and the count they reach."""
     scale = F.floor(F.log2("c")).cast("int")
     sizes = {r["b"]: r["n"] for r in counts.groupBy(scale.alias("b")).agg(F.count("*").alias("n")).collect()}
-    total, least = 0, 63
+    total, least = 0, 62
     for b in sorted(sizes, reverse=True):
         if total + sizes[b] > KNOWN_WORDS:
             break

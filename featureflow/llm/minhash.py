@@ -196,7 +196,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = cut(reps.join(hubs.select("key", "hub"), "key").select("hub", "rep", "n").distinct())
     ids = cut(stars.select(F.col("rep").alias("id")).distinct())
     sets = stored(_of(ids, docs).mapInArrow(_set_rows(width), "rep long, shingles binary")
-                  .groupBy("rep").agg(F.min("shingles").alias("shingles")), "minhash-sets")
+                  .filter(F.length("shingles") > 0).distinct(), "minhash-sets")   # an id may have several texts
 
     links = cut(_compare(stars.filter("hub = rep"), stars.filter("hub <> rep"), sets, percent))
     same = cut(known.join(classes.filter("copies > 1").select("n", "d1", "d2", "rep"), ["n", "d1", "d2"])
