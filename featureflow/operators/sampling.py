@@ -6,21 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def hash_bucket(key, buckets: int = 100) -> Column:
-    """Stable bucket in [0, buckets) from the first 16 bits of md5(key).
+def hash32(key) -> Column:
+    """The first 32 bits of md5(key) as a long; a NULL key has a value of its own.
 
     Independent of partitioning and task retries, so a recomputed partition
     lands every row in the same split.
     """
     k = F.col(key) if isinstance(key, str) else key
-    return F.conv(F.substring(F.md5(k.cast("string")), 1, 4), 16, 10).cast("int") % buckets
+    text = F.coalesce(k.cast("string"), F.lit("(null)"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
 def is_train(key, train_frac: float = 0.8) -> Column:
-    return hash_bucket(key) < F.lit(int(round(train_frac * 100)))
+    """TRUE for about ``train_frac`` of the keys (32-bit resolution), never NULL."""
+    if not 0 < train_frac < 1:
+        raise ValueError(f"train_frac must lie between 0 and 1, not {train_frac}")
+    return hash32(key) < F.lit(int(train_frac * (1 << 32)))
 
 
 def hash_split(df: DataFrame, key: str, train_frac: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """(train, test): every row is in exactly one; rows with a NULL key stay together."""
     flag = is_train(key, train_frac)
     return df.filter(flag), df.filter(~flag)
 

@@ -36,7 +36,9 @@ def unpivot_features(df: DataFrame, features: Sequence[str], ids: Sequence[str]
                      value_col: str = "value") -> DataFrame:
     """Long form ``(ids..., feature, value)`` with every value as text."""
     feats = list(features)
-    cast = df.select(*ids, *[F.col(f).cast(StringType()).alias(f) for f in feats])
+    # + 0.0 makes one value of 0.0 and -0.0, as groupBy does
+    plain = {f: F.col(f) + F.lit(0.0) if t in ("float", "double") else F.col(f) for f, t in df.dtypes}
+    cast = df.select(*ids, *[plain[f].cast(StringType()).alias(f) for f in feats])
     return cast.unpivot(list(ids), feats, "feature", value_col)
 
 
@@ -354,10 +356,11 @@ def histogram(df: DataFrame, column: str, bins: int = 30, lo: float | None = Non
     """``(bin, n)``: equal-width bins 1..bins, the last bin closed.
 
     With ``lo``/``hi`` rows outside the range are left out (display clipping);
-    otherwise the range is the column's min/max (one bounded row).
+    otherwise the range is the column's min/max (one bounded row).  NULL and NaN
+    are in no bin.
     """
     x = F.col(column).cast(DoubleType())
-    data = df.select(x.alias("x")).filter(F.col("x").isNotNull())
+    data = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
     if lo is not None and hi is not None:
         data = data.filter(F.col("x").between(lo, hi))
     else:
@@ -376,8 +379,12 @@ def histograms(df: DataFrame, columns: Sequence[str], bins: int = 30, ranges: di
     ranges = dict(ranges or {})
     free = [c for c in columns if c not in ranges]
     if free:
-        row = df.agg(*[F.min(F.col(c).cast(DoubleType())).alias(f"lo{i}") for i, c in enumerate(free)],
-                     *[F.max(F.col(c).cast(DoubleType())).alias(f"hi{i}") for i, c in enumerate(free)]).first()
+        def number(c):
+            x = F.col(c).cast(DoubleType())
+            return F.when(~F.isnan(x), x)
+
+        row = df.agg(*[F.min(number(c)).alias(f"lo{i}") for i, c in enumerate(free)],
+                     *[F.max(number(c)).alias(f"hi{i}") for i, c in enumerate(free)]).first()
         for i, c in enumerate(free):
             if row[f"lo{i}"] is not None:
                 ranges[c] = (float(row[f"lo{i}"]), float(row[f"hi{i}"]))
@@ -390,7 +397,7 @@ def histograms(df: DataFrame, columns: Sequence[str], bins: int = 30, ranges: di
     hi = {c: ranges[c][1] for c in cols}
     from featureflow.functions.columns import lookup
     flo, fw, fhi = lookup("feature", lo), lookup("feature", width), lookup("feature", hi)
-    kept = long.filter(F.col("x").isNotNull() & (F.col("x") >= flo) & (F.col("x") <= fhi))
+    kept = long.filter(F.col("x").isNotNull() & ~F.isnan("x") & (F.col("x") >= flo) & (F.col("x") <= fhi))
     b = F.least(F.lit(bins), F.floor((F.col("x") - flo) / fw).cast("int") + 1)
     return kept.groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 

@@ -68,7 +68,8 @@ def _onehot(alias, width):
     return ", ".join([f"CAST({alias}.idx = {i} AS DOUBLE)" for i in range(width)] + ["0.0"])
 
 
-_TRAIN = "(CAST('0x'||substr(md5(CAST(l_orderkey AS varchar)),1,4) AS int) % 100 < 80)"
+# 32 bits of md5, below 0.8 * 2**32
+_TRAIN = "(CAST('0x'||substr(md5(CAST(l_orderkey AS varchar)),1,8) AS bigint) < 3435973836)"
 
 
 def _apply_sql(learn_where: str = "TRUE", extra: str = "") -> str:
@@ -258,6 +259,6 @@ ORACLE_SQL = {
     "build_feature_table": SPLIT_FIT_APPLY,
     "fit_save_load_apply": APPLY_PARAMS,
     "preprocess_new": f"SELECT l_orderkey, l_linenumber, features FROM ({SPLIT_FIT_APPLY}) t WHERE NOT is_train",
-    "hash_split": ("SELECT o_orderkey, CAST('0x'||substr(md5(CAST(o_orderkey AS varchar)),1,4) AS int)%100 < 80 "
-                   "AS is_train FROM orders"),
+    "hash_split": ("SELECT o_orderkey, CAST('0x'||substr(md5(coalesce(CAST(CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey "
+                   "END AS varchar), '(null)')),1,8) AS bigint) < 3435973836 AS is_train FROM orders"),
 }

@@ -310,7 +310,8 @@ def build_feature_table(fact: DataFrame, dim: DataFrame | None, spec: FeatureSpe
     """
     spark = fact.sparkSession
     train_path, test_path = f"{out_dir}/train.parquet", f"{out_dir}/test.parquet"
-    if reuse and path_exists(spark, train_path) and path_exists(spark, test_path):
+    # _SUCCESS is written last: a folder without it is unfinished and built again
+    if reuse and path_exists(spark, f"{train_path}/_SUCCESS") and path_exists(spark, f"{test_path}/_SUCCESS"):
         return spark.read.parquet(train_path), spark.read.parquet(test_path)
     train, test, _ = split_fit_apply(fact, dim, spec, train_frac, seed, params_path or f"{out_dir}/params",
                                      refit=True, split_key=split_key, **estimator_kw)

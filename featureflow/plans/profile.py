@@ -45,7 +45,7 @@ def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], l
             for i, c in enumerate(numeric)]))).orderBy(F.col("pct").desc(), F.col("feature"))
         out["summary_numeric"] = _summary_from(row, df, numeric, relative_error)
         out["correlation"] = _corr_from(row, numeric)
-        clipped = {k: v for k, v in (clip or DEFAULT_CLIP).items() if k in numeric}
+        clipped = {k: v for k, v in (clip or {}).items() if k in numeric}
         out["histograms"] = stats.histograms(df, numeric, bins, {**ranges, **clipped})
         out["proportions_numeric"] = stats.proportions_long(df, numeric)
     if categorical:

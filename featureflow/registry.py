@@ -472,7 +472,10 @@ def random_split(spark, sf):
 
 def hash_split(spark, sf):
     o = _t(spark, sf, "orders")
-    return o.select("o_orderkey", sampling.is_train("o_orderkey", 0.8).alias("is_train"))
+    key = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderkey"))        # a tenth of the keys is NULL
+    train, test = sampling.hash_split(o.select("o_orderkey", key.alias("k")), "k", 0.8)
+    return train.select("o_orderkey", F.lit(True).alias("is_train")).unionByName(
+        test.select("o_orderkey", F.lit(False).alias("is_train")))
 
 
 def sample_with_replacement(spark, sf):

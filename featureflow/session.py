@@ -55,6 +55,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = _context(spark)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
+    if not root and sc is not None and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         # spark.checkpoint.dir is a static setting: register the folder with
         # the context instead (tests and local runs only)

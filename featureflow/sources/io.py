@@ -7,6 +7,7 @@ on the driver's local disk).
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,17 +60,35 @@ def load_schema(spark: SparkSession, path: str) -> StructType:
     return StructType.fromJson(json.loads(text))
 
 
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Digest of the names, sizes and modification times of the files at ``path`` (a glob, file or folder); "" for none."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    found = []
+    for s in fs.globStatus(p) or []:
+        for f in fs.listStatus(s.getPath()) if s.isDirectory() else [s]:
+            found.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest() if found else ""
+
+
 def ingest_cached(spark: SparkSession, raw_path: str, parquet_path: str, schema_path: str,
                   schema: StructType | None = None) -> DataFrame:
-    """Read Parquet if it was ingested before, else CSV -> Parquet (+ schema sidecar).
+    """Read Parquet if this raw input was ingested before, else CSV -> Parquet (+ schema and source sidecars).
 
-    Later runs read the Parquet copy with the stored schema enforced.
+    The copy is used only when it is finished (``_SUCCESS``) and was made from
+    the same files (path, size, modification time); the sidecars are written
+    last.  A finished copy whose raw files are gone is used as well.
     """
-    if path_exists(spark, parquet_path) and path_exists(spark, schema_path):
-        return read_parquet(spark, parquet_path, load_schema(spark, schema_path))
+    source_path = f"{schema_path}_source"
+    now = fingerprint(spark, raw_path)
+    if all(path_exists(spark, f"{p}/_SUCCESS") for p in (parquet_path, schema_path, source_path)):
+        if not now or spark.read.text(source_path).first()["value"] == now:
+            return read_parquet(spark, parquet_path, load_schema(spark, schema_path))
     df = read_csv(spark, raw_path, schema)
-    save_schema(spark, df.schema, schema_path)
     df.write.mode("overwrite").parquet(parquet_path)
+    save_schema(spark, df.schema, schema_path)
+    spark.createDataFrame([(now,)], "value string").coalesce(1).write.mode("overwrite").text(source_path)
     return read_parquet(spark, parquet_path, df.schema)
 
 
