@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from featureflow.jobs.common import PRESETS, base_parser, load_table, session
 from featureflow.plans import features as feat
+from featureflow.sources import io
 
 
 def main(argv=None):
@@ -22,6 +23,7 @@ def main(argv=None):
     spec = PRESETS[args.preset]
     fact = load_table(spark, args.raw_flights, f"{args.out}/ingest", "fact")
     dim = load_table(spark, args.raw_plane, f"{args.out}/ingest", "dim") if args.raw_plane else None
+    io.validate_dataset(fact, spec.label)
     if args.sample:
         fact = fact.sample(withReplacement=True, fraction=args.sample, seed=42)
     train, test = feat.build_feature_table(

@@ -19,6 +19,14 @@ def session(args, app: str):
     return get_session(app=app, master=args.master)
 
 
+def report(metrics, path: str | None) -> None:
+    """Show a metrics table; written as Parquet first when a folder is given."""
+    if path:
+        metrics.write.mode("overwrite").parquet(path)
+        metrics = metrics.sparkSession.read.parquet(path)
+    metrics.show(truncate=False)
+
+
 def load_table(spark, path: str, work_dir: str | None, name: str):
     """CSV is ingested once into Parquet under ``work_dir``; Parquet is read as is."""
     from featureflow.sources import io

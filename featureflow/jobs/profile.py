@@ -5,6 +5,7 @@ from __future__ import annotations
 from featureflow.jobs.common import PRESETS, base_parser, load_table, session
 from featureflow.plans import features as feat
 from featureflow.plans import profile as prof
+from featureflow.sources import io
 
 
 def main(argv=None):
@@ -18,11 +19,13 @@ def main(argv=None):
     spec = PRESETS[args.preset]
     fact = load_table(spark, args.raw_flights, f"{args.out}/ingest", "fact")
     dim = load_table(spark, args.raw_plane, f"{args.out}/ingest", "dim") if args.raw_plane else None
+    io.validate_dataset(fact, spec.label)
     df = feat.static_features(fact, dim, spec)
     numeric = spec.quantitative_out + [c.name for c in spec.cyclic]
     categorical = list(spec.nominal)
     tables = prof.profile(df, numeric, categorical, spec.label,
-                          mean_top_k_features=[c for c in categorical if c in ("Origin", "Dest", "Model")])
+                          mean_top_k_features=[c for c in categorical if c in ("Origin", "Dest", "Model")],
+                          mean_numeric_features=numeric)
     prof.write_profile(tables, args.out, args.format)
 
 

@@ -6,9 +6,10 @@
 
 from __future__ import annotations
 
-from featureflow.jobs.common import PRESETS, base_parser, load_table, session
+from featureflow.jobs.common import PRESETS, base_parser, load_table, report, session
 from featureflow.plans import features as feat
 from featureflow.plans import model as mdl
+from featureflow.sources import io
 
 
 def main(argv=None):
@@ -20,18 +21,20 @@ def main(argv=None):
     p.add_argument("--all", action="store_true", help="score every model under --model")
     p.add_argument("--out", required=True, help="output folder for predictions (CSV)")
     p.add_argument("--work", default=None, help="ingest cache folder for CSV inputs")
+    p.add_argument("--metrics", default=None, help="output folder for the metrics (Parquet)")
     args = p.parse_args(argv)
     spark = session(args, "featureflow-score")
     spec = PRESETS[args.preset]
     fact = load_table(spark, args.raw_flights, args.work, "fact")
     dim = load_table(spark, args.raw_plane, args.work, "dim") if args.raw_plane else None
+    io.validate_dataset(fact, mode="predict")
     data = feat.preprocess_new(fact, dim, spec, feat.FeatureModel.load(args.params))
     if args.all:
-        mdl.score_all_models(spark, args.model, data, spec.label, args.out).show(truncate=False)
+        report(mdl.score_all_models(spark, args.model, data, spec.label, args.out), args.metrics)
     else:
         _, metrics = mdl.score(data, args.model, spec.label, args.out)
         if metrics is not None:
-            metrics.show(truncate=False)
+            report(metrics, args.metrics)
 
 
 if __name__ == "__main__":

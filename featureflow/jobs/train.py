@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from featureflow.jobs.common import PRESETS, base_parser, session
+from featureflow.jobs.common import PRESETS, base_parser, report, session
 from featureflow.plans import model as mdl
+from featureflow.sources import io
 
 
 def main(argv=None):
@@ -16,18 +17,21 @@ def main(argv=None):
     p.add_argument("--parallelism", type=int, default=None)
     p.add_argument("--skip_training", action="store_true")
     p.add_argument("--debug", action="store_true", help="train on a 10 %% sample")
+    p.add_argument("--metrics", default=None, help="output folder for the metrics (Parquet)")
     args = p.parse_args(argv)
     spark = session(args, "featureflow-train")
     label = PRESETS[args.preset].label
     train = spark.read.parquet(f"{args.features}/train.parquet")
     test = spark.read.parquet(f"{args.features}/test.parquet")
+    io.validate_dataset(train, label)
     if args.debug:
         train = train.sample(fraction=0.1, seed=42)
     if not args.skip_training:
         metrics, _ = mdl.train_select(train, label, families=tuple(args.families.split(",")), folds=args.folds,
                                       parallelism=args.parallelism, save_dir=args.models)
-        metrics.show(truncate=False)
-    mdl.score_all_models(spark, args.models, test, label, args.predictions).show(truncate=False)
+        report(metrics, args.metrics and f"{args.metrics}/selection")
+    report(mdl.score_all_models(spark, args.models, test, label, args.predictions),
+           args.metrics and f"{args.metrics}/test")
 
 
 if __name__ == "__main__":

@@ -25,6 +25,7 @@ from featureflow.operators.joins import maybe_broadcast
 from featureflow.session import checkpoint_root
 
 OTHER = "Other"
+MAX_LABELS = 100_000
 
 
 def bound_for(threshold: float) -> int | None:
@@ -67,21 +68,20 @@ def mean_target_table(df: DataFrame, column: str, label: str, out_col: str,
                       fallback: float | None = None) -> DataFrame:
     """``(column, out_col)``: mean label per value, plus an "Other" row when absent.
 
-    The fallback for "Other" is the global mean label unless given.  One
-    aggregate computes both (grouping sets ``(column)`` and ``()``); the small
-    result is checkpointed to the shared folder so the "Other" test and the
-    union read it instead of re-running the scan.  The key is unique.
+    The key is unique and text, whatever the type of the column ("Other" is a
+    key too).  The fallback for "Other" is the global mean label unless given
+    (NULL without any label).  The grouped table is checkpointed to the shared
+    folder; the fallback row is an aggregate over it, not over the rows.
     """
     y = F.col(label).cast(DoubleType())
-    both = df.groupingSets([[column], []], column).agg(F.avg(y).alias(out_col), F.grouping_id().alias("_gid"))
     checkpoint_root(df.sparkSession)
-    both = both.checkpoint(eager=True)
-    table = both.filter(F.col("_gid") == 0).drop("_gid")
-    has_other = table.filter(F.col(column) == F.lit(OTHER)).select(F.count(F.lit(1))).scalar()
-    fb = F.col(out_col) if fallback is None else F.lit(float(fallback))
-    extra = (both.filter((F.col("_gid") == 1) & (has_other == 0))
-             .select(F.lit(OTHER).cast(table.schema[column].dataType).alias(column), fb.alias(out_col)))
-    return table.unionByName(extra)
+    sums = (df.groupBy(F.col(column).cast(StringType()).alias(column))
+            .agg(F.avg(y).alias(out_col), F.sum(y).alias("_sum"), F.count(y).alias("_n")).checkpoint(eager=True))
+    mean = F.when(F.sum("_n") > 0, F.sum("_sum") / F.sum("_n"))
+    extra = (sums.agg((mean if fallback is None else F.lit(float(fallback))).alias(out_col),
+                      F.count(F.when(F.col(column) == F.lit(OTHER), 1)).alias("_others"))
+             .filter(F.col("_others") == 0).select(F.lit(OTHER).alias(column), out_col))
+    return sums.select(column, out_col).unionByName(extra)
 
 
 def mean_encode(df: DataFrame, table: DataFrame, column: str, out_col: str,
@@ -89,7 +89,12 @@ def mean_encode(df: DataFrame, table: DataFrame, column: str, out_col: str,
     """Left lookup join with a learned (key -> mean) table; unmatched rows get
     ``default`` (a number or a Column).  The table is broadcast when its size is
     proven small (``bound`` from the frequency threshold, else a row check)."""
-    joined = df.join(maybe_broadcast(table, known_bound=bound), on=column, how="left")
+    if isinstance(table.schema[column].dataType, StringType) and not isinstance(df.schema[column].dataType, StringType):
+        # learned keys are text: compare the column as text, keep its own type
+        keyed = maybe_broadcast(table.withColumnRenamed(column, "_key"), known_bound=bound)
+        joined = df.join(keyed, F.col(column).cast(StringType()) == F.col("_key"), "left").drop("_key")
+    else:
+        joined = df.join(maybe_broadcast(table, known_bound=bound), on=column, how="left")
     if default is None:
         return joined
     d = default if not isinstance(default, (int, float)) else F.lit(float(default))
@@ -113,10 +118,20 @@ def index_labels_from_counts(counts: dict) -> list:
     return [v for v, _ in sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))]
 
 
-def learn_index_labels(df: DataFrame, columns: Sequence[str]) -> dict:
-    """{column: labels}: frequency-descending order, one job for all columns."""
+def learn_index_labels(df: DataFrame, columns: Sequence[str], max_labels: int = MAX_LABELS) -> dict:
+    """{column: labels}: frequency-descending order, one scan for all columns.
+
+    Labels live in the driver and in every task, so more than ``max_labels`` of
+    them are refused; bucket rare values first (``rare_to_other``).
+    """
+    checkpoint_root(df.sparkSession)
+    counts = stats.value_stats(df, columns).filter(F.col("value").isNotNull()).checkpoint(eager=True)
+    n = counts.count()
+    if n > max_labels:
+        raise ValueError(f"{n} distinct values in {list(columns)}, more than {max_labels} labels: "
+                         "bucket rare values first")
     out = {c: {} for c in columns}
-    for r in stats.value_stats(df, columns).filter(F.col("value").isNotNull()).collect():
+    for r in counts.collect():
         out[r["feature"]][r["value"]] = r["n"]
     return {c: index_labels_from_counts(v) for c, v in out.items()}
 

@@ -2,7 +2,7 @@
 
 Broadcast only behind a proven size bound: either a bound that holds by
 construction (a frequency-threshold table has at most 1/threshold keys) or a
-bounded row count check (``limit(n+1).count()``).  Beyond the bound the join
+measured number of rows and bytes.  Beyond the bound the join
 is a shuffle join; AQE's skew-join split handles a hot key, and
 ``salt_buckets`` spreads a hot key explicitly when asked.
 """
@@ -11,15 +11,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BinaryType, BooleanType, DateType, NumericType, StringType, TimestampNTZType,
+                               TimestampType)
 
-# Rows we are willing to ship to every executor for a dimension/lookup table
-# (about 50 MB at 100 bytes a row).
+# Rows and bytes we are willing to ship to every executor for a dimension/lookup table.
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Reads at most max_rows+1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows: a count, one number per task
+    (a plain Parquet table answers it from its footers)."""
+    return df.count() <= max_rows
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+             max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` is within both bounds.
+
+    Columns of fixed width count as 16 bytes; the lengths of the others are
+    summed, and only when the number of rows is within its bound.
+    """
+    rows = df.count()
+    if rows > max_rows:
+        return False
+    fixed = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
+    wide = [F.col(f"`{f.name}`") if isinstance(f.dataType, (StringType, BinaryType)) else
+            F.col(f"`{f.name}`").cast("string") for f in df.schema.fields if not isinstance(f.dataType, fixed)]
+    used = 16 * rows * (len(df.columns) - len(wide))
+    if wide and used <= max_bytes:
+        lengths = [F.coalesce(F.sum(F.octet_length(c).cast("long")), F.lit(0)) for c in wide]
+        used += sum(df.agg(*lengths).first())
+    return used <= max_bytes
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
@@ -27,9 +50,10 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     """Mark ``df`` for broadcast when its size is proven small, else leave it."""
     if known_bound is not None and known_bound <= max_rows:
         return F.broadcast(df)
-    if has_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+SALTED_JOINS = ("inner", "left", "left_outer", "left_semi", "left_anti")
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
@@ -39,8 +63,11 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
     The fact side gets a deterministic salt (a hash of its own columns, so a
     recomputed task after executor loss gets the same salt); the dimension
     side is replicated once per salt value.  Use for a non-broadcastable
-    dimension when a few keys hold a large share of the fact rows.
+    dimension when a few keys hold a large share of the fact rows.  Joins that
+    keep unmatched dimension rows are refused: every copy of them would stay.
     """
+    if how not in SALTED_JOINS:
+        raise ValueError(f"a salted join cannot be {how!r}, only one of {SALTED_JOINS}")
     cols = salt_from or [c for c in fact.columns if c != key]
     salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(buckets)))
     salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
@@ -52,13 +79,8 @@ def join_dimension(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner"
                    salt_buckets: int = 0) -> DataFrame:
     """fact JOIN dim USING (key).  Broadcast when the dimension is proven small;
     otherwise a shuffle join (salted when ``salt_buckets`` > 1)."""
-    if has_at_most(dim, max_broadcast_rows):
+    if is_small(dim, max_broadcast_rows):
         return fact.join(F.broadcast(dim), on=key, how=how)
     if salt_buckets > 1:
         return salted_join(fact, dim, key, how=how, buckets=salt_buckets)
     return fact.join(dim, on=key, how=how)
-
-
-def semi_join(df: DataFrame, keys: DataFrame, on: str, bound: int | None = None) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys`` (EXISTS), NULL keys never match."""
-    return df.join(maybe_broadcast(keys.select(on).distinct(), known_bound=bound), on=on, how="left_semi")

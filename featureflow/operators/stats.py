@@ -10,14 +10,15 @@ subqueries or one bounded row, never a cross join.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StringType
+from pyspark.sql.types import DoubleType, StringType
 
 from featureflow.functions.columns import is_missing
+from featureflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
+from featureflow.operators.quantiles import exact_quantiles
 from featureflow.session import checkpoint_root
 
 # Default accuracy of percentile_approx: rank error <= n / accuracy.
@@ -45,47 +46,28 @@ def unpivot_features(df: DataFrame, features: Sequence[str], ids: Sequence[str]
 def value_stats(df: DataFrame, features: Sequence[str], label: str | None = None) -> DataFrame:
     """``(feature, value, n[, label_n, label_sum])`` for every feature in ONE job.
 
-    The NULL value is its own group (as ``groupBy`` does).
+    The NULL value is its own group (as ``groupBy`` does).  The label may be
+    one of the features.
     """
-    ids = [label] if label else []
-    long = unpivot_features(df, features, ids)
     aggs = [F.count(F.lit(1)).alias("n")]
     if label:
-        aggs += [F.count(F.col(label)).alias("label_n"),
-                 F.sum(F.col(label).cast(DoubleType())).alias("label_sum")]
+        df = df.withColumn("_label", F.col(label).cast(DoubleType()))
+        aggs += [F.count("_label").alias("label_n"), F.sum("_label").alias("label_sum")]
+    long = unpivot_features(df, features, ["_label"] if label else [])
     return long.groupBy("feature", "value").agg(*aggs)
 
 
-def _total_rows(stats: DataFrame, feature: str) -> Column:
-    """Row count of the source, read back from a *persisted* value_stats table
-    as a scalar subquery (the groups of any one feature add up to the row
-    count).  On an unpersisted table use ``value_stats_with_total``."""
-    return stats.filter(F.col("feature") == F.lit(feature)).agg(F.sum("n")).scalar()
-
-
 def value_stats_with_total(df: DataFrame, features: Sequence[str], label: str | None = None) -> DataFrame:
     """value_stats plus ``total`` (rows of the source) from the SAME scan.
 
-    Grouping sets ``(feature, value)`` and ``(feature)`` are computed by one
-    aggregate; the per-feature totals (one row per feature) are joined back.
+    The grouped table is checkpointed to the shared folder, so the totals
+    (the groups of a feature add up to the row count) are summed over it and
+    not over the source.
     """
-    ids = [label] if label else []
-    long = unpivot_features(df, features, ids)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if label:
-        aggs += [F.count(F.col(label)).alias("label_n"),
-                 F.sum(F.col(label).cast(DoubleType())).alias("label_sum")]
-    both = long.groupingSets([["feature", "value"], ["feature"]], "feature", "value").agg(
-        *aggs, F.grouping_id().alias("_gid"))
-    # The grouped table is small (one row per distinct value).  A reliable
-    # checkpoint to the shared folder materialises it once, so the two reads
-    # below do not each re-run the scan (Catalyst would push the grouping-id
-    # filters into the Expand and plan two different aggregates).
     checkpoint_root(df.sparkSession)
-    both = both.checkpoint(eager=True)
-    detail = both.filter(F.col("_gid") == 0).drop("_gid")
-    totals = both.filter(F.col("_gid") == 1).select("feature", F.col("n").alias("total"))
-    # at most one row per feature: a proven bound for the broadcast
+    detail = value_stats(df, features, label).checkpoint(eager=True)
+    totals = detail.groupBy("feature").agg(F.sum("n").alias("total"))
+    # one row per feature: a proven bound for the broadcast
     return detail.join(F.broadcast(totals), on="feature", how="inner")
 
 
@@ -164,9 +146,9 @@ def global_mean(df: DataFrame, label: str, alias: str = "global_mean") -> DataFr
 
 def top_k_rows(df: DataFrame, column: str, k: int) -> DataFrame:
     """Rows whose category is among the k most frequent: a left semi join with
-    the top-k keys (k rows, broadcast under that proven bound)."""
+    the top-k keys (k rows, broadcast while that bound is small)."""
     keys = top_k(df, column, k).select(column)
-    return df.join(F.broadcast(keys), on=column, how="left_semi")
+    return df.join(F.broadcast(keys) if k <= DEFAULT_MAX_BROADCAST_ROWS else keys, on=column, how="left_semi")
 
 
 def top_k_mean(df: DataFrame, column: str, label: str, k: int = 20,
@@ -205,96 +187,18 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0
     """One row: ``<col>_q<100p>`` for every column and probability.
 
     ``relative_error`` > 0: one ``percentile_approx`` aggregate (approxQuantile
-    semantics).  ``None``: exact values from ``exact_quantiles`` (bounded
-    binning passes, no single-task sketch merge).
+    semantics).  ``None``: exact values from ``exact_quantiles`` (a number
+    of binning passes bounded by the type, no single-task sketch merge).
     """
     names = {(c, p): f"{c}_q{int(round(p * 100))}" for c in columns for p in probs}
     if relative_error is None or relative_error <= 0:
         vals = exact_quantiles(df, columns, probs)
         types = {f.name: f.dataType for f in df.schema.fields}
-        row = df.agg(F.count(F.lit(1)).alias("_rows"))
-        return row.select(*[F.lit(vals[k]).cast(types[k[0]]).alias(n) for k, n in names.items()])
+        return df.sparkSession.range(1).select(*[F.lit(vals[k]).cast(types[k[0]]).alias(n) for k, n in names.items()])
     acc = accuracy_for(relative_error)
     return df.agg(*[F.percentile_approx(F.col(c), float(p), acc).alias(n) for (c, p), n in names.items()])
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.5,),
-                    bins: int = 1024, max_passes: int = 48) -> dict:
-    """Exact quantiles (the ceil(p*n)-th smallest non-NULL value, the rank rule
-    of ``percentile_approx``) of many numeric columns, fully distributed.
-
-    Pass 0 is one aggregate of count/min/max per column.  Every further pass
-    is one scan that bins each column's rows inside the interval still open
-    for each (column, p) into ``bins`` equal-width bins: ``groupBy(target,
-    bin)`` with count/min/max, a partial aggregate that sends at most
-    ``bins`` rows per target from each task.  The bin holding the target rank
-    becomes the next interval (tightened to its own min/max); it is done when
-    min == max.  Integer-valued columns with a range under ``bins`` finish
-    after one binning pass.  Nothing but those bounded bin tables reaches the
-    driver, and no task merges more than ``bins`` rows per target.
-    """
-    cols = list(columns)
-    if not cols:
-        return {}
-    long = (df.select(*[F.col(c).cast(DoubleType()).alias(c) for c in cols])
-            .unpivot([], cols, "feature", "x").filter(F.col("x").isNotNull() & ~F.isnan("x")))
-    first = {r["feature"]: r for r in long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
-    out, open_ = {}, {}
-    for c in cols:
-        r = first.get(c)
-        for p in probs:
-            if r is None or r["n"] == 0:
-                out[(c, p)] = None
-                continue
-            rank = max(1, int(math.ceil(p * r["n"] - 1e-9)))
-            if r["lo"] == r["hi"]:
-                out[(c, p)] = r["lo"]
-            else:
-                # below = rows known to lie under lo; rank is global (1-based)
-                open_[len(open_)] = {"key": (c, p), "feature": c, "lo": r["lo"], "hi": r["hi"], "below": 0,
-                                     "rank": rank}
-    passes = 0
-    while open_ and passes < max_passes:
-        passes += 1
-        targets = [F.struct(F.lit(tid).alias("tid"), F.lit(t["feature"]).alias("feature"),
-                            F.lit(t["lo"]).alias("lo"), F.lit(t["hi"]).alias("hi"),
-                            F.lit((t["hi"] - t["lo"]) / bins).alias("w"))
-                   for tid, t in open_.items()]
-        feats = sorted({t["feature"] for t in open_.values()})
-        hit = F.filter(F.array(*targets), lambda t: (t["feature"] == F.col("feature")) & (F.col("x") >= t["lo"])
-                       & (F.col("x") <= t["hi"]))
-        rows = (long.filter(F.col("feature").isin(feats))
-                .select("x", F.explode(hit).alias("t"))
-                .select(F.col("t.tid").alias("tid"),
-                        F.least(F.lit(bins - 1), F.floor((F.col("x") - F.col("t.lo")) / F.col("t.w")).cast("int"))
-                        .alias("bin"), "x")
-                .groupBy("tid", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"),
-                                           F.max("x").alias("mx"))
-                .collect())                              # bounded: open targets x bins rows
-        by_tid = {}
-        for r in rows:
-            by_tid.setdefault(r["tid"], []).append(r)
-        for tid in list(open_):
-            t = open_[tid]
-            acc = t["below"]
-            for r in sorted(by_tid.get(tid, []), key=lambda r: r["bin"]):
-                if acc + r["n"] >= t["rank"]:
-                    if r["mn"] == r["mx"]:
-                        out[t["key"]] = r["mn"]
-                        del open_[tid]
-                    else:
-                        t.update(lo=r["mn"], hi=r["mx"], below=acc)
-                    break
-                acc += r["n"]
-    for tid, t in open_.items():                         # pathological spreads: finish approximately
-        sub = long.filter((F.col("feature") == t["feature"]) & F.col("x").between(t["lo"], t["hi"]))
-        k = t["rank"] - t["below"]
-        n = sub.count()
-        out[t["key"]] = sub.agg(F.percentile_approx("x", k / n, EXACT_ACCURACY)).first()[0]
-    return out
-
-
 def summary_stats(df: DataFrame, columns: Sequence[str], relative_error: float | None = None) -> DataFrame:
     """``(feature, n, mean, stddev, mn, p25, p50, p75, mx)`` per numeric column.
 
@@ -421,18 +325,3 @@ def top_k_per_feature(stats_table: DataFrame, features: Sequence[str], k: int) -
 def dataset_shape(df: DataFrame) -> DataFrame:
     """One row ``(n_rows, n_columns)``."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
-
-
-def numeric_columns(df: DataFrame, columns: Iterable[str] | None = None) -> list[str]:
-    names = set(columns) if columns is not None else None
-    out = []
-    for f in df.schema.fields:
-        if names is not None and f.name not in names:
-            continue
-        if f.dataType.typeName() in ("integer", "long", "short", "byte", "double", "float", "decimal"):
-            out.append(f.name)
-    return out
-
-
-def is_floating(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, (DoubleType, FloatType))

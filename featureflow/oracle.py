@@ -97,6 +97,14 @@ FROM s JOIN lab a ON a.f = 'rf' AND a.v = s.rf JOIN lab b ON b.f = 'ls' AND b.v
 APPLY_PARAMS = _apply_sql()
 SPLIT_FIT_APPLY = _apply_sql(_TRAIN, f", {_TRAIN} AS is_train")
 
+_FOLD = "CAST('0x'||substr(md5(CAST(l_orderkey AS varchar)),1,8) AS bigint) % 5"
+# ridge on one standardised feature, penalty v on the scale of the label's deviation
+_RIDGE = "my + b / (1 + v / sy) * (l_quantity - mx)"
+_MOMENTS = ("avg(l_extendedprice) AS my, avg(l_quantity) AS mx, stddev_pop(l_extendedprice) AS sy, "
+            "covar_pop(l_extendedprice, l_quantity) / var_pop(l_quantity) AS b")
+_TWO_MEANS = ("SELECT l_orderkey,l_linenumber,l_partkey, round(avg(l_extendedprice) OVER "
+              "(PARTITION BY l_linestatus = 'F'),4)+0.0 AS prediction FROM lineitem")
+
 ORACLE_SQL = {
     # sources / sinks: the round trip equals the source table
     "scan_project_drop": "SELECT l_orderkey,l_linenumber,l_quantity,l_extendedprice FROM lineitem",
@@ -212,9 +220,40 @@ ORACLE_SQL = {
     "mean_encode_apply": (f"WITH {BASE}, {FREQ}, enc AS (SELECT brand_agg,avg(l_extendedprice) AS mean_enc FROM agg "
                           "GROUP BY brand_agg) SELECT l_orderkey,l_linenumber,l_partkey, round(mean_enc,6)+0.0 AS mean_enc "
                           "FROM agg LEFT JOIN enc USING (brand_agg)"),
-    "mean_encode_median_default": ("SELECT l_orderkey,l_linenumber,l_partkey, coalesce(e,(SELECT quantile_disc(l_extendedprice,0.5) "
-                                   "FROM lineitem)) AS enc FROM lineitem LEFT JOIN (SELECT p_partkey, p_retailprice AS e "
-                                   "FROM part WHERE p_size<=25) m ON l_partkey=p_partkey"),
+    "mean_encode_median_default": (f"WITH m AS (SELECT CAST(l_shipdate AS date) AS d, CAST(l_quantity AS int) AS q, "
+                                   f"avg(l_extendedprice) AS e FROM lineitem WHERE {_TRAIN} GROUP BY 1, 2) "
+                                   "SELECT l_orderkey,l_linenumber,l_partkey, round(coalesce(e,(SELECT "
+                                   "quantile_disc(l_extendedprice,0.5) FROM lineitem)),6)+0.0 AS enc FROM lineitem "
+                                   "LEFT JOIN m ON CAST(l_shipdate AS date)=d AND CAST(l_quantity AS int)=q"),
+    "output_projection_by_name": "SELECT o_orderkey AS orderkey, o_orderstatus AS orderstatus FROM orders",
+    "quantiles_wide": ("SELECT quantile_disc(l_orderkey+9007199254740993,0.5) AS q50_big, quantile_disc(CASE WHEN "
+                       "l_quantity>40 THEN CAST('Infinity' AS DOUBLE) ELSE l_extendedprice END,0.5) AS q50_price "
+                       "FROM lineitem"),
+    "profile_label_distribution": (f"WITH {BASE} SELECT l_quantity AS quantity, count(*) AS count, "
+                                   "round(CAST(count(*) AS DOUBLE)*100.0/(SELECT count(*) FROM base),2) AS proportion "
+                                   "FROM base GROUP BY l_quantity"),
+    "profile_mean_numeric": (f"WITH {BASE} SELECT 'l_discount' AS feature, l_discount AS value, "
+                             "round(avg(l_quantity),6)+0.0 AS avg_target, count(*) AS n FROM base GROUP BY l_discount "
+                             "UNION ALL SELECT 'l_quantity', l_quantity, round(avg(l_quantity),6)+0.0, count(*) "
+                             "FROM base GROUP BY l_quantity"),
+    "profile_write": (f"WITH {BASE}, c AS (SELECT 'p_brand' AS feature, p_brand AS value, count(*) AS count FROM base "
+                      "GROUP BY p_brand UNION ALL SELECT 'p_type', p_type, count(*) FROM base GROUP BY p_type) "
+                      "SELECT feature, value, count, round(CAST(count AS DOUBLE)*100.0/(SELECT count(*) FROM base),2) "
+                      "AS proportion FROM c"),
+    "split_and_sample_invariants": ("SELECT count(*) AS n_rows, TRUE AS split_complete, TRUE AS split_disjoint, "
+                                    "TRUE AS train_share, TRUE AS samples_from_source, TRUE AS taken_once, "
+                                    "TRUE AS drawn_again, TRUE AS drawn_share, TRUE AS taken_share FROM orders"),
+    "tree_depth_one": _TWO_MEANS,
+    "forest_one_tree": _TWO_MEANS,
+    "ridge_score": (f"WITH s AS (SELECT {_MOMENTS}, 0.5 AS v FROM lineitem) SELECT l_orderkey,l_linenumber,l_partkey, "
+                    f"round({_RIDGE},4)+0.0 AS prediction FROM lineitem, s"),
+    "cv_ridge": (f"WITH d AS (SELECT l_quantity, l_extendedprice, {_FOLD} AS fold FROM lineitem), "
+                 f"s AS (SELECT k AS held, {_MOMENTS} FROM d JOIN range(5) t(k) ON fold <> k GROUP BY k), "
+                 "p AS (SELECT unnest([0.1, 0.3, 0.5])::DOUBLE AS v), "
+                 f"e AS (SELECT v, held, sqrt(avg(pow(l_extendedprice - ({_RIDGE}),2))) AS rmse FROM d JOIN s "
+                 "ON fold = held CROSS JOIN p GROUP BY v, held) "
+                 "SELECT 'regParam' AS param, v AS value, round(avg(rmse),4) AS avg_rmse, "
+                 "row_number() OVER (ORDER BY avg(rmse), v) = 1 AS is_best FROM e GROUP BY v"),
     "encoder_choice": ("SELECT feature,n_frequent,CASE WHEN n_frequent+1<=10 THEN 'binary' ELSE 'mean' END AS kind FROM "
                        "(SELECT feature,count(*) AS n_frequent FROM (SELECT 'p_brand' AS feature,p_brand AS value,count(*) AS c "
                        "FROM part GROUP BY p_brand UNION ALL SELECT 'p_type',p_type,count(*) FROM part GROUP BY p_type) a "

@@ -94,7 +94,18 @@ class _StateParams(Params):
         return spec_from_json(self.getOrDefault(self.specJson))
 
 
-class FeatureEstimator(Estimator, _StateParams, DefaultParamsReadable, DefaultParamsWritable):
+class _FitParams(_StateParams):
+    frequencyThreshold = Param(Params._dummy(), "frequencyThreshold", "share of the rows a kept value must exceed, > 0",
+                               TypeConverters.toFloat)
+    cardinalityThreshold = Param(Params._dummy(), "cardinalityThreshold", "one-hot up to so many slots",
+                                 TypeConverters.toInt)
+    highCardinalityStrategy = Param(Params._dummy(), "highCardinalityStrategy", "mean or ignore",
+                                    TypeConverters.toString)
+    relativeError = Param(Params._dummy(), "relativeError", "rank error of the medians, 0 for exact ones",
+                          TypeConverters.toFloat)
+
+
+class FeatureEstimator(Estimator, _FitParams, DefaultParamsReadable, DefaultParamsWritable):
     """Learns all dynamic preprocessing parameters from the training rows.
 
     Scan 1: approximate medians of every numeric column (one aggregate).
@@ -102,33 +113,42 @@ class FeatureEstimator(Estimator, _StateParams, DefaultParamsReadable, DefaultPa
     column (one unpivot + group).  Imputation, frequent values, encoder
     choice, one-hot labels and mean-target tables are then derived from that
     small, persisted count table: categories are imputed *before* encoders are
-    fitted, so encoders never hold a NULL group.
+    fitted, so encoders never hold a NULL group.  The settings are params: they
+    are saved with the estimator and ``fit(df, {param: value})`` overrides them.
+    A numeric column without any value in the training rows is an error.
     """
 
     def __init__(self, spec: FeatureSpec | None = None, frequency_threshold: float = 0.02,
                  cardinality_threshold: int = 10, high_cardinality_strategy: str = "mean",
-                 relative_error: float = 0.025):
+                 relative_error: float | None = 0.025):
         super().__init__()
-        if not frequency_threshold > 0:
+        self._set(frequencyThreshold=frequency_threshold, cardinalityThreshold=cardinality_threshold,
+                  highCardinalityStrategy=high_cardinality_strategy, relativeError=relative_error or 0.0)
+        self._threshold()
+        if spec is not None:
+            self._set(specJson=spec_to_json(spec))
+
+    def _threshold(self) -> float:
+        threshold = self.getOrDefault(self.frequencyThreshold)
+        if not threshold > 0:
             # the learned tables are bounded by 1/threshold values per feature;
             # without a threshold use encode.mean_target_table / mean_encode,
             # which keep the table as a DataFrame and join it
             raise ValueError("frequency_threshold must be > 0")
-        self.frequency_threshold = frequency_threshold
-        self.cardinality_threshold = cardinality_threshold
-        self.high_cardinality_strategy = high_cardinality_strategy
-        self.relative_error = relative_error
-        if spec is not None:
-            self._set(specJson=spec_to_json(spec))
+        return threshold
 
     def _fit(self, df: DataFrame) -> "FeatureModel":
         spec = self.spec()
+        threshold = self._threshold()
         quant = [c for c in spec.quantitative_out if c in df.columns]
         calendar = [c.name for c in spec.cyclic if c.name in df.columns]
         nominal = [c for c in spec.nominal if c in df.columns]
         cats = calendar + nominal
 
-        medians = impute.learn_medians(df, quant, self.relative_error)
+        medians = impute.learn_medians(df, quant, self.getOrDefault(self.relativeError) or None)
+        unknown = [c for c, v in medians.items() if v is None]
+        if unknown:
+            raise ValueError(f"no value in the training rows to learn a median from: {unknown}")
 
         if not cats:
             model = FeatureModel()
@@ -154,7 +174,7 @@ class FeatureEstimator(Estimator, _StateParams, DefaultParamsReadable, DefaultPa
                 # one grouped collect gives both the frequent lists and the
                 # bucketed stats: bounded by features * (1/threshold + 1) rows
                 is_freq = F.col("value").isNotNull() & (
-                    F.col("n").cast(DoubleType()) / total > F.lit(self.frequency_threshold))
+                    F.col("n").cast(DoubleType()) / total > F.lit(threshold))
                 bucket = (F.when(F.col("value").isNull(), F.lit(None))
                           .when(F.col("_freq"), F.col("value")).otherwise(F.lit(encode.OTHER)))
                 rows = (filled.filter(F.col("feature").isin(nominal)).withColumn("_freq", is_freq)
@@ -166,7 +186,8 @@ class FeatureEstimator(Estimator, _StateParams, DefaultParamsReadable, DefaultPa
                     if r["_freq"] and r["value"] is not None:
                         frequent[r["feature"]].append(r["value"])
                 frequent = {k: sorted(v) for k, v in frequent.items()}
-            kinds = encode.encoder_choice(frequent, self.cardinality_threshold, self.high_cardinality_strategy)
+            kinds = encode.encoder_choice(frequent, self.getOrDefault(self.cardinalityThreshold),
+                                          self.getOrDefault(self.highCardinalityStrategy))
             labels, means = {}, {}
             if nominal:
                 glob = {}

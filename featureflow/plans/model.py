@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from featureflow.operators.clean import output_projection
 from featureflow.operators.sampling import ensure_parallelism
 from featureflow.plans.features import list_dirs
 
@@ -56,22 +57,26 @@ def scaled_pipeline(estimator, features_col: str = "features", scaled_col: str =
     return Pipeline(stages=[scaler, estimator])
 
 
-def training_set(df: DataFrame, label: str, features_col: str = "features") -> DataFrame:
-    """The two columns a fit reads, spread over the cores and persisted.
+def training_set(df: DataFrame, label: str, features_col: str = "features",
+                 fold_col: str | None = None) -> DataFrame:
+    """The columns a fit reads, spread over the cores and persisted.
 
     Model fits make many passes; without this each pass recomputes the
     whole feature plan.  MEMORY_AND_DISK spills instead of failing, and a
     lost executor's blocks are recomputed from the lineage.
     """
-    data = df.select(features_col, label)
+    data = df.select(features_col, label, *([fold_col] if fold_col else []))
     return ensure_parallelism(data).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def cross_validate(train: DataFrame, family: str, label: str, grid_values=None, folds: int = 5,
-                   seed: int = 42, parallelism: int | None = None, features_col: str = "features"):
+                   seed: int = 42, parallelism: int | None = None, features_col: str = "features",
+                   fold_col: str | None = None):
     """Grid search with k-fold CV on RMSE.  Returns (cv_model, best_param, best_value).
 
-    Grid points are fitted concurrently (``parallelism``, default one per grid
+    ``fold_col`` names an INT column of fold numbers 0 .. folds-1 (a hash of the
+    key makes the folds independent of the layout); without it rows are dealt
+    at random by ``seed``.  Grid points are fitted concurrently (``parallelism``, default one per grid
     value); they share the persisted training set.
     """
     est = make_estimator(family, "scaledFeatures", label, seed)
@@ -81,10 +86,10 @@ def cross_validate(train: DataFrame, family: str, label: str, grid_values=None,
     evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     cv = CrossValidator(estimator=scaled_pipeline(est, features_col), estimatorParamMaps=grid,
                         evaluator=evaluator, numFolds=folds, seed=seed,
-                        parallelism=parallelism or len(values))
+                        parallelism=parallelism or len(values), foldCol=fold_col or "")
     # every fold re-reads its input: keep only the two needed columns, persisted
     owned = not train.storageLevel.useMemory and not train.storageLevel.useDisk
-    data = training_set(train, label, features_col) if owned else train
+    data = training_set(train, label, features_col, fold_col) if owned else train
     try:
         model = cv.fit(data)
     finally:
@@ -151,12 +156,10 @@ def score(df: DataFrame, model: PipelineModel | str, label: str | None, output_p
     metrics = regression_metrics(pred, label) if label and label in pred.columns else None
     if output_path:
         if output_columns is None:
-            cols = [c for c in pred.columns if "_" not in c and c not in exclude]
+            shown = output_projection(pred, exclude=exclude, no_underscore=True)
         else:
-            cols = [c for c in output_columns if c in pred.columns]
-            if "prediction" not in cols:
-                cols.append("prediction")
-        pred.select(*cols).write.mode("overwrite").option("header", True).csv(output_path)
+            shown = output_projection(pred, dict.fromkeys([*output_columns, "prediction"]))
+        shown.write.mode("overwrite").option("header", True).csv(output_path)
     return pred, metrics
 
 
@@ -191,7 +194,7 @@ def score_all_models(spark: SparkSession, models_dir: str, df: DataFrame, label:
                  (F.lit(1.0) - F.col(f"sse{i}") / F.col("_sst")).alias("r2"))
         for i, name in enumerate(names)])))
     if output_dir:
-        out_cols = [c for c in base_cols if "_" not in c and c not in ("features", "scaledFeatures")]
+        out_cols = output_projection(df, exclude=("features", "scaledFeatures"), no_underscore=True).columns
         for i, name in enumerate(names):
             (scored.select(*out_cols, F.col(f"_pred{i}").alias("prediction"))
              .write.mode("overwrite").option("header", True).csv(f"{output_dir}/{name}_pred.csv"))

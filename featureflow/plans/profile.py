@@ -24,15 +24,15 @@ from featureflow.functions.columns import is_missing
 from featureflow.operators import stats
 from featureflow.session import checkpoint_root
 
-# display ranges of the histograms in the exploratory pass (fixed values)
-DEFAULT_CLIP = {"DepDelay": (0.0, 500.0), "TaxiOut": (0.0, 150.0)}
-
 
 def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str | None = None,
             top_k: int = 15, mean_top_k: int = 20, mean_top_k_features: Sequence[str] = (),
-            bins: int = 30, clip: dict | None = None, relative_error: float | None = 0.001) -> dict:
+            bins: int = 30, clip: dict | None = None, relative_error: float | None = 0.001,
+            mean_numeric_features: Sequence[str] = ()) -> dict:
     """Return ``{name: DataFrame}``; nothing is collected except bounded rows
-    (histogram ranges)."""
+    (histogram ranges).  Tables grouped by numeric values, which may be as long
+    as the input, are computed only when they are read: the proportions, the
+    mean label by ``mean_numeric_features`` and all values of the label."""
     numeric = [c for c in numeric if c in df.columns]
     categorical = [c for c in categorical if c in df.columns]
     out = {"shape": stats.dataset_shape(df)}
@@ -47,7 +47,7 @@ def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], l
         out["correlation"] = _corr_from(row, numeric)
         clipped = {k: v for k, v in (clip or {}).items() if k in numeric}
         out["histograms"] = stats.histograms(df, numeric, bins, {**ranges, **clipped})
-        out["proportions_numeric"] = stats.proportions_long(df, numeric)
+        out["proportions_numeric"] = _shares(stats.value_stats(df, numeric), row.select("_total").scalar())
     if categorical:
         lab = label if label and label in df.columns else None
         # the shared (feature, value) table is small; a reliable checkpoint in the
@@ -60,22 +60,34 @@ def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], l
             .agg(F.round(F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(F.lit(0))).cast(DoubleType())
                          * 100.0 / total, 4).alias("pct"))
             .orderBy(F.col("pct").desc(), F.col("feature")))
-        out["proportions_categorical"] = counts.select(
-            "feature", "value", F.col("n").alias("count"),
-            F.round(F.col("n").cast(DoubleType()) * 100.0 / total, 2).alias("proportion"))
+        out["proportions_categorical"] = _shares(counts, total)
         out["top_categories"] = stats.top_k_per_feature(counts, categorical, top_k)
         if lab:
-            per_value = counts.select("feature", "value", (F.col("label_sum") / F.col("label_n")).alias("avg_target"),
-                                      "n")
+            per_value = counts.select("feature", "value", F.when(F.col("label_n") > 0, F.col("label_sum") / F.col("label_n"))
+                                      .alias("avg_target"), "n")
             limited = [f for f in mean_top_k_features if f in categorical]
             rest = per_value.filter(~F.col("feature").isin(limited)) if limited else per_value
             if limited:
                 top = stats.top_k_per_feature(counts, limited, mean_top_k).select("feature", "value")
                 rest = rest.unionByName(per_value.join(F.broadcast(top), ["feature", "value"], "left_semi"))
             out["mean_target"] = rest
+    if label and label in df.columns:
+        rows = df.select(F.count(F.lit(1))).scalar()
+        out["label_distribution"] = _shares(stats.value_stats(df, [label]), rows)
+        grouped = [c for c in mean_numeric_features if c in df.columns]
+        if grouped:
+            out["mean_target_numeric"] = stats.value_stats(df, grouped, label).select(
+                "feature", "value",
+                F.when(F.col("label_n") > 0, F.col("label_sum") / F.col("label_n")).alias("avg_target"), "n")
     return out
 
 
+def _shares(counts: DataFrame, total) -> DataFrame:
+    """``(feature, value, count, proportion)``: percentages of ``total`` from a count table."""
+    return counts.select("feature", "value", F.col("n").alias("count"),
+                         F.round(F.col("n").cast(DoubleType()) * 100.0 / total, 2).alias("proportion"))
+
+
 def _numeric_overview(df: DataFrame, cols: Sequence[str], relative_error: float | None):
     """One aggregate over all numeric columns, checkpointed (one row).
 
@@ -134,7 +146,7 @@ def write_profile(tables: dict, out_dir: str, fmt: str = "parquet") -> None:
     """One folder per table; long tables are partitioned by feature."""
     for name, df in tables.items():
         w = df.write.mode("overwrite")
-        if "feature" in df.columns and name.startswith("proportions"):
+        if "feature" in df.columns and name.startswith(("proportions", "label_distribution")):
             w = w.partitionBy("feature")
         if fmt == "csv":
             w.option("header", True).csv(f"{out_dir}/{name}")

@@ -9,7 +9,7 @@ Floating results are rounded so the DuckDB oracle compares exactly.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +21,7 @@ from featureflow.operators import clean, encode, impute, sampling, stats
 from featureflow.operators.joins import join_dimension
 from featureflow.plans import features as feat
 from featureflow.plans import model as mdl
+from featureflow.plans import profile as prof
 from featureflow.session import shared_path
 from featureflow.sources import io
 
@@ -116,6 +117,13 @@ def try_cast_dropna(spark, sf):
     return clean.drop_null_rows(o, ["prio"])
 
 
+def output_projection_by_name(spark, sf):
+    """Every column without ``_`` in its name, minus one."""
+    o = clean.rename_columns(_t(spark, sf, "orders"), {"o_orderkey": "orderkey", "o_custkey": "custkey",
+                                                       "o_orderstatus": "orderstatus"})
+    return clean.output_projection(o, exclude=["custkey"], no_underscore=True)
+
+
 def output_projection(spark, sf):
     return clean.output_projection(_t(spark, sf, "orders"), exclude=["o_orderpriority"])
 
@@ -175,6 +183,15 @@ def impute_mode(spark, sf):
     return impute.apply_imputation(o, fills, ["prio"], ["5-LOW"])
 
 
+def quantiles_wide(spark, sf):
+    """Exact medians of integers above 2**53 and of a column with infinities."""
+    li = _t(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") + F.lit(9007199254740993)).alias("big"),
+        F.when(F.col("l_quantity") > 40, F.lit(float("inf"))).otherwise(F.col(LABEL)).alias("price"))
+    q = stats.quantiles(li, ["big", "price"], [0.5])
+    return q.select(F.col("big_q50").alias("q50_big"), F.col("price_q50").alias("q50_price"))
+
+
 def quantiles(spark, sf):
     q = stats.quantiles(_t(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"], [0.5])
     return q.select(F.col("l_quantity_q50").alias("q50_quantity"), F.col("l_extendedprice_q50").alias("q50_price"))
@@ -309,11 +326,13 @@ def mean_encode_apply(spark, sf):
 
 
 def mean_encode_median_default(spark, sf):
-    li = _t(spark, sf, "lineitem").select(*KEYS, LABEL)
-    table = (_t(spark, sf, "part").filter(F.col("p_size") <= 25)
-             .select(F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").alias("enc")))
-    out = encode.median_default_encode(li, table, "l_partkey", "enc", LABEL, relative_error=None)
-    return out.select(*KEYS, "enc")
+    """Mean label by day and quantity, learned on the training rows; keys that only other rows have get the median."""
+    key = F.concat_ws("|", F.datediff("l_shipdate", F.lit("1970-01-01").cast("date")), F.col("l_quantity").cast("int"))
+    li = _t(spark, sf, "lineitem").select(*KEYS, LABEL, key.alias("k"))
+    train, _ = sampling.hash_split(li, "l_orderkey", 0.8)
+    table = stats.mean_by(train, "k", LABEL, "enc")
+    out = encode.median_default_encode(li, table, "k", "enc", LABEL, relative_error=None)
+    return out.select(*KEYS, _r("enc", 6).alias("enc"))
 
 
 def encoder_choice(spark, sf):
@@ -324,8 +343,8 @@ def encoder_choice(spark, sf):
 
 def string_index(spark, sf):
     part = _t(spark, sf, "part").select("p_partkey", "p_type")
-    model = StringIndexer(inputCol="p_type", outputCol="idx", handleInvalid="keep").fit(part)
-    return model.transform(part).select("p_partkey", "idx")
+    indexer, = encode.string_indexers(encode.learn_index_labels(part, ["p_type"]))
+    return indexer.transform(part).select("p_partkey", F.col("p_type_index").alias("idx"))
 
 
 def one_hot(spark, sf):
@@ -486,6 +505,80 @@ def sample_without_replacement(spark, sf):
     return sampling.sample_rows(_t(spark, sf, "lineitem"), 0.1, with_replacement=False, seed=42)
 
 
+def split_and_sample_invariants(spark, sf):
+    """What must hold of every split and sample, whatever the random numbers.
+
+    Each relation is tagged, the tagged rows are grouped by key once, and the
+    groups are counted: a split gives every row to exactly one side, a sample
+    holds only source rows, and without replacement none of them twice.
+    """
+    o = _t(spark, sf, "orders").select("o_orderkey")
+    train, test = sampling.random_split(o, 0.8, 42)
+    parts = {"source": o, "train": train, "test": test,
+             "drawn": sampling.sample_rows(o, 0.5, with_replacement=True, seed=42),
+             "taken": sampling.sample_rows(o, 0.5, with_replacement=False, seed=42)}
+    tagged = None
+    for name, df in parts.items():
+        one = df.withColumn("part", F.lit(name))
+        tagged = one if tagged is None else tagged.unionByName(one)
+    per_key = tagged.groupBy("o_orderkey").agg(*[F.count(F.when(F.col("part") == n, 1)).alias(n) for n in parts])
+    n = F.sum("source")
+
+    def share(name):
+        return F.sum(name).cast("double") / n
+
+    return per_key.agg(
+        n.alias("n_rows"), F.bool_and(F.col("train") + F.col("test") == F.col("source")).alias("split_complete"),
+        F.bool_and((F.col("train") == 0) | (F.col("test") == 0)).alias("split_disjoint"),
+        share("train").between(0.7, 0.9).alias("train_share"),
+        F.bool_and((F.col("source") > 0) | (F.col("drawn") + F.col("taken") == 0)).alias("samples_from_source"),
+        F.bool_and(F.col("taken") <= F.col("source")).alias("taken_once"),
+        (F.max("drawn") > 1).alias("drawn_again"), share("drawn").between(0.4, 0.6).alias("drawn_share"),
+        share("taken").between(0.4, 0.6).alias("taken_share"))
+
+
+def _one_feature(spark, sf, x):
+    li = _t(spark, sf, "lineitem").withColumn("x", x)
+    return VectorAssembler(inputCols=["x"], outputCol="features").transform(li.select(*KEYS, LABEL, "x"))
+
+
+def _predicted(model, data):
+    return model.transform(data).select(*KEYS, _r("prediction", 4).alias("prediction"))
+
+
+def tree_depth_one(spark, sf):
+    """M9: a tree of depth one on a feature of two values predicts the mean of each."""
+    data = _one_feature(spark, sf, (F.col("l_linestatus") == "F").cast("double"))
+    return _predicted(mdl.retrain_best(data, "Decision_Tree", LABEL, "maxDepth", 1), data)
+
+
+def forest_one_tree(spark, sf):
+    """A forest of one tree over all rows (no bootstrap) is that tree."""
+    data = _one_feature(spark, sf, (F.col("l_linestatus") == "F").cast("double"))
+    forest = mdl.make_estimator("Random_Forest", "scaledFeatures", LABEL).setNumTrees(1).setBootstrap(False)
+    train = mdl.training_set(data, LABEL)
+    try:
+        return _predicted(mdl.scaled_pipeline(forest).fit(train), data)
+    finally:
+        train.unpersist()
+
+
+def ridge_score(spark, sf):
+    """The model retrained with a grid entry; one feature has a closed form."""
+    data = _one_feature(spark, sf, F.col("l_quantity"))
+    return _predicted(mdl.retrain_best(data, "Linear_Regression", LABEL, "regParam", 0.5), data)
+
+
+def cv_ridge(spark, sf):
+    """The whole grid over five folds by a hash of the order key."""
+    data = _one_feature(spark, sf, F.col("l_quantity")).withColumn(
+        "fold", F.pmod(sampling.hash32("l_orderkey"), F.lit(5)).cast("int"))
+    cvm, pname, best = mdl.cross_validate(data, "Linear_Regression", LABEL, fold_col="fold")
+    _, values = mdl.GRIDS["Linear_Regression"]
+    rows = [(pname, float(v), round(float(cvm.avgMetrics[i]), 4), float(v) == float(best)) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "param string, value double, avg_rmse double, is_best boolean")
+
+
 def _fit_family(spark, sf, family, param, value):
     data = _prepared(spark, sf)
     model = mdl.retrain_best(data, family, LABEL, param, value)
@@ -526,7 +619,8 @@ def retrain_best(spark, sf):
 def _saved_models(spark, sf):
     data = _prepared(spark, sf)
     root = shared_path(spark, "models")
-    for fam, p, v in [("Linear_Regression", "regParam", 0.1), ("Decision_Tree", "maxDepth", 5)]:
+    for fam, p, v in [("Linear_Regression", "regParam", 0.1), ("Decision_Tree", "maxDepth", 5),
+                      ("Random_Forest", "numTrees", 10)]:
         mdl.retrain_best(data, fam, LABEL, p, v).write().overwrite().save(f"{root}/retrained_{fam}")
     return data, root
 
@@ -594,6 +688,33 @@ def score_all_models_ols(spark, sf):
     return m.select("model", _r("rmse", 4).alias("rmse"), _r("mae", 4).alias("mae"), _r("r2", 9).alias("r2"))
 
 
+def _label_profile(spark, sf):
+    return prof.profile(_base(spark, sf), ["l_discount"], ["p_brand"], "l_quantity",
+                        mean_numeric_features=["l_discount", "l_quantity"])
+
+
+def profile_label_distribution(spark, sf):
+    """Every value of the label with its share (no top-k cut)."""
+    t = _label_profile(spark, sf)["label_distribution"]
+    return t.select(F.col("value").cast("double").alias("quantity"), "count", "proportion")
+
+
+def profile_mean_numeric(spark, sf):
+    """Mean label by value of numeric columns, the label itself among them."""
+    t = _label_profile(spark, sf)["mean_target_numeric"]
+    return t.select("feature", F.col("value").cast("double").alias("value"), _r("avg_target", 6).alias("avg_target"), "n")
+
+
+def profile_write(spark, sf):
+    """K3: the proportions per feature as CSV folders, read back."""
+    tables = prof.profile(_base(spark, sf), [], ["p_brand", "p_type"])
+    path = shared_path(spark, "profile_write")
+    prof.write_profile({"proportions_categorical": tables["proportions_categorical"]}, path, "csv")
+    schema = "value string, count bigint, proportion double, feature string"
+    back = spark.read.option("header", True).schema(schema).csv(f"{path}/proportions_categorical")
+    return back.select("feature", "value", "count", "proportion")
+
+
 def train_and_predict(spark, sf):
     """Feature table -> model selection (linear family) -> score the test rows."""
     root = shared_path(spark, "train_and_predict")
@@ -618,6 +739,7 @@ QUERIES = {
     "filter_not_equal_drop_null": filter_not_equal_drop_null,
     "try_cast_dropna": try_cast_dropna,
     "output_projection": output_projection,
+    "output_projection_by_name": output_projection_by_name,
     "sentinel_to_null": sentinel_to_null,
     "dataset_shape": dataset_shape,
     "head_rows": head_rows,
@@ -629,6 +751,7 @@ QUERIES = {
     "impute_median": impute_median,
     "impute_mode": impute_mode,
     "quantiles": quantiles,
+    "quantiles_wide": quantiles_wide,
     # aggregates
     "value_proportions": value_proportions,
     "mode_values": mode_values,
@@ -640,6 +763,9 @@ QUERIES = {
     "profile_proportions": profile_proportions,
     "profile_top_categories": profile_top_categories,
     "profile_mean_target": profile_mean_target,
+    "profile_label_distribution": profile_label_distribution,
+    "profile_mean_numeric": profile_mean_numeric,
+    "profile_write": profile_write,
     "global_mean": global_mean,
     "frequent_values": frequent_values,
     "distinct_values": distinct_values,
@@ -666,6 +792,11 @@ QUERIES = {
     "fit_params": fit_params,
     "apply_params": apply_params,
     "hash_split": hash_split,
+    "split_and_sample_invariants": split_and_sample_invariants,
+    "tree_depth_one": tree_depth_one,
+    "forest_one_tree": forest_one_tree,
+    "ridge_score": ridge_score,
+    "cv_ridge": cv_ridge,
     # rows-only
     "random_split": random_split,
     "sample_with_replacement": sample_with_replacement,

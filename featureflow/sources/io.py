@@ -95,7 +95,7 @@ def ingest_cached(spark: SparkSession, raw_path: str, parquet_path: str, schema_
 def validate_dataset(df: DataFrame, label: str | None = None, mode: str = "train") -> DataFrame:
     """Reject an empty table, and a training table without its label column."""
     if df.isEmpty():
-        raise ValueError("The dataset is empty.")
+        raise ValueError(f"no row to {mode} with; columns found: {df.columns}")
     if mode == "train" and label is not None and label not in df.columns:
-        raise ValueError(f"The target variable {label!r} is missing.")
+        raise ValueError(f"cannot train without the label column {label!r}; columns found: {df.columns}")
     return df

@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from featureflow.plans import features as feat
-from featureflow.session import shared_path
 from featureflow.spec import FeatureSpec
 
 
@@ -41,12 +40,11 @@ def score_stream(stream: DataFrame, dim: DataFrame | None, spec: FeatureSpec, fe
     return scored.select(*[c for c in output_columns if c in scored.columns], "prediction")
 
 
-def start_to_parquet(scored: DataFrame, out_path: str, checkpoint: str | None = None,
+def start_to_parquet(scored: DataFrame, out_path: str, checkpoint: str,
                      available_now: bool = True) -> StreamingQuery:
-    """Parquet sink with its checkpoint in the shared checkpoint folder
-    (exactly-once file output; a restarted query resumes from the log)."""
-    spark = scored.sparkSession
+    """Parquet sink with its log in ``checkpoint``, a folder on shared storage
+    that stays the same over restarts (exactly-once file output)."""
     writer = (scored.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint or shared_path(spark, "stream-checkpoint")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start(out_path)

@@ -19,7 +19,7 @@ def test_stream_scoring_equals_batch(spark, sf):
     batch = model.transform(fm.transform(static)).select(*cols, "prediction")
     stream = read_stream(spark, sf, li.schema, file_glob="lineitem.parquet")
     out = shared_path(spark, "stream-out")
-    q = start_to_parquet(score_stream(stream, part, presets.TPCH, fm, model, cols), out)
+    q = start_to_parquet(score_stream(stream, part, presets.TPCH, fm, model, cols), out, f"{out}_log")
     q.awaitTermination(300)
     got = spark.read.parquet(out)
     # (orderkey, linenumber) is not unique in the generated data: compare multisets
