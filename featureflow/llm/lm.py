@@ -126,7 +126,8 @@ _DISTANCE = (CONTEXT + np.arange(SCORED))[:, None] - np.arange(WINDOW)[None, :]
 
 def _longest(x: np.ndarray, axis: int) -> float:
     """The largest norm along ``axis``."""
-    return float(np.sqrt((x * x).sum(axis=axis).max(initial=0)))
+    rows = np.moveaxis(x, axis, -1)
+    return float(np.sqrt(np.einsum("...i,...i->...", rows, rows).max(initial=0)))
 
 
 def _held(z: np.ndarray, bound: float) -> np.ndarray:
@@ -191,20 +192,26 @@ class Attention:
         m = np.maximum(h @ p["w1"] + p["b1"], 0)
         return e, q, k, v, s, c, h, m, h + m @ p["w2"]
 
-    def _target_logs(self, g: np.ndarray, y: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    def _output_norms(self) -> tuple[float, float, float, float]:
+        """What bounds the outputs: longest weights and largest offset of the classes, and of the members."""
+        p = self.params
+        return (_longest(p["group"], 0), float(np.abs(p["group0"]).max()),
+                _longest(p["member"], 1), float(np.abs(p["member0"]).max()))
+
+    def _target_logs(self, g: np.ndarray, y: np.ndarray, raw: np.ndarray, norms: tuple) -> np.ndarray:
         """Natural logs of the probabilities of outputs ``y`` (raw ids ``raw``) given the last layer ``g``."""
         p = self.params
-        group = np.minimum(y // MEMBERS, CLASSES)
+        group = np.minimum(y // MEMBERS, CLASSES).astype(np.uint8)      # one byte: sorted by counting
         ones = np.ones(max(CLASSES + 1, MEMBERS), np.float32)
-        longest = np.sqrt((g * g).sum(axis=1).max(initial=0))
-        z = _held(g @ p["group"] + p["group0"], longest * _longest(p["group"], 0) + np.abs(p["group0"]).max())
+        longest = _longest(g, 1)
+        z = _held(g @ p["group"] + p["group0"], longest * norms[0] + norms[1])
         logp = z[np.arange(len(y)), group] + self.tail[raw]
         norm = np.exp(z) @ ones[:CLASSES + 1]
         order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
+        edges = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=CLASSES + 1))])
         sorted_g, member = g[order], y[order] % MEMBERS
         inner, inner_norm = np.zeros(len(y), np.float32), np.ones(len(y), np.float32)
-        bound = longest * _longest(p["member"], 1) + np.abs(p["member0"]).max()
+        bound = longest * norms[2] + norms[3]
         for c in range(CLASSES):
             own = slice(edges[c], edges[c + 1])
             z = _held(sorted_g[own] @ p["member"][c] + p["member0"][c], bound)
@@ -219,7 +226,7 @@ class Attention:
         scored = target != PAD
         out = np.zeros(target.shape)
         g = self._attend(self.place[ids[:, :-1]], scored)[-1]
-        out[scored] = self._target_logs(g, self.place[target[scored]], target[scored])
+        out[scored] = self._target_logs(g, self.place[target[scored]], target[scored], self._output_norms())
         return out
 
     def document_scores(self, stream: np.ndarray, bounds: np.ndarray, at_once: int = 128) -> np.ndarray:
@@ -244,6 +251,7 @@ class Attention:
         targets[begin[:-1] + LEAD - 1] = PAD
         owner = np.repeat(np.arange(len(number)), LEAD + number * SCORED)
         bias = np.where(_DISTANCE >= 0, p["rel"][np.maximum(_DISTANCE, 0)], np.float32(-1e9))
+        norms, most = self._output_norms(), float(np.abs(p["rel"]).max())
         for low in range(0, len(inputs) - LEAD, at_once * SCORED):
             part = slice(low, min(len(inputs), low + LEAD + at_once * SCORED))
             x = self.place[inputs[part]]
@@ -261,7 +269,7 @@ class Attention:
             values = view(v[LEAD - CONTEXT:], (n, WINDOW, DIM + 1), (SCORED * v.strides[0], *v.strides))
             s = q @ keys.transpose(0, 2, 1)
             s += bias
-            np.exp(_held(s, _longest(q, 2) * _longest(k, 1) + np.abs(p["rel"]).max()), out=s)
+            np.exp(_held(s, _longest(q, 2) * _longest(k, 1) + most), out=s)
             c = (s @ values).reshape(-1, DIM + 1)
             wanted = targets[part][LEAD:]
             live = np.flatnonzero(wanted != PAD)
@@ -269,7 +277,7 @@ class Attention:
             h = own[live] + (c[:, :DIM] / c[:, DIM:]) @ p["o"]
             g = h + np.maximum(h @ p["w1"] + p["b1"], 0) @ p["w2"]
             raw = wanted[live]
-            logs = self._target_logs(g, self.place[raw], raw)
+            logs = self._target_logs(g, self.place[raw], raw, norms)
             total += np.bincount(owner[part][LEAD:][live], weights=logs, minlength=len(total))
         return total
 
@@ -456,16 +464,19 @@ def _scoring(ranks, model: Attention, keys: np.ndarray, counts: np.ndarray):
                 sums = np.concatenate([[0], np.cumsum(per_word[inverse])])
                 known = np.concatenate([[0], np.cumsum(common[inverse])])
                 a, b = w.bounds[:-1], w.bounds[1:]
-                rare, other = [], ~common[inverse]
-                for i in range(part.num_rows):
-                    values, times = np.unique(h[a[i]:b[i]][other[a[i]:b[i]]], return_counts=True)
-                    rare.append([{"key": x, "n": t} for x, t in zip(values.view(np.int64).tolist(), times.tolist(),
-                                                                    strict=True)])
+                # (document, distinct word) pairs of the other words, in one sort
+                other = np.flatnonzero(~common[inverse])
+                owner = np.repeat(np.arange(part.num_rows), b - a)[other]
+                pairs, times = np.unique(owner * len(uniq) + inverse[other], return_counts=True)
+                whose, which = np.divmod(pairs, max(len(uniq), 1))
+                rare = pa.ListArray.from_arrays(
+                    pa.array(np.searchsorted(whose, np.arange(part.num_rows + 1)).astype(np.int32)),
+                    pa.StructArray.from_arrays([pa.array(uniq[which].view(np.int64)), pa.array(times.astype(np.int64))],
+                                               ["key", "n"]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + part.num_rows)), part.column("id"), part.column("held_out"),
                      pa.array(b - a + 1), pa.array(known[b] - known[a]), pa.array(sums[b] - sums[a]),
-                     pa.array(score / np.log(10)),
-                     pa.array(rare, pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())])))],
+                     pa.array(score / np.log(10)), rare],
                     ["row", "id", "held_out", "n_tokens", "known", "sums", "score", "rare"])
                 row += part.num_rows
     return run
