@@ -21,8 +21,8 @@ def main(argv=None):
     args = p.parse_args(argv)
     spark = session(args, "featureflow-build")
     spec = PRESETS[args.preset]
-    fact = load_table(spark, args.raw_flights, f"{args.out}/ingest", "fact")
-    dim = load_table(spark, args.raw_plane, f"{args.out}/ingest", "dim") if args.raw_plane else None
+    fact = load_table(spark, args.raw_flights, f"{args.out}/ingest", "fact", spec)
+    dim = load_table(spark, args.raw_plane, f"{args.out}/ingest", "dim", spec) if args.raw_plane else None
     io.validate_dataset(fact, spec.label)
     if args.sample:
         fact = fact.sample(withReplacement=True, fraction=args.sample, seed=42)

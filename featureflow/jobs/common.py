@@ -27,11 +27,20 @@ def report(metrics, path: str | None) -> None:
     metrics.show(truncate=False)
 
 
-def load_table(spark, path: str, work_dir: str | None, name: str):
+def raw_types(spec) -> dict:
+    """Types of the raw columns that are not cast by the static stage: calendar columns and the filtered flag."""
+    types = {name: "int" for c in spec.cyclic for name in (c.name, c.month_col) if name}
+    if spec.exclude is not None and isinstance(spec.exclude[1], int):
+        types[spec.exclude[0]] = "int"
+    return types
+
+
+def load_table(spark, path: str, work_dir: str | None, name: str, spec):
     """CSV is ingested once into Parquet under ``work_dir``; Parquet is read as is."""
     from featureflow.sources import io
     if path.endswith(".parquet"):
         return io.read_parquet(spark, path)
     if work_dir:
-        return io.ingest_cached(spark, path, f"{work_dir}/{name}.parquet", f"{work_dir}/{name}_schema")
-    return io.read_csv(spark, path)
+        return io.ingest_cached(spark, path, f"{work_dir}/{name}.parquet", f"{work_dir}/{name}_schema",
+                                types=raw_types(spec))
+    return io.read_csv(spark, path, types=raw_types(spec))

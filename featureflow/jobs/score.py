@@ -25,8 +25,8 @@ def main(argv=None):
     args = p.parse_args(argv)
     spark = session(args, "featureflow-score")
     spec = PRESETS[args.preset]
-    fact = load_table(spark, args.raw_flights, args.work, "fact")
-    dim = load_table(spark, args.raw_plane, args.work, "dim") if args.raw_plane else None
+    fact = load_table(spark, args.raw_flights, args.work, "fact", spec)
+    dim = load_table(spark, args.raw_plane, args.work, "dim", spec) if args.raw_plane else None
     io.validate_dataset(fact, mode="predict")
     data = feat.preprocess_new(fact, dim, spec, feat.FeatureModel.load(args.params))
     if args.all:

@@ -51,12 +51,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     """Spread ``df`` over at least ``min_partitions`` tasks (default: the
     cluster's default parallelism) before iterative work such as model fits.
 
-    Only ever raises the partition count: a large input already has more
-    partitions than cores and is left as it is.
+    An input of that many files is read by as many tasks already and is left as
+    it is.  Only the file listing of the plan is asked: nothing is executed.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - remote sessions: leave sizing to AQE
         return df
-    return df.repartition(target) if current < target else df
+    return df if len(df.inputFiles()) >= target else df.repartition(target)

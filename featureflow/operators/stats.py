@@ -232,19 +232,26 @@ def summary_stats(df: DataFrame, columns: Sequence[str], relative_error: float |
     return row.select(F.inline(F.array(*rows)))
 
 
+def correlation(a, b):
+    """Pearson correlation of the rows where both are known; NULL, not an error, if one is constant there."""
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
+    a, b = a.cast(DoubleType()), b.cast(DoubleType())
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str], zero_fill: bool = True) -> DataFrame:
     """Pearson correlation, long form ``(feature_a, feature_b, corr)`` for all pairs.
 
     NULLs are zero-filled first (as the profiling job does); one aggregate
-    computes the k(k+1)/2 distinct pairs.
+    computes the k(k+1)/2 distinct pairs.  A constant column has NULL.
     """
     cols = list(columns)
     data = df.select(*cols)
     if zero_fill:
         data = data.fillna(0, subset=cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    row = data.agg(*[F.corr(F.col(a).cast(DoubleType()), F.col(b).cast(DoubleType())).alias(f"c{i}")
-                     for i, (a, b) in enumerate(pairs)])
+    row = data.agg(*[correlation(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     structs = []
     for i, (a, b) in enumerate(pairs):
         structs.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),

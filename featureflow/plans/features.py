@@ -262,9 +262,12 @@ class FeatureModel(Model, _StateParams, DefaultParamsReadable, DefaultParamsWrit
                  for f, m in st["means"].items()}
         if means:
             df = df.withColumns(means)
-        assembler = VectorAssembler(inputCols=self.feature_columns(), outputCol="features",
-                                    handleInvalid="error")
-        return assembler.transform(df)
+        return assemble(df, self.feature_columns())
+
+
+def assemble(df: DataFrame, columns, output: str = "features") -> DataFrame:
+    """Numeric columns as one vector; a NULL is an error, never a dropped row."""
+    return VectorAssembler(inputCols=list(columns), outputCol=output, handleInvalid="error").transform(df)
 
 
 # ---------------------------------------------------------------- C4 - C7 orchestration

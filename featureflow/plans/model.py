@@ -52,9 +52,23 @@ def make_estimator(family: str, features_col: str, label: str, seed: int = 42):
     raise ValueError(f"unknown model family {family!r}")
 
 
+def make_scaler(features_col: str, scaled_col: str) -> StandardScaler:
+    """Zero mean, unit sample deviation."""
+    return StandardScaler(inputCol=features_col, outputCol=scaled_col, withMean=True, withStd=True)
+
+
+class ScaledPipeline(Pipeline):
+    """Scaler, then regressor; a grid over the regressor's params fits the scaler once a fold."""
+
+    def fitMultiple(self, dataset, paramMaps):
+        scaler, estimator = self.getStages()
+        scaling = scaler.fit(dataset)
+        fits = estimator.fitMultiple(scaling.transform(dataset), paramMaps)
+        return map(lambda fit: (fit[0], PipelineModel([scaling, fit[1]])), fits)
+
+
 def scaled_pipeline(estimator, features_col: str = "features", scaled_col: str = "scaledFeatures") -> Pipeline:
-    scaler = StandardScaler(inputCol=features_col, outputCol=scaled_col, withMean=True, withStd=True)
-    return Pipeline(stages=[scaler, estimator])
+    return ScaledPipeline(stages=[make_scaler(features_col, scaled_col), estimator])
 
 
 def training_set(df: DataFrame, label: str, features_col: str = "features",
@@ -71,13 +85,14 @@ def training_set(df: DataFrame, label: str, features_col: str = "features",
 
 def cross_validate(train: DataFrame, family: str, label: str, grid_values=None, folds: int = 5,
                    seed: int = 42, parallelism: int | None = None, features_col: str = "features",
-                   fold_col: str | None = None):
+                   fold_col: str | None = None, persist: bool = True):
     """Grid search with k-fold CV on RMSE.  Returns (cv_model, best_param, best_value).
 
     ``fold_col`` names an INT column of fold numbers 0 .. folds-1 (a hash of the
     key makes the folds independent of the layout); without it rows are dealt
     at random by ``seed``.  Grid points are fitted concurrently (``parallelism``, default one per grid
-    value); they share the persisted training set.
+    value); they share the persisted training set and, in a fold, one fitted
+    scaler.  ``persist=False``: ``train`` is cheap to read (part of a persisted set).
     """
     est = make_estimator(family, "scaledFeatures", label, seed)
     pname, default_values = GRIDS[family]
@@ -88,7 +103,7 @@ def cross_validate(train: DataFrame, family: str, label: str, grid_values=None,
                         evaluator=evaluator, numFolds=folds, seed=seed,
                         parallelism=parallelism or len(values), foldCol=fold_col or "")
     # every fold re-reads its input: keep only the two needed columns, persisted
-    owned = not train.storageLevel.useMemory and not train.storageLevel.useDisk
+    owned = persist and not train.storageLevel.useMemory and not train.storageLevel.useDisk
     data = training_set(train, label, features_col, fold_col) if owned else train
     try:
         model = cv.fit(data)
@@ -125,13 +140,12 @@ def train_select(train_df: DataFrame, label: str, families=FAMILIES, grids: dict
     spark = train_df.sparkSession
     data = training_set(train_df, label, features_col)
     fit_part, test_part = data.randomSplit([1.0 - holdout, holdout], seed=seed)
-    fit_part = fit_part.persist(StorageLevel.MEMORY_AND_DISK)
     rows, models = [], {}
     try:
         for fam in families:
             values = (grids or {}).get(fam)
             cv_model, pname, best = cross_validate(fit_part, fam, label, values, folds, seed, parallelism,
-                                                   features_col)
+                                                   features_col, persist=False)
             m = regression_metrics(cv_model.transform(test_part), label).first()
             rows.append((fam, float(m["rmse"]), float(m["mae"]), float(m["r2"]), pname, float(best)))
             final = retrain_best(data, fam, label, pname, best, seed, features_col)
@@ -139,7 +153,6 @@ def train_select(train_df: DataFrame, label: str, families=FAMILIES, grids: dict
                 final.write().overwrite().save(f"{save_dir}/retrained_{fam}")
             models[fam] = final
     finally:
-        fit_part.unpersist()
         data.unpersist()
     metrics = spark.createDataFrame(
         rows, "model string, rmse double, mae double, r2 double, best_param string, best_value double")

@@ -15,6 +15,7 @@ shares, proportions, top-k and mean labels are all read from it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,9 @@ from pyspark.sql.types import DoubleType
 
 from featureflow.functions.columns import is_missing
 from featureflow.operators import stats
+from featureflow.plans.features import static_features
 from featureflow.session import checkpoint_root
+from featureflow.spec import FeatureSpec
 
 
 def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str | None = None,
@@ -82,6 +85,17 @@ def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], l
     return out
 
 
+def profile_frame(fact: DataFrame, dim: DataFrame | None, spec: FeatureSpec, years: Sequence[str] = ()) -> DataFrame:
+    """What the profile describes: the joined table, typed, rows without label out.
+
+    Unlike the feature table it keeps cancelled rows and the identifier
+    columns.  ``years`` are categories profiled as numbers too: cast like the
+    numeric columns.
+    """
+    df = static_features(fact, dim, replace(spec, exclude=None, useless=(), cyclic=()))
+    return df.withColumns({c: F.col(c).try_cast(spec.cast_type) for c in years if c in df.columns})
+
+
 def _shares(counts: DataFrame, total) -> DataFrame:
     """``(feature, value, count, proportion)``: percentages of ``total`` from a count table."""
     return counts.select("feature", "value", F.col("n").alias("count"),
@@ -107,7 +121,7 @@ def _numeric_overview(df: DataFrame, cols: Sequence[str], relative_error: float
     zero = {c: F.nanvl(F.coalesce(F.col(c).cast(DoubleType()), F.lit(0.0)), F.lit(0.0)) for c in cols}
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):
-            aggs.append(F.corr(zero[a], zero[cols[j]]).alias(f"c{i}_{j}"))
+            aggs.append(stats.correlation(zero[a], zero[cols[j]]).alias(f"c{i}_{j}"))
     checkpoint_root(df.sparkSession)
     row = df.agg(*aggs).checkpoint(eager=True)
     r = row.first()

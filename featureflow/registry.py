@@ -9,7 +9,7 @@ Floating results are rounded so the DuckDB oracle compares exactly.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
@@ -336,9 +336,10 @@ def mean_encode_median_default(spark, sf):
 
 
 def encoder_choice(spark, sf):
-    f = stats.frequent_values(_t(spark, sf, "part"), ["p_brand", "p_type"], 0.02)
-    n = f.groupBy("feature").agg(F.count(F.lit(1)).alias("n_frequent"))
-    return n.withColumn("kind", F.when(F.col("n_frequent") + 1 <= 10, F.lit("binary")).otherwise(F.lit("mean")))
+    frequent = encode.learn_frequent(_t(spark, sf, "part"), ["p_brand", "p_type"], 0.02)
+    kinds = encode.encoder_choice(frequent, 10, "mean")
+    return spark.createDataFrame([(f, len(frequent[f]), kinds[f]) for f in kinds],
+                                 "feature string, n_frequent bigint, kind string")
 
 
 def string_index(spark, sf):
@@ -356,20 +357,20 @@ def one_hot(spark, sf):
 
 def assemble_features(spark, sf):
     li = _t(spark, sf, "lineitem")
-    v = VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(li)
+    v = feat.assemble(li, ["l_quantity", "l_discount", "l_tax"])
     return v.select(*KEYS, vector_to_array("features").alias("features"))
 
 
 def z_score(spark, sf):
     li = _t(spark, sf, "lineitem").select(*KEYS, "l_quantity")
-    v = VectorAssembler(inputCols=["l_quantity"], outputCol="x").transform(li)
-    z = StandardScaler(inputCol="x", outputCol="zx", withMean=True, withStd=True).fit(v).transform(v)
+    v = feat.assemble(li, ["l_quantity"], "x")
+    z = mdl.make_scaler("x", "zx").fit(v).transform(v)
     return z.select(*KEYS, _r(vector_to_array("zx")[0], 9).alias("z"))
 
 
 def _ols(spark, sf):
     li = _t(spark, sf, "lineitem").select(*KEYS, "l_quantity", LABEL)
-    v = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
+    v = feat.assemble(li, ["l_quantity"])
     m = LinearRegression(featuresCol="features", labelCol=LABEL, regParam=0.0, solver="normal").fit(v)
     return m.transform(v)
 
@@ -656,7 +657,7 @@ def _saved_ols(spark, sf, name="retrained_ols"):
     from pyspark.ml import Pipeline
     li = _t(spark, sf, "lineitem").select(*KEYS, "l_quantity", LABEL)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=["l_quantity"], outputCol="features"),
-                            StandardScaler(inputCol="features", outputCol="scaledFeatures", withMean=True, withStd=True),
+                            mdl.make_scaler("features", "scaledFeatures"),
                             LinearRegression(featuresCol="scaledFeatures", labelCol=LABEL, regParam=0.0,
                                              solver="normal")])
     root = shared_path(spark, "ols_models")
@@ -716,12 +717,13 @@ def profile_write(spark, sf):
 
 
 def train_and_predict(spark, sf):
-    """Feature table -> model selection (linear family) -> score the test rows."""
+    """Feature table -> model selection over all families -> the best one scores the test rows."""
     root = shared_path(spark, "train_and_predict")
     train, test = feat.build_feature_table(_t(spark, sf, "lineitem"), _t(spark, sf, "part"), presets.TPCH,
                                            f"{root}/features", split_key="l_orderkey")
-    _, models = mdl.train_select(train, LABEL, families=("Linear_Regression",), save_dir=f"{root}/models")
-    pred, _ = mdl.score(test, models["Linear_Regression"], LABEL)
+    metrics, models = mdl.train_select(train, LABEL, save_dir=f"{root}/models")
+    best = metrics.orderBy("rmse", "model").first()["model"]
+    pred, _ = mdl.score(test, models[best], LABEL)
     return pred.select("l_orderkey", "l_linenumber", LABEL, "prediction")
 
 

@@ -78,13 +78,35 @@ def _context(spark: SparkSession):
         return None
 
 
+_SCRATCH: set[str] = set()
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the shared checkpoint folder; removed when the application ends."""
+    root = f"{checkpoint_root(spark)}/featureflow"
+    sc = _context(spark)
+    if sc is None:
+        return root
+    root = f"{root}/{sc.applicationId}"
+    if root not in _SCRATCH:
+        path = sc._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _SCRATCH.add(root)
+    return root
+
+
 def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
-    """A fresh path under the shared checkpoint folder (never a machine-local tmp)."""
-    root = checkpoint_root(spark)
+    """A fresh path under the shared checkpoint folder (never a machine-local tmp).
+
+    For what is read back within the application: it goes with the application.
+    """
+    root = scratch_root(spark)
     leaf = "/".join(p.strip("/") for p in parts if p)
     if unique:
         leaf = f"{leaf}-{uuid.uuid4().hex[:12]}" if leaf else uuid.uuid4().hex[:12]
-    return f"{root}/featureflow/{leaf}"
+    return f"{root}/{leaf}"
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -11,15 +11,23 @@ import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from featureflow.plans.features import path_exists
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             header: bool = True) -> DataFrame:
-    """CSV (glob and .bz2/.gz accepted).  With a schema no inference pass runs."""
+             header: bool = True, types: dict | None = None) -> DataFrame:
+    """CSV (glob and .bz2/.gz accepted).  With a schema no inference pass runs.
+
+    ``types`` gives the types of some columns by name, all others are text:
+    only the header line is read to build the schema.  Text that is no value
+    of a column's type is NULL.
+    """
     reader = spark.read.option("header", header)
+    if schema is None and types is not None:
+        names = spark.read.option("header", header).csv(path).columns
+        schema = StructType([StructField(n, DataType.fromDDL(types.get(n, "string"))) for n in names])
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -73,7 +81,7 @@ def fingerprint(spark: SparkSession, path: str) -> str:
 
 
 def ingest_cached(spark: SparkSession, raw_path: str, parquet_path: str, schema_path: str,
-                  schema: StructType | None = None) -> DataFrame:
+                  schema: StructType | None = None, types: dict | None = None) -> DataFrame:
     """Read Parquet if this raw input was ingested before, else CSV -> Parquet (+ schema and source sidecars).
 
     The copy is used only when it is finished (``_SUCCESS``) and was made from
@@ -85,7 +93,7 @@ def ingest_cached(spark: SparkSession, raw_path: str, parquet_path: str, schema_
     if all(path_exists(spark, f"{p}/_SUCCESS") for p in (parquet_path, schema_path, source_path)):
         if not now or spark.read.text(source_path).first()["value"] == now:
             return read_parquet(spark, parquet_path, load_schema(spark, schema_path))
-    df = read_csv(spark, raw_path, schema)
+    df = read_csv(spark, raw_path, schema, types=types)
     df.write.mode("overwrite").parquet(parquet_path)
     save_schema(spark, df.schema, schema_path)
     spark.createDataFrame([(now,)], "value string").coalesce(1).write.mode("overwrite").text(source_path)

@@ -5,13 +5,13 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-SLOW = {"model_comparison", "cv_linear", "retrain_best", "train_and_predict", "score_all_models",
-        "score_and_write", "forest_score"}
+FAMILIES = {"Linear_Regression", "Decision_Tree", "Random_Forest"}
 
 
 def _norm(v):
@@ -47,9 +47,51 @@ def test_against_oracle(spark, sf, con, name):
     assert _digest(df.columns, rows) == _digest(ocols, cur.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW))
-def test_rows_only_queries_run(spark, sf, name):
-    assert E.queries()[name](spark, sf).count() >= 0
+@pytest.fixture(scope="module")
+def facts(spark, sf):
+    return sorted((r[0], r[1]) for r in spark.read.parquet(f"{sf}/lineitem.parquet").join(
+        spark.read.parquet(f"{sf}/part.parquet"), F.col("l_partkey") == F.col("p_partkey"))
+        .filter("l_returnflag <> 'A'").select("l_orderkey", "l_linenumber").collect())
+
+
+def test_models_predict_every_row(spark, sf, facts):
+    """One prediction per row of the feature table, nearer to the label than its mean is."""
+    for name in ("tree_score", "forest_score"):
+        rows = E.queries()[name](spark, sf).toPandas()
+        assert sorted(zip(rows.l_orderkey, rows.l_linenumber)) == facts
+        spread = ((rows.l_extendedprice - rows.l_extendedprice.mean()) ** 2).sum()
+        assert ((rows.l_extendedprice - rows.prediction) ** 2).sum() < spread
+    for name in ("model_roundtrip", "score_and_write"):
+        rows = E.queries()[name](spark, sf).toPandas()
+        assert sorted(zip(rows.l_orderkey, rows.l_linenumber)) == facts and rows.prediction.notna().all()
+
+
+def test_grid_search_and_selection(spark, sf):
+    cv = E.queries()["cv_linear"](spark, sf).collect()
+    best = min(cv, key=lambda r: r.avg_rmse)
+    assert [r.value for r in cv] == [0.1, 0.3, 0.5] and [r.value for r in cv if r.is_best] == [best.value]
+    kept, = E.queries()["retrain_best"](spark, sf).collect()
+    assert kept.value == best.value and 0 < kept.r2 < 1
+    scored = {r.model: r for r in E.queries()["score_all_models"](spark, sf).collect()}
+    assert set(scored) == {f"retrained_{f}" for f in FAMILIES}
+    assert all(0 < r.mae <= r.rmse and r.r2 < 1 for r in scored.values())
+
+
+def test_whole_selection_and_prediction(spark, sf, facts):
+    found = {r.model: r for r in E.queries()["model_comparison"](spark, sf).collect()}
+    # features say little about this label: no family does much worse than its mean on rows it has not seen
+    assert set(found) == FAMILIES and all(0 < r.mae <= r.rmse for r in found.values())
+    assert max(r.r2 for r in found.values()) > -0.05
+    assert found["Decision_Tree"].best_value in (5, 10, 20) and found["Random_Forest"].best_value in (10, 50, 100)
+    rows = E.queries()["train_and_predict"](spark, sf).toPandas()
+    assert set(zip(rows.l_orderkey, rows.l_linenumber)) < set(facts) and rows.prediction.notna().all()
+    spread = ((rows.l_extendedprice - rows.l_extendedprice.mean()) ** 2).sum()
+    assert ((rows.l_extendedprice - rows.prediction) ** 2).sum() < 1.05 * spread
+
+
+def test_samples_hold_only_rows_of_their_input(spark, sf):
+    for name in ("random_split", "sample_with_replacement", "sample_without_replacement"):
+        assert E.queries()[name](spark, sf).count() > 0
 
 
 def test_entry(spark):

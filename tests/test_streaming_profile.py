@@ -43,6 +43,22 @@ def test_profile_tables(spark, sf):
     prof.write_profile(t, shared_path(spark, "profile-out"), "csv")
 
 
+def test_a_constant_column_has_no_correlation(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3), (2.0, 4.0, 3), (4.0, 8.0, 3)], "a double, b double, c int")
+    got = {(r.feature_a, r.feature_b): r["corr"] for r in stats.corr_matrix(df, ["a", "b", "c"]).collect()}
+    assert abs(got["a", "b"] - 1) < 1e-12 and got["a", "c"] is None and got["c", "c"] is None
+    t = prof.profile(df, ["a", "b", "c"], [])
+    assert {(r.feature_a, r.feature_b): r["corr"] for r in t["correlation"].collect()}["b", "c"] is None
+
+
+def test_profile_frame_keeps_all_rows_and_identifiers(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    df = prof.profile_frame(li, part, presets.TPCH)
+    assert df.count() == li.count() > feat.static_features(li, part, presets.TPCH).count()
+    assert set(presets.TPCH.useless) & set(li.columns) <= set(df.columns)
+
+
 def test_profile_numeric_tables_equal_single_operators(spark, sf):
     li = spark.read.parquet(f"{sf}/lineitem.parquet").withColumn("l_tax", F.nullif(F.col("l_tax"), F.lit(0.0)))
     cols = ["l_quantity", "l_discount", "l_tax"]
