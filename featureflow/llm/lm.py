@@ -299,24 +299,33 @@ class Attention:
         z /= n
         grads["group"], grads["group0"] = g.T @ z, z.sum(axis=0)
         dg = z @ p["group"].T
-        order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for i in range(CLASSES):
-            rows = order[edges[i]:edges[i + 1]]
-            if len(rows):
-                z = g[rows] @ p["member"][i] + p["member0"][i]
-                z = np.exp(z - z.max(axis=1, keepdims=True))
-                z /= z.sum(axis=1, keepdims=True)
-                z[np.arange(len(rows)), y[rows] % MEMBERS] -= 1
-                z /= n
-                grads["member"][i], grads["member0"][i] = g[rows].T @ z, z.sum(axis=0)
-                dg[rows] += z @ p["member"][i].T
+        # members: the rows sorted by class, so that a class' rows are one slice
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        edges = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=CLASSES + 1))])
+        slices = [slice(edges[i], edges[i + 1]) for i in range(CLASSES)]
+        order = order[:edges[CLASSES]]
+        own_g, own_y = g[order], y[order]
+        z = np.empty((len(order), MEMBERS), np.float32)
+        for i, rows in enumerate(slices):
+            np.matmul(own_g[rows], p["member"][i], out=z[rows])
+        z += p["member0"][own_y // MEMBERS]
+        z -= z.max(axis=1, keepdims=True, initial=-np.inf)
+        np.exp(z, out=z)
+        z /= z.sum(axis=1, keepdims=True)
+        z[np.arange(len(order)), own_y % MEMBERS] -= 1
+        z /= n
+        ones, own_dg = np.ones(len(order), np.float32), np.empty_like(own_g)
+        for i, rows in enumerate(slices):
+            np.matmul(own_g[rows].T, z[rows], out=grads["member"][i])
+            np.matmul(ones[rows], z[rows], out=grads["member0"][i])
+            np.matmul(z[rows], p["member"][i].T, out=own_dg[rows])
+        dg[order] += own_dg
         grads["w2"] = m.T @ dg
         dm = (dg @ p["w2"].T) * (m > 0)
         grads["w1"], grads["b1"] = h.T @ dm, dm.sum(axis=0)
         dh = np.zeros((len(x), SCORED, DIM), np.float32)
         dh[scored] = dg + dm @ p["w1"].T
-        grads["o"] = np.einsum("bsd,bse->de", c, dh)
+        grads["o"] = c.reshape(-1, DIM).T @ dh.reshape(-1, DIM)
         dc = dh @ p["o"].T
         da = dc @ v.transpose(0, 2, 1)
         dv = a.transpose(0, 2, 1) @ dc
