@@ -11,12 +11,13 @@ windows: each scores SCORED tokens once and sees CONTEXT tokens before them.
 
 Everything that is gathered grows with the corpus and is gathered by Spark:
 
-* one pass over the training texts counts words and subwords and keeps the
-  windows of one text in ``RATE`` (by a hash of its words), or of more in a small corpus; partial counts are summed by grouped aggregates;
+* one pass over the training texts counts words and subwords and cuts every
+  text into windows; partial counts are summed by grouped aggregates;
 * the network starts from the corpus' subword shares and is trained by
-  stochastic gradient descent on the kept windows: in every round each task
-  trains a copy on its windows and the copies are averaged by parameter (a
-  grouped aggregate); only one model reaches the driver;
+  stochastic gradient descent on all windows: in every round each task
+  trains a copy on its windows and the copies, whose number grows with the
+  windows, are averaged by parameter (a grouped aggregate); only one model
+  reaches the driver;
 * the pass that scores looks up frequent words in a broadcast table of at most
   ``KNOWN_WORDS`` entries; counts of all other words come by a join.
 """
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featureflow.llm.common import stored
-from featureflow.llm.words import Words, chunks, mix64
+from featureflow.llm.words import Words, chunks
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # fixed value: the pre-token pattern the vocabulary was built with
@@ -43,8 +44,6 @@ WINDOW = CONTEXT + SCORED
 LEAD = -(-CONTEXT // SCORED) * SCORED
 DIM, INNER = 16, 32
 CLASSES, MEMBERS = 32, 32
-RATE = 32                         # one text in so many is trained on,
-LEAST_TEXTS = 4000                # but about this many at least (all, if there are fewer)
 ROUNDS = 3                        # parameter averages
 LEAST_STEPS = 240                 # steps (of BATCH windows) a copy makes in a round at least
 BATCH = 32
@@ -362,38 +361,34 @@ class Attention:
 
 
 # ---------------------------------------------------------------- Spark passes
-def _counting(ranks, share: float):
-    """Rows (kind, key, n, ids): 0 word hash and count, 1 subword and count, 2 a kept window."""
+def _counting(ranks):
+    """Rows (kind, key, n, ids): 0 word hash and count, 1 subword and count, 2 a window and its number (key)."""
 
     def rows(kind, key, n, ids=None):
         size = len(key)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(size, kind, np.int32)), pa.array(key.astype(np.int64)), pa.array(n.astype(np.int64)),
-             pa.array(ids, pa.binary()) if ids is not None else pa.nulls(size, pa.binary())], ["kind", "key", "n", "ids"])
+             ids if ids is not None else pa.nulls(size, pa.binary())], ["kind", "key", "n", "ids"])
 
     def run(batches):
         coder = Subwords(ranks)
         pieces = np.zeros(coder.start + 1, dtype=np.int64)
+        context = TaskContext.get()
+        number = (context.partitionId() if context else 0) << 40
         for batch in batches:
             for part in chunks(batch, "text", 8 << 20):
                 w = Words(part.column("text"), lower=True)
-                h = w.hashes()
-                uniq, first, times = np.unique(h, return_index=True, return_counts=True)
-                ids, begin = coder.words(w, first)
-                lengths = np.diff(np.append(begin, len(ids)))
-                pieces += np.bincount(ids, weights=np.repeat(times, lengths), minlength=len(pieces)).astype(np.int64)
-                pieces[coder.end] += part.num_rows
+                stream, bounds, (uniq, _, inverse) = coder.stream(w, w.hashes())
+                pieces += np.bincount(stream, minlength=len(pieces))
+                times = np.bincount(inverse, minlength=len(uniq))
                 yield rows(0, np.append(uniq, END_WORD).view(np.int64), np.append(times, part.num_rows))
-                sums = np.concatenate([[np.uint64(0)], np.cumsum(h, dtype=np.uint64)])
-                key = mix64(sums[w.bounds[1:]] - sums[w.bounds[:-1]])
-                drawn = np.flatnonzero((key >> np.uint64(32)) < np.uint64(int(share * (1 << 32))))
-                if len(drawn):
-                    some = Words(part.column("text").take(pa.array(drawn)), lower=True)
-                    stream, bounds, _ = coder.stream(some, some.hashes())
-                    at, doc = windows(bounds)
-                    for k in range(0, len(at), 4096):
-                        kept = gather(stream, bounds, at[k:k + 4096], doc[k:k + 4096], PAD).astype(np.uint16)
-                        yield rows(2, np.zeros(len(kept)), np.ones(len(kept)), [x.tobytes() for x in kept])
+                at, doc = windows(bounds)
+                for k in range(0, len(at), 4096):
+                    ids = gather(stream, bounds, at[k:k + 4096], doc[k:k + 4096], PAD).astype(np.uint16)
+                    edges = np.arange(len(ids) + 1, dtype=np.int32) * (2 * ids.shape[1])
+                    yield rows(2, number + np.arange(len(ids)), np.ones(len(ids)), pa.Array.from_buffers(
+                        pa.binary(), len(ids), [None, pa.py_buffer(edges), pa.py_buffer(ids)]))
+                    number += len(ids)
         used = np.flatnonzero(pieces)
         used = used[used != coder.start]
         yield rows(1, used, pieces[used])
@@ -423,15 +418,14 @@ def train(gathered: DataFrame, subwords: int) -> Attention:
     counts = np.zeros(subwords, dtype=np.float64)            # one entry per id of the vocabulary
     counts[found.column("key").to_numpy()] = found.column("n").to_numpy()
     model = Attention(counts)
-    kept = gathered.filter("kind = 2").select("ids")
-    number = kept.count()
+    cut = gathered.filter("kind = 2").select("key", "ids")
+    number = cut.count()
     if not number:
         return model
-    # the deal depends on the window alone, so a lost task deals the same windows again
+    # dealt by the stored number: a lost task deals the same windows again, and equal windows spread over the copies
     copies = -(-number // WINDOWS_PER_COPY)
-    kept = stored(kept.repartition(copies, F.xxhash64("ids")), "lm-windows")
     for r in range(ROUNDS):
-        mean = (kept.repartition(copies, F.xxhash64("ids", F.lit(r)))
+        mean = (cut.repartition(copies, F.xxhash64("key", F.lit(r))).select("ids")
                 .mapInArrow(_copy(model, 0.03 / 3 ** r, r), "i int, v double, w double")
                 .groupBy("i").agg((F.sum("v") / F.sum("w")).alias("v")).toArrow())
         flat = np.empty(mean.num_rows)
@@ -505,9 +499,8 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     """
     ranks = read_ranks(tokenizer)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), held_out.alias("held"))
-    share = min(1.0, max(1 / RATE, LEAST_TEXTS / max(1, docs.count())))
     gathered = stored(rows.filter("NOT held").select("text").mapInArrow(
-        _counting(ranks, share), "kind int, key long, n long, ids binary"), "lm-gathered")
+        _counting(ranks), "kind int, key long, n long, ids binary"), "lm-gathered")
     counts = stored(gathered.filter("kind = 0").groupBy("key").agg(F.sum("n").alias("c")).filter("c > 0"), "lm-words")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"),
                        F.coalesce(F.sum(F.when(F.col("key") == int(END_WORD), F.col("c"))), F.lit(0)).alias("end")).first()

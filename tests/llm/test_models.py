@@ -137,6 +137,21 @@ def test_lm_beats_its_start_on_held_out_documents(spark):
     assert sum(r["score"] for r in rows) / tokens > -4.6          # subword shares alone: about -6
 
 
+def test_lm_learns_from_every_training_text(spark, docs_of, monkeypatch):
+    rows = [(i, "one two three " * (i % 40)) for i in range(6000)] + [(None, "a b"), (8, None)]
+    seen = []
+    monkeypatch.setattr(lm, "train", lambda gathered, subwords: (
+        seen.extend(gathered.filter("kind = 2").collect()), lm.Attention(np.ones(subwords)))[1])
+    lm.score(docs_of(rows), crc_mod("doc_id", 7) == 2)
+    coder = lm.Subwords(lm.read_ranks())
+    learnt = [t for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
+    sizes = {t: len(coder.coder.encode_ordinary("".join(" " + w for w in (t or "").split()))) + 1 for t in set(learnt)}
+    assert len(seen) == sum(-(-sizes[t] // lm.SCORED) for t in learnt)
+    ids = np.stack([np.frombuffer(r["ids"], np.uint16) for r in seen])
+    assert (ids[:, lm.CONTEXT + 1:] != lm.PAD).sum() == sum(sizes[t] for t in learnt)
+    assert len({r["key"] for r in seen}) == len(seen)             # windows are dealt by number, equal ones too
+
+
 def test_lm_with_nothing_to_learn_from(spark, docs_of):
     assert lm.score(docs_of([]), crc_mod("doc_id", 7) == 2).count() == 0
     rows = lm.score(docs_of([(None, "a b"), (None, None)]), crc_mod("doc_id", 7) == 2).collect()
