@@ -7,9 +7,10 @@ archive's own first records.  Of records with equal payloads the one with the
 smallest page id is a ``response``, the others are ``revisit`` records that
 refer to it and carry no payload.
 
-Archives go to the shared checkpoint folder under a name that depends on the
-records' first and last id, written under a temporary name and renamed, so a
-task that is run again leaves one complete file.
+Archives go to the shared checkpoint folder under a name of the task's partition,
+the archive's running number in it and the records' first and last key, written
+under a temporary name and renamed, so a task that is run again leaves one
+complete file, and no two archives share a name whatever rows repeat.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from urllib.parse import quote
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -120,9 +122,10 @@ def _uri(folder: str) -> str:
 
 
 def _writer(folder: str):
-    def write(records: list[bytes], first, last) -> tuple[str, int]:
+    def write(records: list[bytes], first, last, part: int, number: int) -> tuple[str, int]:
         fs, base = pafs.FileSystem.from_uri(folder)
-        name = f"{hashlib.sha1(repr((first, last, len(records))).encode()).hexdigest()[:20]}.warc.zst"
+        keys = hashlib.sha1(repr((first, last, len(records))).encode()).hexdigest()[:20]
+        name = f"{part:06d}-{number:06d}-{keys}.warc.zst"
         data = pack(records)
         held = f"{base}/.{name}-{uuid.uuid4().hex}"
         with fs.open_output_stream(held) as f:
@@ -133,6 +136,7 @@ def _writer(folder: str):
     def run(batches):
         records, size, first, last = [], 0, None, None
         done = []
+        part = TaskContext.get().partitionId() if TaskContext.get() else 0
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("id", "url", "html", "sha", "first"))
             for page, url, html, sha, ref in zip(*columns, strict=True):
@@ -143,10 +147,10 @@ def _writer(folder: str):
                 records.append(record(page, url, payload, digest, ref))
                 size += len(records[-1])
                 if size >= ARCHIVE:
-                    done.append((*write(records, first, last), len(records)))
+                    done.append((*write(records, first, last, part, len(done)), len(records)))
                     records, size = [], 0
         if records:
-            done.append((*write(records, first, last), len(records)))
+            done.append((*write(records, first, last, part, len(done)), len(records)))
         yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()),
                                           pa.array([d[1] for d in done], pa.int64()),
                                           pa.array([d[2] for d in done], pa.int64())], ["archive", "bytes", "records"])

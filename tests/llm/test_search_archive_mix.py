@@ -83,6 +83,20 @@ def test_warc_round_trip(spark):
     assert warc.read_archives(spark, empty).count() == 0
 
 
+def test_warc_keeps_every_copy_of_a_repeated_row(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE", 2000)                     # a few records an archive
+    rows = [(7, "u", "<p>hot " * 50)] * 200 + [(None, None, "<p>no id " * 40)] * 100 + [(8, "v", None)] * 30
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    one = pages.coalesce(1).sortWithinPartitions("html")
+    folder = shared_path(spark, "warc-hot")
+    # twice the same file: tasks with equal rows, not dealt anew as the join is a broadcast
+    listing = warc.write_archives(one.union(one), folder).collect()
+    got = collections.Counter(r["page_id"] for r in warc.read_archives(spark, folder).collect())
+    assert len({r["archive"] for r in listing}) == len(listing) > 100
+    assert sum(r["records"] for r in listing) == sum(got.values())
+    assert got == {7: 400, None: 200, 8: 60}
+
+
 def test_archive_is_smaller_with_its_dictionary():
     records = [warc.record(i, "http://e", f"<html><nav>the same menu of every page</nav><p>{i}</p>".encode() * 3, "D", None)
                for i in range(400)]
