@@ -34,8 +34,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
-    return minhash.keep_one(docs, width=5, percent=80)
+    """One row of each near-duplicate group; rows that repeat an id or have none take part."""
+    return minhash.keep_one_row(docs, width=5, percent=80)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

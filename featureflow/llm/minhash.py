@@ -223,3 +223,25 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     found = near_duplicates(docs, id_col, text_col, width, percent)
     gone = found.filter("component_id <> id").select(F.col("id").alias("_gone")).distinct()
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+
+
+def keep_one_row(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+                 percent: int = 80) -> DataFrame:
+    """``docs`` without the near copies, by row: of each component, exactly one row stays.
+
+    Every row is a node of its own, so rows that repeat an id or have a NULL
+    one are compared like others.  The row with the smallest id stays (NULLs
+    last; of rows with that id, the one whose text has the smallest hash).  All
+    columns are returned as they were.  Rows without text or words stay.
+    """
+    # stored, so that a row keeps its number
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "minhash-rows")
+    found = near_duplicates(rows, "_row", text_col, width, percent)
+    others = cut(found.filter("component_id <> id").select(F.col("id").alias("_row"), "component_id"))
+    members = others.unionByName(others.select(F.col("component_id").alias("_row"), "component_id").distinct())
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                     F.xxhash64(text_col).alias("text"), "_row")
+    kept = (members.join(rows.select("_row", order.alias("order")), "_row").groupBy("component_id")
+            .agg(F.min("order").alias("least")).select(F.col("least._row").alias("_row")))
+    gone = members.select("_row").join(kept, "_row", "left_anti")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)

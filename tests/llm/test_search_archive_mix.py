@@ -165,6 +165,22 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, sf).columns == ["doc_id", "source", "tokens", "epoch", "block", "place", "weight"]
 
 
+def test_pipeline_leaves_one_whole_text_of_repeated_rows(spark):
+    sf = "/root/testdata/sf0.001"
+    text = {k: " ".join(f"{k}{i}" for i in range(50)) for k in "abcdef"}
+    rows = [(1, text["a"])] * 3 + [(None, text["a"])] * 2          # repeated row and copies without an id
+    rows += [(2, text["b"]), (5, text["b"]), (5, text["c"])]       # one id, of its two texts one is a copy
+    rows += [(None, text["d"])] * 2 + [(None, text["e"])]
+    rows += [(9, text["f"]), (7, text["f"] + " more"), (8, ""), (8, ""), (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 table(spark, sf, "documents").schema)
+    for stage in (corpus_pipeline.near_dedup_stage, corpus_pipeline.substring_stage):
+        docs = stage(spark, docs, sf)
+    got = collections.Counter((r["doc_id"], r["text"]) for r in docs.collect())
+    assert got == collections.Counter([(1, text["a"]), (2, text["b"]), (5, text["c"]), (None, text["d"]), (None, text["e"]),
+                                       (7, text["f"] + " more"), (8, ""), (8, ""), (None, None), (None, None)])
+
+
 def test_pipeline_takes_odd_and_empty_tables(spark):
     sf = "/root/testdata/sf0.001"
     schema = table(spark, sf, "documents").schema
