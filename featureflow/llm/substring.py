@@ -290,7 +290,9 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
               .agg(F.collect_list(F.struct("anchor", "copies", "hot", F.col("one.low").alias("low"),
                                            F.col("one.high").alias("high"),
                                            (F.col("one.high") + window).alias("end"))).alias("wanted")))
-    reference = stored(docs.select("key", "text").join(wanted, "key").mapInArrow(
+    # rows with one key are equal: one of them gives the passages
+    texts = docs.filter("text IS NOT NULL").select("key", "text").dropDuplicates(["key"])
+    reference = stored(texts.join(wanted, "key").mapInArrow(
         _reference_rows, "anchor long, copies long, hot boolean, low int, high int, key long, words binary"),
         "substring-reference")
     shards = max(1, -(-reference.filter("NOT hot").count() // SHARD_PASSAGES))

@@ -134,6 +134,22 @@ def test_substring_digests_match_brute_force(spark, docs_of, monkeypatch, hot):
     assert substring.digests(docs_of(rows).limit(0)).count() == 0
 
 
+def test_substring_reference_holds_a_passage_of_equal_rows_once(spark, docs_of, monkeypatch):
+    rows = passages()
+    rows += [rows[4]] * 20 + [(None, rows[6][1])] * 20
+    held, store = [], substring.stored
+
+    def keep(df, tag):
+        out = store(df, tag)
+        held.extend((r["anchor"], r["key"], r["low"], r["high"]) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(substring, "stored", lambda df, tag: keep(df, tag) if tag == "substring-reference" else store(df, tag))
+    got = [tuple(r) for r in substring.digests(docs_of(rows), window=10).collect()]
+    assert held and len(held) == len(set(held))
+    assert collections.Counter(got) == collections.Counter(expected_digests(rows, 10))
+
+
 def test_remove_repeats_cuts_texts(spark, docs_of):
     p = " ".join(f"w{i}" for i in range(12))
     rows = [(1, f"Start\there {p}\nend  one."), (2, f"Other {p} x"), (3, "clean text"), (4, None), (5, "")]
