@@ -107,6 +107,32 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN first <> page_id THEN first END AS refers_to FROM b JOIN f USING (hex)"""
 
+OP11 = f"""
+WITH RECURSIVE doc AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+mark AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+word AS (SELECT *, regexp_extract_all(t, '{_WORD}') AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM doc),
+cell AS MATERIALIZED (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM (
+    SELECT part, good, toxic, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+      + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t))::INT
+      + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first, false)::INT AS mask
+    FROM word LEFT JOIN mark USING (doc_id)) GROUP BY ALL),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (SELECT '' AS o, 0 AS used UNION ALL
+           SELECT o || letter, used | bit FROM orders JOIN letter ON used & bit = 0),
+step AS (SELECT o, s::INT AS step, bit, (SELECT coalesce(sum(b.bit), 0) FROM letter b WHERE instr(o, b.letter) < s)::INT AS before
+         FROM (SELECT o, unnest(range(1, 6)) AS s FROM orders WHERE used = 31) JOIN letter ON letter = substr(o, s, 1)),
+result AS (
+  SELECT part, o AS filter_order, step, bit,
+         coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost
+  FROM cell, step GROUP BY ALL)
+SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM result"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": OP1,
     "op3_substring_dedup": OP3,
@@ -114,4 +140,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_benchmark_decontamination": OP5,
     "op6_mixing_sources": OP6,
     "op10_warc": OP10,
+    "op11_filter_audit": OP11,
 }

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import html, langid, lm, mixing, quality, substring, topk, warc
+from featureflow.llm import html, langid, licenses, lm, mixing, quality, spelling, substring, topk, warc
 from featureflow.llm.common import crc_mod, table
 from featureflow.llm.decontaminate import contained_items
+from featureflow.llm.filter_audit import filter_interactions
 from featureflow.llm.minhash import near_duplicates
 from featureflow.llm.oracle import ORACLE_SQL  # noqa: F401 - registered with the queries
 from featureflow.session import shared_path
@@ -69,6 +70,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                     "refers_to")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word",
+                        F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents"), noise=97))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -80,4 +96,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_warc": op10_warc,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_license_scan": op12_license_scan,
+    "op13_spelling_variants": op13_spelling_variants,
 }
