@@ -88,7 +88,11 @@ def mean_encode(df: DataFrame, table: DataFrame, column: str, out_col: str,
                 default=None, bound: int | None = None) -> DataFrame:
     """Left lookup join with a learned (key -> mean) table; unmatched rows get
     ``default`` (a number or a Column).  The table is broadcast when its size is
-    proven small (``bound`` from the frequency threshold, else a row check)."""
+    proven small: by ``bound`` from the frequency threshold, else it is computed
+    once into the shared checkpoint folder and its rows and bytes are counted there."""
+    if bound is None:
+        checkpoint_root(df.sparkSession)
+        table = table.checkpoint(eager=True)
     if isinstance(table.schema[column].dataType, StringType) and not isinstance(df.schema[column].dataType, StringType):
         # learned keys are text: compare the column as text, keep its own type
         keyed = maybe_broadcast(table.withColumnRenamed(column, "_key"), known_bound=bound)
@@ -105,11 +109,8 @@ def median_default_encode(df: DataFrame, table: DataFrame, column: str, out_col:
                           label: str, relative_error: float | None = 0.001) -> DataFrame:
     """Lookup encoding whose default is the label median (approximate with
     ``relative_error``, exact when it is None)."""
-    if relative_error is None or relative_error <= 0:
-        med = F.lit(stats.exact_quantiles(df, [label], (0.5,))[(label, 0.5)]).cast(df.schema[label].dataType)
-    else:
-        med = df.agg(F.percentile_approx(F.col(label), 0.5, stats.accuracy_for(relative_error))).scalar()
-    return mean_encode(df, table, column, out_col, default=med)
+    median = stats.quantiles(df, [label], (0.5,), relative_error).first()[0]
+    return mean_encode(df, table, column, out_col, default=F.lit(median).cast(df.schema[label].dataType))
 
 
 # ---------------------------------------------------------------- index / one-hot

@@ -1,8 +1,8 @@
 """Learned imputation: medians for numbers, modes for categories.
 
-Both are learned in one job each: one ``percentile_approx`` aggregate for all
-numeric columns, one unpivot + group for all categorical columns.  What comes
-back to the driver is one value per column.
+Medians of all numeric columns are learned together (KLL sketches merged in two
+levels, or exact binning passes), modes of all categorical columns with one
+multistage filter.  What comes back to the driver is one value per column.
 """
 
 from __future__ import annotations
@@ -13,31 +13,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featureflow.functions.columns import null_if_in
-from featureflow.operators import stats
+from featureflow.operators import frequent, sketches, stats
 
 
 def learn_medians(df: DataFrame, columns: Sequence[str], relative_error: float | None = 0.025) -> dict:
     """Median per column (NULLs ignored): approximate with ``relative_error``
-    (one aggregate), or exact when it is None (bounded binning passes)."""
+    (one scan), or exact when it is None (bounded binning passes)."""
     if not columns:
         return {}
-    if relative_error is None or relative_error <= 0:
+    if stats.wants_exact(relative_error):
         vals = stats.exact_quantiles(df, columns, (0.5,))
-        return {c: (None if vals[(c, 0.5)] is None else float(vals[(c, 0.5)])) for c in columns}
-    acc = stats.accuracy_for(relative_error)
-    row = df.agg(*[F.percentile_approx(F.col(c), 0.5, acc).alias(c) for c in columns]).first()
-    return {c: (None if row[c] is None else float(row[c])) for c in columns}
+    else:
+        names = {(c, 0.5): f"q{i}" for i, c in enumerate(columns)}
+        row = sketches.approx_quantiles(df, names, relative_error).first()
+        vals = {key: row[name] for key, name in names.items()}
+    return {c: (None if vals[(c, 0.5)] is None else float(vals[(c, 0.5)])) for c in columns}
 
 
 def learn_modes(df: DataFrame, columns: Sequence[str], sentinels: Sequence[str] = ()) -> dict:
     """Most frequent non-NULL value per column (as text), ties to the smallest."""
-    if not columns:
-        return {}
-    data = with_sentinels_as_null(df, columns, sentinels)
-    rows = stats.mode_from_stats(stats.value_stats(data, columns)).collect()
-    out = {c: None for c in columns}
-    out.update({r["feature"]: r["value"] for r in rows})
-    return out
+    return frequent.learn_modes(with_sentinels_as_null(df, columns, sentinels), columns)
 
 
 def with_sentinels_as_null(df: DataFrame, columns: Sequence[str], sentinels: Sequence[str]) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, BooleanType, DateType, NumericType, StringType, TimestampNTZType,
                                TimestampType)
 
+from featureflow.operators.frequent import frequent_counts
+
 # Rows and bytes we are willing to ship to every executor for a dimension/lookup table.
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
 DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
@@ -53,6 +55,80 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+HEAVY_SHARE = 0.001             # a key with more of the fact rows is heavy: at most 1000 keys
+BITMAP_BITS = 32_768            # bits of one row of a key bitmap (fixed by Spark's bitmap functions)
+MAX_BITMAP_ROWS = 8_192         # rows of 4 KB: 32 MB of bits, the most that is broadcast
+
+
+def key_bitmap(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """(_bucket, _bits): one bit per hash of a key of ``df``, in ``rows`` rows (a power of two) of 4 KB."""
+    place = F.xxhash64(key).bitwiseAND(F.lit(rows * BITMAP_BITS - 1)) + F.lit(1)
+    return (df.filter(F.col(key).isNotNull()).select(place.alias("_place"))
+            .groupBy(F.bitmap_bucket_number("_place").alias("_bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits")))
+
+
+def drop_unmatched(fact: DataFrame, dim: DataFrame, key: str, dim_rows: int) -> DataFrame:
+    """``fact`` without most rows whose key is not in ``dim`` (none that is), before any shuffle.
+
+    The dimension's keys become a bitmap of 8 to 16 bits a key, broadcast as at most
+    MAX_BITMAP_ROWS rows; beyond that ``fact`` is returned as it is.
+    """
+    rows = 1 << max(0, (8 * dim_rows // BITMAP_BITS).bit_length())
+    if rows > MAX_BITMAP_ROWS:
+        return fact
+    place = F.xxhash64(key).bitwiseAND(F.lit(rows * BITMAP_BITS - 1)) + F.lit(1)
+    bit = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    held = F.getbit(byte, (bit % 8).cast("int")) == 1
+    marked = fact.withColumn("_place", place).withColumn("_bucket", F.bitmap_bucket_number("_place"))
+    return (marked.join(F.broadcast(key_bitmap(dim, key, rows)), "_bucket").filter(held)
+            .drop("_place", "_bucket", "_bits"))
+
+
+def heavy_keys(fact: DataFrame, key: str, share: float = HEAVY_SHARE) -> list[str]:
+    """Values of ``key``, as text, that more than ``share`` of the rows hold (at most 1/share)."""
+    return sorted(frequent_counts(fact.select(key), [key], share)[key].values)
+
+
+def split_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", share: float = HEAVY_SHARE,
+               prefilter: bool = True) -> DataFrame:
+    """fact JOIN dim USING (key) for a skewed fact and a dimension too large to broadcast.
+
+    * rows of heavy keys (found by a multistage filter) meet a broadcast of only
+      those keys' dimension rows, or a salted copy of them if these are many;
+    * rows without a key match nothing and are not shuffled;
+    * the rest is a plain shuffle join; where unmatched rows are dropped anyway
+      (inner, left_semi), they go before the shuffle, by a bitmap of the keys.
+
+    The dimension is copied for heavy keys only.  Column order is that of the
+    plain join; joins that keep unmatched dimension rows are refused.
+    """
+    if how not in SALTED_JOINS:
+        raise ValueError(f"a split join cannot be {how!r}, only one of {SALTED_JOINS}")
+    found = heavy_keys(fact, key, share)
+    kind = fact.schema[key].dataType
+
+    def heavy(df):
+        return F.col(key).cast("string").isin(found) if found else F.lit(False)
+
+    some = fact.filter(F.col(key).isNotNull())
+    light, rest_dim = some.filter(~heavy(some)), dim.filter(F.col(key).isNotNull() & ~heavy(dim))
+    if prefilter and how in ("inner", "left_semi"):
+        light = drop_unmatched(light, rest_dim, key, rest_dim.count())
+    out = light.join(rest_dim, key, how)
+    if found:
+        few = dim.filter(heavy(dim))
+        part = some.filter(heavy(some))
+        joined = part.join(F.broadcast(few), key, how) if is_small(few) else salted_join(part, few, key, how)
+        out = out.unionByName(joined)
+    if how in ("left", "left_outer", "left_anti"):
+        # an empty side: keeps the joined columns and their types
+        nothing = F.broadcast(dim.withColumn(key, F.lit(None).cast(kind)).filter(F.lit(False)))
+        out = out.unionByName(fact.filter(F.col(key).isNull()).join(nothing, key, how))
+    return out
+
+
 SALTED_JOINS = ("inner", "left", "left_outer", "left_semi", "left_anti")
 
 

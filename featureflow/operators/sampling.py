@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from decimal import Context, Decimal, localcontext
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,13 +33,87 @@ def hash_split(df: DataFrame, key: str, train_frac: float = 0.8) -> tuple[DataFr
     return df.filter(flag), df.filter(~flag)
 
 
-def random_split(df: DataFrame, train_frac: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """``randomSplit``: disjoint and complete; depends on the input layout."""
+DRAW_BITS = 60
+
+
+def draw(keys: Sequence[str], seed: int = 42) -> Column:
+    """A number in [0, 2**60) drawn from the row's key columns and the seed alone.
+
+    The first 60 bits of md5("seed|key|key..."), NULL keys as "(null)": the same
+    row gets the same number in any layout, session or retry.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("(null)")) for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, DRAW_BITS // 4), 16, 10).cast("long")
+
+
+def _below(share: float) -> int:
+    """The draws that a share of all draws lies below."""
+    return min(1 << DRAW_BITS, max(0, round(share * (1 << DRAW_BITS))))
+
+
+def poisson_limits(mean: float) -> list[int]:
+    """Inverse of the Poisson distribution on 60-bit draws: a draw has as many copies as limits it reaches."""
+    if not 0 <= mean <= 100:
+        raise ValueError(f"the mean number of copies must lie between 0 and 100, not {mean}")
+    with localcontext(Context(prec=60)):
+        limits, k, lam = [], 0, Decimal(mean)
+        term = cumulated = (-lam).exp()
+        while True:
+            limit = int((cumulated * (1 << DRAW_BITS)).to_integral_value())
+            if limit >= 1 << DRAW_BITS or (k > mean and limits and limit == limits[-1]):
+                return limits
+            limits.append(limit)
+            k += 1
+            term *= lam / k
+            cumulated += term
+
+
+def sample_by_key(df: DataFrame, keys: Sequence[str], fraction: float | dict, with_replacement: bool = False,
+                  seed: int = 42, strata: str | None = None) -> DataFrame:
+    """A sample whose rows depend on nothing but their keys: repeatable on any layout of the table.
+
+    Without replacement a row is taken when its draw lies below ``fraction``
+    (Bernoulli); with replacement it is repeated by the inverse Poisson
+    distribution of mean ``fraction``, as ``DataFrame.sample`` does by chance.
+    Rows with equal keys share their fate; give keys that tell rows apart.
+    With ``strata`` the fraction is a dict by the value of that column; rows of
+    other values are not taken.  A bounded literal per stratum, no shuffle.
+    """
+    if (strata is None) == isinstance(fraction, dict):
+        raise ValueError("a dict of fractions and a strata column belong together")
+    shares = fraction if isinstance(fraction, dict) else {None: fraction}
+    if not with_replacement and any(not 0 <= f <= 1 for f in shares.values()):
+        raise ValueError("a fraction without replacement lies between 0 and 1")
+    u = draw(keys, seed)
+
+    def copies(share: float) -> Column:
+        if not with_replacement:
+            return F.when(u < F.lit(_below(share)), F.lit(1)).otherwise(F.lit(0))
+        limits = poisson_limits(share)
+        return F.size(F.filter(F.array(*[F.lit(x) for x in limits]), lambda x: x <= u)) if limits else F.lit(0)
+
+    n = copies(fraction) if strata is None else F.lit(0)
+    for value, share in shares.items() if strata is not None else ():
+        n = F.when(F.col(strata).eqNullSafe(F.lit(value)), copies(share)).otherwise(n)
+    if not with_replacement:
+        return df.filter(n == 1)
+    return (df.withColumn("_copies", n).filter("_copies > 0")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies", "_copy"))
+
+
+def random_split(df: DataFrame, train_frac: float = 0.8, seed: int = 42,
+                 keys: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(train, test), disjoint and complete: by the rows' draws when ``keys`` are given (repeatable on
+    any layout), else ``randomSplit`` (depends on the input layout)."""
+    if keys is not None:
+        taken = draw(keys, seed) < F.lit(_below(train_frac))
+        return df.filter(taken), df.filter(~taken)
     a, b = df.randomSplit([train_frac, 1.0 - train_frac], seed=seed)
     return a, b
 
 
 def sample_rows(df: DataFrame, fraction: float, with_replacement: bool = False, seed: int = 42) -> DataFrame:
+    """``DataFrame.sample``: which rows are taken depends on the input layout (``sample_by_key``: on their keys)."""
     return df.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)
 
 

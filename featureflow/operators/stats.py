@@ -17,19 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from featureflow.functions.columns import is_missing
+from featureflow.operators import frequent, sketches
 from featureflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
 from featureflow.operators.quantiles import exact_quantiles
 from featureflow.session import checkpoint_root
 
-# Default accuracy of percentile_approx: rank error <= n / accuracy.
-EXACT_ACCURACY = 1_000_000
 
-
-def accuracy_for(relative_error: float | None) -> int:
-    """approxQuantile-style relative error -> percentile_approx accuracy."""
-    if relative_error is None or relative_error <= 0:
-        return EXACT_ACCURACY
-    return max(1, int(round(1.0 / relative_error)))
+def wants_exact(relative_error: float | None) -> bool:
+    """No error is allowed, or a smaller one than any sketch has."""
+    return relative_error is None or relative_error <= 0 or sketches.sketch_size(relative_error) is None
 
 
 # ---------------------------------------------------------------- one-pass core
@@ -37,9 +33,7 @@ def unpivot_features(df: DataFrame, features: Sequence[str], ids: Sequence[str]
                      value_col: str = "value") -> DataFrame:
     """Long form ``(ids..., feature, value)`` with every value as text."""
     feats = list(features)
-    # + 0.0 makes one value of 0.0 and -0.0, as groupBy does
-    plain = {f: F.col(f) + F.lit(0.0) if t in ("float", "double") else F.col(f) for f, t in df.dtypes}
-    cast = df.select(*ids, *[plain[f].cast(StringType()).alias(f) for f in feats])
+    cast = df.select(*ids, *[text.alias(f) for f, text in frequent.as_text(df, feats).items()])
     return cast.unpivot(list(ids), feats, "feature", value_col)
 
 
@@ -119,11 +113,15 @@ def frequent_values(df: DataFrame, features: Sequence[str], threshold: float) ->
     """``(feature, value, frequency)`` with frequency > threshold, NULL excluded.
 
     At most ``floor(1/threshold)`` values per feature can pass, which is what
-    bounds every table learned from it.
+    bounds every table learned from it.  They are found with a multistage
+    filter (``frequent``): the long tail of a near-unique column is never
+    shuffled.  Without a threshold (0) all values are counted.
     """
-    f = frequencies(df, features)
-    return (f.filter((F.col("frequency") > F.lit(threshold)) & F.col("value").isNotNull())
-            .select("feature", "value", "frequency"))
+    if not threshold > 0:
+        return frequencies(df, features).filter(F.col("value").isNotNull()).select("feature", "value", "frequency")
+    rows = [(f, v, c.n / counts.total) for f, counts in frequent.frequent_counts(df, features, threshold).items()
+            for v, c in counts.values.items()]
+    return df.sparkSession.createDataFrame(rows, "feature string, value string, frequency double")
 
 
 def top_k(df: DataFrame, column: str, k: int) -> DataFrame:
@@ -186,17 +184,26 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0
               relative_error: float | None = None) -> DataFrame:
     """One row: ``<col>_q<100p>`` for every column and probability.
 
-    ``relative_error`` > 0: one ``percentile_approx`` aggregate (approxQuantile
-    semantics).  ``None``: exact values from ``exact_quantiles`` (a number
-    of binning passes bounded by the type, no single-task sketch merge).
+    ``relative_error`` > 0: KLL sketches merged in two levels (``sketches``).
+    ``None``: exact values from ``exact_quantiles`` (a number of binning passes
+    bounded by the type).
     """
     names = {(c, p): f"{c}_q{int(round(p * 100))}" for c in columns for p in probs}
-    if relative_error is None or relative_error <= 0:
+    if wants_exact(relative_error):
         vals = exact_quantiles(df, columns, probs)
         types = {f.name: f.dataType for f in df.schema.fields}
         return df.sparkSession.range(1).select(*[F.lit(vals[k]).cast(types[k[0]]).alias(n) for k, n in names.items()])
-    acc = accuracy_for(relative_error)
-    return df.agg(*[F.percentile_approx(F.col(c), float(p), acc).alias(n) for (c, p), n in names.items()])
+    return sketches.approx_quantiles(df, names, relative_error)
+
+
+def quartiles(df: DataFrame, columns: Sequence[str], relative_error: float | None = None) -> dict:
+    """{(column, p): value} for p in 0.25, 0.5, 0.75: three numbers a column reach the driver."""
+    probs = (0.25, 0.5, 0.75)
+    if wants_exact(relative_error):
+        return exact_quantiles(df, columns, probs)
+    keys = [(c, p) for c in columns for p in probs]
+    row = sketches.approx_quantiles(df, {k: f"q{i}" for i, k in enumerate(keys)}, relative_error).first()
+    return {k: row[i] for i, k in enumerate(keys)}
 
 
 def summary_stats(df: DataFrame, columns: Sequence[str], relative_error: float | None = None) -> DataFrame:
@@ -204,29 +211,23 @@ def summary_stats(df: DataFrame, columns: Sequence[str], relative_error: float |
 
     One aggregate over all columns, then the single row is turned long.
     Quartiles are exact (``relative_error=None``, bounded binning passes) or
-    percentile_approx with the given relative error.
+    from KLL sketches of the given relative error (one more scan).
     """
-    exact = relative_error is None or relative_error <= 0
-    qs = exact_quantiles(df, columns, (0.25, 0.5, 0.75)) if exact else None
-    acc = accuracy_for(relative_error)
+    qs = quartiles(df, columns, relative_error)
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"),
                  F.stddev_samp(x).alias(f"sd{i}"), F.min(x).cast(DoubleType()).alias(f"mn{i}"),
                  F.max(x).cast(DoubleType()).alias(f"mx{i}")]
-        if not exact:
-            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], acc).alias(f"q{i}"))
     row = df.agg(*aggs)
 
-    def q(i, c, j, p):
-        if exact:
-            return F.lit(qs[(c, p)]).cast(DoubleType())
-        return F.col(f"q{i}")[j].cast(DoubleType())
+    def q(c, p):
+        return F.lit(qs[(c, p)]).cast(DoubleType())
 
     rows = [F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"mean{i}").alias("mean"),
                      F.col(f"sd{i}").alias("stddev"), F.col(f"mn{i}").alias("mn"),
-                     q(i, c, 0, 0.25).alias("p25"), q(i, c, 1, 0.5).alias("p50"), q(i, c, 2, 0.75).alias("p75"),
+                     q(c, 0.25).alias("p25"), q(c, 0.5).alias("p50"), q(c, 0.75).alias("p75"),
                      F.col(f"mx{i}").alias("mx"))
             for i, c in enumerate(columns)]
     return row.select(F.inline(F.array(*rows)))

@@ -5,6 +5,8 @@ the Spark results (month()/day() are cast to INTEGER because DuckDB returns
 BIGINT; ratios are DOUBLE; floats are rounded as on the Spark side).
 """
 
+from featureflow.oracle_scale import ORACLE_SQL as SCALE_SQL
+
 BASE = ("base AS (SELECT l_orderkey,l_linenumber,l_partkey,l_quantity,l_extendedprice,l_discount,l_tax,"
         "l_returnflag,l_linestatus,l_shipdate,p_brand,p_type,p_size,p_retailprice "
         "FROM lineitem JOIN part ON l_partkey=p_partkey)")
@@ -13,49 +15,59 @@ FREQ = ("freq AS (SELECT p_brand FROM base GROUP BY p_brand "
         "agg AS (SELECT base.*, CASE WHEN p_brand IN (SELECT p_brand FROM freq) THEN p_brand ELSE 'Other' END "
         "AS brand_agg FROM base)")
 
-# static TPCH preset rows: lineitem JOIN part, returnflag 'A' excluded
-STATIC = ("s AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, p_retailprice AS retail_price, "
-          "l_extendedprice AS y, month(l_shipdate) AS mo, day(l_shipdate) AS dd, isodow(l_shipdate) AS dw, "
-          "l_returnflag AS rf, l_linestatus AS ls, p_type AS it, p_brand AS br "
-          "FROM lineitem JOIN part ON l_partkey=p_partkey WHERE l_returnflag <> 'A')")
+# static TPCH preset rows: lineitem JOIN part with NULLs and sentinels put in, returnflag 'A' excluded, "None" read as NULL
+STATIC = """li AS (SELECT l_orderkey, l_linenumber, l_partkey, nullif(l_quantity, 18) AS l_quantity, l_extendedprice, l_discount,
+  l_tax, l_returnflag, CASE WHEN l_linenumber = 4 THEN 'None' ELSE l_linestatus END AS l_linestatus,
+  CASE WHEN l_linenumber <> 3 OR l_quantity <= 40 THEN l_shipdate END AS l_shipdate FROM lineitem),
+pa AS (SELECT p_partkey, CASE WHEN p_partkey % 11 <> 0 THEN p_type END AS p_type,
+  CASE WHEN p_partkey % 7 = 0 THEN 'None' WHEN p_partkey % 13 <> 0 THEN p_brand END AS p_brand, p_retailprice FROM part),
+s AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, p_retailprice AS retail_price, l_extendedprice AS y,
+  month(l_shipdate) AS mo, day(l_shipdate) AS dd, isodow(l_shipdate) AS dw, nullif(l_returnflag, 'None') AS rf,
+  nullif(l_linestatus, 'None') AS ls, nullif(p_type, 'None') AS it, nullif(p_brand, 'None') AS br
+  FROM li JOIN pa ON l_partkey = p_partkey WHERE l_returnflag <> 'A')"""
 
-_CATS = [("ship_month", "CAST(mo AS VARCHAR)"), ("ship_day", "CAST(dd AS VARCHAR)"),
-         ("ship_dow", "CAST(dw AS VARCHAR)"), ("l_returnflag", "rf"), ("l_linestatus", "ls"),
-         ("item_type", "it"), ("brand", "br")]
+_NUMBERS = ["l_quantity", "l_discount", "l_tax", "retail_price"]
+_CATS = {"ship_month": "mo", "ship_day": "dd", "ship_dow": "dw", "l_returnflag": "rf", "l_linestatus": "ls",
+         "item_type": "it", "brand": "br"}
 _NOMINAL = "('l_returnflag','l_linestatus','item_type','brand')"
-_LONG = " UNION ALL ".join(f"SELECT '{n}' AS feature, {e} AS value, y FROM s" for n, e in _CATS)
-_MEDIANS = " UNION ALL ".join(
-    f"SELECT '{n}' AS feature, 'median' AS stat, CAST(NULL AS VARCHAR) AS value, "
-    f"CAST(quantile_disc({e}, 0.5) AS DOUBLE) AS num FROM s"
-    for n, e in [("l_quantity", "l_quantity"), ("l_discount", "l_discount"), ("l_tax", "l_tax"),
-                 ("retail_price", "retail_price")])
 
-FIT_PARAMS = f"""
-WITH {STATIC},
-long AS ({_LONG}),
-cnt AS (SELECT feature, value, count(*) AS n, sum(y) AS sy, count(y) AS ny FROM long GROUP BY feature, value),
-tot AS (SELECT count(*) AS t FROM s),
-modes AS (SELECT feature, value FROM (SELECT feature, value, row_number() OVER (PARTITION BY feature
-          ORDER BY n DESC, try_cast(value AS DOUBLE) NULLS FIRST, value) AS rn FROM cnt) WHERE rn = 1),
-freq AS (SELECT feature, value FROM cnt, tot WHERE feature IN {_NOMINAL} AND n*1.0/t > 0.02),
-kinds AS (SELECT feature, CASE WHEN count(*)+1 <= 10 THEN 'binary' ELSE 'mean' END AS kind FROM freq GROUP BY feature),
-bucket AS (SELECT c.feature, CASE WHEN f.value IS NOT NULL THEN c.value ELSE 'Other' END AS value,
+
+def _learned(learn: str) -> str:
+    """What the rows in ``learn`` teach: medians, modes, filled rows, frequent values, buckets, labels and means."""
+    medians = ", ".join(f"quantile_disc({c}, 0.5) AS {c}" for c in _NUMBERS)
+    modes = ", ".join(f"(SELECT {c} FROM l WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS {c}"
+                      for c in _CATS.values())
+    filled = ", ".join(f"coalesce(s.{c}, med.{c}) AS {c}" for c in _NUMBERS) + ", " + ", ".join(
+        f"coalesce(s.{c}, modes.{c}) AS {c}" for c in _CATS.values())
+    long = " UNION ALL ".join(f"SELECT '{n}' AS feature, CAST({c} AS VARCHAR) AS value, y FROM f WHERE {learn}"
+                              for n, c in _CATS.items())
+    return f"""{STATIC},
+l AS (SELECT * FROM s WHERE {learn}),
+med AS (SELECT {medians} FROM l),
+modes AS (SELECT {modes}),
+f AS (SELECT l_orderkey, l_linenumber, y, {filled} FROM s, med, modes),
+cnt AS (SELECT feature, value, count(*) AS n, sum(y) AS sy, count(y) AS ny FROM ({long}) GROUP BY feature, value),
+freq AS (SELECT feature, value FROM cnt WHERE feature IN {_NOMINAL} AND n > 0.031 * (SELECT count(*) FROM l)),
+kinds AS (SELECT feature, CASE WHEN count(*) + 1 <= 4 THEN 'binary' ELSE 'mean' END AS kind FROM freq GROUP BY feature),
+bucket AS (SELECT c.feature, CASE WHEN q.value IS NOT NULL THEN c.value ELSE 'Other' END AS value,
            sum(c.n) AS n, sum(c.sy) AS sy, sum(c.ny) AS ny
-           FROM cnt c LEFT JOIN freq f ON c.feature = f.feature AND c.value = f.value
+           FROM cnt c LEFT JOIN freq q ON c.feature = q.feature AND c.value = q.value
            WHERE c.feature IN {_NOMINAL} GROUP BY 1, 2),
 labels AS (SELECT b.feature, b.value, row_number() OVER (PARTITION BY b.feature ORDER BY b.n DESC, b.value) - 1 AS idx
            FROM bucket b JOIN kinds k ON b.feature = k.feature AND k.kind = 'binary'),
 means AS (SELECT b.feature, b.value, b.sy / b.ny AS m FROM bucket b JOIN kinds k ON b.feature = k.feature AND k.kind = 'mean'
           UNION ALL
-          SELECT k.feature, 'Other', (SELECT sum(y)/count(y) FROM s) FROM kinds k
-          WHERE k.kind = 'mean' AND NOT EXISTS (SELECT 1 FROM bucket b WHERE b.feature = k.feature AND b.value = 'Other'))
-{_MEDIANS}
-UNION ALL SELECT feature, 'mode', value, CAST(NULL AS DOUBLE) FROM modes
-UNION ALL SELECT feature, 'frequent', value, CAST(NULL AS DOUBLE) FROM freq
-UNION ALL SELECT feature, 'kind', kind, CAST(NULL AS DOUBLE) FROM kinds
-UNION ALL SELECT feature, 'label', value, CAST(idx AS DOUBLE) FROM labels
-UNION ALL SELECT feature, 'mean', value, round(m, 6) FROM means
-"""
+          SELECT k.feature, 'Other', (SELECT sum(y) / count(y) FROM l) FROM kinds k
+          WHERE k.kind = 'mean' AND NOT EXISTS (SELECT 1 FROM bucket b WHERE b.feature = k.feature AND b.value = 'Other'))"""
+
+
+_NONE = "CAST(NULL AS VARCHAR)"
+FIT_PARAMS = f"WITH {_learned('TRUE')}\n" + "\nUNION ALL ".join(
+    [f"SELECT '{c}' AS feature, 'median' AS stat, {_NONE} AS value, CAST({c} AS DOUBLE) AS num FROM med" for c in _NUMBERS]
+    + [f"SELECT '{n}', 'mode', CAST({c} AS VARCHAR), NULL FROM modes" for n, c in _CATS.items()]
+    + ["SELECT feature, 'frequent', value, NULL FROM freq", "SELECT feature, 'kind', kind, NULL FROM kinds",
+       "SELECT feature, 'label', value, CAST(idx AS DOUBLE) FROM labels",
+       "SELECT feature, 'mean', value, round(m, 6) FROM means"])
 
 _ML = "CASE WHEN mo = 2 THEN 28 WHEN mo IN (4,6,9,11) THEN 30 ELSE 31 END"
 
@@ -64,33 +76,37 @@ def _ang(v, p):
     return f"(CAST({v} AS DOUBLE) / {p} * (2*pi()))"
 
 
-def _onehot(alias, width):
-    return ", ".join([f"CAST({alias}.idx = {i} AS DOUBLE)" for i in range(width)] + ["0.0"])
-
-
 # 32 bits of md5, below 0.8 * 2**32
 _TRAIN = "(CAST('0x'||substr(md5(CAST(l_orderkey AS varchar)),1,8) AS bigint) < 3435973836)"
 
 
-def _apply_sql(learn_where: str = "TRUE", extra: str = "") -> str:
-    """Learned one-hot labels and brand means from the rows in ``learn_where``,
-    applied to every static row."""
+def _apply_sql(learn: str = "TRUE", extra: str = "") -> str:
+    """Parameters learned from the rows in ``learn``, applied to every static row: NULLs filled, rare and unseen
+    values in the "Other" bucket, one-hot slots (the last one for no label) or means with their fallback."""
+    def bucketed(feature, c):
+        return f"CASE WHEN {c} IN (SELECT value FROM freq WHERE feature = '{feature}') THEN {c} ELSE 'Other' END"
+
+    def slots(feature, c):
+        return (f"(SELECT {c}, list_transform(range(0, k + 1), lambda i: CAST(i = idx AS DOUBLE)) AS v FROM (SELECT DISTINCT "
+                f"b.{c}, k, coalesce(idx, k) AS idx FROM b CROSS JOIN (SELECT count(*) AS k FROM labels WHERE feature = '{feature}') "
+                f"LEFT JOIN labels ON feature = '{feature}' AND value = b.{c}))")
+
+    def mean(feature, c):
+        return f"(SELECT any_value(m) FROM means WHERE feature = '{feature}' AND value = {c})"
+
     return f"""
-WITH {STATIC},
-lab AS (SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY count(*) DESC, v) - 1 AS idx
-        FROM (SELECT 'rf' AS f, rf AS v FROM s WHERE {learn_where} UNION ALL SELECT 'ls', ls FROM s WHERE {learn_where}
-              UNION ALL SELECT 'it', it FROM s WHERE {learn_where})
-        GROUP BY f, v),
-enc AS (SELECT br, sum(y)/count(y) AS m FROM s WHERE {learn_where} GROUP BY br)
-SELECT l_orderkey, l_linenumber, list_transform([
-  l_quantity, l_discount, l_tax, retail_price,
-  {_onehot('a', 2)}, {_onehot('b', 2)}, {_onehot('c', 6)},
-  e.m,
+WITH {_learned(learn)},
+b AS (SELECT * REPLACE ({bucketed('l_returnflag', 'rf')} AS rf, {bucketed('l_linestatus', 'ls')} AS ls,
+      {bucketed('item_type', 'it')} AS it, {bucketed('brand', 'br')} AS br) FROM f),
+r AS {slots('l_returnflag', 'rf')},
+t AS {slots('l_linestatus', 'ls')},
+i AS (SELECT DISTINCT it, {mean('item_type', 'it')} AS m FROM b),
+n AS (SELECT DISTINCT br, {mean('brand', 'br')} AS m FROM b)
+SELECT l_orderkey, l_linenumber, list_transform(
+  list_concat([l_quantity, l_discount, l_tax, retail_price], r.v, t.v, [i.m, n.m,
   sin({_ang('mo', '12.0')}), sin({_ang('dd', _ML)}), sin({_ang('dw', '7.0')}),
-  cos({_ang('mo', '12.0')}), cos({_ang('dd', _ML)}), cos({_ang('dw', '7.0')})
-], lambda x: round(x, 6) + 0.0) AS features{extra}
-FROM s JOIN lab a ON a.f = 'rf' AND a.v = s.rf JOIN lab b ON b.f = 'ls' AND b.v = s.ls
-     JOIN lab c ON c.f = 'it' AND c.v = s.it JOIN enc e ON e.br = s.br
+  cos({_ang('mo', '12.0')}), cos({_ang('dd', _ML)}), cos({_ang('dw', '7.0')})]), lambda x: round(x, 6) + 0.0) AS features{extra}
+FROM b JOIN r USING (rf) JOIN t USING (ls) JOIN i USING (it) JOIN n USING (br)
 """
 
 
@@ -300,4 +316,5 @@ ORACLE_SQL = {
     "preprocess_new": f"SELECT l_orderkey, l_linenumber, features FROM ({SPLIT_FIT_APPLY}) t WHERE NOT is_train",
     "hash_split": ("SELECT o_orderkey, CAST('0x'||substr(md5(coalesce(CAST(CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey "
                    "END AS varchar), '(null)')),1,8) AS bigint) < 3435973836 AS is_train FROM orders"),
+    **SCALE_SQL,
 }

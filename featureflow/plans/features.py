@@ -3,7 +3,7 @@
 ``static_features``   deterministic cleaning: join, drop, filter, cast, clock and
                       calendar encodings (no learned state)
 ``FeatureEstimator``  learns imputation values, frequent values, encoder choice,
-                      mean-target tables and one-hot labels in two scans
+                      mean-target tables and one-hot labels
 ``FeatureModel``      applies them: row count unchanged, one projection plus
                       JVM-side ml stages; persisted through Spark's ML writer
 """
@@ -20,11 +20,10 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from featureflow.functions.columns import lookup
 from featureflow.functions.time import cyclic_pair, month_length
-from featureflow.operators import clean, encode, impute, stats
+from featureflow.operators import clean, encode, frequent, impute
 from featureflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension
 from featureflow.spec import Cyclic, FeatureSpec
 
@@ -75,7 +74,10 @@ def static_features(fact: DataFrame, dim: DataFrame | None, spec: FeatureSpec,
         df = clean.exclude_value(df, spec.exclude[0], spec.exclude[1])
     if dim is not None:
         d = clean.rename_columns(clean.drop_columns(dim, spec.forbidden), spec.dim_renames)
-        df = join_dimension(df, d, spec.key, "inner", max_broadcast_rows, salt_buckets)
+        # what is dropped after the join must not count in the broadcast's size
+        unused = [c for c in spec.useless if c != spec.key]
+        df = join_dimension(clean.drop_columns(df, unused), clean.drop_columns(d, unused), spec.key, "inner",
+                            max_broadcast_rows, salt_buckets)
     df = clean.drop_columns(df, spec.useless)
     casts = {c: F.col(c).try_cast(spec.cast_type) for c in spec.quantitative if c in df.columns}
     casts[spec.label] = F.col(spec.label).try_cast(spec.label_type)
@@ -108,12 +110,15 @@ class _FitParams(_StateParams):
 class FeatureEstimator(Estimator, _FitParams, DefaultParamsReadable, DefaultParamsWritable):
     """Learns all dynamic preprocessing parameters from the training rows.
 
-    Scan 1: approximate medians of every numeric column (one aggregate).
-    Scan 2: ``(feature, value)`` counts and label sums of every categorical
-    column (one unpivot + group).  Imputation, frequent values, encoder
-    choice, one-hot labels and mean-target tables are then derived from that
-    small, persisted count table: categories are imputed *before* encoders are
-    fitted, so encoders never hold a NULL group.  The settings are params: they
+    The columns to learn from are persisted once.  Medians of all numeric
+    columns come from KLL sketches merged in two levels (or exact binning
+    passes).  Modes, frequent values and their label sums of all categorical
+    columns come from one multistage filter (``operators.frequent``): at most
+    1/threshold + 1 values a feature are kept, all other rows are counted as
+    "Other" without their values ever being shuffled.  Imputation, encoder
+    choice, one-hot labels and mean-target tables are derived from those counts:
+    categories are imputed *before* encoders are fitted, so encoders never hold
+    a NULL group.  The settings are params: they
     are saved with the estimator and ``fit(df, {param: value})`` overrides them.
     A numeric column without any value in the training rows is an error.
     """
@@ -145,75 +150,37 @@ class FeatureEstimator(Estimator, _FitParams, DefaultParamsReadable, DefaultPara
         nominal = [c for c in spec.nominal if c in df.columns]
         cats = calendar + nominal
 
-        medians = impute.learn_medians(df, quant, self.getOrDefault(self.relativeError) or None)
-        unknown = [c for c, v in medians.items() if v is None]
-        if unknown:
-            raise ValueError(f"no value in the training rows to learn a median from: {unknown}")
-
-        if not cats:
-            model = FeatureModel()
-            model._set(specJson=self.getOrDefault(self.specJson), state=json.dumps({
-                "fills": medians, "sentinel_columns": [], "frequent": {}, "kinds": {}, "labels": {},
-                "means": {}, "quantitative": quant, "calendar": []}))
-            return model
-        data = impute.with_sentinels_as_null(df, cats, spec.sentinels)
-        counts = stats.value_stats(data, cats, spec.label).persist(StorageLevel.MEMORY_AND_DISK)
+        # the learned columns only, computed once: quantiles and counts make several passes
+        kept = df.select(*dict.fromkeys([*quant, *cats, spec.label])).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            modes = {c: None for c in cats}
-            modes.update({r["feature"]: r["value"] for r in stats.mode_from_stats(counts).collect()})
-            # impute in the count table: the NULL group joins its feature's mode
-            filled = counts.withColumn(
-                "value", F.coalesce(F.col("value"), lookup(F.col("feature"), {k: v for k, v in modes.items()
-                                                                              if v is not None})))
-            filled = filled.groupBy("feature", "value").agg(
-                F.sum("n").alias("n"), F.sum("label_n").alias("label_n"), F.sum("label_sum").alias("label_sum"))
-            total = filled.filter(F.col("feature") == F.lit(cats[0])).agg(F.sum("n")).scalar() if cats else None
-            frequent = {c: [] for c in nominal}
-            rows = []
-            if nominal:
-                # one grouped collect gives both the frequent lists and the
-                # bucketed stats: bounded by features * (1/threshold + 1) rows
-                is_freq = F.col("value").isNotNull() & (
-                    F.col("n").cast(DoubleType()) / total > F.lit(threshold))
-                bucket = (F.when(F.col("value").isNull(), F.lit(None))
-                          .when(F.col("_freq"), F.col("value")).otherwise(F.lit(encode.OTHER)))
-                rows = (filled.filter(F.col("feature").isin(nominal)).withColumn("_freq", is_freq)
-                        .groupBy("feature", bucket.alias("value"))
-                        .agg(F.sum("n").alias("n"), F.sum("label_n").alias("label_n"),
-                             F.sum("label_sum").alias("label_sum"), F.max(F.col("_freq").cast("int")).alias("_freq"))
-                        .collect())
-                for r in rows:
-                    if r["_freq"] and r["value"] is not None:
-                        frequent[r["feature"]].append(r["value"])
-                frequent = {k: sorted(v) for k, v in frequent.items()}
-            kinds = encode.encoder_choice(frequent, self.getOrDefault(self.cardinalityThreshold),
-                                          self.getOrDefault(self.highCardinalityStrategy))
-            labels, means = {}, {}
-            if nominal:
-                glob = {}
-                for r in rows:
-                    f = r["feature"]
-                    g = glob.setdefault(f, [0, 0.0])
-                    g[0] += r["label_n"] or 0
-                    g[1] += r["label_sum"] or 0.0
-                for f in nominal:
-                    if kinds.get(f) == "binary":
-                        labels[f] = encode.index_labels_from_counts(
-                            {r["value"]: r["n"] for r in rows if r["feature"] == f and r["value"] is not None})
-                    elif kinds.get(f) == "mean":
-                        m = {r["value"]: (r["label_sum"] / r["label_n"]) for r in rows
-                             if r["feature"] == f and r["value"] is not None and r["label_n"]}
-                        if encode.OTHER not in m:
-                            n, s = glob.get(f, [0, 0.0])
-                            m[encode.OTHER] = (s / n) if n else None
-                        means[f] = m
+            medians = impute.learn_medians(kept, quant, self.getOrDefault(self.relativeError) or None)
+            unknown = [c for c, v in medians.items() if v is None]
+            if unknown:
+                raise ValueError(f"no value in the training rows to learn a median from: {unknown}")
+            data = impute.with_sentinels_as_null(kept, cats, spec.sentinels)
+            counted = frequent.frequent_counts(data, cats, threshold, spec.label, modes=True)
         finally:
-            counts.unpersist()
+            kept.unpersist()
+
+        # categories are imputed in the counts: the NULL group joins its feature's mode
+        buckets = {f: counted[f].imputed().bucketed(threshold, encode.OTHER) for f in nominal}
+        values = {f: counted[f].imputed().frequent(threshold) for f in nominal}
+        kinds = encode.encoder_choice(values, self.getOrDefault(self.cardinalityThreshold),
+                                      self.getOrDefault(self.highCardinalityStrategy))
+        labels, means = {}, {}
+        for f in nominal:
+            if kinds[f] == "binary":
+                labels[f] = encode.index_labels_from_counts({v: c.n for v, c in buckets[f].items()})
+            elif kinds[f] == "mean":
+                means[f] = {v: c.label_sum / c.label_n for v, c in buckets[f].items() if c.label_n}
+                if encode.OTHER not in means[f]:
+                    every = sum(buckets[f].values(), frequent.Counts())
+                    means[f][encode.OTHER] = every.label_sum / every.label_n if every.label_n else None
 
         state = {
-            "fills": {**medians, **modes},
+            "fills": {**medians, **{c: counted[c].mode for c in cats}},
             "sentinel_columns": cats,
-            "frequent": frequent,
+            "frequent": values,
             "kinds": kinds,
             "labels": labels,
             "means": means,

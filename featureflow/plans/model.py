@@ -72,14 +72,14 @@ def scaled_pipeline(estimator, features_col: str = "features", scaled_col: str =
 
 
 def training_set(df: DataFrame, label: str, features_col: str = "features",
-                 fold_col: str | None = None) -> DataFrame:
+                 *extra: str | None) -> DataFrame:
     """The columns a fit reads, spread over the cores and persisted.
 
     Model fits make many passes; without this each pass recomputes the
     whole feature plan.  MEMORY_AND_DISK spills instead of failing, and a
     lost executor's blocks are recomputed from the lineage.
     """
-    data = df.select(features_col, label, *([fold_col] if fold_col else []))
+    data = df.select(features_col, label, *[c for c in extra if c])
     return ensure_parallelism(data).persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -130,22 +130,28 @@ def retrain_best(train: DataFrame, family: str, label: str, param: str, value,
 
 def train_select(train_df: DataFrame, label: str, families=FAMILIES, grids: dict | None = None,
                  folds: int = 5, seed: int = 42, parallelism: int | None = None, holdout: float = 0.2,
-                 save_dir: str | None = None, features_col: str = "features"):
+                 save_dir: str | None = None, features_col: str = "features", holdout_col: str | None = None,
+                 fold_col: str | None = None):
     """For each family: CV on 80 %, metrics on the 20 % hold-out, retrain with the
     best grid entry on all rows (saved as ``retrained_<family>``).
 
-    Returns ``(metrics DataFrame, {family: PipelineModel})``.  The training rows
+    ``holdout_col`` (a BOOLEAN column, TRUE for hold-out rows) and ``fold_col``
+    make both splits independent of the layout; without them rows are dealt at
+    random by ``seed``.  Returns ``(metrics DataFrame, {family: PipelineModel})``.  The training rows
     are persisted while the fits run and released afterwards.
     """
     spark = train_df.sparkSession
-    data = training_set(train_df, label, features_col)
-    fit_part, test_part = data.randomSplit([1.0 - holdout, holdout], seed=seed)
+    data = training_set(train_df, label, features_col, fold_col, holdout_col)
+    if holdout_col:
+        fit_part, test_part = data.filter(~F.col(holdout_col)), data.filter(F.col(holdout_col))
+    else:
+        fit_part, test_part = data.randomSplit([1.0 - holdout, holdout], seed=seed)
     rows, models = [], {}
     try:
         for fam in families:
             values = (grids or {}).get(fam)
             cv_model, pname, best = cross_validate(fit_part, fam, label, values, folds, seed, parallelism,
-                                                   features_col, persist=False)
+                                                   features_col, fold_col, persist=False)
             m = regression_metrics(cv_model.transform(test_part), label).first()
             rows.append((fam, float(m["rmse"]), float(m["mae"]), float(m["r2"]), pname, float(best)))
             final = retrain_best(data, fam, label, pname, best, seed, features_col)

@@ -108,16 +108,12 @@ def _numeric_overview(df: DataFrame, cols: Sequence[str], relative_error: float
     Returns the row DataFrame and ``{column: (min, max)}`` for the histograms.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    approx = relative_error is not None and relative_error > 0
     aggs = [F.count(F.lit(1)).alias("_total")]
     for i, c in enumerate(cols):
         x = F.col(c)
         aggs += [F.count(x).alias(f"n{i}"), F.count(F.when(is_missing(c, types.get(c)), 1)).alias(f"null{i}"),
                  F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"sd{i}"),
                  F.min(x).cast(DoubleType()).alias(f"mn{i}"), F.max(x).cast(DoubleType()).alias(f"mx{i}")]
-        if approx:
-            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], stats.accuracy_for(relative_error))
-                        .alias(f"q{i}"))
     zero = {c: F.nanvl(F.coalesce(F.col(c).cast(DoubleType()), F.lit(0.0)), F.lit(0.0)) for c in cols}
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):
@@ -130,16 +126,15 @@ def _numeric_overview(df: DataFrame, cols: Sequence[str], relative_error: float
 
 
 def _summary_from(row: DataFrame, df: DataFrame, cols: Sequence[str], relative_error: float | None) -> DataFrame:
-    approx = relative_error is not None and relative_error > 0
-    qs = None if approx else stats.exact_quantiles(df, cols, (0.25, 0.5, 0.75))
+    qs = stats.quartiles(df, cols, relative_error)
 
-    def q(i, c, j, p):
-        return F.col(f"q{i}")[j].cast(DoubleType()) if approx else F.lit(qs[(c, p)]).cast(DoubleType())
+    def q(c, p):
+        return F.lit(qs[(c, p)]).cast(DoubleType())
 
     return row.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"mean{i}").alias("mean"),
-                 F.col(f"sd{i}").alias("stddev"), F.col(f"mn{i}").alias("mn"), q(i, c, 0, 0.25).alias("p25"),
-                 q(i, c, 1, 0.5).alias("p50"), q(i, c, 2, 0.75).alias("p75"), F.col(f"mx{i}").alias("mx"))
+                 F.col(f"sd{i}").alias("stddev"), F.col(f"mn{i}").alias("mn"), q(c, 0.25).alias("p25"),
+                 q(c, 0.5).alias("p50"), q(c, 0.75).alias("p75"), F.col(f"mx{i}").alias("mx"))
         for i, c in enumerate(cols)])))
 
 

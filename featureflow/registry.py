@@ -22,6 +22,7 @@ from featureflow.operators.joins import join_dimension
 from featureflow.plans import features as feat
 from featureflow.plans import model as mdl
 from featureflow.plans import profile as prof
+from featureflow.registry_scale import QUERIES as SCALE_QUERIES
 from featureflow.session import shared_path
 from featureflow.sources import io
 
@@ -385,8 +386,21 @@ def regression_metrics(spark, sf):
 
 
 # ---------------------------------------------------------------- composite jobs
+def _tables(spark, sf):
+    """lineitem and part with NULLs, the "None" sentinel and values that are rare: what the learned stage is for."""
+    li = _t(spark, sf, "lineitem").withColumns({
+        "l_quantity": F.nullif(F.col("l_quantity"), F.lit(18.0)),
+        "l_linestatus": F.when(F.col("l_linenumber") == 4, F.lit("None")).otherwise(F.col("l_linestatus")),
+        "l_shipdate": F.when((F.col("l_linenumber") != 3) | (F.col("l_quantity") <= 40), F.col("l_shipdate"))})
+    part = _t(spark, sf, "part").withColumns({
+        "p_type": F.when(F.col("p_partkey") % 11 != 0, F.col("p_type")),
+        "p_brand": F.when(F.col("p_partkey") % 7 == 0, F.lit("None"))
+        .when(F.col("p_partkey") % 13 != 0, F.col("p_brand"))})
+    return li, part
+
+
 def _static(spark, sf):
-    return feat.static_features(_t(spark, sf, "lineitem"), _t(spark, sf, "part"), presets.TPCH)
+    return feat.static_features(*_tables(spark, sf), presets.TPCH)
 
 
 def static_features(spark, sf):
@@ -403,16 +417,18 @@ def static_features(spark, sf):
                     _r("month_cos", 9).alias("month_cos"), _r("month_sin", 9).alias("month_sin"))
 
 
-def _fit(df, relative_error=0.025):
-    """The reference's fit parameters; ``relative_error=None`` gives exact medians
-    (used where the medians themselves are compared)."""
-    return feat.FeatureEstimator(presets.TPCH, frequency_threshold=0.02, cardinality_threshold=10,
-                                 high_cardinality_strategy="mean", relative_error=relative_error).fit(df)
+# some brands are rare at this share, and only the two flags are one-hot encoded; exact medians can be compared
+SETTINGS = {"frequency_threshold": 0.031, "cardinality_threshold": 4, "high_cardinality_strategy": "mean",
+            "relative_error": None}
+
+
+def _fit(df):
+    return feat.FeatureEstimator(presets.TPCH, **SETTINGS).fit(df)
 
 
 def fit_params(spark, sf):
     """All learned parameters as a long table ``(feature, stat, value, num)``."""
-    m = _fit(_static(spark, sf), relative_error=None)
+    m = _fit(_static(spark, sf))
     st = m.params_dict
     rows = []
     for c in st["quantitative"]:
@@ -449,7 +465,7 @@ def fit_save_load_apply(spark, sf):
     """C4/K5: fit, save through Spark's ML writer, load, apply."""
     df = _static(spark, sf)
     path = shared_path(spark, "feature_params")
-    feat.fit_or_load(df, presets.TPCH, path, refit=True)
+    feat.fit_or_load(df, presets.TPCH, path, refit=True, **SETTINGS)
     loaded = feat.fit_or_load(df, presets.TPCH, path, refit=False)
     return loaded.transform(df).select("l_orderkey", "l_linenumber", _rounded_features(df))
 
@@ -457,18 +473,17 @@ def fit_save_load_apply(spark, sf):
 def preprocess_new(spark, sf):
     """Parameters learned on the training split, saved, then used to
     preprocess the held-out rows from raw tables."""
-    li, part = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
+    li, part = _tables(spark, sf)
     train, test = sampling.hash_split(li, "l_orderkey", 0.8)
     path = shared_path(spark, "preprocess_new")
-    feat.fit_or_load(feat.static_features(train, part, presets.TPCH), presets.TPCH, path, refit=True)
+    feat.fit_or_load(feat.static_features(train, part, presets.TPCH), presets.TPCH, path, refit=True, **SETTINGS)
     out = feat.preprocess_new(test, part, presets.TPCH, feat.FeatureModel.load(path))
     return out.select("l_orderkey", "l_linenumber", _rounded_features(out))
 
 
 def split_fit_apply(spark, sf):
     """Hash split on the order key, learn on the training rows, apply to both."""
-    train, test, _ = feat.split_fit_apply(_t(spark, sf, "lineitem"), _t(spark, sf, "part"), presets.TPCH,
-                                          split_key="l_orderkey")
+    train, test, _ = feat.split_fit_apply(*_tables(spark, sf), presets.TPCH, split_key="l_orderkey", **SETTINGS)
     cols = ["l_orderkey", "l_linenumber",
             F.transform(vector_to_array("features"), lambda x: F.round(x, 6) + F.lit(0.0)).alias("features")]
     return train.select(*cols, F.lit(True).alias("is_train")).unionByName(
@@ -478,18 +493,12 @@ def split_fit_apply(spark, sf):
 def build_feature_table(spark, sf):
     """Split, learn, apply, write train/test Parquet once, read back."""
     out = shared_path(spark, "feature_table")
-    train, test = feat.build_feature_table(_t(spark, sf, "lineitem"), _t(spark, sf, "part"), presets.TPCH, out,
-                                           split_key="l_orderkey")
+    train, test = feat.build_feature_table(*_tables(spark, sf), presets.TPCH, out, split_key="l_orderkey", **SETTINGS)
     cols = ["l_orderkey", "l_linenumber", _rounded_features(train)]
     return train.select(*cols, F.lit(True).alias("is_train")).unionByName(
         test.select(*cols, F.lit(False).alias("is_train")))
 
 
-def random_split(spark, sf):
-    a, b = sampling.random_split(_t(spark, sf, "orders"), 0.8, 42)
-    return a.withColumn("is_train", F.lit(True)).unionByName(b.withColumn("is_train", F.lit(False)))
-
-
 def hash_split(spark, sf):
     o = _t(spark, sf, "orders")
     key = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderkey"))        # a tenth of the keys is NULL
@@ -498,14 +507,6 @@ def hash_split(spark, sf):
         test.select("o_orderkey", F.lit(False).alias("is_train")))
 
 
-def sample_with_replacement(spark, sf):
-    return sampling.sample_rows(_t(spark, sf, "lineitem"), 0.01, with_replacement=True, seed=42)
-
-
-def sample_without_replacement(spark, sf):
-    return sampling.sample_rows(_t(spark, sf, "lineitem"), 0.1, with_replacement=False, seed=42)
-
-
 def split_and_sample_invariants(spark, sf):
     """What must hold of every split and sample, whatever the random numbers.
 
@@ -719,8 +720,8 @@ def profile_write(spark, sf):
 def train_and_predict(spark, sf):
     """Feature table -> model selection over all families -> the best one scores the test rows."""
     root = shared_path(spark, "train_and_predict")
-    train, test = feat.build_feature_table(_t(spark, sf, "lineitem"), _t(spark, sf, "part"), presets.TPCH,
-                                           f"{root}/features", split_key="l_orderkey")
+    train, test = feat.build_feature_table(*_tables(spark, sf), presets.TPCH, f"{root}/features",
+                                           split_key="l_orderkey", **SETTINGS)
     metrics, models = mdl.train_select(train, LABEL, save_dir=f"{root}/models")
     best = metrics.orderBy("rmse", "model").first()["model"]
     pred, _ = mdl.score(test, models[best], LABEL)
@@ -800,9 +801,6 @@ QUERIES = {
     "ridge_score": ridge_score,
     "cv_ridge": cv_ridge,
     # rows-only
-    "random_split": random_split,
-    "sample_with_replacement": sample_with_replacement,
-    "sample_without_replacement": sample_without_replacement,
     "fit_save_load_apply": fit_save_load_apply,
     "preprocess_new": preprocess_new,
     "split_fit_apply": split_fit_apply,
@@ -819,4 +817,6 @@ QUERIES = {
     "score_and_write": score_and_write,
     "model_comparison": model_comparison,
     "train_and_predict": train_and_predict,
+    # long tails, skew, repeatable draws
+    **SCALE_QUERIES,
 }
