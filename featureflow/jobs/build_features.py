@@ -11,7 +11,7 @@ def main(argv=None):
     p = base_parser("Split, learn preprocessing parameters on train, write train/test feature tables")
     p.add_argument("--raw_flights", required=True)
     p.add_argument("--raw_plane", default=None)
-    p.add_argument("--out", required=True, help="folder for train.parquet, test.parquet and params")
+    p.add_argument("--out", required=True, help="folder for features.parquet (partitions is_train=true and false) and params")
     p.add_argument("--train_frac", type=float, default=0.8)
     p.add_argument("--split_key", default=None, help="hash split on this column (default: randomSplit)")
     p.add_argument("--frequency_threshold", type=float, default=0.02)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from featureflow.jobs.common import PRESETS, base_parser, report, session
 from featureflow.plans import model as mdl
+from featureflow.plans.features import read_feature_table
 from featureflow.sources import io
 
 
 def main(argv=None):
     p = base_parser("Cross-validated model selection; retrained best models are saved and scored")
-    p.add_argument("--features", required=True, help="folder with train.parquet and test.parquet")
+    p.add_argument("--features", required=True, help="folder with features.parquet (partitions is_train=true and false)")
     p.add_argument("--models", required=True, help="folder for retrained_<family> models")
     p.add_argument("--predictions", default=None, help="folder for prediction CSVs")
     p.add_argument("--families", default=",".join(mdl.FAMILIES))
@@ -21,8 +22,7 @@ def main(argv=None):
     args = p.parse_args(argv)
     spark = session(args, "featureflow-train")
     label = PRESETS[args.preset].label
-    train = spark.read.parquet(f"{args.features}/train.parquet")
-    test = spark.read.parquet(f"{args.features}/test.parquet")
+    train, test = read_feature_table(spark, args.features)
     io.validate_dataset(train, label)
     if args.debug:
         train = train.sample(fraction=0.1, seed=42)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from featureflow.functions.columns import is_missing
-from featureflow.operators import frequent, sketches
+from featureflow.operators import frequent, gram, sketches
 from featureflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
 from featureflow.operators.quantiles import exact_quantiles
 from featureflow.session import checkpoint_root
@@ -233,6 +233,9 @@ def summary_stats(df: DataFrame, columns: Sequence[str], relative_error: float |
     return row.select(F.inline(F.array(*rows)))
 
 
+PAIRWISE_COLUMNS = 16
+
+
 def correlation(a, b):
     """Pearson correlation of the rows where both are known; NULL, not an error, if one is constant there."""
     a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
@@ -244,10 +247,14 @@ def correlation(a, b):
 def corr_matrix(df: DataFrame, columns: Sequence[str], zero_fill: bool = True) -> DataFrame:
     """Pearson correlation, long form ``(feature_a, feature_b, corr)`` for all pairs.
 
-    NULLs are zero-filled first (as the profiling job does); one aggregate
-    computes the k(k+1)/2 distinct pairs.  A constant column has NULL.
+    NULLs are zero-filled first (as the profiling job does).  Up to
+    ``PAIRWISE_COLUMNS`` columns one aggregate computes the k(k+1)/2 distinct
+    pairs; more come from a Gramian over blocks of columns (``gram``), whose
+    plan does not grow with the pairs.  A constant column has NULL.
     """
     cols = list(columns)
+    if len(cols) > PAIRWISE_COLUMNS:
+        return gram.correlations(df, cols, zero_fill)
     data = df.select(*cols)
     if zero_fill:
         data = data.fillna(0, subset=cols)

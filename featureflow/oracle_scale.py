@@ -36,7 +36,45 @@ _BEST = (f"{_ONE}, s AS (SELECT k AS h, {_MOMENTS} FROM d JOIN range(5) r(k) ON
          f"e AS (SELECT v, h, sqrt(avg(pow(y - ({_RIDGE}), 2))) AS rmse FROM d JOIN s ON fold = h CROSS JOIN p WHERE NOT held "
          "GROUP BY v, h), best AS (SELECT v FROM e GROUP BY v ORDER BY avg(rmse), v LIMIT 1)")
 
+_XS = [f"x{i:02d}" for i in range(24)]
+_WIDE = ("w AS (SELECT row_number() OVER () AS r, 3.5::DOUBLE AS x_same, " + ", ".join(
+    f"CASE WHEN l_linenumber <> {1 + i % 7} THEN l_quantity * {i % 5 + 1} + l_discount * {10 * i} + l_tax * {i * i} + 1e6 END "
+    f"AS x{i:02d}" for i in range(24)) + " FROM lineitem)")
+
+
+def _corr(fill: bool, digits: int) -> str:
+    value = "coalesce({0}, 0.0)" if fill else "{0}"
+    long = " UNION ALL ".join(f"SELECT r, '{x}' AS f, {value.format(x)} AS v FROM w" for x in [*_XS, "x_same"])
+    none = "a.f = 'x_same' OR b.f = 'x_same'"
+    return (f"WITH {_WIDE}, l AS ({long}) SELECT a.f AS feature_a, b.f AS feature_b, CASE WHEN {none} THEN NULL ELSE "
+            f"round(covar_pop(a.v, b.v) / (stddev_pop(CASE WHEN b.v IS NOT NULL THEN a.v END) * "
+            f"stddev_pop(CASE WHEN a.v IS NOT NULL THEN b.v END)), {digits}) + 0.0 END AS corr "
+            "FROM l a JOIN l b USING (r) GROUP BY a.f, b.f")
+
+
+_LINE = "CASE WHEN o_orderkey % 97 = 0 THEN {0} WHEN o_orderkey % 89 = 0 THEN {1} WHEN o_orderkey % 83 = 0 THEN {2} END"
+_BROKEN = "(o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 OR o_orderkey % 83 = 0)"
+
 ORACLE_SQL = {
+    "cv_tree_depths": (
+        f"WITH d AS (SELECT l_linestatus = 'F' AS x, l_extendedprice AS y, {_HASH.format('l_orderkey')} % 5 AS fold FROM lineitem), "
+        "m AS (SELECT k, x, avg(y) AS m FROM d JOIN range(5) r(k) ON fold <> k GROUP BY k, x), "
+        "e AS (SELECT k, sqrt(avg(pow(y - m, 2))) AS e FROM d JOIN m ON fold = k AND d.x = m.x GROUP BY k) "
+        "SELECT 'maxDepth' AS param, unnest([1, 3, 6])::INT AS value, (SELECT round(avg(e), 4) FROM e) AS avg_rmse, "
+        "unnest([TRUE, FALSE, FALSE]) AS is_best"),
+    "corr_matrix_wide": _corr(True, 7),
+    "corr_matrix_pairwise": _corr(False, 6),
+    "ingest_incremental": "SELECT * REPLACE (CASE WHEN o_orderkey % 4 = 1 THEN o_totalprice * 2.0 ELSE o_totalprice END "
+                          "AS o_totalprice) FROM orders",
+    "ingest_manifest": (
+        "SELECT 1::BIGINT AS batch, FALSE AS removed, 3::BIGINT AS files, count(*) FILTER (o_orderkey % 4 < 3) AS n_rows FROM orders "
+        "UNION ALL SELECT 2, FALSE, 2, count(*) FILTER (o_orderkey % 4 IN (1, 3)) FROM orders UNION ALL SELECT 2, TRUE, 1, 0"),
+    "csv_quarantine": (
+        "SELECT " + _LINE.format("concat_ws(',', o_orderkey, o_custkey, 'n/a', o_orderpriority)", "concat_ws(',', o_orderkey, o_custkey)",
+                                 "concat_ws(',', o_orderkey, o_custkey, o_totalprice, o_orderpriority, 'more')") + " AS record, "
+        + _LINE.format("'o_totalprice is no double'", "'too few fields'", "'too many fields'") + f" AS reason FROM orders WHERE {_BROKEN} "
+        f"UNION ALL SELECT CAST(count(*) AS VARCHAR), 'accepted' FROM orders WHERE NOT {_BROKEN}"),
+    "csv_accepted": f"SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders WHERE NOT {_BROKEN}",
     "frequent_values_tail": (
         f"WITH {_TAIL} SELECT feature, value, round(count(*) * 1.0 / (SELECT count(*) FROM t), 9) + 0.0 AS frequency "
         f"FROM ({_long('mixed', 'code')}) WHERE value IS NOT NULL GROUP BY feature, value "

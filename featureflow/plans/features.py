@@ -25,6 +25,7 @@ from featureflow.functions.columns import lookup
 from featureflow.functions.time import cyclic_pair, month_length
 from featureflow.operators import clean, encode, frequent, impute
 from featureflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension
+from featureflow.operators.sampling import is_train
 from featureflow.spec import Cyclic, FeatureSpec
 
 
@@ -105,12 +106,15 @@ class _FitParams(_StateParams):
                                     TypeConverters.toString)
     relativeError = Param(Params._dummy(), "relativeError", "rank error of the medians, 0 for exact ones",
                           TypeConverters.toFloat)
+    persistInput = Param(Params._dummy(), "persistInput", "persist the columns to learn from while learning",
+                         TypeConverters.toBoolean)
 
 
 class FeatureEstimator(Estimator, _FitParams, DefaultParamsReadable, DefaultParamsWritable):
     """Learns all dynamic preprocessing parameters from the training rows.
 
-    The columns to learn from are persisted once.  Medians of all numeric
+    The columns to learn from are persisted while learning (unless the caller
+    persisted its rows: ``persist_input=False``).  Medians of all numeric
     columns come from KLL sketches merged in two levels (or exact binning
     passes).  Modes, frequent values and their label sums of all categorical
     columns come from one multistage filter (``operators.frequent``): at most
@@ -125,10 +129,11 @@ class FeatureEstimator(Estimator, _FitParams, DefaultParamsReadable, DefaultPara
 
     def __init__(self, spec: FeatureSpec | None = None, frequency_threshold: float = 0.02,
                  cardinality_threshold: int = 10, high_cardinality_strategy: str = "mean",
-                 relative_error: float | None = 0.025):
+                 relative_error: float | None = 0.025, persist_input: bool = True):
         super().__init__()
         self._set(frequencyThreshold=frequency_threshold, cardinalityThreshold=cardinality_threshold,
-                  highCardinalityStrategy=high_cardinality_strategy, relativeError=relative_error or 0.0)
+                  highCardinalityStrategy=high_cardinality_strategy, relativeError=relative_error or 0.0,
+                  persistInput=persist_input)
         self._threshold()
         if spec is not None:
             self._set(specJson=spec_to_json(spec))
@@ -151,7 +156,9 @@ class FeatureEstimator(Estimator, _FitParams, DefaultParamsReadable, DefaultPara
         cats = calendar + nominal
 
         # the learned columns only, computed once: quantiles and counts make several passes
-        kept = df.select(*dict.fromkeys([*quant, *cats, spec.label])).persist(StorageLevel.MEMORY_AND_DISK)
+        kept = df.select(*dict.fromkeys([*quant, *cats, spec.label]))
+        if self.getOrDefault(self.persistInput):
+            kept.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             medians = impute.learn_medians(kept, quant, self.getOrDefault(self.relativeError) or None)
             unknown = [c for c, v in medians.items() if v is None]
@@ -267,23 +274,29 @@ def fit_or_load(df: DataFrame, spec: FeatureSpec, params_path: str | None = None
     return model
 
 
+SPLIT = "is_train"
+
+
+def flag_split(fact: DataFrame, train_frac: float = 0.8, seed: int = 42, split_key: str | None = None) -> DataFrame:
+    """``fact`` with the BOOLEAN column ``is_train``: by a hash of ``split_key`` (the same on any layout),
+    else by ``rand(seed)`` (reproducible for a fixed input layout)."""
+    if SPLIT in fact.columns:
+        raise ValueError(f"the fact already has a column {SPLIT!r}")
+    return fact.withColumn(SPLIT, is_train(split_key, train_frac) if split_key else F.rand(seed) < F.lit(train_frac))
+
+
 def split_fit_apply(fact: DataFrame, dim: DataFrame | None, spec: FeatureSpec, train_frac: float = 0.8,
                     seed: int = 42, params_path: str | None = None, refit: bool = True,
                     split_key: str | None = None, **estimator_kw):
     """Split first (no leakage), learn on the training rows, apply to both.
 
-    ``split_key`` gives a partition-independent hash split; without it the
-    split is ``randomSplit`` (reproducible for a fixed input layout).
+    Both splits are one flagged table through one join; (train, test, model) are
+    returned lazily.  ``build_feature_table`` writes both in one scan.
     """
-    if split_key:
-        from featureflow.operators.sampling import hash_split
-        train, test = hash_split(fact, split_key, train_frac)
-    else:
-        train, test = fact.randomSplit([train_frac, 1 - train_frac], seed=seed)
-    train = static_features(train, dim, spec)
-    test = static_features(test, dim, spec)
-    model = fit_or_load(train, spec, params_path, refit=refit, **estimator_kw)
-    return model.transform(train), model.transform(test), model
+    static = static_features(flag_split(fact, train_frac, seed, split_key), dim, spec)
+    model = fit_or_load(static.filter(SPLIT).drop(SPLIT), spec, params_path, refit=refit, **estimator_kw)
+    out = model.transform(static)
+    return out.filter(SPLIT).drop(SPLIT), out.filter(~F.col(SPLIT)).drop(SPLIT), model
 
 
 def preprocess_new(fact: DataFrame, dim: DataFrame | None, spec: FeatureSpec, model: FeatureModel) -> DataFrame:
@@ -294,18 +307,29 @@ def preprocess_new(fact: DataFrame, dim: DataFrame | None, spec: FeatureSpec, mo
 def build_feature_table(fact: DataFrame, dim: DataFrame | None, spec: FeatureSpec, out_dir: str,
                         params_path: str | None = None, train_frac: float = 0.8, seed: int = 42,
                         split_key: str | None = None, reuse: bool = True, **estimator_kw):
-    """Write train/test feature tables to Parquet once; later calls read them.
+    """Write the feature table (partitions is_train=true and false) to Parquet once; later calls read it.
 
     The schema travels inside Parquet itself; the stored tables are the lineage
     cut for the training job.
     """
     spark = fact.sparkSession
-    train_path, test_path = f"{out_dir}/train.parquet", f"{out_dir}/test.parquet"
+    path = f"{out_dir}/features.parquet"
     # _SUCCESS is written last: a folder without it is unfinished and built again
-    if reuse and path_exists(spark, f"{train_path}/_SUCCESS") and path_exists(spark, f"{test_path}/_SUCCESS"):
-        return spark.read.parquet(train_path), spark.read.parquet(test_path)
-    train, test, _ = split_fit_apply(fact, dim, spec, train_frac, seed, params_path or f"{out_dir}/params",
-                                     refit=True, split_key=split_key, **estimator_kw)
-    train.write.mode("overwrite").parquet(train_path)
-    test.write.mode("overwrite").parquet(test_path)
-    return spark.read.parquet(train_path), spark.read.parquet(test_path)
+    if reuse and path_exists(spark, f"{path}/_SUCCESS"):
+        return read_feature_table(spark, out_dir)
+    # one scan of the fact and one join: learning and applying read the persisted static rows
+    static = static_features(flag_split(fact, train_frac, seed, split_key), dim, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = fit_or_load(static.filter(SPLIT).drop(SPLIT), spec, params_path or f"{out_dir}/params", refit=True,
+                            persist_input=False, **estimator_kw)
+        model.transform(static).write.mode("overwrite").partitionBy(SPLIT).parquet(path)
+    finally:
+        static.unpersist()
+    return read_feature_table(spark, out_dir)
+
+
+def read_feature_table(spark, out_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of a feature table: two partitions of one Parquet table."""
+    table = spark.read.parquet(f"{out_dir}/features.parquet")
+    flag = F.col(SPLIT).cast("boolean")
+    return table.filter(flag).drop(SPLIT), table.filter(~flag).drop(SPLIT)

@@ -9,12 +9,15 @@ model in a folder.
 
 from __future__ import annotations
 
+import json
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression,
+                                   RandomForestRegressor)
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -22,6 +25,7 @@ from pyspark.sql.types import DoubleType
 from featureflow.operators.clean import output_projection
 from featureflow.operators.sampling import ensure_parallelism
 from featureflow.plans.features import list_dirs
+from featureflow.session import shared_path
 
 # --- fixed values: model families and their grids ---------------------------
 FAMILIES = ("Linear_Regression", "Decision_Tree", "Random_Forest")
@@ -114,6 +118,81 @@ def cross_validate(train: DataFrame, family: str, label: str, grid_values=None,
     return model, pname, values[best_idx]
 
 
+# ---------------------------------------------------------------- one tree for a grid of depths
+def truncated_tree(model: DecisionTreeRegressionModel, depth: int) -> DecisionTreeRegressionModel:
+    """The tree cut at ``depth``: nodes there become leaves that predict their own mean.
+
+    Trees grow level by level and a node's split depends on its rows alone, so
+    this is the tree a fit with ``maxDepth=depth`` gives.  Works on the saved
+    node table: of the tree, which the driver holds anyway, only the links pass
+    through it again.
+    """
+    spark = SparkSession.active()
+    whole, cut = shared_path(spark, "tree"), shared_path(spark, "tree")
+    model.write().overwrite().save(whole)
+    nodes = spark.read.parquet(f"{whole}/data")
+    links = {r["id"]: (r["leftChild"], r["rightChild"]) for r in nodes.select("id", "leftChild", "rightChild").collect()}
+    kept, stack = [], [(0, 0)]
+    while stack:                                            # preorder, as the ids of a saved tree are
+        node, level = stack.pop()
+        left, right = links[node] if level < depth else (-1, -1)
+        kept.append((node, left, right))
+        stack += [(child, level + 1) for child in (right, left) if child >= 0]
+    number = {old: new for new, (old, _, _) in enumerate(kept)} | {-1: -1}
+    moved = spark.createDataFrame([(old, number[old], number[left], number[right]) for old, left, right in kept],
+                                  "id int, _id int, _left int, _right int")
+    split = F.struct(F.lit(-1).alias("featureIndex"), F.array().cast("array<double>").alias("leftCategoriesOrThreshold"),
+                     F.lit(-1).alias("numCategories"))
+    leaf = F.col("_left") < 0
+    (nodes.join(F.broadcast(moved), "id")                   # at most 2 ** (depth + 1) rows of the model itself
+     .select(F.col("_id").alias("id"), "prediction", "impurity", "impurityStats", "rawCount",
+             F.when(leaf, F.lit(-1.0)).otherwise(F.col("gain")).alias("gain"), F.col("_left").alias("leftChild"),
+             F.col("_right").alias("rightChild"), F.when(leaf, split).otherwise(F.col("split")).alias("split"))
+     .write.parquet(f"{cut}/data"))
+    about = json.loads(spark.read.text(f"{whole}/metadata").first()["value"])
+    about["paramMap"]["maxDepth"] = depth
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{cut}/metadata")
+    return DecisionTreeRegressionModel.load(cut)
+
+
+def cross_validate_depths(train: DataFrame, label: str, depths=None, folds: int = 5, seed: int = 42,
+                          features_col: str = "features", fold_col: str | None = None, persist: bool = True):
+    """``cross_validate`` of a decision tree over a grid of depths with one fit a fold.
+
+    The deepest tree of a fold holds all shallower ones (``truncated_tree``); the
+    fold's rows are scored by all depths in one pass.  The best tree over all
+    rows is fitted once, at the best depth.  Returns what ``cross_validate`` does.
+    """
+    depths = list(depths if depths is not None else GRIDS["Decision_Tree"][1])
+    owned = persist and not train.storageLevel.useMemory and not train.storageLevel.useDisk
+    data = training_set(train, label, features_col, fold_col) if owned else train
+    fold = F.col(fold_col) if fold_col else F.floor(F.rand(seed) * folds).cast("int")
+    dealt = data.withColumn("_fold", fold)
+    if not fold_col:
+        dealt = dealt.persist(StorageLevel.MEMORY_AND_DISK)     # the dealing is drawn once
+    errors = []
+    try:
+        for k in range(folds):
+            tree = make_estimator("Decision_Tree", "scaledFeatures", label, seed).setMaxDepth(max(depths))
+            scaling, deepest = scaled_pipeline(tree, features_col).fit(dealt.filter(F.col("_fold") != k)).stages
+            held = scaling.transform(dealt.filter(F.col("_fold") == k))
+            for i, depth in enumerate(depths):
+                model = deepest if depth == max(depths) else truncated_tree(deepest, depth)
+                held = model.setPredictionCol(f"_depth{i}").transform(held)
+            y = F.col(label).cast(DoubleType())
+            errors.append(held.agg(*[F.sqrt(F.avg((y - F.col(f"_depth{i}")) ** 2)).alias(f"e{i}")
+                                     for i in range(len(depths))]).first())
+        metrics = [sum(e[i] for e in errors) / folds for i in range(len(depths))]
+        best = min(range(len(depths)), key=lambda i: metrics[i])
+        model = retrain_best(data, "Decision_Tree", label, "maxDepth", depths[best], seed, features_col)
+    finally:
+        if not fold_col:
+            dealt.unpersist()
+        if owned:
+            data.unpersist()
+    return CrossValidatorModel(model, metrics), "maxDepth", depths[best]
+
+
 def retrain_best(train: DataFrame, family: str, label: str, param: str, value,
                  seed: int = 42, features_col: str = "features") -> PipelineModel:
     """Refit the family on all training rows with the winning grid entry."""
@@ -150,8 +229,12 @@ def train_select(train_df: DataFrame, label: str, families=FAMILIES, grids: dict
     try:
         for fam in families:
             values = (grids or {}).get(fam)
-            cv_model, pname, best = cross_validate(fit_part, fam, label, values, folds, seed, parallelism,
-                                                   features_col, fold_col, persist=False)
+            if fam == "Decision_Tree":
+                cv_model, pname, best = cross_validate_depths(fit_part, label, values, folds, seed, features_col, fold_col,
+                                                              persist=False)
+            else:
+                cv_model, pname, best = cross_validate(fit_part, fam, label, values, folds, seed, parallelism,
+                                                       features_col, fold_col, persist=False)
             m = regression_metrics(cv_model.transform(test_part), label).first()
             rows.append((fam, float(m["rmse"]), float(m["mae"]), float(m["r2"]), pname, float(best)))
             final = retrain_best(data, fam, label, pname, best, seed, features_col)

@@ -47,7 +47,8 @@ def profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], l
                      F.round(F.col(f"null{i}").cast(DoubleType()) * 100.0 / F.col("_total"), 4).alias("pct"))
             for i, c in enumerate(numeric)]))).orderBy(F.col("pct").desc(), F.col("feature"))
         out["summary_numeric"] = _summary_from(row, df, numeric, relative_error)
-        out["correlation"] = _corr_from(row, numeric)
+        out["correlation"] = (_corr_from(row, numeric) if len(numeric) <= stats.PAIRWISE_COLUMNS
+                              else stats.corr_matrix(df, numeric))
         clipped = {k: v for k, v in (clip or {}).items() if k in numeric}
         out["histograms"] = stats.histograms(df, numeric, bins, {**ranges, **clipped})
         out["proportions_numeric"] = _shares(stats.value_stats(df, numeric), row.select("_total").scalar())
@@ -115,7 +116,7 @@ def _numeric_overview(df: DataFrame, cols: Sequence[str], relative_error: float
                  F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"sd{i}"),
                  F.min(x).cast(DoubleType()).alias(f"mn{i}"), F.max(x).cast(DoubleType()).alias(f"mx{i}")]
     zero = {c: F.nanvl(F.coalesce(F.col(c).cast(DoubleType()), F.lit(0.0)), F.lit(0.0)) for c in cols}
-    for i, a in enumerate(cols):
+    for i, a in enumerate(cols if len(cols) <= stats.PAIRWISE_COLUMNS else ()):
         for j in range(i, len(cols)):
             aggs.append(stats.correlation(zero[a], zero[cols[j]]).alias(f"c{i}_{j}"))
     checkpoint_root(df.sparkSession)

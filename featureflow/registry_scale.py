@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from featureflow.operators import frequent, indexing, joins, sampling, sketches, stats
 from featureflow.plans import model as mdl
 from featureflow.session import shared_path
+from featureflow.sources import ingest, io
 
 LABEL = "l_extendedprice"
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
@@ -170,6 +172,91 @@ def train_and_predict_ridge(spark, sf):
     return pred.select(*KEYS, _r("prediction", 4).alias("prediction"))
 
 
+def cv_tree_depths(spark, sf):
+    """A depth grid over five hash folds, one tree a fold; on a feature of two values every depth predicts means."""
+    li = _t(spark, sf, "lineitem").withColumn("x", (F.col("l_linestatus") == "F").cast("double"))
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        li.select("x", LABEL, F.pmod(sampling.hash32("l_orderkey"), F.lit(5)).cast("int").alias("fold")))
+    depths = [1, 3, 6]
+    cvm, pname, best = mdl.cross_validate_depths(data, LABEL, depths, fold_col="fold")
+    rows = [(pname, d, round(cvm.avgMetrics[i], 4), d == best) for i, d in enumerate(depths)]
+    return spark.createDataFrame(rows, "param string, value int, avg_rmse double, is_best boolean")
+
+
+# ---------------------------------------------------------------- many columns
+def _wide(spark, sf) -> DataFrame:
+    li = _t(spark, sf, "lineitem")
+    return li.select(*[F.when(F.col("l_linenumber") != 1 + i % 7, F.col("l_quantity") * (i % 5 + 1) + F.col("l_discount")
+                              * (10 * i) + F.col("l_tax") * (i * i) + 1e6).alias(f"x{i:02d}") for i in range(24)],
+                     F.lit(3.5).alias("x_same"))
+
+
+def corr_matrix_wide(spark, sf):
+    """A10: 25 columns with NULLs (as 0) and a constant one, from a Gramian over blocks of columns."""
+    data = _wide(spark, sf)
+    c = stats.corr_matrix(data, data.columns)
+    return c.select("feature_a", "feature_b", _r("corr", 7).alias("corr"))
+
+
+def corr_matrix_pairwise(spark, sf):
+    """A10: the same without filling: each pair over the rows where both are known."""
+    data = _wide(spark, sf)
+    c = stats.corr_matrix(data, data.columns, zero_fill=False)
+    return c.select("feature_a", "feature_b", _r("corr", 6).alias("corr"))
+
+
+# ---------------------------------------------------------------- ingest
+def _orders_csv(spark, sf, part: int, path: str, factor: float = 1.0) -> None:
+    o = _t(spark, sf, "orders").filter(F.col("o_orderkey") % 4 == part).withColumn("o_totalprice", F.col("o_totalprice") * factor)
+    io.write_csv(o.coalesce(1), f"{path}/k{part}/deep")
+
+
+def _two_batches(spark, sf) -> tuple[DataFrame, str]:
+    root, schema = shared_path(spark, "ingest_files"), _t(spark, sf, "orders").schema
+    for part in (0, 1, 2):
+        _orders_csv(spark, sf, part, f"{root}/raw")
+    ingest.ingest_files(spark, f"{root}/raw", f"{root}/table", schema, prune=True)
+    _orders_csv(spark, sf, 1, f"{root}/raw", 2.0)
+    _orders_csv(spark, sf, 3, f"{root}/raw")
+    return ingest.ingest_files(spark, f"{root}/raw", f"{root}/table", prune=True), f"{root}/table"
+
+
+def ingest_incremental(spark, sf):
+    """Three files of orders, then one replaced and one new: only those two are read again."""
+    return _two_batches(spark, sf)[0]
+
+
+def ingest_manifest(spark, sf):
+    """What each batch of that read: files and rows (files that were gone apart)."""
+    _, root = _two_batches(spark, sf)
+    return (ingest.read_manifest(spark, root).groupBy("batch", "removed")
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("n_rows")))
+
+
+def _broken_orders(spark, sf) -> tuple[DataFrame, DataFrame]:
+    o = _t(spark, sf, "orders")
+    schema = StructType([o.schema[c] for c in ("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")])
+    key, text = F.col("o_orderkey"), [F.col(c).cast("string") for c in schema.names]
+    line = (F.when(key % 97 == 0, F.concat_ws(",", text[0], text[1], F.lit("n/a"), text[3]))
+            .when(key % 89 == 0, F.concat_ws(",", text[0], text[1]))
+            .when(key % 83 == 0, F.concat_ws(",", *text, F.lit("more"))).otherwise(F.concat_ws(",", *text)))
+    path = shared_path(spark, "csv_quarantine")
+    o.select(line.alias("value")).write.text(f"{path}/raw")
+    return ingest.quarantine_csv(spark, f"{path}/raw", f"{path}/table", schema, header=False, most_rejects=0.1)
+
+
+def csv_quarantine(spark, sf):
+    """Broken lines are kept apart with a reason; rows in = rows out + rejects."""
+    rows, rejects = _broken_orders(spark, sf)
+    return rejects.select("record", "reason").unionByName(
+        rows.agg(F.count(F.lit(1)).cast("string").alias("record")).withColumn("reason", F.lit("accepted")))
+
+
+def csv_accepted(spark, sf):
+    """The well-formed rows of the same files."""
+    return _broken_orders(spark, sf)[0]
+
+
 QUERIES = {
     "frequent_values_tail": frequent_values_tail,
     "mode_values_tail": mode_values_tail,
@@ -185,4 +272,11 @@ QUERIES = {
     "sample_stratified": sample_stratified,
     "model_comparison_ridge": model_comparison_ridge,
     "train_and_predict_ridge": train_and_predict_ridge,
+    "cv_tree_depths": cv_tree_depths,
+    "corr_matrix_wide": corr_matrix_wide,
+    "corr_matrix_pairwise": corr_matrix_pairwise,
+    "ingest_incremental": ingest_incremental,
+    "ingest_manifest": ingest_manifest,
+    "csv_quarantine": csv_quarantine,
+    "csv_accepted": csv_accepted,
 }
