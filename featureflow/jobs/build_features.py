@@ -18,10 +18,12 @@ def main(argv=None):
     p.add_argument("--cardinality_threshold", type=int, default=10)
     p.add_argument("--strategy", choices=["mean", "ignore"], default="mean")
     p.add_argument("--sample", type=float, default=None, help="debug: sample this fraction with replacement")
+    p.add_argument("--most_rejects", type=float, default=None,
+                   help="keep malformed CSV records apart and fail above this share (default: their bad fields are NULL)")
     args = p.parse_args(argv)
     spark = session(args, "featureflow-build")
     spec = PRESETS[args.preset]
-    fact = load_table(spark, args.raw_flights, f"{args.out}/ingest", "fact", spec)
+    fact = load_table(spark, args.raw_flights, f"{args.out}/ingest", "fact", spec, args.most_rejects)
     dim = load_table(spark, args.raw_plane, f"{args.out}/ingest", "dim", spec) if args.raw_plane else None
     io.validate_dataset(fact, spec.label)
     if args.sample:

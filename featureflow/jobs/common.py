@@ -35,12 +35,15 @@ def raw_types(spec) -> dict:
     return types
 
 
-def load_table(spark, path: str, work_dir: str | None, name: str, spec):
-    """CSV is ingested once into Parquet under ``work_dir``; Parquet is read as is."""
-    from featureflow.sources import io
+def load_table(spark, path: str, work_dir: str | None, name: str, spec, most_rejects: float | None = None):
+    """CSV is kept as Parquet under ``work_dir``, where only files that are new or changed are read
+    (``most_rejects``: malformed records are kept apart, up to that share); Parquet is read as is."""
+    from featureflow.sources import ingest, io
     if path.endswith(".parquet"):
         return io.read_parquet(spark, path)
     if work_dir:
-        return io.ingest_cached(spark, path, f"{work_dir}/{name}.parquet", f"{work_dir}/{name}_schema",
-                                types=raw_types(spec))
+        # files that no longer match are dropped; when none matches any more, the copy is all there is
+        some = not ingest.list_files(spark, path).isEmpty()
+        return ingest.ingest_files(spark, path, f"{work_dir}/{name}", types=raw_types(spec), prune=some,
+                                   quarantine=most_rejects is not None, most_rejects=most_rejects)
     return io.read_csv(spark, path, types=raw_types(spec))

@@ -22,10 +22,12 @@ def main(argv=None):
     p.add_argument("--out", required=True, help="output folder for predictions (CSV)")
     p.add_argument("--work", default=None, help="ingest cache folder for CSV inputs")
     p.add_argument("--metrics", default=None, help="output folder for the metrics (Parquet)")
+    p.add_argument("--most_rejects", type=float, default=None,
+                   help="with --work: keep malformed CSV records apart and fail above this share")
     args = p.parse_args(argv)
     spark = session(args, "featureflow-score")
     spec = PRESETS[args.preset]
-    fact = load_table(spark, args.raw_flights, args.work, "fact", spec)
+    fact = load_table(spark, args.raw_flights, args.work, "fact", spec, args.most_rejects)
     dim = load_table(spark, args.raw_plane, args.work, "dim", spec) if args.raw_plane else None
     io.validate_dataset(fact, mode="predict")
     data = feat.preprocess_new(fact, dim, spec, feat.FeatureModel.load(args.params))

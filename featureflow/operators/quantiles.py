@@ -103,13 +103,16 @@ def _narrow(df: DataFrame, cols: list[str], kind: DataType, probs: Sequence[floa
 
 def _count_bins(long: DataFrame, kind: DataType, intervals: list[tuple], bins: int) -> list[list]:
     """Rows (bin, n, mn, mx) of each interval in ascending order; one scan for all intervals."""
-    targets = F.array(*[F.struct(
-        F.lit(i).alias("tid"), F.lit(feature).alias("feature"), F.lit(_is_coarse(kind, lo, hi)).alias("coarse"),
-        F.lit(lo).cast(kind).alias("lo"), F.lit(hi).cast(kind).alias("hi"),
-        F.lit(_width(kind, lo, hi, bins)).cast(kind).alias("w")) for i, (feature, lo, hi) in enumerate(intervals)])
-    inside = F.filter(targets, lambda t: (t["feature"] == F.col("feature")) & F.col("x").between(t["lo"], t["hi"]))
+    by_feature: dict[str, list[Column]] = {}
+    for i, (feature, lo, hi) in enumerate(intervals):
+        by_feature.setdefault(feature, []).append(F.struct(
+            F.lit(i).alias("tid"), F.lit(_is_coarse(kind, lo, hi)).alias("coarse"), F.lit(lo).cast(kind).alias("lo"),
+            F.lit(hi).cast(kind).alias("hi"), F.lit(_width(kind, lo, hi, bins)).cast(kind).alias("w")))
+    # a row looks up its feature's few intervals and tests only those
+    targets = F.create_map(*[x for f, structs in by_feature.items() for x in (F.lit(f), F.array(*structs))])
+    inside = F.filter(F.try_element_at(targets, F.col("feature")), lambda t: F.col("x").between(t["lo"], t["hi"]))
     bin_ = F.when(F.col("t.coarse"), _coarse_bin(kind)).otherwise(_linear_bin(kind, bins))
-    rows = (long.filter(F.col("feature").isin(sorted({f for f, _, _ in intervals})))
+    rows = (long.filter(F.col("feature").isin(sorted(by_feature)))
             .select("x", F.explode(inside).alias("t"))
             .groupBy(F.col("t.tid").alias("tid"), bin_.alias("bin"))
             .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))

@@ -20,7 +20,8 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 from featureflow.plans.features import path_exists
 from featureflow.sources.io import load_schema, read_csv, save_schema
 
-MANIFEST = "file string, size long, modified timestamp, batch long, rows long, removed boolean"
+MANIFEST = "file string, size long, modified timestamp, batch long, rows long, rejects long, removed boolean"
+RECORD = "_record"              # the text of a rejected record; NULL in accepted rows
 
 
 # ---------------------------------------------------------------- manifest
@@ -57,7 +58,7 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
 
 def current_files(manifest: DataFrame) -> DataFrame:
     """The last entry of each file that is still there."""
-    last = manifest.groupBy("file").agg(F.max(F.struct("batch", "size", "modified", "rows", "removed")).alias("e"))
+    last = manifest.groupBy("file").agg(F.max(F.struct("batch", "size", "modified", "rows", "rejects", "removed")).alias("e"))
     return last.select("file", "e.*").filter(~F.col("removed")).drop("removed")
 
 
@@ -68,12 +69,24 @@ def _partition(file: str) -> str:
 
 def _drop_partitions(spark: SparkSession, data: str, files: list[str]) -> None:
     for file in files:
-        p, fs = _filesystem(spark, f"{data}/_file={_partition(file)}")
-        fs.delete(p, True)
+        for rejected in ("false", "true"):
+            p, fs = _filesystem(spark, f"{data}/_rejected={rejected}/_file={_partition(file)}")
+            fs.delete(p, True)
+
+
+def _stored(spark: SparkSession, root: str, rejected: bool) -> DataFrame:
+    """Accepted or rejected records below ``root`` with their ``_file``."""
+    fields = [*load_schema(spark, f"{root}/schema").fields, StructField(RECORD, StringType()),
+              StructField("_file", StringType()), StructField("_rejected", BooleanType())]
+    if not path_exists(spark, f"{root}/data"):
+        return spark.createDataFrame([], StructType(fields)).drop("_rejected")
+    return (spark.read.schema(StructType(fields)).parquet(f"{root}/data")
+            .filter(F.col("_rejected") == F.lit(rejected)).drop("_rejected"))
 
 
 def ingest_files(spark: SparkSession, raw_path: str, root: str, schema: StructType | None = None,
-                 types: dict | None = None, header: bool = True, prune: bool = False) -> DataFrame:
+                 types: dict | None = None, header: bool = True, prune: bool = False, quarantine: bool = False,
+                 most_rejects: float | None = None) -> DataFrame:
     """The rows of all files ever ingested from ``raw_path``, after reading those that are new or changed.
 
     A file is changed when its size or time differs from the manifest; its rows
@@ -82,6 +95,11 @@ def ingest_files(spark: SparkSession, raw_path: str, root: str, schema: StructTy
     run that dies is repeated by the next one without losing or doubling a
     row.  Later files are read with the columns and types of the first ones.
     The names of files to read pass through the driver, as in any Spark read.
+
+    Malformed records keep what could be read of them, NULL elsewhere; with
+    ``quarantine`` they are rejected instead (``rejected_records``), and when
+    more than the share ``most_rejects`` of the new files' records is,
+    ``TooManyRejects`` is raised and these files count as not ingested.
     """
     data, manifest = f"{root}/data", read_manifest(spark, root)
     known, now = current_files(manifest), list_files(spark, raw_path)
@@ -90,30 +108,45 @@ def ingest_files(spark: SparkSession, raw_path: str, root: str, schema: StructTy
     stored = f"{root}/schema"
     if fresh or gone:
         _drop_partitions(spark, data, [r["file"] for r in gone])
-        rows = {}
+        counts = {}
         if fresh:
+            paths = [r["path"] for r in fresh]
             if path_exists(spark, f"{stored}/_SUCCESS"):
                 schema = load_schema(spark, stored)
-            df = read_csv(spark, [r["path"] for r in fresh], schema, header, types)
-            if not path_exists(spark, f"{stored}/_SUCCESS"):
-                save_schema(spark, df.schema, stored)
-            # a changed file may have no rows now and write no partition: its old one goes first
+            else:
+                schema = read_csv(spark, paths, schema, header, types).schema
+                save_schema(spark, schema, stored)
+            df = _with_record(spark, paths, schema, header)
+            rejected = F.col(RECORD).isNotNull() if quarantine else F.lit(False)
+            record = F.col(RECORD) if quarantine else F.lit(None).cast("string")
+            # a changed file may have no rows now and write no partition: its old ones go first
             _drop_partitions(spark, data, [r["file"] for r in fresh])
-            (df.select("*", F.md5(F.col("_metadata.file_path")).alias("_file")).write.mode("append")
-             .partitionBy("_file").parquet(data))
-            rows = {r["_file"]: r["n"] for r in spark.read.schema("_file string").parquet(data)
-                    .filter(F.col("_file").isin([_partition(r["file"]) for r in fresh]))
-                    .groupBy("_file").agg(F.count(F.lit(1)).alias("n")).collect()}
+            (df.select(*[F.col(f"`{f.name}`") for f in schema.fields], record.alias(RECORD), rejected.alias("_rejected"),
+                       F.md5(F.col("_metadata.file_path")).alias("_file"))
+             .write.mode("append").partitionBy("_rejected", "_file").parquet(data))
+            counts = {(r["_rejected"], r["_file"]): r["n"] for r in
+                      spark.read.schema("_rejected boolean, _file string").parquet(data)
+                      .filter(F.col("_file").isin([_partition(r["file"]) for r in fresh]))
+                      .groupBy("_rejected", "_file").agg(F.count(F.lit(1)).alias("n")).collect()}
+            bad, every = sum(n for (rejects, _), n in counts.items() if rejects), sum(counts.values())
+            if most_rejects is not None and bad > most_rejects * every:
+                raise TooManyRejects(f"{bad} of {every} records rejected, more than {most_rejects:.2%}: see {data}")
         batch = (manifest.agg(F.max("batch")).first()[0] or 0) + 1
-        entries = [(r["file"], r["size"], r["modified"], batch, rows.get(_partition(r["file"]), 0), False) for r in fresh]
-        entries += [(r["file"], 0, None, batch, 0, True) for r in gone]
+        entries = [(r["file"], r["size"], r["modified"], batch, counts.get((False, _partition(r["file"])), 0),
+                    counts.get((True, _partition(r["file"])), 0), False) for r in fresh]
+        entries += [(r["file"], 0, None, batch, 0, 0, True) for r in gone]
         spark.createDataFrame(entries, MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
     if not path_exists(spark, f"{stored}/_SUCCESS"):
         raise ValueError(f"no file to ingest at {raw_path}")
-    full = load_schema(spark, stored)
-    if not path_exists(spark, data):
-        return spark.createDataFrame([], full)
-    return spark.read.schema(StructType([*full.fields, StructField("_file", StringType())])).parquet(data).drop("_file")
+    return _stored(spark, root, False).drop(RECORD, "_file")
+
+
+def rejected_records(spark: SparkSession, root: str) -> DataFrame:
+    """(file, record, reason) of the records that ``ingest_files`` rejected, from the files as they are now."""
+    files = current_files(read_manifest(spark, root)).select("file", F.md5("file").alias("_file"))
+    reason = reject_reason(F.col(RECORD), load_schema(spark, f"{root}/schema"))
+    return (_stored(spark, root, True).select("_file", RECORD, reason.alias("reason")).join(files, "_file")
+            .select("file", F.col(RECORD).alias("record"), "reason"))
 
 
 # ---------------------------------------------------------------- quarantine
@@ -139,6 +172,15 @@ def reject_reason(record: Column, schema: StructType, options: dict | None = Non
     return reason.otherwise(F.lit("malformed"))
 
 
+def _with_record(spark: SparkSession, path, schema: StructType, header: bool, options: dict | None = None) -> DataFrame:
+    """CSV rows with the text of malformed records in ``_record`` (NULL for well-formed ones)."""
+    if any(f.name in (RECORD, "_rejected", "_source", "_file") for f in schema.fields):
+        raise ValueError("_record, _rejected, _source and _file are names of the ingest")
+    return (spark.read.options(**(options or {})).option("header", header).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", RECORD)
+            .schema(StructType([*schema.fields, StructField(RECORD, StringType())])).csv(path))
+
+
 def quarantine_csv(spark: SparkSession, path, out_dir: str, schema: StructType, header: bool = True,
                    most_rejects: float | None = 0.01, options: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of CSV files, written apart below ``out_dir`` in one scan.
@@ -148,11 +190,8 @@ def quarantine_csv(spark: SparkSession, path, out_dir: str, schema: StructType,
     ``most_rejects`` is rejected, ``TooManyRejects`` is raised after writing, so
     the rejects can be looked at; None allows any share.
     """
-    if any(f.name in ("_record", "_rejected", "_source") for f in schema.fields):
-        raise ValueError("_record, _rejected and _source are names of the quarantine")
-    read_as = StructType([*schema.fields, StructField("_record", StringType())])
-    raw = (spark.read.options(**(options or {})).option("header", header).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_record").schema(read_as).csv(path))
+    read_as = StructType([*schema.fields, StructField(RECORD, StringType())])
+    raw = _with_record(spark, path, schema, header, options)
     (raw.select("*", F.col("_metadata.file_path").alias("_source"), F.col("_record").isNotNull().alias("_rejected"))
      .write.mode("overwrite").partitionBy("_rejected").parquet(out_dir))
     written = spark.read.schema(StructType([*read_as.fields, StructField("_source", StringType()),
