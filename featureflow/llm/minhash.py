@@ -13,12 +13,16 @@ Groups of copies never meet in one task and never become all pairs:
    grouped minimum);
 2. every bucket links its members to its smallest member only (a star); the
    star's rows are salted so that a group has a bounded number of shingles;
-3. components of the confirmed links are taken; only members that are not
-   connected to their star's centre ("stragglers") are compared with all
-   members of the star, block by block, and only confirmed links leave a task.
-
-Any pair that shares a bucket is either connected after step 2 or compared
-in step 3, so no confirmed link is lost whatever the bucket's size.
+3. members that are not linked to their centre get a new one, the smallest of
+   them, and are compared with that; a few rounds of this cover groups that lie
+   around a centre which is none of theirs;
+4. components of the confirmed links are taken; only members outside their
+   star's largest component are compared with all its members, block by block.
+
+Of the links confirmed in a block a spanning forest leaves the task: fewer rows
+than the block has members, and the same components.  Any pair that shares a
+bucket is either connected before step 4 or compared in it, so no group falls
+apart for want of a link, whatever the bucket's size.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ from featureflow.llm.words import Words, chunks, flat_shingles, mix64
 ROWS = 4                          # coordinates of a band
 MISS = 1e-5                       # chance that a pair exactly at the threshold shares no band
 BLOCK_SHINGLES = 200_000          # shingles of a block of one star: bounds a task's group
+CENTRES = 2                       # further centres that a star tries before its blocks are compared
 MAX_BROADCAST_IDS = 500_000       # ids (8 bytes each) that may be broadcast
 
 
@@ -118,7 +123,7 @@ def _set_rows(width: int):
 
 
 def _block_links(percent: int):
-    """Confirmed links between the queries and the members of one block."""
+    """A spanning forest of the confirmed links between the queries and the members of one block."""
 
     def run(table: pa.Table) -> pa.Table:
         reps = table.column("rep").to_numpy()
@@ -130,6 +135,7 @@ def _block_links(percent: int):
         _, ids = np.unique(flat, return_inverse=True)
         mark = np.zeros(ids.max() + 1, dtype=np.int32)
         members = ~asks
+        _, group = np.unique(reps, return_inverse=True)     # a query that is a member too is one node
         found = []
         for q in np.flatnonzero(asks):
             own = ids[starts[q]:starts[q] + sizes[q]]
@@ -137,15 +143,18 @@ def _block_links(percent: int):
             both = np.add.reduceat(mark[ids], starts)
             mark[own] = 0
             union = sizes + sizes[q] - both
-            ok = np.flatnonzero(members & (100 * both >= percent * union) & (reps != reps[q]))
-            found += [(int(reps[q]), int(reps[i])) for i in ok]
+            ok = np.flatnonzero(members & (100 * both >= percent * union) & (group != group[q]))
+            joined, first = np.unique(group[ok], return_index=True)
+            found += [(int(reps[q]), int(reps[i])) for i in ok[first]]
+            group[np.isin(group, joined)] = group[q]
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()),
                          "b": pa.array([y for _, y in found], pa.int64())})
     return run
 
 
 def _compare(asking: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between asking (hub, rep, n) and members (hub, rep, n) of the same hub, by blocks."""
+    """Links (a, b) between asking (hub, rep, n) and members (hub, rep, n) of the same hub, by blocks:
+    of each block's links as many as connect what they connect."""
     def blocks(df, name):
         return df.groupBy("hub").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias(name))
 
@@ -170,6 +179,11 @@ def _of(ids: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(ids, "id", "left_semi")
 
 
+def _unlinked(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """Members (hub, rep, n) that are not linked (hub, b) to their hub's centre; computed once."""
+    return cut(members.join(linked.select("hub", F.col("b").alias("rep")).distinct(), ["hub", "rep"], "left_anti"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: (id, n_shingles, component_id).
@@ -199,14 +213,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   .filter(F.length("shingles") > 0).distinct(), "minhash-sets")   # an id may have several texts
 
     links = cut(_compare(stars.filter("hub = rep"), stars.filter("hub <> rep"), sets, percent))
+    left = _unlinked(stars.filter("hub <> rep"), links.withColumnRenamed("a", "hub"))
+    for _ in range(CENTRES):
+        if left.isEmpty():
+            break
+        centres = cut(left.groupBy("hub").agg(F.min_by(F.struct("rep", "n"), "rep").alias("c")).select("hub", "c.rep", "c.n"))
+        others = cut(left.join(centres.select("hub", F.col("rep").alias("centre")), "hub").filter("rep <> centre"))
+        more = cut(_compare(centres, others.select("hub", "rep", "n"), sets, percent))
+        links = links.unionByName(more)
+        found = more.join(centres.select("hub", F.col("rep").alias("a")), "a").select("hub", "b")
+        left = _unlinked(others.select("hub", "rep", "n"), found)
+    links = cut(links)
     same = cut(known.join(classes.filter("copies > 1").select("n", "d1", "d2", "rep"), ["n", "d1", "d2"])
                .select(F.col("id").alias("a"), F.col("rep").alias("b")).filter("a <> b").distinct())
     first = connected_components(links)
-    labelled = (stars.join(first.select(F.col("node").alias("rep"), F.col("component").alias("c")), "rep", "left")
-                .join(first.select(F.col("node").alias("hub"), F.col("component").alias("hc")), "hub", "left"))
-    apart = F.coalesce("c", "rep") != F.coalesce("hc", "hub")
-    stragglers = cut(labelled.filter(apart).select("hub", "rep", "n"))
-    rest = stars.join(stragglers.select("hub").distinct(), "hub", "left_semi").filter("hub <> rep")
+    labelled = cut(stars.join(first.select(F.col("node").alias("rep"), F.col("component").alias("c")), "rep", "left")
+                   .select("hub", "rep", "n", F.coalesce("c", "rep").alias("c")))
+    largest = (labelled.groupBy("hub", "c").agg(F.count("*").alias("size"))
+               .groupBy("hub").agg(F.max_by("c", F.struct("size", -F.col("c"))).alias("largest")))
+    stragglers = cut(labelled.join(largest, "hub").filter("c <> largest").select("hub", "rep", "n"))
+    rest = stars.join(stragglers.select("hub").distinct(), "hub", "left_semi")
     late = _compare(stragglers, rest, sets, percent)
     component = connected_components(links.unionByName(late).unionByName(same))
     return (sigs.join(component.withColumnRenamed("node", "id"), "id", "left")

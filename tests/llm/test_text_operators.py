@@ -83,6 +83,47 @@ def test_near_duplicates_match_brute_force(spark, docs_of, monkeypatch, width, p
     assert got == {(i, len(x), None if i is None else find(i)) for i, x in sets}
 
 
+def test_links_of_a_group_around_a_far_centre_stay_linear(spark, docs_of, monkeypatch):
+    """One document shares a band with 120 near copies of another text but is linked to none of them."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(400)]
+    far = base[:]
+    for k in range(0, 400, 14):
+        far[k] = f"far{k}"
+    rows = [(0, " ".join(far))]
+    for i in range(1, 121):
+        w = base[:]
+        w[rng.randrange(400)] = f"z{i}"
+        rows.append((i, " ".join(w)))
+    # every document in one bucket, whatever its signature: the star's centre is the far one
+    keys = minhash._signature_rows
+
+    def one_bucket(width, bands, rows_):
+        run = keys(width, bands, rows_)
+
+        def all_in_one(batches):
+            for b in run(batches):
+                yield b.set_column(4, "keys", pa.array([[1]] * b.num_rows, pa.list_(pa.int64())))
+        return all_in_one
+
+    made = []
+    compare = minhash._compare
+
+    def counted(*args):
+        out = minhash.cut(compare(*args))
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "_signature_rows", one_bucket)
+    monkeypatch.setattr(minhash, "_compare", counted)
+    for block in (200_000, 4000):
+        monkeypatch.setattr(minhash, "BLOCK_SHINGLES", block)
+        made.clear()
+        got = {r["id"]: r["component_id"] for r in minhash.near_duplicates(docs_of(rows), width=3, percent=85).collect()}
+        assert got == {0: 0, **{i: 1 for i in range(1, 121)}}
+        assert sum(made) <= 2 * len(rows)
+
+
 def test_keep_one_keeps_columns_and_odd_rows(spark, docs_of):
     rows = [(5, "a b c d e f"), (3, "A b c d e f"), (3, "A b c d e f"), (9, "g h i j k l"), *ODD]
     out = minhash.keep_one(docs_of(rows))
