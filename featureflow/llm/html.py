@@ -40,8 +40,12 @@ BLOCKS = frozenset(
     "td tfoot th thead tr ul".split())
 # elements whose text is never shown as text of the page
 HIDDEN_TEXT = frozenset(
-    "applet audio button canvas datalist embed head iframe input math noembed noframes noscript object optgroup option "
+    "applet audio button canvas datalist embed head iframe input noembed noframes noscript object optgroup option "
     "script select style svg template textarea title video".split())
+# what may stand in a head; any other element, or text, ends one that was not closed
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+# names of a path that are kept when elements nest deeper: the outer and the inner ones
+OUTER, INNER = 32, 96
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # an element that begins also ends an open element of these names
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -88,7 +92,13 @@ class _Reader(HTMLParser):
             if scope and tag in SCOPES:
                 return
 
+    def _end_head(self):
+        if any(tag == "head" for tag, _ in self.stack[:8]):
+            self._end({"head"}, scope=False)
+
     def handle_starttag(self, tag, attrs):
+        if tag not in IN_HEAD and self.hidden:
+            self._end_head()
         if tag in BLOCKS:
             self._flush()
             self._end({"p"})
@@ -118,12 +128,16 @@ class _Reader(HTMLParser):
         self._end({tag}, scope=False)
 
     def handle_data(self, data):
+        if self.hidden and self.stack[-1][0] == "head" and data.strip():
+            self._end_head()
         if self.hidden:
             return
         if not self.parts:
             if not data.strip():
                 return
-            self.path = tuple(x for _, own in self.stack for x in own)
+            deep = len(self.stack) > OUTER + INNER
+            shown = self.stack[:OUTER] + self.stack[-INNER:] if deep else self.stack
+            self.path = tuple(x for _, own in shown for x in own)
         self.parts.append(data)
         if self.links:
             self.linked += len(data.strip())

@@ -10,8 +10,10 @@ epochs; an epoch is a pseudo-random permutation of the source's documents made
 of blocks (a hash of the document deals it to a block, another orders it
 there).  Whole epochs come as often as they fit, and of the last one as many
 whole blocks, then documents of one block, as the budget still holds.  The
-cumulated sums run over the blocks of a source (counts, not documents) and
-over the documents of a single block, so no source is ever sorted in one task.
+cumulated sums run in three levels, each inside the one group that holds the
+budget's edge: over groups of blocks, over the blocks of one group, and over the
+documents of one block.  A window sees at most a source's documents / 2**20
+rows, or BLOCK_GROUP blocks, or one block.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from featureflow.llm.common import WORD_PATTERN, cut, stored
 
 BLOCK_DOCS = 256                    # documents of a block on average
+BLOCK_GROUP = 4096                  # blocks whose tokens are summed before any window
 MAX_BROADCAST_SOURCES = 100_000     # sources (about 60 bytes each) that may be broadcast
 STEPS = 24                          # halvings of the exponent's interval
 
@@ -73,9 +76,20 @@ def _with_plan(rows: DataFrame, plan: DataFrame, few: bool) -> DataFrame:
     return rows.join(side, F.col("source").eqNullSafe(F.col("s"))).drop("s")
 
 
+def _first_beyond(sums: DataFrame, place: str, before) -> DataFrame:
+    """(source, edge, before): per source the first place whose running sum of ``n`` exceeds ``rest``,
+    and the sum up to it; ``before`` (an aggregate) is what lies before the source's first place here."""
+    start = sums.groupBy(F.col("source").alias("s")).agg(before.alias("start"))
+    order = Window.partitionBy("source").orderBy(place)
+    return (sums.select("source", place, "n", "rest").join(start, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+            .withColumn("upto", F.col("start") + F.sum("n").over(order)).filter("upto > rest")
+            .groupBy("source").agg(F.min(place).alias("edge"), F.min(F.col("upto") - F.col("n")).alias("before")))
+
+
 def mix(docs: DataFrame, budget: int | None = None, entropy: float | None = None, repeats: float | None = None,
-        seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per drawn copy: (id, source, tokens, epoch, block, place, weight).
+        seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        with_text: bool = False) -> DataFrame:
+    """One row per drawn copy: (id, source, tokens, epoch, block, place, weight[, text]).
 
     ``budget`` is in tokens (words; default: the table's own total).  Sorting
     by (epoch, block, place) inside a source gives its permutation; epochs
@@ -85,14 +99,18 @@ def mix(docs: DataFrame, budget: int | None = None, entropy: float | None = None
     A NULL source is a source of its own (NULL).  Rows without words carry no
     tokens: they are left out, as nothing of them can be drawn.  Repeated rows
     are drawn like others; ties of the order hash fall to the smaller id.
-    NULL ids are drawn too.  An empty table gives an empty result.  Column
-    names of ``docs`` cannot clash, as only the named columns are read.
+    Rows without an id are drawn too, dealt by a hash of their text; rows that
+    repeat an id share a block.  An empty table gives an empty result.  Column
+    names of ``docs`` cannot clash, as only the named columns are read.  Very
+    long texts are counted whole; with ``with_text`` every copy carries its own.
     """
     if (entropy is None) == (repeats is None):
         raise ValueError("name one target: entropy or repeats")
     words = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD_PATTERN)), F.lit(0))
-    rows = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                              words.cast("long").alias("tokens")).filter("tokens > 0"), "mixing-rows")
+    text = F.col(text_col).cast("string")
+    rows = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words.cast("long").alias("tokens"),
+                              F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(text))).alias("key"),
+                              *([text.alias("text")] if with_text else [])).filter("tokens > 0"), "mixing-rows")
     sources = cut(rows.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs")))
     size = sources.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t"), F.count("*").alias("n")).first()
     total, few = size["t"], size["n"] <= MAX_BROADCAST_SOURCES
@@ -106,17 +124,20 @@ def mix(docs: DataFrame, budget: int | None = None, entropy: float | None = None
         F.floor(weight * F.lit(float(budget))).cast("long").alias("quota"), F.col("tokens").alias("all"))
         .select("s", "weight", "blocks", F.expr("quota div all").alias("whole"),
                 (F.col("quota") % F.col("all")).alias("rest")))
-    block = F.pmod(_hash(F.lit(seed), F.lit("block"), F.col("id")), F.col("blocks"))
-    blocks = (_with_plan(rows, plan, few).groupBy("source", block.alias("block"))
-              .agg(F.sum("tokens").alias("n"), F.first("rest").alias("rest"))
-              .withColumn("upto", F.sum("n").over(Window.partitionBy("source").orderBy("block"))))
+    block = F.pmod(_hash(F.lit(seed), F.lit("block"), F.col("key")), F.col("blocks"))
+    blocks = cut(_with_plan(rows, plan, few).groupBy("source", block.alias("block"))
+                 .agg(F.sum("tokens").alias("n"), F.first("rest").alias("rest"))
+                 .withColumn("group", F.floor(F.col("block") / BLOCK_GROUP)))
+    groups = _first_beyond(blocks.groupBy("source", "group").agg(F.sum("n").alias("n"), F.first("rest").alias("rest")),
+                           "group", F.lit(0).cast("long"))
     # the first block that no longer fits as a whole, and the tokens before it
-    edge = (blocks.filter("upto > rest").groupBy(F.col("source").alias("e"))
-            .agg(F.min("block").alias("edge"), F.min(F.col("upto") - F.col("n")).alias("before")))
+    inside_group = blocks.join(groups.withColumnRenamed("source", "g"),
+                               F.col("source").eqNullSafe(F.col("g")) & (F.col("group") == F.col("edge"))).drop("g", "edge", "group")
+    edge = _first_beyond(inside_group, "block", F.first("before")).withColumnRenamed("source", "e")
     plan = cut(plan.join(edge, F.col("s").eqNullSafe(F.col("e"))).drop("e"))
     dealt = (_with_plan(rows, plan, few).withColumn("block", block)
-             .withColumn("place", _hash(F.lit(seed), F.lit("place"), F.col("id"))))
-    names = ["id", "source", "tokens", "epoch", "block", "place", "weight"]
+             .withColumn("place", _hash(F.lit(seed), F.lit("place"), F.col("key"))))
+    names = ["id", "source", "tokens", "epoch", "block", "place", "weight"] + ["text"] * with_text
     epochs = F.col("whole") + F.when(F.col("block") < F.col("edge"), 1).otherwise(0)
     whole = (dealt.withColumn("copies", epochs).filter("copies > 0")
              .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))))

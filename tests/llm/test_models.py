@@ -215,3 +215,16 @@ def test_labeller_gradients():
         b = loss()
         m.params[name] = start
         assert (a - b) / 1e-2 == pytest.approx(float((grads[name] * direction).sum()), rel=0.05, abs=2e-3)
+
+
+def test_blocks_of_minified_deep_and_math_pages():
+    """A head that is never closed, text right after it, formulas, and elements that nest without end."""
+    texts = lambda page: [b.text for b in html.leaf_blocks(page)]
+    assert texts("<html><head><title>T</title><article><p>Text of it</article>") == ["Text of it"]
+    assert texts("<head><meta charset=utf-8><title>T</title><style>p{}</style>Loose text<p>More") == ["Loose text", "More"]
+    assert texts("<head><title>T</title><script>if (a<b) x()</script></head><body><svg><g>no</g></svg><p>Yes") == ["Yes"]
+    assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.") == ["Let x=2 hold."]
+    n = 3000
+    deep = html.leaf_blocks("<font>" * n + "".join(f"<p>text {i}" for i in range(n)))
+    assert [b.text for b in deep] == [f"text {i}" for i in range(n)]
+    assert max(len(b.path) for b in deep) <= html.OUTER + html.INNER

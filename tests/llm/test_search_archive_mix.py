@@ -16,9 +16,10 @@ from featureflow.llm.common import table
 from featureflow.session import shared_path
 
 
-@pytest.mark.parametrize("wave", [4096, 2])
-def test_top_k_matches_brute_force(spark, monkeypatch, wave):
-    monkeypatch.setattr(topk, "WAVE", wave)
+@pytest.mark.parametrize("bytes_", [4 << 20, 2000])
+def test_top_k_matches_brute_force(spark, monkeypatch, bytes_):
+    monkeypatch.setattr(topk, "PART_BYTES", 2 * bytes_)            # many parts and blocks
+    monkeypatch.setattr(topk, "BLOCK_BYTES", bytes_ // 10)
     monkeypatch.setattr(topk, "STEP", 8)
     rng = np.random.default_rng(0)
     vectors = {i: rng.normal(size=8).astype(np.float32).tolist() for i in range(400)}
@@ -46,10 +47,19 @@ def test_bounds_eliminate_rows():
     centres = rng.integers(-300, 300, (20, 16))
     rows = (centres[rng.integers(0, 20, 4000)] + rng.integers(-10, 10, (4000, 16))).astype(np.int64)
     ids = np.arange(4000)
-    best_ids, best = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    seen = topk._nearest(ids, rows, rows[:1], centres.astype(float), 10, best_ids, best, ids[:1])
-    assert seen < 4000
-    assert best[0].tolist() == sorted((rows[1:] @ rows[0]).tolist(), reverse=True)[:10]
+    table = topk.pivot_distances(rows, centres.astype(float))
+    _, best, scores, seen = topk._nearest(ids, rows, table, rows[:1], table[:1], 10, np.array([0]))
+    assert seen < 4000 and 0 not in best
+    assert scores.tolist() == sorted((rows[1:] @ rows[0]).tolist(), reverse=True)[:10]
+
+
+def test_top_k_keeps_other_vectors_of_an_id_and_empty_ones(spark):
+    rows = [(1, [5.0, 0.0]), (1, [2.0, 0.0]), (100, [1.0, 0.0]), (100, [0.0, 1.0]), (200, []), (2, []), (2, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk.top_k(df, F.col("id") % 100 == 0, k=3).collect()))
+    m = 1024 * 1024
+    assert got == sorted([(100, 1, 1, 5 * m), (100, 2, 1, 2 * m), (100, 3, 100, 0),         # the query [1, 0]
+                          (100, 1, 1, 0), (100, 2, 1, 0), (100, 3, 100, 0), (200, 1, 2, 0)])
 
 
 def test_warc_round_trip(spark):
@@ -141,6 +151,19 @@ def test_mixing_meets_targets_and_budget(spark):
         mixed(spark, rows)
 
 
+def test_mixing_sums_in_groups_of_blocks(spark, monkeypatch):
+    """Many small groups of blocks give the rows that one running sum gives; rows without an id spread over blocks."""
+    rng = random.Random(6)
+    rows = [(i if i % 4 else None, f"w{i} " * rng.randrange(1, 30), rng.choice(["a", "a", "b", None])) for i in range(600)]
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 4)
+    plain = {tuple(r) for r in mixed(spark, rows, entropy=0.8)}
+    monkeypatch.setattr(mixing, "BLOCK_GROUP", 3)
+    assert {tuple(r) for r in mixed(spark, rows, entropy=0.8)} == plain
+    assert len({r[4] for r in plain if r[0] is None}) > 20
+    texts = mixed(spark, rows, entropy=0.8, with_text=True)
+    assert {tuple(r)[:-1] for r in texts} == plain and all(len(r["text"].split()) == r["tokens"] for r in texts)
+
+
 def test_pipeline_stages(spark):
     sf = "/root/testdata/sf0.001"
     docs = table(spark, sf, "documents")
@@ -162,7 +185,9 @@ def test_pipeline_stages(spark):
             assert all(after[i] == before[i] for i in after)
         before = after
     assert 0 < docs.count()
-    assert corpus_pipeline.run(spark, sf).columns == ["doc_id", "source", "tokens", "epoch", "block", "place", "weight"]
+    out = corpus_pipeline.run(spark, sf)
+    assert out.columns == ["doc_id", "source", "tokens", "epoch", "block", "place", "weight", "text"]
+    assert all(len(r["text"].encode().split()) == r["tokens"] and r["text"] == before[r["doc_id"]] for r in out.collect())
 
 
 def test_pipeline_leaves_one_whole_text_of_repeated_rows(spark):
