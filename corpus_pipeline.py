@@ -9,8 +9,8 @@
 4. decontaminate: documents that hold 80 % of a benchmark item's five-word
    shingles go;
 5. mix: sources are drawn to temperature weights whose entropy is 0.95 of the
-   largest, within a budget of all tokens.  The result is the mixture's
-   manifest: one row per drawn copy of a document.
+   largest, within a budget of all tokens.  The result is the mixture: one row
+   per drawn copy of a document, with its place and its text.
 
 Every stage but the last returns the columns of ``documents``; ``run`` writes
 each stage as Parquet in the shared checkpoint folder and reads it back, which
@@ -50,8 +50,8 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture: (doc_id, source, tokens, epoch, block, place, weight) per drawn copy."""
-    return mixing.mix(docs, entropy=0.95).withColumnRenamed("id", "doc_id")
+    """The mixture: (doc_id, source, tokens, epoch, block, place, weight, text) per drawn copy."""
+    return mixing.mix(docs, entropy=0.95, with_text=True).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [
