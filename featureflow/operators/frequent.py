@@ -1,7 +1,7 @@
 """Frequent values and modes without shuffling the long tail.
 
 A multistage filter.  Scan 1 counts rows per (feature, slot): every value has
-one slot in each of a few stages, cut from one 64-bit hash.  A slot holds at
+one slot in each of two stages, cut from one 64-bit hash.  A slot holds at
 least the rows of each of its values, so a value above the threshold has a slot
 above it in every stage.  Scan 2 groups only values whose slots all are above
 it; every other row goes straight to "rest".  What crosses the exchange is
@@ -24,10 +24,11 @@ from pyspark.sql.types import DoubleType, StringType
 
 from featureflow.session import checkpoint_root
 
-STAGES = 3
-BUCKETS = 1024                  # slots of a stage, at least; 16 / threshold when that is more
-MAX_BUCKETS = 1 << 20           # 3 * 20 bits of one hash
+STAGES = 2
+BUCKETS = 2048                  # slots of a stage, at least; 32 / threshold when that is more
+MAX_BUCKETS = 1 << 20           # STAGES * 20 bits of one hash
 _NULL = -1                      # the slot of NULL
+_NOWHERE = -2                   # the slot of no value
 
 
 @dataclass
@@ -86,7 +87,7 @@ def _slots(value: Column, buckets: int) -> list[Column]:
 
 
 def _buckets_for(threshold: float) -> int:
-    wanted = max(BUCKETS, int(16 / threshold))
+    wanted = max(BUCKETS, int(32 / threshold))
     return min(MAX_BUCKETS, 1 << (wanted - 1).bit_length())
 
 
@@ -125,12 +126,25 @@ def candidate_counts(df: DataFrame, slots: dict[str, list[list[int]]], buckets:
         F.coalesce(F.sum("_label"), F.lit(0.0)).alias("label_sum"))
 
 
-def _best(grouped: DataFrame) -> dict:
-    """Per feature the value of most rows (ties: numerically, then as text, the smallest): one row a feature."""
-    key = F.struct((-F.col("n")).alias("less"), F.col("value").try_cast(DoubleType()).alias("num"), "value",
-                   "label_n", "label_sum")
-    rows = grouped.filter("kind = 1").groupBy("feature").agg(F.min(key).alias("b")).select("feature", "b.*").collect()
-    return {r["feature"]: (r["value"], Counts(-r["less"], r["label_n"], r["label_sum"])) for r in rows}
+def _summary(grouped: DataFrame, least: float) -> dict:
+    """Per feature, in one job: the values of more than ``least`` rows, NULL's and all other sums, and the best value
+    (most rows; ties: numerically, then as text, the smallest).  At most total / least values a feature."""
+    sums = F.struct(F.sum("n").alias("n"), F.sum("label_n").alias("ln"), F.sum("label_sum").alias("ls"))
+    value = F.struct("value", "n", "label_n", "label_sum")
+    best = F.struct((-F.col("n")).alias("less"), F.col("value").try_cast(DoubleType()).alias("num"), "value", "label_n",
+                    "label_sum")
+    kind = F.when(F.col("kind") == 0, F.lit("null")).otherwise(F.lit("rest"))
+    rows = grouped.groupBy("feature", kind.alias("k")).agg(
+        sums.alias("sums"), F.min(F.when(F.col("kind") == 1, best)).alias("best"),
+        F.collect_list(F.when((F.col("kind") == 1) & (F.col("n") > F.lit(least)), value)).alias("values")).collect()
+    out = {}
+    for r in rows:
+        f = out.setdefault(r["feature"], {"null": Counts(), "rest": Counts(), "values": {}, "best": None})
+        f[r["k"]] = Counts(r["sums"]["n"], r["sums"]["ln"], r["sums"]["ls"])
+        f["values"].update({v["value"]: Counts(v["n"], v["label_n"], v["label_sum"]) for v in r["values"]})
+        if r["best"] is not None:
+            f["best"] = (r["best"]["value"], Counts(-r["best"]["less"], r["best"]["label_n"], r["best"]["label_sum"]))
+    return out
 
 
 def frequent_counts(df: DataFrame, features: Sequence[str], threshold: float, label: str | None = None,
@@ -152,40 +166,38 @@ def frequent_counts(df: DataFrame, features: Sequence[str], threshold: float, la
         raise ValueError(f"buckets must be a power of two up to {MAX_BUCKETS}, not {buckets}")
     checkpoint_root(df.sparkSession)
     stage = F.floor(F.col("slot") / buckets).cast("int")
-    counted = slot_counts(df, features, buckets).checkpoint(eager=True)          # features * (3 * buckets + 1) rows
-    totals = {r["feature"]: r["n"] for r in counted.filter(F.col("slot") < buckets).groupBy("feature")
-              .agg(F.sum("n").alias("n")).collect()}
-    if not totals:
-        return {f: FeatureCounts(0) for f in features}
-    total = max(totals.values())                                                 # every feature has one value a row
+    counted = slot_counts(df, features, buckets).checkpoint(eager=True)     # features * (STAGES * buckets + 1) rows
+    first = F.col("slot") < buckets                                          # NULL and the first stage: every row once
+    whole = counted.groupBy("feature").agg(
+        F.sum(F.when(first, F.col("n"))).alias("total"),
+        F.max_by(F.when(F.col("slot") >= 0, F.col("slot")), F.when(first & (F.col("slot") >= 0), F.struct("n", "slot"))).alias("top"))
+    # under STAGES / threshold slots a feature, and its fullest one; one row a feature is broadcast
+    marked = counted.join(F.broadcast(whole), "feature").filter(
+        (F.col("slot") == F.col("top")) | ((F.col("slot") >= 0) & (F.col("n") > F.lit(threshold) * F.col("total")))
+        | F.col("top").isNull())
     heavy = {f: [[] for _ in range(STAGES)] for f in features}
-    for r in (counted.filter((F.col("slot") >= 0) & (F.col("n") > F.lit(threshold * total)))
-              .select("feature", "slot", stage.alias("stage")).collect()):      # under 3 / threshold a feature
-        heavy[r["feature"]][r["stage"]].append(r["slot"])
-    rare = [f for f in features if not all(heavy[f])]
-    if rare and modes:                                                           # their fullest slot gives a lower bound
-        for r in (counted.filter(F.col("feature").isin(rare) & (stage == 0)).groupBy("feature")
-                  .agg(F.max_by("slot", F.struct("n", "slot")).alias("slot")).collect()):
-            heavy[r["feature"]] = [[r["slot"]], [], []]
-    else:
-        for f in rare:
-            heavy[f] = [[_NULL - 1]] * STAGES                                    # no value is asked for
-    grouped = candidate_counts(df, heavy, buckets, label).checkpoint(eager=True)
+    fullest, total = {}, 0
+    for r in marked.select("*", stage.alias("stage")).collect():
+        total = r["total"]
+        fullest[r["feature"]] = r["top"]
+        if r["slot"] >= 0 and r["n"] > threshold * total:
+            heavy[r["feature"]][r["stage"]].append(r["slot"])
+    if not total:
+        return {f: FeatureCounts(0) for f in features}
+    for f in features:
+        if not all(heavy[f]):                                                # no frequent value
+            # its fullest slot gives a lower bound for the mode; without modes no value is asked for
+            ask = modes and fullest[f] is not None
+            heavy[f] = [[fullest[f]]] + [[]] * (STAGES - 1) if ask else [[_NOWHERE]] * STAGES
     out = {f: FeatureCounts(total) for f in features}
-    for r in grouped.groupBy("feature", (F.col("kind") == 0).alias("none")).agg(
-            F.sum("n").alias("n"), F.sum("label_n").alias("ln"), F.sum("label_sum").alias("ls")).collect():
-        sums = Counts(r["n"], r["ln"], r["ls"])
-        if r["none"]:
-            out[r["feature"]].null = sums
-        else:
-            out[r["feature"]].rest = sums
-    for r in grouped.filter((F.col("kind") == 1) & (F.col("n") > F.lit(threshold * total))).collect():
-        out[r["feature"]].values[r["value"]] = Counts(r["n"], r["label_n"], r["label_sum"])
+    found = _summary(candidate_counts(df, heavy, buckets, label), threshold * total)
+    for f, x in found.items():
+        out[f].null, out[f].rest, out[f].values = x["null"], x["rest"], x["values"]
     if modes:
-        best = _best(grouped)
+        best = {f: x["best"] for f, x in found.items() if x["best"]}
         unsure = {f: best[f][1].n for f in best if not out[f].values}
         if unsure:
-            best.update(_best(_reaching(df, counted, unsure, buckets, label)))
+            best.update({f: x["best"] for f, x in _summary(_reaching(df, counted, unsure, buckets, label), total).items()})
         for f, (value, counts) in best.items():
             out[f].mode = value
             out[f].values.setdefault(value, counts)
@@ -197,11 +209,11 @@ def frequent_counts(df: DataFrame, features: Sequence[str], threshold: float, la
 
 def _reaching(df: DataFrame, counted: DataFrame, least: dict[str, int], buckets: int, label: str | None) -> DataFrame:
     """Scan 3: counts of values whose slots all hold at least ``least`` rows of their feature."""
-    slots = {f: [[_NULL - 1] for _ in range(STAGES)] for f in least}
+    slots = {f: [[_NOWHERE] for _ in range(STAGES)] for f in least}
     full = F.lit(False)
     for f, n in least.items():
         full = full | ((F.col("feature") == F.lit(f)) & (F.col("n") >= F.lit(n)))
-    for r in counted.filter((F.col("slot") >= 0) & full).collect():              # at most 3 * buckets a feature
+    for r in counted.filter((F.col("slot") >= 0) & full).collect():              # at most STAGES * buckets a feature
         slots[r["feature"]][r["slot"] // buckets].append(r["slot"])
     # a stage that rules out less than half of its slots is not worth the test
     slots = {f: [s if len(s) <= buckets // 2 else [] for s in stages] for f, stages in slots.items()}

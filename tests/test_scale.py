@@ -88,8 +88,8 @@ def test_the_long_tail_is_not_shuffled(spark):
         .otherwise(F.concat(F.lit("v"), F.col("id"))).alias("c"))
     slots = frequent.slot_counts(df, ["c"], 1024)
     counted = {r["slot"]: r["n"] for r in slots.collect()}
-    assert records_shuffled(slots) <= 4 * (3 * 1024 + 1)
-    heavy = [[s for s, n in counted.items() if s // 1024 == k and n > 2000] for k in range(3)]
+    assert records_shuffled(slots) <= 4 * (frequent.STAGES * 1024 + 1)
+    heavy = [[s for s, n in counted.items() if s // 1024 == k and n > 2000] for k in range(frequent.STAGES)]
     second = frequent.candidate_counts(df, {"c": heavy}, 1024, None)
     rows = second.collect()
     survivors = sum(r["kind"] == 1 for r in rows)
