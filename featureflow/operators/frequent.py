@@ -18,12 +18,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from featureflow.session import checkpoint_root
-
 STAGES = 2
 BUCKETS = 2048                  # slots of a stage, at least; 32 / threshold when that is more
 MAX_BUCKETS = 1 << 20           # STAGES * 20 bits of one hash
@@ -164,9 +163,17 @@ def frequent_counts(df: DataFrame, features: Sequence[str], threshold: float, la
     buckets = buckets or _buckets_for(threshold)
     if buckets & (buckets - 1) or not 0 < buckets <= MAX_BUCKETS:
         raise ValueError(f"buckets must be a power of two up to {MAX_BUCKETS}, not {buckets}")
-    checkpoint_root(df.sparkSession)
+    # features * (STAGES * buckets + 1) rows, counted once
+    counted = slot_counts(df, features, buckets).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _learn(df, features, threshold, label, modes, buckets, counted)
+    finally:
+        counted.unpersist()
+
+
+def _learn(df: DataFrame, features: list[str], threshold: float, label: str | None, modes: bool, buckets: int,
+           counted: DataFrame) -> dict[str, FeatureCounts]:
     stage = F.floor(F.col("slot") / buckets).cast("int")
-    counted = slot_counts(df, features, buckets).checkpoint(eager=True)     # features * (STAGES * buckets + 1) rows
     first = F.col("slot") < buckets                                          # NULL and the first stage: every row once
     whole = counted.groupBy("feature").agg(
         F.sum(F.when(first, F.col("n"))).alias("total"),

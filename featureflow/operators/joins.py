@@ -152,11 +152,14 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                   salt_buckets: int = 0) -> DataFrame:
+                   salt_buckets: int = 0, heavy_share: float | None = None) -> DataFrame:
     """fact JOIN dim USING (key).  Broadcast when the dimension is proven small;
-    otherwise a shuffle join (salted when ``salt_buckets`` > 1)."""
+    otherwise a shuffle join: ``split_join`` with keys above ``heavy_share`` of the
+    rows apart, or salted when ``salt_buckets`` > 1."""
     if is_small(dim, max_broadcast_rows):
         return fact.join(F.broadcast(dim), on=key, how=how)
+    if heavy_share is not None:
+        return split_join(fact, dim, key, how, heavy_share)
     if salt_buckets > 1:
         return salted_join(fact, dim, key, how=how, buckets=salt_buckets)
     return fact.join(dim, on=key, how=how)

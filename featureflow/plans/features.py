@@ -60,7 +60,7 @@ def cyclic_columns(df: DataFrame, cyclic) -> DataFrame:
 
 def static_features(fact: DataFrame, dim: DataFrame | None, spec: FeatureSpec,
                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    salt_buckets: int = 0) -> DataFrame:
+                    salt_buckets: int = 0, heavy_share: float | None = None) -> DataFrame:
     """fact JOIN dim, leakage and useless columns dropped, cancelled rows out,
     numbers cast (bad text -> NULL), rows without label out, clock values to
     minutes, calendar values to (cos, sin).
@@ -78,7 +78,7 @@ def static_features(fact: DataFrame, dim: DataFrame | None, spec: FeatureSpec,
         # what is dropped after the join must not count in the broadcast's size
         unused = [c for c in spec.useless if c != spec.key]
         df = join_dimension(clean.drop_columns(df, unused), clean.drop_columns(d, unused), spec.key, "inner",
-                            max_broadcast_rows, salt_buckets)
+                            max_broadcast_rows, salt_buckets, heavy_share)
     df = clean.drop_columns(df, spec.useless)
     casts = {c: F.col(c).try_cast(spec.cast_type) for c in spec.quantitative if c in df.columns}
     casts[spec.label] = F.col(spec.label).try_cast(spec.label_type)
