@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from featureflow.llm.common import stored
 
 PIVOTS = 32
-PART_BYTES = 32 << 20              # components of the rows of a part, on average
+PART_BYTES = 8 << 20               # components of the rows of a part, on average
 BLOCK_BYTES = 4 << 20              # components of the queries of a block, on average
 STEP = 256                         # rows evaluated between two looks at the threshold
 ROUNDING = 1e-6                    # relative slack of bounds computed in floating point
