@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import OneHotEncoder
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from featureflow.operators import stats
 from featureflow.operators.joins import is_small, split_join
@@ -76,8 +76,33 @@ def one_hot_columns(df: DataFrame, columns: Sequence[str], index_suffix: str = "
                     suffix: str = "_binary") -> DataFrame:
     """Sparse one-hot vectors of indexed columns: labels + 1 slots, the last one for NULL and unseen values.
 
-    The slots come from the columns' metadata, so fitting the encoder reads no row.
+    What ``OneHotEncoder(handleInvalid="keep", dropLast=True)`` gives, but for its
+    metadata: the encoder names every slot in the schema, which the driver cannot
+    hold for millions of labels; here the schema says how many there are.
+    Indices beyond the slots (or NaN) give a vector without any 1, NULL stays NULL, negative or broken ones are an error.
+    The slots come from the columns' metadata; only without it rows are read (the largest index).
     """
-    encoder = OneHotEncoder(inputCols=[f"{c}{index_suffix}" for c in columns], outputCols=[f"{c}{suffix}" for c in columns],
-                            handleInvalid="keep", dropLast=True)
-    return encoder.fit(df).transform(df)
+    out = {}
+    for c in columns:
+        index = F.col(f"{c}{index_suffix}").cast("double")
+        slots = _slots_of(df, f"{c}{index_suffix}")
+        place = (F.when(F.isnan(index) | (index >= slots), F.lit(""))
+                 .when((index < 0) | (index != F.floor(index)),
+                       F.raise_error(F.concat(F.lit("not an index: "), index.cast("string"))))
+                 .otherwise(index.cast("int").cast("string")))
+        one = F.when(place == "", F.lit("")).otherwise(F.lit("1.0"))
+        # a sparse vector's fields as Spark stores them: type 0, size, indices, values
+        text = F.concat(F.lit(f'{{"v":{{"type":0,"size":{slots},"indices":['), place, F.lit('],"values":['), one, F.lit("]}}"))
+        out[f"{c}{suffix}"] = F.from_json(text, StructType([StructField("v", VectorUDT())]))["v"]
+    df = df.withColumns(out)
+    for c in columns:
+        df = df.withMetadata(f"{c}{suffix}", {"ml_attr": {"num_attrs": _slots_of(df, f"{c}{index_suffix}")}})
+    return df
+
+
+def _slots_of(df: DataFrame, column: str) -> int:
+    about = df.schema[column].metadata.get("ml_attr", {})
+    if "num_vals" in about or "vals" in about:
+        return about.get("num_vals") or len(about["vals"])
+    top = df.agg(F.max(column)).first()[0]
+    return 0 if top is None else int(top) + 1

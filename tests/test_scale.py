@@ -3,6 +3,7 @@ import collections
 import random
 
 import pytest
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import functions as F
 
 from featureflow.operators import frequent, indexing, joins, sampling, sketches, stats
@@ -154,6 +155,26 @@ def test_more_labels_than_the_driver_takes(spark):
     assert got[0]["c_binary"].size == k + 1 and got[2]["c_binary"].indices[0] == 1
 
 
+def test_one_hot_names_no_slot(spark):
+    """The encoder's vectors, without a schema that grows with the labels."""
+    rows = [(x,) for x in (0.0, 1.0, 3.0, 4.0, 9.0, float("nan"), None)]
+    for k in (5, 3_000_000):
+        df = spark.createDataFrame(rows, "c_index double").withMetadata(
+            "c_index", {"ml_attr": {"name": "c_index", "type": "nominal", "num_vals": k}})
+        out = indexing.one_hot_columns(df, ["c"])
+        assert len(out.schema["c_binary"].json()) < 1000
+        got = [r["c_binary"] for r in out.collect()]
+        assert got[-1] is None and all(v.size == k for v in got[:-1])
+        assert [list(v.indices) for v in got[:-1]] == [[0], [1], [3], [4], [9] if k > 9 else [], []]
+    encoder = OneHotEncoder(inputCols=["c_index"], outputCols=["e"], handleInvalid="keep", dropLast=True)
+    small = df.filter("c_index < 5").withMetadata("c_index", {"ml_attr": {"type": "nominal", "num_vals": 5}})
+    both = indexing.one_hot_columns(encoder.fit(small).transform(small), ["c"]).collect()
+    assert both and all(r["e"] == r["c_binary"] for r in both)
+    with pytest.raises(Exception, match="not an index"):
+        indexing.one_hot_columns(spark.createDataFrame([(-1.0,)], "c_index double").withMetadata(
+            "c_index", {"ml_attr": {"type": "nominal", "num_vals": 5}}), ["c"]).collect()
+
+
 def test_dense_ranks_by_feature_over_many_partitions(spark):
     rng = random.Random(3)
     rows = {(f, f"v{rng.randrange(900)}") for f in "abc" for _ in range(700)}
