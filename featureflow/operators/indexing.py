@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from featureflow.operators import stats
-from featureflow.operators.joins import is_small, split_join
+from featureflow.operators.joins import HEAVY_SHARE, is_small
 from featureflow.session import checkpoint_root
 
+SALTS = 4096                    # tasks that settled rows and NULLs are spread over
 _PLACE = (1 << 33) - 1          # monotonically_increasing_id: partition in the upper bits, place in the lower 33
 
 
@@ -39,36 +40,50 @@ def dense_ranks(counts: DataFrame, partitions: int | None = None) -> DataFrame:
     runs = placed.groupBy("feature", "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_size"))
     before = F.sum("_size").over(Window.partitionBy("feature").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     shifts = runs.select("feature", "_part", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"))
-    # one row per feature and partition it touches: at most features + partitions rows
+    # one row per feature and partition it touches: at most features + partitions rows, computed once
+    shifts = shifts.checkpoint(eager=True)
     return (placed.join(F.broadcast(shifts), ["feature", "_part"])
             .select("feature", "value", "n", (F.col("_place") + F.col("_shift")).alias("idx")))
 
 
 def label_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, value, n, idx) of the columns' values as text, NULL left out: ``StringIndexer``'s
-    ``frequencyDesc`` order for any number of labels.  Computed once, into the shared checkpoint folder."""
+    ``frequencyDesc`` order for any number of labels.  Ranked once, into the shared checkpoint folder."""
     checkpoint_root(df.sparkSession)
     counts = stats.value_stats(df, columns).filter(F.col("value").isNotNull()).checkpoint(eager=True)
-    return dense_ranks(counts).checkpoint(eager=True)
+    return dense_ranks(counts)
 
 
 def index_columns(df: DataFrame, labels: DataFrame, columns: Sequence[str], suffix: str = "_index") -> DataFrame:
     """``df`` with ``<column><suffix>``: the label's index as a double, the number of labels for NULL and unseen values.
 
-    A small label table is broadcast, a large one joined with ``split_join``
-    (hot values and NULLs apart).  Rows are never lost or repeated.
+    A small label table is broadcast.  Of a large one only the labels of many rows
+    (``HEAVY_SHARE``: at most 1/share) are; one shuffle join finds the others, in
+    which rows that need it no more, and NULLs, are spread by a hash of the row.
+    Every column adds one join to the plan, however many there are.  Rows are never lost or repeated.
     """
-    sizes = {r["feature"]: r["n"] for r in labels.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["feature"]: (r["labels"], r["rows"]) for r in labels.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("labels"), F.sum("n").alias("rows")).collect()}
     for c in columns:
-        known = labels.filter(F.col("feature") == c).select(F.col("value").alias("_value"), F.col("idx").alias("_idx"))
+        k, rows = sizes.get(c, (0, 0))
+        known = labels.filter(F.col("feature") == c).select(F.col("value").alias("_value"), F.col("idx").alias("_idx"), "n")
         keyed = df.withColumn("_value", stats.frequent.as_text(df, [c])[c].cast(StringType()))
-        joined = (keyed.join(F.broadcast(known), "_value", "left") if is_small(known)
-                  else split_join(keyed, known, "_value", "left"))
-        slots = sizes.get(c, 0) + 1
-        index = F.coalesce(F.col("_idx"), F.lit(slots - 1)).cast("double")
+        if is_small(known.drop("n")):
+            joined = keyed.join(F.broadcast(known.drop("n")), "_value", "left")
+        else:
+            hot = known.filter(F.col("n") > F.lit(HEAVY_SHARE) * F.lit(rows)).select("_value", F.col("_idx").alias("_hot"))
+            hashed = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+            settled = F.col("_value").isNull() | F.col("_hot").isNotNull()
+            salted = keyed.join(F.broadcast(hot), "_value", "left").withColumns({
+                "_value": F.coalesce("_value", F.lit("")),
+                "_salt": F.when(settled, F.pmod(F.xxhash64(*hashed), F.lit(SALTS)) + F.lit(1)).otherwise(F.lit(0).cast("long"))})
+            rest = known.select("_value", "_idx", F.lit(0).cast("long").alias("_salt"))
+            joined = (salted.join(rest, ["_value", "_salt"], "left")
+                      .withColumn("_idx", F.coalesce("_hot", "_idx")).drop("_hot", "_salt"))
         # the number of values is all an encoder needs to know; no label is listed
+        index = F.coalesce(F.col("_idx"), F.lit(k)).cast("double")
         df = joined.withColumn(f"{c}{suffix}", index).drop("_value", "_idx").withMetadata(
-            f"{c}{suffix}", {"ml_attr": {"name": f"{c}{suffix}", "type": "nominal", "num_vals": slots}})
+            f"{c}{suffix}", {"ml_attr": {"name": f"{c}{suffix}", "type": "nominal", "num_vals": k + 1}})
     return df
 
 

@@ -175,6 +175,23 @@ def test_one_hot_names_no_slot(spark):
             "c_index", {"ml_attr": {"type": "nominal", "num_vals": 5}}), ["c"]).collect()
 
 
+def test_indexing_adds_one_join_a_column(spark, monkeypatch):
+    """Large label tables: hot, rare, unseen and missing values of two columns; the plan reads the rows once."""
+    monkeypatch.setattr(indexing, "is_small", lambda df: False)
+    rows = [(i, "hot" if i % 2 else f"a{i}", None if i % 5 == 0 else f"b{i % 40}", "") for i in range(4000)]
+    df = spark.createDataFrame(rows, "id int, a string, b string, e string")
+    labels = indexing.label_table(df.filter("id < 3000"), ["a", "b", "e"])
+    idx = {(r["feature"], r["value"]): r["idx"] for r in labels.collect()}
+    size = collections.Counter(f for f, _ in idx)
+    out = indexing.index_columns(df, labels, ["a", "b", "e"])
+    assert out.count() == 4000
+    scans = out._jdf.queryExecution().optimizedPlan().collectLeaves()
+    assert scans.size() <= 1 + 3 * 4                          # the rows once; labels and hot labels with their shifts
+    for r in out.collect():
+        for c in "abe":
+            assert r[f"{c}_index"] == idx.get((c, r[c]), size[c])
+
+
 def test_dense_ranks_by_feature_over_many_partitions(spark):
     rng = random.Random(3)
     rows = {(f, f"v{rng.randrange(900)}") for f in "abc" for _ in range(700)}
