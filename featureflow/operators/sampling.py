@@ -84,21 +84,28 @@ def sample_by_key(df: DataFrame, keys: Sequence[str], fraction: float | dict, wi
     shares = fraction if isinstance(fraction, dict) else {None: fraction}
     if not with_replacement and any(not 0 <= f <= 1 for f in shares.values()):
         raise ValueError("a fraction without replacement lies between 0 and 1")
-    u = draw(keys, seed)
+    u = F.col("_draw")
+
+    def by_stratum(found: list[tuple]) -> Column:
+        out = F.lit(None)
+        for value, result in found:
+            out = F.when(F.col(strata).eqNullSafe(F.lit(value)) if strata else F.lit(True), result).otherwise(out)
+        return out
 
-    def copies(share: float) -> Column:
-        if not with_replacement:
-            return F.when(u < F.lit(_below(share)), F.lit(1)).otherwise(F.lit(0))
-        limits = poisson_limits(share)
-        return F.size(F.filter(F.array(*[F.lit(x) for x in limits]), lambda x: x <= u)) if limits else F.lit(0)
-
-    n = copies(fraction) if strata is None else F.lit(0)
-    for value, share in shares.items() if strata is not None else ():
-        n = F.when(F.col(strata).eqNullSafe(F.lit(value)), copies(share)).otherwise(n)
     if not with_replacement:
-        return df.filter(n == 1)
-    return (df.withColumn("_copies", n).filter("_copies > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies", "_copy"))
+        # one draw a row, compared with its stratum's limit
+        limit = F.coalesce(by_stratum([(v, F.lit(_below(f))) for v, f in shares.items()]), F.lit(0))
+        return df.filter(draw(keys, seed) < limit)
+
+    def copies(share: float) -> Column:
+        n, limits = F, poisson_limits(share)
+        for k, limit in enumerate(limits):                  # the first limit that the draw lies below
+            n = n.when(u < F.lit(limit), F.lit(k))
+        return n.otherwise(F.lit(len(limits))) if limits else F.lit(0)
+
+    # the draw is a column of its own and no filter asks for it: it is computed once a row
+    n = F.coalesce(by_stratum([(v, copies(f)) for v, f in shares.items()]), F.lit(0))
+    return df.withColumn("_draw", draw(keys, seed)).select(*df.columns, F.explode(F.array_repeat(F.lit(1), n)).alias("_copy")).drop("_copy")
 
 
 def random_split(df: DataFrame, train_frac: float = 0.8, seed: int = 42,

@@ -268,3 +268,19 @@ def test_strata_without_a_fraction_are_not_taken(spark):
     df = spark.createDataFrame([(i, "ab"[i % 2] if i % 5 else None) for i in range(1000)], "id int, s string")
     got = collections.Counter(r["s"] for r in sampling.sample_by_key(df, ["id"], {"a": 1.0, None: 0.5}, strata="s").collect())
     assert got["a"] == 400 and got["b"] == 0 and 60 < got[None] < 140
+
+
+def test_a_draw_is_computed_once_a_row(spark):
+    """One md5 in the plan, whatever the strata and the copies; mean 100 has the most limits."""
+    df = spark.range(3000).select("id", (F.col("id") % 3).cast("string").alias("s"))
+    for fraction, again, strata in (({"0": 0.5, "1": 1.5}, True, "s"), (0.7, True, None), (100.0, True, None),
+                                    ({"0": 0.5, None: 0.2}, False, "s"), (0.3, False, None)):
+        out = sampling.sample_by_key(df, ["id"], fraction, again, strata=strata)
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+        draws = df.withColumn("u", sampling.draw(["id"])).collect()
+        want = collections.Counter()
+        for r in draws:
+            share = (fraction if strata is None else fraction.get(r["s"])) or 0.0
+            n = sum(x <= r["u"] for x in sampling.poisson_limits(share)) if again else int(r["u"] < share * 2 ** 60)
+            want.update({(r["id"], r["s"]): n} if n else {})
+        assert collections.Counter(map(tuple, out.collect())) == want and out.columns == df.columns
