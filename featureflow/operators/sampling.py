@@ -131,15 +131,35 @@ def repartition(df: DataFrame, n: int | None = None, *keys: str) -> DataFrame:
     return df.repartition(n, *keys)
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+PART_BYTES = 16 << 20           # of input files a task of iterative work: in memory about ten times that
+
+
+def input_bytes(df: DataFrame) -> int:
+    """The sizes of the files that ``df`` reads, by their listing; 0 when it reads none."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    folders: dict[str, set[str]] = {}
+    for name in df.inputFiles():
+        folders.setdefault(name.rsplit("/", 1)[0], set()).add(name.rsplit("/", 1)[1])
+    total = 0
+    for folder, names in folders.items():                       # one listing a folder
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        total += sum(f.getLen() for f in path.getFileSystem(conf).listStatus(path)
+                     if f.getPath().toUri().getRawPath().rsplit("/", 1)[1] in names)
+    return total
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None, part_bytes: int = PART_BYTES) -> DataFrame:
     """Spread ``df`` over at least ``min_partitions`` tasks (default: the
-    cluster's default parallelism) before iterative work such as model fits.
+    cluster's default parallelism) before iterative work such as model fits,
+    and over more when its input files are larger than that many times
+    ``part_bytes``: what a task reads does not grow with the table.
 
     An input of that many files is read by as many tasks already and is left as
     it is.  Only the file listing of the plan is asked: nothing is executed.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        target = max(target, -(-input_bytes(df) // part_bytes))
     except Exception:  # noqa: BLE001 - remote sessions: leave sizing to AQE
         return df
     return df if len(df.inputFiles()) >= target else df.repartition(target)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from featureflow.operators import ridge
 from featureflow.operators.clean import output_projection
 from featureflow.operators.sampling import ensure_parallelism
 from featureflow.plans.features import list_dirs
@@ -96,11 +97,14 @@ def cross_validate(train: DataFrame, family: str, label: str, grid_values=None,
     key makes the folds independent of the layout); without it rows are dealt
     at random by ``seed``.  Grid points are fitted concurrently (``parallelism``, default one per grid
     value); they share the persisted training set and, in a fold, one fitted
-    scaler.  ``persist=False``: ``train`` is cheap to read (part of a persisted set).
+    scaler.  Linear regressions of up to ``ridge.MOST_FEATURES`` features are
+    solved for all folds and grid values from one pass over the rows.  ``persist=False``: ``train`` is cheap to read (part of a persisted set).
     """
     est = make_estimator(family, "scaledFeatures", label, seed)
     pname, default_values = GRIDS[family]
     values = list(grid_values if grid_values is not None else default_values)
+    if family == "Linear_Regression" and (k := features_of(train, features_col)) and k <= ridge.MOST_FEATURES:
+        return _cross_validate_ridge(train, label, values, folds, seed, features_col, fold_col, persist, k)
     grid = ParamGridBuilder().addGrid(est.getParam(pname), values).build()
     evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     cv = CrossValidator(estimator=scaled_pipeline(est, features_col), estimatorParamMaps=grid,
@@ -118,6 +122,33 @@ def cross_validate(train: DataFrame, family: str, label: str, grid_values=None,
     return model, pname, values[best_idx]
 
 
+def features_of(df: DataFrame, features_col: str) -> int:
+    """The length of the feature vectors, from the schema or one row; 0 without rows."""
+    about = df.schema[features_col].metadata.get("ml_attr", {})
+    if "num_attrs" in about:
+        return about["num_attrs"]
+    row = df.select(features_col).first()
+    return len(row[0]) if row and row[0] is not None else 0
+
+
+def _cross_validate_ridge(train: DataFrame, label: str, values: list, folds: int, seed: int, features_col: str,
+                          fold_col: str | None, persist: bool, features: int):
+    """``cross_validate`` of linear regressions: one pass for all folds and grid values, one fit of the best."""
+    owned = persist and not train.storageLevel.useMemory and not train.storageLevel.useDisk
+    data = training_set(train, label, features_col, fold_col) if owned else train
+    # dealt as CrossValidator deals
+    fold = F.col(fold_col) if fold_col else F.floor(F.rand(seed) * folds)
+    try:
+        metrics = ridge.cross_validated_rmse(data, features_col, label, fold, folds, values, features)
+        best = min(range(len(values)), key=lambda i: metrics[i])
+        model = scaled_pipeline(make_estimator("Linear_Regression", "scaledFeatures", label, seed).setRegParam(values[best]),
+                                features_col).fit(data)
+    finally:
+        if owned:
+            data.unpersist()
+    return CrossValidatorModel(model, metrics), "regParam", values[best]
+
+
 # ---------------------------------------------------------------- one tree for a grid of depths
 def truncated_tree(model: DecisionTreeRegressionModel, depth: int) -> DecisionTreeRegressionModel:
     """The tree cut at ``depth``: nodes there become leaves that predict their own mean.
