@@ -609,11 +609,14 @@ def model_comparison(spark, sf):
 
 
 def retrain_best(spark, sf):
-    data = _prepared(spark, sf)
-    cvm, pname, best = mdl.cross_validate(data.select("features", LABEL), "Linear_Regression", LABEL)
-    model = mdl.retrain_best(data, "Linear_Regression", LABEL, pname, best)
-    lr = model.stages[-1]
-    m = mdl.regression_metrics(model.transform(data), LABEL).first()
+    data = mdl.training_set(_prepared(spark, sf), LABEL)        # one for the search, the last fit and its metrics
+    try:
+        cvm, pname, best = mdl.cross_validate(data, "Linear_Regression", LABEL)
+        model = mdl.retrain_best(data, "Linear_Regression", LABEL, pname, best)
+        lr = model.stages[-1]
+        m = mdl.regression_metrics(model.transform(data), LABEL).first()
+    finally:
+        data.unpersist()
     return spark.createDataFrame([(pname, float(lr.getOrDefault(pname)), float(m["rmse"]), float(m["r2"]))],
                                  "param string, value double, rmse double, r2 double")
 
@@ -621,9 +624,13 @@ def retrain_best(spark, sf):
 def _saved_models(spark, sf):
     data = _prepared(spark, sf)
     root = shared_path(spark, "models")
-    for fam, p, v in [("Linear_Regression", "regParam", 0.1), ("Decision_Tree", "maxDepth", 5),
-                      ("Random_Forest", "numTrees", 10)]:
-        mdl.retrain_best(data, fam, LABEL, p, v).write().overwrite().save(f"{root}/retrained_{fam}")
+    train = mdl.training_set(data, LABEL)               # one for all three fits
+    try:
+        for fam, p, v in [("Linear_Regression", "regParam", 0.1), ("Decision_Tree", "maxDepth", 5),
+                          ("Random_Forest", "numTrees", 10)]:
+            mdl.retrain_best(train, fam, LABEL, p, v).write().overwrite().save(f"{root}/retrained_{fam}")
+    finally:
+        train.unpersist()
     return data, root
 
 
