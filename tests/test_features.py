@@ -97,3 +97,15 @@ def test_score_all_models_one_pass_equals_each(spark, sf):
     # a saved model scores the same after a reload
     loaded, _ = mdl.score(data, f"{root}/retrained_Linear_Regression", "l_extendedprice")
     assert loaded.count() == data.count()
+
+
+def test_the_feature_table_is_written_without_a_sort(spark, sf, monkeypatch, tmp_path):
+    """Each task keeps both splits' files open; the setting is put back afterwards."""
+    name, seen, transform = "spark.sql.maxConcurrentOutputFileWriters", [], feat.FeatureModel._transform
+    before = spark.conf.get(name, None)
+    monkeypatch.setattr(feat.FeatureModel, "_transform",
+                        lambda self, df: seen.append(spark.conf.get(name)) or transform(self, df))
+    li, part = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("lineitem", "part"))
+    train, test = feat.build_feature_table(li, part, presets.TPCH, str(tmp_path / "t"), split_key="l_orderkey")
+    assert seen == ["2"] and spark.conf.get(name, None) == before
+    assert train.count() + test.count() == li.filter("l_returnflag <> 'A'").count() and test.count() > 0
