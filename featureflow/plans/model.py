@@ -10,8 +10,9 @@ model in a folder.
 from __future__ import annotations
 
 import json
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler
@@ -24,7 +25,7 @@ from pyspark.sql.types import DoubleType
 
 from featureflow.operators import ridge
 from featureflow.operators.clean import output_projection
-from featureflow.operators.sampling import ensure_parallelism
+from featureflow.operators.sampling import PART_BYTES, ensure_parallelism, input_bytes
 from featureflow.plans.features import list_dirs
 from featureflow.session import shared_path
 
@@ -186,12 +187,18 @@ def truncated_tree(model: DecisionTreeRegressionModel, depth: int) -> DecisionTr
     return DecisionTreeRegressionModel.load(cut)
 
 
+def _part_count(df: DataFrame, at_once: int) -> int:
+    """Parts of one of ``at_once`` fits that share the cores; more for larger inputs, as ``ensure_parallelism`` has."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-cores // at_once), -(-input_bytes(df) // PART_BYTES))
+
+
 def cross_validate_depths(train: DataFrame, label: str, depths=None, folds: int = 5, seed: int = 42,
                           features_col: str = "features", fold_col: str | None = None, persist: bool = True):
     """``cross_validate`` of a decision tree over a grid of depths with one fit a fold.
 
     The deepest tree of a fold holds all shallower ones (``truncated_tree``); the
-    fold's rows are scored by all depths in one pass.  The best tree over all
+    fold's rows are scored by all depths in one pass.  The folds are fitted side by side.  The best tree over all
     rows is fitted once, at the best depth.  Returns what ``cross_validate`` does.
     """
     depths = list(depths if depths is not None else GRIDS["Decision_Tree"][1])
@@ -201,18 +208,24 @@ def cross_validate_depths(train: DataFrame, label: str, depths=None, folds: int
     dealt = data.withColumn("_fold", fold)
     if not fold_col:
         dealt = dealt.persist(StorageLevel.MEMORY_AND_DISK)     # the dealing is drawn once
-    errors = []
+    # a level's sums are nodes x parts: folds side by side on few parts each instead of one by one on many
+    side_by_side = _part_count(data, folds)
+
+    def fold_errors(k):
+        tree = make_estimator("Decision_Tree", "scaledFeatures", label, seed).setMaxDepth(max(depths))
+        rest = dealt.filter(F.col("_fold") != k)
+        scaling, deepest = scaled_pipeline(tree, features_col).fit(rest.coalesce(side_by_side)).stages
+        held = scaling.transform(dealt.filter(F.col("_fold") == k))
+        for i, depth in enumerate(depths):
+            model = deepest if depth == max(depths) else truncated_tree(deepest, depth)
+            held = model.setPredictionCol(f"_depth{i}").transform(held)
+        y = F.col(label).cast(DoubleType())
+        return held.agg(*[F.sqrt(F.avg((y - F.col(f"_depth{i}")) ** 2)).alias(f"e{i}")
+                          for i in range(len(depths))]).first()
+
     try:
-        for k in range(folds):
-            tree = make_estimator("Decision_Tree", "scaledFeatures", label, seed).setMaxDepth(max(depths))
-            scaling, deepest = scaled_pipeline(tree, features_col).fit(dealt.filter(F.col("_fold") != k)).stages
-            held = scaling.transform(dealt.filter(F.col("_fold") == k))
-            for i, depth in enumerate(depths):
-                model = deepest if depth == max(depths) else truncated_tree(deepest, depth)
-                held = model.setPredictionCol(f"_depth{i}").transform(held)
-            y = F.col(label).cast(DoubleType())
-            errors.append(held.agg(*[F.sqrt(F.avg((y - F.col(f"_depth{i}")) ** 2)).alias(f"e{i}")
-                                     for i in range(len(depths))]).first())
+        with ThreadPool(folds) as pool:
+            errors = pool.map(inheritable_thread_target(data.sparkSession)(fold_errors), range(folds))
         metrics = [sum(e[i] for e in errors) / folds for i in range(len(depths))]
         best = min(range(len(depths)), key=lambda i: metrics[i])
         model = retrain_best(data, "Decision_Tree", label, "maxDepth", depths[best], seed, features_col)

@@ -179,6 +179,24 @@ def test_depth_grid_with_one_fit_a_fold(spark, monkeypatch):
     assert random_folds.avgMetrics[1] < random_folds.avgMetrics[0]
 
 
+def test_folds_of_the_depth_grid_share_the_cores(spark, monkeypatch):
+    data, parts = _vectors(spark, 900).repartition(8).cache(), []
+    pipeline = mdl.scaled_pipeline
+
+    class Seen:
+        def __init__(self, *a):
+            self.own = pipeline(*a)
+
+        def fit(self, df):
+            parts.append(df.rdd.getNumPartitions())
+            return self.own.fit(df)
+
+    monkeypatch.setattr(mdl, "scaled_pipeline", Seen)
+    grid, _, _ = mdl.cross_validate_depths(data, "y", [2, 6], folds=4, fold_col=None, persist=False)
+    assert sorted(parts[:4]) == [1] * 4 and parts[4] == 8         # four cores: a fold's sums are kept once, not eight times
+    assert len(grid.avgMetrics) == 2
+
+
 # ---------------------------------------------------------------- one scan
 def test_the_feature_table_is_built_in_one_scan(spark, sf, tmp_path):
     fact, dim = spark.read.parquet(f"{sf}/lineitem.parquet"), spark.read.parquet(f"{sf}/part.parquet")
