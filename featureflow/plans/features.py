@@ -11,7 +11,6 @@
 from __future__ import annotations
 
 import json
-from contextlib import contextmanager
 from dataclasses import asdict
 
 from pyspark import StorageLevel
@@ -27,6 +26,7 @@ from featureflow.functions.time import cyclic_pair, month_length
 from featureflow.operators import clean, encode, frequent, impute
 from featureflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension
 from featureflow.operators.sampling import is_train
+from featureflow.session import setting
 from featureflow.spec import Cyclic, FeatureSpec
 
 
@@ -324,27 +324,13 @@ def build_feature_table(fact: DataFrame, dim: DataFrame | None, spec: FeatureSpe
         model = fit_or_load(static.filter(SPLIT).drop(SPLIT), spec, params_path or f"{out_dir}/params", refit=True,
                             persist_input=False, **estimator_kw)
         # two open files a task instead of a sort of all rows by the split
-        with _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
             model.transform(static).write.mode("overwrite").partitionBy(SPLIT).parquet(path)
     finally:
         static.unpersist()
     return read_feature_table(spark, out_dir)
 
 
-@contextmanager
-def _setting(spark, name: str, value: str):
-    """``name`` set to ``value`` for the block, then as it was."""
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def read_feature_table(spark, out_dir: str) -> tuple[DataFrame, DataFrame]:
     """(train, test) of a feature table: two partitions of one Parquet table."""
     table = spark.read.parquet(f"{out_dir}/features.parquet")

@@ -1,6 +1,7 @@
 """The trained operators: held-out accuracy, gradients, and defined results for odd rows."""
 import collections
 import math
+import time
 import zlib
 
 import numpy as np
@@ -152,6 +153,19 @@ def test_lm_learns_from_every_training_text(spark, docs_of, monkeypatch):
     assert len({r["key"] for r in seen}) == len(seen)             # windows are dealt by number, equal ones too
 
 
+def test_lm_leaves_no_shuffle_files_of_its_rounds(spark, docs_of):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {b for b in disk.getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+    before = files()
+    lm.score(docs_of([(i, "one two three " * (i % 40)) for i in range(200)]), crc_mod("doc_id", 7) == 2)
+    left, end = files() - before, time.time() + 10                # they are removed in the background
+    while left and time.time() < end:
+        time.sleep(0.2)
+        left = files() - before
+    assert not left
+    assert spark.conf.get(lm.CLEAN_UP) == "false"
+
+
 def test_lm_with_nothing_to_learn_from(spark, docs_of):
     assert lm.score(docs_of([]), crc_mod("doc_id", 7) == 2).count() == 0
     rows = lm.score(docs_of([(None, "a b"), (None, None)]), crc_mod("doc_id", 7) == 2).collect()
