@@ -42,13 +42,21 @@ def bucket_rare(c, keep_values, other: str = "Other") -> Column:
     return F.when(col.isNull(), F.lit(None)).when(col.isin(keep), col).otherwise(F.lit(other))
 
 
+MOST_CASES = 64                 # longer lookups are a map literal
+
+
 def lookup(c, mapping: dict, default=None) -> Column:
-    """Literal map lookup (for small learned tables); unknown keys -> default."""
+    """Literal lookup (for small learned tables); unknown keys -> default.
+
+    A CASE of up to MOST_CASES comparisons is compiled; a map literal is searched entry by entry.
+    """
     col = _c(c)
     if not mapping:
         return F.lit(default)
-    kv = []
-    for k, v in mapping.items():
-        kv += [F.lit(k), F.lit(v)]
-    found = F.try_element_at(F.create_map(*kv), col)
+    if len(mapping) <= MOST_CASES:
+        found = F
+        for k, v in mapping.items():
+            found = found.when(col == F.lit(k), F.lit(v))
+    else:
+        found = F.try_element_at(F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv]), col)
     return found if default is None else F.coalesce(found, F.lit(default))

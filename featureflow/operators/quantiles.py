@@ -65,10 +65,11 @@ def _compared_as(t: DataType) -> DataType:
 
 
 def _narrow(df: DataFrame, cols: list[str], kind: DataType, probs: Sequence[float], bins: int) -> dict:
-    long = df.select(*[F.col(c).cast(kind).alias(c) for c in cols]).unpivot([], cols, "feature", "x")
-    long = long.filter(F.col("x").isNotNull())
+    x = {c: F.col(c).cast(kind) for c in cols}
     if isinstance(kind, DoubleType):
-        long = long.filter(~F.isnan("x")).withColumn("x", F.col("x") + F.lit(0.0))
+        x = {c: F.when(~F.isnan(v), v + F.lit(0.0)) for c, v in x.items()}
+    wide = df.select(*[v.alias(c) for c, v in x.items()])
+    long = wide.unpivot([], cols, "feature", "x").filter(F.col("x").isNotNull())
     whole = {r["feature"]: r for r in long.groupBy("feature").agg(
         F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect()}
     out, open_ = {}, {}
@@ -87,7 +88,7 @@ def _narrow(df: DataFrame, cols: list[str], kind: DataType, probs: Sequence[floa
             else:
                 settle(c, p, max(1, math.ceil(p * whole[c]["n"] - 1e-9)), 0, whole[c], open_)
     while open_:
-        counted = _count_bins(long, kind, list(open_), bins)
+        counted = _count_bins(wide, kind, list(open_), bins)
         narrower = {}
         for i, ((feature, _, _), (below, ranks)) in enumerate(open_.items()):
             for p, rank in ranks.items():
@@ -101,21 +102,22 @@ def _narrow(df: DataFrame, cols: list[str], kind: DataType, probs: Sequence[floa
     return out
 
 
-def _count_bins(long: DataFrame, kind: DataType, intervals: list[tuple], bins: int) -> list[list]:
-    """Rows (bin, n, mn, mx) of each interval in ascending order; one scan for all intervals."""
-    by_feature: dict[str, list[Column]] = {}
+def _count_bins(wide: DataFrame, kind: DataType, intervals: list[tuple], bins: int) -> list[list]:
+    """Rows (bin, n, mn, mx) of each interval in ascending order; one scan for all intervals.
+
+    The intervals of a column are apart, so a value is in one of them at most; values in none
+    are not grouped.
+    """
+    tags: dict[str, Column] = {}
     for i, (feature, lo, hi) in enumerate(intervals):
-        by_feature.setdefault(feature, []).append(F.struct(
-            F.lit(i).alias("tid"), F.lit(_is_coarse(kind, lo, hi)).alias("coarse"), F.lit(lo).cast(kind).alias("lo"),
-            F.lit(hi).cast(kind).alias("hi"), F.lit(_width(kind, lo, hi, bins)).cast(kind).alias("w")))
-    # a row looks up its feature's few intervals and tests only those
-    targets = F.create_map(*[x for f, structs in by_feature.items() for x in (F.lit(f), F.array(*structs))])
-    inside = F.filter(F.try_element_at(targets, F.col("feature")), lambda t: F.col("x").between(t["lo"], t["hi"]))
-    bin_ = F.when(F.col("t.coarse"), _coarse_bin(kind)).otherwise(_linear_bin(kind, bins))
-    rows = (long.filter(F.col("feature").isin(sorted(by_feature)))
-            .select("x", F.explode(inside).alias("t"))
-            .groupBy(F.col("t.tid").alias("tid"), bin_.alias("bin"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+        x = F.col(feature)
+        bin_ = _coarse_bin(kind, x) if _is_coarse(kind, lo, hi) else _linear_bin(kind, x, lo, _width(kind, lo, hi, bins), bins)
+        tag = F.struct(F.lit(i).alias("tid"), bin_.alias("bin"), x.alias("x"))
+        tags[feature] = tags.get(feature, F).when(x.between(F.lit(lo).cast(kind), F.lit(hi).cast(kind)), tag)
+    rows = (wide.select(*[t.alias(f) for f, t in tags.items()]).unpivot([], list(tags), "feature", "tag")
+            .filter(F.col("tag").isNotNull())
+            .groupBy(F.col("tag.tid").alias("tid"), F.col("tag.bin").alias("bin"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("tag.x").alias("mn"), F.max("tag.x").alias("mx"))
             .collect())                                  # bounded: intervals x bins rows
     found = [[] for _ in intervals]
     for r in sorted(rows, key=lambda r: r["bin"]):
@@ -142,8 +144,7 @@ def _width(kind: DataType, lo, hi, bins: int):
         return ((hi - lo).scaleb(kind.scale) // bins + 1).scaleb(-kind.scale)
 
 
-def _coarse_bin(kind: DataType) -> Column:
-    x = F.col("x")
+def _coarse_bin(kind: DataType, x: Column) -> Column:
     if not isinstance(kind, DoubleType):
         return (x >= 0).cast("long")
     beyond = F.lit(2 * POWER_OFFSET).cast("long")
@@ -152,7 +153,8 @@ def _coarse_bin(kind: DataType) -> Column:
             .when(x == 0, F.lit(0).cast("long")).when(x > 0, power).otherwise(-power))
 
 
-def _linear_bin(kind: DataType, bins: int) -> Column:
+def _linear_bin(kind: DataType, x: Column, lo, width, bins: int) -> Column:
+    above, width = x - F.lit(lo).cast(kind), F.lit(width).cast(kind)
     if not isinstance(kind, DoubleType):
-        return F.expr("(x - t.lo) div t.w")
-    return F.least(F.lit(bins - 1).cast("long"), F.floor((F.col("x") - F.col("t.lo")) / F.col("t.w")))
+        return F.call_function("div", above, width)
+    return F.least(F.lit(bins - 1).cast("long"), F.floor(above / width))

@@ -448,8 +448,7 @@ def fit_params(spark, sf):
 def apply_params(spark, sf):
     df = _static(spark, sf)
     out = _fit(df).transform(df)
-    return out.select("l_orderkey", "l_linenumber",
-                      F.transform(vector_to_array("features"), lambda x: F.round(x, 6) + F.lit(0.0)).alias("features"))
+    return out.select("l_orderkey", "l_linenumber", _rounded_features(out))
 
 
 def _prepared(spark, sf):
@@ -458,7 +457,9 @@ def _prepared(spark, sf):
 
 
 def _rounded_features(df):
-    return F.transform(vector_to_array("features"), lambda x: F.round(x, 6) + F.lit(0.0)).alias("features")
+    # named twice, the vector is a step of its own: inlined, the whole encoding would be interpreted with the lambda
+    return F.when(F.col("features").isNotNull(), F.transform(
+        vector_to_array("features"), lambda x: F.round(x, 6) + F.lit(0.0))).alias("features")
 
 
 def fit_save_load_apply(spark, sf):
@@ -484,8 +485,7 @@ def preprocess_new(spark, sf):
 def split_fit_apply(spark, sf):
     """Hash split on the order key, learn on the training rows, apply to both."""
     train, test, _ = feat.split_fit_apply(*_tables(spark, sf), presets.TPCH, split_key="l_orderkey", **SETTINGS)
-    cols = ["l_orderkey", "l_linenumber",
-            F.transform(vector_to_array("features"), lambda x: F.round(x, 6) + F.lit(0.0)).alias("features")]
+    cols = ["l_orderkey", "l_linenumber", _rounded_features(train)]
     return train.select(*cols, F.lit(True).alias("is_train")).unionByName(
         test.select(*cols, F.lit(False).alias("is_train")))
 
