@@ -243,7 +243,13 @@ def retrain_best(train: DataFrame, family: str, label: str, param: str, value,
     est = make_estimator(family, "scaledFeatures", label, seed)
     est = est.copy({est.getParam(param): value})
     owned = not train.storageLevel.useMemory and not train.storageLevel.useDisk
-    data = training_set(train, label, features_col) if owned else train
+    if not owned:
+        data = train
+    elif family == "Linear_Regression":
+        # three light passes: dealing the rows over more parts costs more than it saves
+        data = train.select(features_col, label).persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        data = training_set(train, label, features_col)
     try:
         return scaled_pipeline(est, features_col).fit(data)
     finally:

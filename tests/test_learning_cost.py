@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from featureflow import registry
 from featureflow.functions import columns
 from featureflow.operators import quantiles
+from featureflow.plans import model as mdl
 
 
 def plan(df) -> str:
@@ -65,3 +66,17 @@ def test_rounding_does_not_draw_the_encoding_into_its_lambda(spark):
     for r in out.collect():
         assert r["features"] == pytest.approx([r["a"], r["b"]], abs=5e-7)
     assert dict(out.dtypes)["features"] == dict(data.select(vector_to_array("features").alias("features")).dtypes)["features"]
+
+
+def test_a_linear_fit_does_not_deal_its_rows(spark, monkeypatch):
+    rows = [(float(i % 7), float(i % 5), 2.0 * (i % 7) - (i % 5) + 1.0) for i in range(200)]
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.createDataFrame(rows, "a double, b double, y double"))
+    dealt = []
+    deal = mdl.ensure_parallelism
+    monkeypatch.setattr(mdl, "ensure_parallelism", lambda df: dealt.append(1) or deal(df))
+    model = mdl.retrain_best(data, "Linear_Regression", "y", "regParam", 0.0)
+    assert not dealt
+    assert mdl.regression_metrics(model.transform(data), "y").first()["rmse"] < 1e-6
+    mdl.retrain_best(data, "Decision_Tree", "y", "maxDepth", 2)
+    assert dealt
