@@ -100,6 +100,51 @@ def test_attention_gradients_and_normalisation():
         assert (losses[0] - losses[1]) / 4e-3 == pytest.approx(float((grads[name] * direction).sum()), rel=0.05, abs=2e-3)
 
 
+def test_training_is_adam_on_the_gradients():
+    rng = np.random.default_rng(4)
+    ids = rng.integers(0, 600, (70, lm.WINDOW + 1))
+    ids[:9, :lm.CONTEXT], ids[:9, lm.CONTEXT], ids[60:, 30:] = lm.PAD, 600, lm.PAD
+    m, plain = (lm.Attention(rng.permutation(600).astype(float)) for _ in range(2))
+    plain.place, plain.tail = m.place, m.tail
+    plain.load(m.vector())
+    m.train(ids, 0.01, 7, seed=3)
+    draw, order, moments = np.random.default_rng(3), np.zeros(0, np.int64), {k: [0, 0] for k in plain.params}
+    for step in range(1, 8):
+        if len(order) < lm.BATCH:
+            order = np.concatenate([order, draw.permutation(len(ids))])
+        own, order = order[:lm.BATCH], order[lm.BATCH:]
+        for k, g in plain.gradients(ids[own]).items():
+            moments[k] = [0.9 * moments[k][0] + 0.1 * g, 0.99 * moments[k][1] + 0.01 * g * g]
+            change = moments[k][0] / (1 - 0.9 ** step) / (np.sqrt(moments[k][1] / (1 - 0.99 ** step)) + 1e-8)
+            plain.params[k] = (plain.params[k] - 0.01 * change).astype(np.float32)
+    assert np.allclose(m.vector(), plain.vector(), atol=2e-4)
+
+
+def test_large_outputs_and_weights_keep_their_logs_finite():
+    rng = np.random.default_rng(5)
+    m = lm.Attention(rng.integers(0, 50, 3001).astype(float))
+    for name in ("embed", "q", "k", "group", "member"):
+        m.params[name] = m.params[name] * np.float32(12)
+    ids = rng.integers(0, 3001, (8, lm.WINDOW + 1))
+    ids[0, :lm.CONTEXT], ids[0, lm.CONTEXT] = lm.PAD, 3001
+    assert np.isfinite(m.log_probabilities(ids)).all()
+    assert all(np.isfinite(g).all() for g in m.gradients(ids).values())
+
+
+def test_training_works_on_one_array_of_parameters_and_one_of_gradients():
+    rng = np.random.default_rng(6)
+    m = lm.Attention(rng.integers(0, 50, 600).astype(float))
+    ids = rng.integers(0, 600, (8, lm.WINDOW + 1))
+    out = {k: np.full_like(v, 9) for k, v in m.params.items()}
+    for k, g in m.gradients(ids, out).items():
+        assert g is out[k] and np.array_equal(g, m.gradients(ids)[k])
+    before = m.vector()
+    m.train(ids, 0.01, 2, seed=1)
+    whole = m.params["embed"].base
+    assert whole.size == len(before) and all(v.base is whole for v in m.params.values())
+    assert np.array_equal(whole, m.vector()) and not np.array_equal(whole, before)
+
+
 def test_windows_score_every_token_once():
     rng = np.random.default_rng(2)
     m = lm.Attention(rng.integers(0, 50, 500).astype(float))
