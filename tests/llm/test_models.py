@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from featureflow.llm import html, langid, lm, quality
 from featureflow.llm.common import crc_mod, table
@@ -145,6 +146,33 @@ def test_training_works_on_one_array_of_parameters_and_one_of_gradients():
     assert np.array_equal(whole, m.vector()) and not np.array_equal(whole, before)
 
 
+def test_the_average_of_a_round_takes_one_row_a_group_and_parameter(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(lm, "WINDOWS_PER_COPY", 8)
+    monkeypatch.setattr(lm, "LEAST_STEPS", 2)
+    monkeypatch.setattr(lm, "ROUNDS", 1)
+    text = "one two three four five six seven eight nine ten " * 9
+    gathered = docs_of([(i, text + str(i)) for i in range(60)]).select("text").mapInArrow(
+        lm._counting(lm.read_ranks()), "kind int, key long, n long, ids binary").localCheckpoint()
+    steps, to_driver = [], type(gathered).toArrow
+    monkeypatch.setattr(type(gathered), "toArrow", lambda self: steps.append(self) or to_driver(self))
+    subwords = max(lm.read_ranks().values()) + 2
+    got = lm.train(gathered, subwords)
+    cut = gathered.filter("kind = 2").select("key", "ids")
+    copies = -(-cut.count() // 8)
+    assert copies > 12
+    found = gathered.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros(subwords)
+    for r in found:
+        counts[r["key"]] = r["n"]
+    parts = cut.repartition(copies, F.xxhash64("key", F.lit(0))).select("ids").mapInArrow(
+        lm._copy(lm.Attention(counts), 0.03, 0), "part int, v binary, w double").collect()
+    weights = [r["w"] for r in parts]
+    assert sum(weights) == cut.count()
+    assert np.allclose(got.vector(), sum(np.frombuffer(r["v"], np.float64) for r in parts) / sum(weights), atol=1e-6)
+    before = steps[-1]._jdf.queryExecution().optimizedPlan().toString()
+    assert before.count("MapInArrow") == 2 and f"{math.ceil(math.sqrt(copies))}" in before
+
+
 def test_windows_score_every_token_once():
     rng = np.random.default_rng(2)
     m = lm.Attention(rng.integers(0, 50, 500).astype(float))
