@@ -1,6 +1,7 @@
 """Model selection, metrics and batch scoring.
 
-Training uses ``pyspark.ml`` as is (tree-aggregated, distributed); what this
+Training uses ``pyspark.ml`` as is (tree-aggregated, distributed), but for the
+trees and forests of a selection of many rows (``operators/trees``); what this
 module adds is the orchestration: one metric aggregate instead of three
 evaluator passes, a persisted training set during cross-validation, the
 winning grid entry carried into the retrained model, and scoring every saved
@@ -10,20 +11,24 @@ model in a folder.
 from __future__ import annotations
 
 import json
+import math
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression,
-                                   RandomForestRegressor)
+                                   RandomForestRegressionModel, RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from featureflow.operators import ridge
+from featureflow.operators import ridge, trees
 from featureflow.operators.clean import output_projection
 from featureflow.operators.sampling import PART_BYTES, ensure_parallelism, input_bytes
 from featureflow.plans.features import list_dirs
@@ -36,6 +41,7 @@ GRIDS = {
     "Decision_Tree": ("maxDepth", [5, 10, 20]),
     "Random_Forest": ("numTrees", [10, 50, 100]),
 }
+MOST_ROWS = 500_000             # of a model selection whose trees pyspark.ml fits; those of more rows grow by operators/trees
 
 
 def regression_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -91,7 +97,7 @@ def training_set(df: DataFrame, label: str, features_col: str = "features",
 
 def cross_validate(train: DataFrame, family: str, label: str, grid_values=None, folds: int = 5,
                    seed: int = 42, parallelism: int | None = None, features_col: str = "features",
-                   fold_col: str | None = None, persist: bool = True):
+                   fold_col: str | None = None, persist: bool = True, grown: GrownRows | None = None):
     """Grid search with k-fold CV on RMSE.  Returns (cv_model, best_param, best_value).
 
     ``fold_col`` names an INT column of fold numbers 0 .. folds-1 (a hash of the
@@ -100,12 +106,15 @@ def cross_validate(train: DataFrame, family: str, label: str, grid_values=None,
     value); they share the persisted training set and, in a fold, one fitted
     scaler.  Linear regressions of up to ``ridge.MOST_FEATURES`` features are
     solved for all folds and grid values from one pass over the rows.  ``persist=False``: ``train`` is cheap to read (part of a persisted set).
+    ``grown``: the same rows and folds, for forests by ``operators/trees``, all folds and grid values together.
     """
     est = make_estimator(family, "scaledFeatures", label, seed)
     pname, default_values = GRIDS[family]
     values = list(grid_values if grid_values is not None else default_values)
     if family == "Linear_Regression" and (k := features_of(train, features_col)) and k <= ridge.MOST_FEATURES:
         return _cross_validate_ridge(train, label, values, folds, seed, features_col, fold_col, persist, k)
+    if grown and family == "Random_Forest":
+        return _cross_validate_grown(grown, family, pname, values)
     grid = ParamGridBuilder().addGrid(est.getParam(pname), values).build()
     evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     cv = CrossValidator(estimator=scaled_pipeline(est, features_col), estimatorParamMaps=grid,
@@ -123,6 +132,14 @@ def cross_validate(train: DataFrame, family: str, label: str, grid_values=None,
     return model, pname, values[best_idx]
 
 
+def _cross_validate_grown(grown: GrownRows, family: str, pname: str, values: list):
+    """``cross_validate`` of trees by ``operators/trees``."""
+    metrics = grown.cross_validate(family, values)
+    best = min(range(len(values)), key=lambda i: metrics[i])
+    model = retrain_best(grown.rows, family, grown.label, pname, values[best], grown.seed, grown.features_col, grown=grown)
+    return CrossValidatorModel(model, metrics), pname, values[best]
+
+
 def features_of(df: DataFrame, features_col: str) -> int:
     """The length of the feature vectors, from the schema or one row; 0 without rows."""
     about = df.schema[features_col].metadata.get("ml_attr", {})
@@ -194,14 +211,18 @@ def _part_count(df: DataFrame, at_once: int) -> int:
 
 
 def cross_validate_depths(train: DataFrame, label: str, depths=None, folds: int = 5, seed: int = 42,
-                          features_col: str = "features", fold_col: str | None = None, persist: bool = True):
+                          features_col: str = "features", fold_col: str | None = None, persist: bool = True,
+                          grown: GrownRows | None = None):
     """``cross_validate`` of a decision tree over a grid of depths with one fit a fold.
 
     The deepest tree of a fold holds all shallower ones (``truncated_tree``); the
     fold's rows are scored by all depths in one pass.  The folds are fitted side by side.  The best tree over all
     rows is fitted once, at the best depth.  Returns what ``cross_validate`` does.
+    ``grown``: the same rows and folds, for trees by ``operators/trees``, those of all folds together.
     """
     depths = list(depths if depths is not None else GRIDS["Decision_Tree"][1])
+    if grown:
+        return _cross_validate_grown(grown, "Decision_Tree", "maxDepth", depths)
     owned = persist and not train.storageLevel.useMemory and not train.storageLevel.useDisk
     data = training_set(train, label, features_col, fold_col) if owned else train
     fold = F.col(fold_col) if fold_col else F.floor(F.rand(seed) * folds).cast("int")
@@ -237,11 +258,118 @@ def cross_validate_depths(train: DataFrame, label: str, depths=None, folds: int
     return CrossValidatorModel(model, metrics), "maxDepth", depths[best]
 
 
+# ---------------------------------------------------------------- trees of many rows
+def _binner(rows: DataFrame, label: str, seed: int, features_col: str):
+    """(fitted scaler, its ``trees.Binner``) of a training set: the split candidates that ``pyspark.ml`` would try."""
+    scaling = make_scaler(features_col, "scaledFeatures").fit(rows)
+    tree = make_estimator("Decision_Tree", "scaledFeatures", label, seed)
+    tree._transfer_params_to_java()
+    jvm, java = rows.sparkSession.sparkContext._jvm, tree._java_obj
+    module = lambda package, name: getattr(getattr(package, f"{name}$"), "MODULE$")
+    instances = module(jvm.org.apache.spark.ml.util, "DatasetUtils").extractInstances(
+        java, scaling.transform(rows)._jdf, module(jvm.scala, "None"))
+    impl = jvm.org.apache.spark.ml.tree.impl
+    about = module(impl, "DecisionTreeMetadata").buildMetadata(
+        instances, java.getOldStrategy(module(jvm.scala.collection.immutable, "Map").empty()), 1, "all")
+    found = [np.array([split.threshold() for split in splits])
+             for splits in module(impl, "RandomForest").findSplits(instances, about, seed)]
+    std = scaling.std.toArray()
+    scale = np.divide(1.0, std, out=np.zeros_like(std), where=std != 0)
+    return scaling, trees.Binner(scaling.mean.toArray(), scale, found)
+
+
+class GrownRows:
+    """The rows of one model selection as ``operators/trees`` reads them: binned once, for all folds and families."""
+
+    def __init__(self, rows: DataFrame, label: str, seed: int, features_col: str, folds: int = 0, fold=None):
+        self.label, self.seed, self.features_col, self.folds = label, seed, features_col, folds
+        self.rows = rows.withColumn("_fold", fold.cast("int") if folds else F.lit(0))
+        self._held = None
+
+    def held(self) -> DataFrame:
+        if self._held is None:
+            about = self.rows.agg(F.avg(F.col(self.label).cast("double")), F.min("_fold"), F.max("_fold")).first()
+            if about[0] is None:
+                raise ValueError("no rows to learn from")
+            if self.folds and (about[1] is None or about[1] < 0 or about[2] >= self.folds):
+                raise ValueError(f"fold numbers must lie between 0 and {self.folds - 1}, not {about[1]} and {about[2]}")
+            sets = [self.rows.filter(F.col("_fold") != k) for k in range(self.folds)] + [self.rows]
+            with ThreadPool(len(sets)) as pool:
+                found = pool.map(inheritable_thread_target(self.rows.sparkSession)(
+                    lambda part: _binner(part, self.label, self.seed, self.features_col)), sets)
+            self.scaling, self.binners, self.shift = found[-1][0], [b for _, b in found], about[0]
+            self.width = len(self.binners[0].candidates)
+            self.bins = 1 + max(len(c) for b in self.binners for c in b.candidates)
+            self._held = trees.persisted(trees.blocks(self.rows, self.features_col, self.label, F.col("_fold"), self.binners,
+                                                      self.shift))
+        return self._held
+
+    def release(self) -> None:
+        if self._held is not None:
+            self._held.unpersist()
+
+    def _trees(self, est, family: str, first: int, binner: int, fold: int) -> list[trees.Tree]:
+        depth, many = est.getOrDefault("maxDepth"), est.getNumTrees() if family == "Random_Forest" else 1
+        share = math.ceil(self.width / 3.0) if many > 1 else self.width
+        return [trees.Tree(first + i, binner, fold, depth, share, family == "Random_Forest", self.seed) for i in range(many)]
+
+    def cross_validate(self, family: str, values: list) -> list[float]:
+        """Mean over the folds of each grid value's RMSE; the trees of all folds and values grow together."""
+        held, sets, folds = self.held(), len(self.binners), range(self.folds)
+        est = make_estimator(family, "scaledFeatures", self.label, self.seed)
+        if family == "Decision_Tree":
+            grown = [t for k in folds for t in self._trees(est.setMaxDepth(max(values)), family, k, k, k)]
+            trees.grow_deep(held, grown, sets, self.width, self.bins)
+            errors = trees.depth_errors(held, grown, values, sets)
+            by_fold = [errors[k] for k in folds]
+        else:
+            forests, first = {}, 0
+            for k in folds:
+                for i, many in enumerate(values):
+                    forests[k * len(values) + i] = self._trees(est.setNumTrees(many), family, first, k, k)
+                    first += many
+            trees.grow_levels(held, [t for f in forests.values() for t in f], sets, self.width, self.bins)
+            errors = trees.forest_errors(held, forests, sets)
+            by_fold = [[errors[k * len(values) + i] for i in range(len(values))] for k in folds]
+        return [float(np.mean(e)) for e in zip(*by_fold, strict=True)]
+
+    def fit(self, family: str, est) -> PipelineModel:
+        """The tree or forest of all rows as a pipeline of ``pyspark.ml``."""
+        held, sets = self.held(), len(self.binners)
+        grown = self._trees(est, family, 0, sets - 1, -1)
+        if family == "Decision_Tree":
+            sums = trees.grow_deep(held, grown, sets, self.width, self.bins)
+        else:
+            trees.grow_levels(held, grown, sets, self.width, self.bins)
+            sums = trees.node_sums(held, grown, sets)
+        tables = [trees.node_table(t, sums[t.number], self.binners[-1], self.shift) for t in grown]
+        return PipelineModel([self.scaling, _saved_and_loaded(self.rows.sparkSession, est, self.label, self.width, tables)])
+
+
+def _saved_and_loaded(spark: SparkSession, est, label: str, width: int, tables: list):
+    """A model of ``est`` with these nodes: everything but them is taken from a fit to two rows."""
+    whole, made = shared_path(spark, "tree"), shared_path(spark, "tree")
+    two = spark.createDataFrame([(Vectors.dense([float(i)] * width), float(i)) for i in range(2)], ["scaledFeatures", label])
+    est.fit(two).write().overwrite().save(whole)
+    spark.read.text(f"{whole}/metadata").coalesce(1).write.text(f"{made}/metadata")
+    if isinstance(est, DecisionTreeRegressor):
+        spark.createDataFrame(tables[0]).write.parquet(f"{made}/data")
+        return DecisionTreeRegressionModel.load(made)
+    spark.read.parquet(f"{whole}/treesMetadata").write.parquet(f"{made}/treesMetadata")
+    nodes = pa.concat_tables([
+        pa.table({"treeID": pa.array([i] * len(t), pa.int32()), "nodeData": t.to_struct_array().combine_chunks()})
+        for i, t in enumerate(tables)])
+    spark.createDataFrame(nodes).write.parquet(f"{made}/data")
+    return RandomForestRegressionModel.load(made)
+
+
 def retrain_best(train: DataFrame, family: str, label: str, param: str, value,
-                 seed: int = 42, features_col: str = "features") -> PipelineModel:
-    """Refit the family on all training rows with the winning grid entry."""
+                 seed: int = 42, features_col: str = "features", grown: GrownRows | None = None) -> PipelineModel:
+    """Refit the family on all training rows with the winning grid entry (``grown``: these rows, for trees by ``operators/trees``)."""
     est = make_estimator(family, "scaledFeatures", label, seed)
     est = est.copy({est.getParam(param): value})
+    if grown and family != "Linear_Regression":
+        return grown.fit(family, est)
     owned = not train.storageLevel.useMemory and not train.storageLevel.useDisk
     if not owned:
         data = train
@@ -267,7 +395,7 @@ def train_select(train_df: DataFrame, label: str, families=FAMILIES, grids: dict
     ``holdout_col`` (a BOOLEAN column, TRUE for hold-out rows) and ``fold_col``
     make both splits independent of the layout; without them rows are dealt at
     random by ``seed``.  Returns ``(metrics DataFrame, {family: PipelineModel})``.  The training rows
-    are persisted while the fits run and released afterwards.
+    are persisted while the fits run and released afterwards.  Trees of over ``MOST_ROWS`` rows grow by ``operators/trees``.
     """
     spark = train_df.sparkSession
     data = training_set(train_df, label, features_col, fold_col, holdout_col)
@@ -275,23 +403,32 @@ def train_select(train_df: DataFrame, label: str, families=FAMILIES, grids: dict
         fit_part, test_part = data.filter(~F.col(holdout_col)), data.filter(F.col(holdout_col))
     else:
         fit_part, test_part = data.randomSplit([1.0 - holdout, holdout], seed=seed)
-    rows, models = [], {}
+    rows, models, grown = [], {}, (None, None)
     try:
+        if data.count() > MOST_ROWS:
+            if not holdout_col:
+                fit_part = fit_part.persist(StorageLevel.MEMORY_AND_DISK)     # a random split sorts its rows in every pass
+            fold = F.col(fold_col) if fold_col else F.floor(F.rand(seed) * folds)
+            grown = GrownRows(fit_part, label, seed, features_col, folds, fold), GrownRows(data, label, seed, features_col)
         for fam in families:
             values = (grids or {}).get(fam)
             if fam == "Decision_Tree":
                 cv_model, pname, best = cross_validate_depths(fit_part, label, values, folds, seed, features_col, fold_col,
-                                                              persist=False)
+                                                              persist=False, grown=grown[0])
             else:
                 cv_model, pname, best = cross_validate(fit_part, fam, label, values, folds, seed, parallelism,
-                                                       features_col, fold_col, persist=False)
+                                                       features_col, fold_col, persist=False, grown=grown[0])
             m = regression_metrics(cv_model.transform(test_part), label).first()
             rows.append((fam, float(m["rmse"]), float(m["mae"]), float(m["r2"]), pname, float(best)))
-            final = retrain_best(data, fam, label, pname, best, seed, features_col)
+            final = retrain_best(data, fam, label, pname, best, seed, features_col, grown=grown[1])
             if save_dir:
                 final.write().overwrite().save(f"{save_dir}/retrained_{fam}")
             models[fam] = final
     finally:
+        for part in grown:
+            if part:
+                part.release()
+        fit_part.unpersist()
         data.unpersist()
     metrics = spark.createDataFrame(
         rows, "model string, rmse double, mae double, r2 double, best_param string, best_value double")
