@@ -109,3 +109,16 @@ def test_a_selection_of_many_rows_grows_all_its_trees(spark, rows, small, monkey
     assert asked[0] == [(False, k, 6) for k in range(3)] and asked[1] == asked[2] == [(False, -1, 6)]
     assert len(asked[3]) == 3 * (2 + 6) and {x[1] for x in asked[3]} == {0, 1, 2} and all(x[0] and x[2] == 5 for x in asked[3])
     assert len(asked[4]) == len(asked[5]) == found["Random_Forest"].best_value and len(asked) == 6
+
+
+def test_grown_models_are_saved_and_score_other_rows(spark, rows, small, monkeypatch, tmp_path):
+    monkeypatch.setattr(mdl, "MOST_ROWS", 100)
+    asked = []
+    monkeypatch.setattr(mdl, "GrownRows", lambda *a, made=mdl.GrownRows, **b: asked.append(1) or made(*a, **b))
+    _, models = mdl.train_select(rows, "y", families=("Decision_Tree", "Random_Forest"), folds=2, save_dir=str(tmp_path),
+                                 grids={"Random_Forest": [4], "Decision_Tree": [5]})
+    assert len(asked) == 2                                                  # the folds' rows and all rows, binned once for both families
+    for family, model in models.items():
+        kept, _ = mdl.score(rows, f"{tmp_path}/retrained_{family}", "y")
+        both = model.transform(kept.select("features", F.col("prediction").alias("kept")))
+        assert both.count() == 3000 and both.filter(F.abs(F.col("kept") - F.col("prediction")) > 1e-9).count() == 0
